@@ -75,25 +75,28 @@ def _docs(corpus: DataFrame) -> DataFrame:
 
 
 def analyze(docs: DataFrame, fields=FIELDS) -> tuple[DataFrame, DataFrame]:
-    """A1 + A2: per-(field, document) lengths and per-(field, document, term) postings.
+    """A1 + A2: per-(field, document, term) postings and per-(field, document) lengths.
 
     Both stay in the partitioning of ``docs``: the grouping keys contain ``ord``, so a
     hash partitioning on ``ord`` already satisfies them and no exchange is planned.
+    Empty fields produce no postings and therefore no length row.  ``explode_outer``
+    plus a null filter is used instead of ``explode``: for ``explode`` Catalyst infers
+    ``size(tokens) > 0`` and pushes it below the repartition, which would tokenise
+    every document a second time in the scan stage.
     """
     per_field = None
     for f in fields:
         part = docs.select(F.lit(f).alias("field"), "ord", tokens(F.col(f)).alias("toks"))
         per_field = part if per_field is None else per_field.unionByName(part)
-    with_len = per_field.withColumn("dl", F.size("toks")).filter(F.col("dl") > 0).withColumn(
-        "norm", length_norm(F.col("dl"))
-    )
-    lengths = with_len.select("field", "ord", "dl", "norm")
+    with_len = per_field.withColumn("dl", F.size("toks")).withColumn("norm", length_norm(F.col("dl")))
     postings = (
-        with_len.select("field", "ord", "dl", "norm", F.explode("toks").alias("term"))
+        with_len.select("field", "ord", "dl", "norm", F.explode_outer("toks").alias("term"))
+        .filter(F.col("term").isNotNull())
         .groupBy("field", "ord", "dl", "norm", "term")
         .agg(F.count(F.lit(1)).cast("int").alias("tf"))
         .select("field", "term", "ord", "tf", "dl", "norm")
     )
+    lengths = postings.groupBy("field", "ord").agg(F.max("dl").alias("dl"), F.max("norm").alias("norm"))
     return lengths, postings
 
 
@@ -123,19 +126,23 @@ def last_wins(corpus: DataFrame) -> DataFrame:
     return corpus.join(latest, ["id", "ord"], "left_semi")
 
 
-def build_index(corpus: DataFrame, partitions: int | None = None, fields=FIELDS, dedup: bool = False) -> Index:
+def build_index(corpus: DataFrame, partitions: int | None = None, fields=FIELDS, dedup: bool = False,
+                prepartitioned: bool = False) -> Index:
     """Lazily build an index from a flat corpus (``id, title, text, url, pubmedId[, ord]``).
 
     ``partitions``: number of document partitions (index shards).  The corpus is
     hash-partitioned on ``ord`` once; everything downstream reuses that layout.
     ``dedup=True`` keeps only the last version of each id (create_or_append/append
     semantics); the default keeps duplicates like create mode (S5).
+    ``prepartitioned=True`` states that the corpus is already hash-partitioned on
+    ``ord`` (e.g. repartitioned before expensive per-document projections).
     """
     docs = _docs(assign_ord(corpus))
     if dedup:
         docs = last_wins(docs)
-    n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    docs = docs.repartition(n, "ord")
+    if not prepartitioned:
+        n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        docs = docs.repartition(n, "ord")
     lengths, postings = analyze(docs, fields)
     return Index(docs, lengths, postings, term_stats(postings), collection_stats(lengths))
 
@@ -185,20 +192,25 @@ def _versions(spark: SparkSession, path: str) -> list[str]:
 def write_index(index: Index, path: str, sort_postings: bool = True) -> str:
     """Write all tables under ``path/vNNNNNN`` and return that directory.
 
-    Postings keep the document partitioning and are sorted by term inside each file,
-    so Parquet min/max statistics let term filters skip row groups.  ``stats`` is
-    written last: its ``_SUCCESS`` marks a complete version.
+    The corpus is tokenised once: postings are written first (in the document
+    partitioning, sorted by term inside each file so Parquet min/max statistics let
+    term filters skip row groups), and lengths, term and collection statistics are
+    aggregated from the written postings.  ``stats`` is written last; its
+    ``_SUCCESS`` marks a complete version.
     """
     spark = index.docs.sparkSession
     versions = _versions(spark, path)
     nxt = int(versions[-1][1:]) + 1 if versions else 1
     out = f"{path.rstrip('/')}/v{nxt:06d}"
     index.docs.write.mode("errorifexists").parquet(f"{out}/docs")
-    index.lengths.write.mode("errorifexists").parquet(f"{out}/lengths")
     postings = index.postings.sortWithinPartitions("field", "term", "ord") if sort_postings else index.postings
     postings.write.mode("errorifexists").parquet(f"{out}/postings")
-    index.terms.write.mode("errorifexists").parquet(f"{out}/terms")
-    index.stats.coalesce(1).write.mode("errorifexists").parquet(f"{out}/stats")
+    written = spark.read.parquet(f"{out}/postings")
+    lengths = written.groupBy("field", "ord").agg(F.max("dl").alias("dl"), F.max("norm").alias("norm"))
+    lengths.write.mode("errorifexists").parquet(f"{out}/lengths")
+    term_stats(written).write.mode("errorifexists").parquet(f"{out}/terms")
+    collection_stats(spark.read.parquet(f"{out}/lengths")).coalesce(1).write.mode("errorifexists").parquet(
+        f"{out}/stats")
     return out
 
 

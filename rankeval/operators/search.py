@@ -64,19 +64,23 @@ def _maybe_broadcast(df: DataFrame, proof: DataFrame, max_rows: int) -> DataFram
     return F.broadcast(df) if bounded(proof, max_rows) else df
 
 
-def query_statistics(index: Index, qterms: DataFrame, broadcast_ok: bool) -> DataFrame:
+def query_statistics(index: Index, qterms: DataFrame, broadcast_ok: bool, field: str = "text") -> DataFrame:
     """Per (query, term): qtf plus the statistics both models read.
 
-    Rows are bounded by the query-term table; term statistics are looked up by an
-    equi-join on (field, term) and the collection statistics by field.
+    Rows are bounded by the query-term table.  Term statistics come from an
+    equi-join on the term; the collection statistics of the field are one row, read
+    once as a scalar subquery (a join on the constant field would plan as a
+    nested-loop join).
     """
-    wanted = qterms.select("field", "term").distinct()
+    wanted = qterms.select("term").distinct()
     wanted_b = F.broadcast(wanted) if broadcast_ok else wanted
-    tstats = index.terms.join(wanted_b, ["field", "term"], "left_semi")
+    tstats = index.terms.filter(F.col("field") == field).join(wanted_b, "term", "left_semi")
+    coll = (index.stats.filter(F.col("field") == field)
+            .select(F.struct("n_docs", "n_tokens", "avgdl").alias("c")).scalar())
     return (
-        qterms.join(tstats, ["field", "term"])
-        .join(index.stats, "field")
-        .select("field", "query_id", "term", "qtf", "df", "cf", "n_docs", "n_tokens", "avgdl")
+        qterms.join(tstats.select("term", "df", "cf"), "term")
+        .select(F.lit(field).alias("field"), "query_id", "term", "qtf", "df", "cf",
+                coll["n_docs"].alias("n_docs"), coll["n_tokens"].alias("n_tokens"), coll["avgdl"].alias("avgdl"))
     )
 
 
@@ -84,10 +88,10 @@ def match(index: Index, qterms: DataFrame, field: str = "text",
           max_broadcast: int = MAX_BROADCAST_QUERY_TERMS) -> DataFrame:
     """Postings of the query terms with everything a model needs (OR semantics)."""
     ok = bounded(qterms, max_broadcast)
-    qstats = query_statistics(index, qterms, ok)
+    qstats = query_statistics(index, qterms, ok, field)
     postings = index.field_postings(field)
     side = F.broadcast(qstats) if ok else qstats
-    return postings.join(side, ["field", "term"])
+    return postings.join(side.drop("field"), "term")
 
 
 def score_columns(scorers, length: str = "norm") -> list[tuple[str, float, Column]]:

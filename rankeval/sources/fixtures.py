@@ -34,8 +34,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+def corpus(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """The corpus, hash-partitioned on ``doc_id`` (= ``ord``) before any per-document work."""
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang").repartition(n, "doc_id")
     return d.select(
         F.col("doc_id").alias("ord"),
         F.col("doc_id").alias("id"),
@@ -61,7 +63,7 @@ def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def index(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> Index:
-    return build_index(corpus(spark, sf_dir), partitions)
+    return build_index(corpus(spark, sf_dir, partitions), partitions, prepartitioned=True)
 
 
 def qrels(spark: SparkSession, sf_dir: str, idx: Index | None = None) -> DataFrame:
