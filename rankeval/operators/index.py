@@ -175,7 +175,8 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def _versions(spark: SparkSession, path: str) -> list[str]:
+def _versions(spark: SparkSession, path: str, complete: bool = True) -> list[str]:
+    """Version directories under ``path``; with ``complete`` only those whose last table finished."""
     fs, p, jvm = _fs(spark, path)
     if not fs.exists(p):
         return []
@@ -184,7 +185,7 @@ def _versions(spark: SparkSession, path: str) -> list[str]:
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith("v") and name[1:].isdigit():
             done = jvm.org.apache.hadoop.fs.Path(st.getPath(), "stats/_SUCCESS")
-            if fs.exists(done):
+            if not complete or fs.exists(done):
                 out.append(name)
     return sorted(out)
 
@@ -199,7 +200,7 @@ def write_index(index: Index, path: str, sort_postings: bool = True) -> str:
     ``_SUCCESS`` marks a complete version.
     """
     spark = index.docs.sparkSession
-    versions = _versions(spark, path)
+    versions = _versions(spark, path, complete=False)  # an interrupted write keeps its number
     nxt = int(versions[-1][1:]) + 1 if versions else 1
     out = f"{path.rstrip('/')}/v{nxt:06d}"
     index.docs.write.mode("errorifexists").parquet(f"{out}/docs")
