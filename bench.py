@@ -47,7 +47,7 @@ def main() -> None:
     fx.topics(spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     path = f"{scratch}/index"
-    run("index_build", lambda: (I.write_index(fx.index(spark, sf_dir, cpus), path), None)[1])
+    run("index_build", lambda: (I.write_index(fx.index(spark, sf_dir, cpus), path, cpus), None)[1])
     idx = I.load_index(spark, path)
     topics = fx.topics(spark, sf_dir)
 

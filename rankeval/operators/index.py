@@ -17,7 +17,7 @@ Tables (all plain DataFrames, persisted as Parquet by :func:`write_index`):
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field as dc_field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,8 +37,13 @@ class Index:
     postings: DataFrame
     terms: DataFrame
     stats: DataFrame
+    # Lazily built indexes keep each field's postings separately: searching one field
+    # then analyses only that field and keeps the document partitioning.
+    by_field: dict = dc_field(default_factory=dict, compare=False)
 
     def field_postings(self, field: str) -> DataFrame:
+        if field in self.by_field:
+            return self.by_field[field]
         return self.postings.filter(F.col("field") == field)
 
 
@@ -74,30 +79,45 @@ def _docs(corpus: DataFrame) -> DataFrame:
     return corpus.select(*cols)
 
 
-def analyze(docs: DataFrame, fields=FIELDS) -> tuple[DataFrame, DataFrame]:
-    """A1 + A2: per-(field, document, term) postings and per-(field, document) lengths.
+def analyze_field(docs: DataFrame, field: str) -> DataFrame:
+    """A1 for one field: postings ``field, term, ord, tf, dl, norm``.
 
-    Both stay in the partitioning of ``docs``: the grouping keys contain ``ord``, so a
-    hash partitioning on ``ord`` already satisfies them and no exchange is planned.
-    Empty fields produce no postings and therefore no length row.  ``explode_outer``
-    plus a null filter is used instead of ``explode``: for ``explode`` Catalyst infers
-    ``size(tokens) > 0`` and pushes it below the repartition, which would tokenise
-    every document a second time in the scan stage.
+    The grouping keys contain ``ord``, so a hash partitioning of ``docs`` on ``ord``
+    already satisfies them and no exchange is planned.  Empty fields produce no
+    postings.  ``explode_outer`` plus a null filter is used instead of ``explode``:
+    for ``explode`` Catalyst infers ``size(tokens) > 0`` and pushes it below the
+    repartition, which would tokenise every document again in the scan stage.
     """
-    per_field = None
-    for f in fields:
-        part = docs.select(F.lit(f).alias("field"), "ord", tokens(F.col(f)).alias("toks"))
-        per_field = part if per_field is None else per_field.unionByName(part)
-    with_len = per_field.withColumn("dl", F.size("toks")).withColumn("norm", length_norm(F.col("dl")))
-    postings = (
-        with_len.select("field", "ord", "dl", "norm", F.explode_outer("toks").alias("term"))
+    toks = docs.select("ord", tokens(F.col(field)).alias("toks"))
+    with_len = toks.withColumn("dl", F.size("toks")).withColumn("norm", length_norm(F.col("dl")))
+    return (
+        with_len.select(F.lit(field).alias("field"), "ord", "dl", "norm", F.explode_outer("toks").alias("term"))
         .filter(F.col("term").isNotNull())
         .groupBy("field", "ord", "dl", "norm", "term")
         .agg(F.count(F.lit(1)).cast("int").alias("tf"))
         .select("field", "term", "ord", "tf", "dl", "norm")
     )
-    lengths = postings.groupBy("field", "ord").agg(F.max("dl").alias("dl"), F.max("norm").alias("norm"))
-    return lengths, postings
+
+
+def lengths_of(postings: DataFrame) -> DataFrame:
+    """A2: per (field, document) length, from that document's postings (no shuffle)."""
+    return postings.groupBy("field", "ord").agg(F.max("dl").alias("dl"), F.max("norm").alias("norm"))
+
+
+def analyze(docs: DataFrame, fields=FIELDS) -> tuple[DataFrame, DataFrame, dict]:
+    """A1 + A2 for all fields: (lengths, postings, postings by field).
+
+    The union over fields is used for statistics and for writing; a filter on the
+    field prunes the other branches.
+    """
+    by_field = {f: analyze_field(docs, f) for f in fields}
+    postings = None
+    lengths = None
+    for f in fields:
+        p, l = by_field[f], lengths_of(by_field[f])
+        postings = p if postings is None else postings.unionByName(p)
+        lengths = l if lengths is None else lengths.unionByName(l)
+    return lengths, postings, by_field
 
 
 def term_stats(postings: DataFrame) -> DataFrame:
@@ -143,8 +163,8 @@ def build_index(corpus: DataFrame, partitions: int | None = None, fields=FIELDS,
     if not prepartitioned:
         n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         docs = docs.repartition(n, "ord")
-    lengths, postings = analyze(docs, fields)
-    return Index(docs, lengths, postings, term_stats(postings), collection_stats(lengths))
+    lengths, postings, by_field = analyze(docs, fields)
+    return Index(docs, lengths, postings, term_stats(postings), collection_stats(lengths), by_field)
 
 
 def upsert(base: Index, batch: DataFrame, partitions: int | None = None, fields=FIELDS) -> Index:
@@ -159,7 +179,7 @@ def upsert(base: Index, batch: DataFrame, partitions: int | None = None, fields=
     new_docs = new_docs.repartition(n, "ord")
     replaced = base.docs.join(new_docs.select("id"), "id", "left_semi").select("ord")
     docs = base.docs.join(replaced, "ord", "left_anti").unionByName(new_docs)
-    new_lengths, new_postings = analyze(new_docs, fields)
+    new_lengths, new_postings, _ = analyze(new_docs, fields)
     lengths = base.lengths.join(replaced, "ord", "left_anti").unionByName(new_lengths)
     postings = base.postings.join(replaced, "ord", "left_anti").unionByName(new_postings)
     return Index(docs, lengths, postings, term_stats(postings), collection_stats(lengths))
@@ -190,24 +210,38 @@ def _versions(spark: SparkSession, path: str, complete: bool = True) -> list[str
     return sorted(out)
 
 
-def write_index(index: Index, path: str, sort_postings: bool = True) -> str:
+def write_index(index: Index, path: str, buckets: int | None = None) -> str:
     """Write all tables under ``path/vNNNNNN`` and return that directory.
 
-    The corpus is tokenised once: postings are written first (in the document
-    partitioning, sorted by term inside each file so Parquet min/max statistics let
-    term filters skip row groups), and lengths, term and collection statistics are
-    aggregated from the written postings.  ``stats`` is written last; its
+    ``docs`` and ``postings`` are written as tables bucketed on ``ord`` (``buckets``
+    shards, default ``spark.sql.shuffle.partitions``; use the number of document
+    partitions of the build so each task writes one file per table).  Reading them
+    back as bucketed tables restores the document partitioning, so a search sums
+    term scores per (query, document) without any shuffle.  Postings are sorted by
+    (field, term) inside each bucket file.
+
+    The corpus is tokenised once; lengths and term / collection statistics are
+    aggregated from the written postings.  ``stats`` is written last: its
     ``_SUCCESS`` marks a complete version.
     """
     spark = index.docs.sparkSession
     versions = _versions(spark, path, complete=False)  # an interrupted write keeps its number
     nxt = int(versions[-1][1:]) + 1 if versions else 1
     out = f"{path.rstrip('/')}/v{nxt:06d}"
-    index.docs.write.mode("errorifexists").parquet(f"{out}/docs")
-    postings = index.postings.sortWithinPartitions("field", "term", "ord") if sort_postings else index.postings
-    postings.write.mode("errorifexists").parquet(f"{out}/postings")
-    written = spark.read.parquet(f"{out}/postings")
-    lengths = written.groupBy("field", "ord").agg(F.max("dl").alias("dl"), F.max("norm").alias("norm"))
+    b = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    meta = spark.createDataFrame(
+        [(b, index.docs.schema.toDDL(), index.postings.schema.toDDL())],
+        "buckets int, docs_ddl string, postings_ddl string")
+    meta.coalesce(1).write.mode("errorifexists").json(f"{out}/_meta")
+    for name, df, sort in (("docs", index.docs, ()), ("postings", index.postings, ("field", "term"))):
+        table = _table_name(out, name)
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        w = df.write.mode("errorifexists").format("parquet").bucketBy(b, "ord")
+        if sort:
+            w = w.sortBy(*sort)
+        w.option("path", f"{out}/{name}").saveAsTable(table)
+    written = _bucketed(spark, out, "postings")
+    lengths = lengths_of(written)
     lengths.write.mode("errorifexists").parquet(f"{out}/lengths")
     term_stats(written).write.mode("errorifexists").parquet(f"{out}/terms")
     collection_stats(spark.read.parquet(f"{out}/lengths")).coalesce(1).write.mode("errorifexists").parquet(
@@ -215,6 +249,26 @@ def write_index(index: Index, path: str, sort_postings: bool = True) -> str:
     return out
 
 
+def _table_name(version_dir: str, name: str) -> str:
+    import hashlib
+
+    digest = hashlib.sha1(version_dir.encode()).hexdigest()[:16]
+    return f"rankeval_{digest}_{name}"
+
+
+def _bucketed(spark: SparkSession, version_dir: str, name: str) -> DataFrame:
+    """The bucketed table ``name`` of a saved version, registered in this session's catalog."""
+    table = _table_name(version_dir, name)
+    if not spark.catalog.tableExists(table):
+        meta = spark.read.json(f"{version_dir}/_meta").first()
+        ddl = meta["docs_ddl"] if name == "docs" else meta["postings_ddl"]
+        sort = " SORTED BY (field, term)" if name == "postings" else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet "
+                  f"CLUSTERED BY (ord){sort} INTO {int(meta['buckets'])} BUCKETS "
+                  f"LOCATION '{version_dir}/{name}'")
+    return spark.table(table)
+
+
 def index_exists(spark: SparkSession, path: str) -> bool:
     return bool(_versions(spark, path))
 
@@ -225,7 +279,9 @@ def load_index(spark: SparkSession, path: str) -> Index:
     if not versions:
         raise FileNotFoundError(f"no index at {path}")
     base = f"{path.rstrip('/')}/{versions[-1]}"
-    t = {name: spark.read.parquet(f"{base}/{name}") for name in TABLES}
+    t = {name: spark.read.parquet(f"{base}/{name}") for name in ("lengths", "terms", "stats")}
+    t["docs"] = _bucketed(spark, base, "docs")
+    t["postings"] = _bucketed(spark, base, "postings")
     return Index(t["docs"], t["lengths"], t["postings"], t["terms"], t["stats"])
 
 
@@ -240,14 +296,14 @@ def index_corpus(corpus: DataFrame, path: str, mode: str = "create_or_append",
     spark = corpus.sparkSession
     exists = index_exists(spark, path)
     if mode == "create":
-        return write_index(build_index(corpus, partitions), path)
+        return write_index(build_index(corpus, partitions), path, partitions)
     if mode == "append" and not exists:
         raise FileNotFoundError(f"append needs an existing index at {path}")
     if mode not in ("append", "create_or_append"):
         raise ValueError(f"unknown open mode {mode!r}")
     if exists:
-        return write_index(upsert(load_index(spark, path), corpus, partitions), path)
-    return write_index(build_index(corpus, partitions, dedup=True), path)
+        return write_index(upsert(load_index(spark, path), corpus, partitions), path, partitions)
+    return write_index(build_index(corpus, partitions, dedup=True), path, partitions)
 
 
 def with_field(index: Index, field: str) -> Index:

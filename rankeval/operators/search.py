@@ -109,22 +109,22 @@ def score_columns(scorers, length: str = "norm") -> list[tuple[str, float, Colum
 
 
 def candidates(matched: DataFrame, cols: list[tuple[str, float, Column]]) -> DataFrame:
-    """Per (model, param, query, doc) score = sum of term scores.
+    """Per (run, query, doc) score = sum of term scores.
 
     All parameter values are summed side by side in one aggregation (one column each)
-    and unpivoted afterwards, so a sweep never multiplies the matched rows.
+    and unpivoted afterwards with ``posexplode``, so a sweep never multiplies the
+    matched rows; ``run`` is the integer position of the (model, param) setting.
     """
     sums = [F.sum(c).alias(f"s{i}") for i, (_, _, c) in enumerate(cols)]
     agg = matched.groupBy("query_id", "ord").agg(*sums)
-    stacked = F.array(*[
-        F.struct(F.lit(m).alias("model"), F.lit(p).alias("param"), F.col(f"s{i}").alias("score"))
-        for i, (m, p, _) in enumerate(cols)
-    ])
-    return agg.select("query_id", "ord", F.inline(stacked))
+    if len(cols) == 1:
+        return agg.select(F.lit(0).alias("run"), "query_id", "ord", F.col("s0").alias("score"))
+    return agg.select("query_id", "ord", F.posexplode(F.array(*[F.col(f"s{i}") for i in range(len(cols))]))
+                      .alias("run", "score"))
 
 
-def top_k(cands: DataFrame, cut: int, keys=("model", "param")) -> DataFrame:
-    """Best ``cut`` documents per query (and parameter); ties by lower ``ord``.
+def top_k(cands: DataFrame, cut: int, keys=("run",)) -> DataFrame:
+    """Best ``cut`` documents per query (and run); ties by lower ``ord``.
 
     Scores are compared after rounding to 6 decimals so that summation-order noise
     does not reorder equal scores.  ``row_number() <= cut`` is planned as a partial
@@ -137,6 +137,15 @@ def top_k(cands: DataFrame, cut: int, keys=("model", "param")) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= cut)
 
 
+def label_runs(hits: DataFrame, cols: list[tuple[str, float, Column]]) -> DataFrame:
+    """Replace the integer ``run`` by its ``model`` name and ``param`` value."""
+    models = F.array(*[F.lit(m) for m, _, _ in cols])
+    params = F.array(*[F.lit(float(p)) for _, p, _ in cols])
+    idx = F.col("run") + 1
+    return hits.select(F.element_at(models, idx).alias("model"), F.element_at(params, idx).alias("param"),
+                       *[c for c in hits.columns if c != "run"])
+
+
 def search(index: Index, topics: DataFrame, model, cut: int = 10, field: str = "text",
            length: str = "norm") -> DataFrame:
     """Rank documents for every topic: ``query_id, rank, ord, score``.
@@ -150,7 +159,7 @@ def search(index: Index, topics: DataFrame, model, cut: int = 10, field: str = "
     hits = top_k(candidates(matched, cols), cut)
     if hasattr(model, "term_score"):
         return hits.select("query_id", "rank", "ord", "score")
-    return hits.select("model", "param", "query_id", "rank", "ord", "score")
+    return label_runs(hits, cols).select("model", "param", "query_id", "rank", "ord", "score")
 
 
 def fetch_hits(hits: DataFrame, docs: DataFrame, top: int | None = None,
