@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from rankeval.functions.text import length_norm, tokens
+from rankeval.session import cut_lineage
 
 FIELDS = ("title", "text")
 DOC_COLUMNS = ("ord", "id", "title", "text", "url", "pubmedId")
@@ -61,15 +62,17 @@ def flatten_articles(articles: DataFrame) -> DataFrame:
 def assign_ord(corpus: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """Give every document a unique internal number after the base index's maximum.
 
-    ``monotonically_increasing_id`` is unique but depends on the input partitioning;
-    callers persist the result (``write_index``) so the numbers stay fixed.
+    ``monotonically_increasing_id`` depends on the input partitioning and row order,
+    which a recomputed task after an executor loss need not reproduce when the input
+    went through a shuffle.  The numbered corpus is therefore pinned with a reliable
+    checkpoint in the shared checkpoint folder before anything else reads it.
     """
     if "ord" in corpus.columns:
         return corpus
     offset = F.lit(0)
     if base is not None:
         offset = base.agg(F.coalesce(F.max("ord") + 1, F.lit(0)).alias("m")).scalar()
-    return corpus.withColumn("ord", F.monotonically_increasing_id() + offset)
+    return cut_lineage(corpus.withColumn("ord", F.monotonically_increasing_id() + offset))
 
 
 def _docs(corpus: DataFrame) -> DataFrame:
@@ -160,7 +163,7 @@ def build_index(corpus: DataFrame, partitions: int | None = None, fields=FIELDS,
     docs = _docs(assign_ord(corpus))
     if dedup:
         docs = last_wins(docs)
-    if not prepartitioned:
+    if dedup or not prepartitioned:
         n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         docs = docs.repartition(n, "ord")
     lengths, postings, by_field = analyze(docs, fields)
@@ -233,22 +236,33 @@ def write_index(index: Index, path: str, buckets: int | None = None) -> str:
         [(b, index.docs.schema.toDDL(), index.postings.schema.toDDL())],
         "buckets int, docs_ddl string, postings_ddl string")
     meta.coalesce(1).write.mode("errorifexists").json(f"{out}/_meta")
-    for name, df, sort in (("docs", index.docs, ()), ("postings", index.postings, ("field", "term"))):
-        table = _table_name(out, name)
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        w = df.write.mode("errorifexists").format("parquet").bucketBy(b, "ord")
-        if sort:
-            w = w.sortBy(*sort)
-        w.option("path", f"{out}/{name}").saveAsTable(table)
+    _save_bucketed(index.docs, out, "docs", b)
+    written_docs = _bucketed(spark, out, "docs")
+    if index.by_field:
+        # Re-analyse the written documents: the bucketed scan is already partitioned on
+        # ord (no second shuffle of the texts) and postings match the stored ords.
+        _, postings, _ = analyze(written_docs, tuple(index.by_field))
+    else:
+        postings = index.postings
+    _save_bucketed(postings, out, "postings", b, ("field", "term"))
     written = _bucketed(spark, out, "postings")
-    lengths = lengths_of(written)
-    lengths.write.mode("errorifexists").parquet(f"{out}/lengths")
+    lengths_of(written).write.mode("errorifexists").parquet(f"{out}/lengths")
     term_stats(written).write.mode("errorifexists").parquet(f"{out}/terms")
     collection_stats(spark.read.parquet(f"{out}/lengths")).coalesce(1).write.mode("errorifexists").parquet(
         f"{out}/stats")
     return out
 
 
+def _save_bucketed(df: DataFrame, out: str, name: str, buckets: int, sort=()) -> None:
+    spark = df.sparkSession
+    table = _table_name(out, name)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    w = df.write.mode("errorifexists").format("parquet").bucketBy(buckets, "ord")
+    if sort:
+        w = w.sortBy(*sort)
+    w.option("path", f"{out}/{name}").saveAsTable(table)
+
+
 def _table_name(version_dir: str, name: str) -> str:
     import hashlib
 
