@@ -220,8 +220,7 @@ def write_index(index: Index, path: str, buckets: int | None = None) -> str:
     shards, default ``spark.sql.shuffle.partitions``; use the number of document
     partitions of the build so each task writes one file per table).  Reading them
     back as bucketed tables restores the document partitioning, so a search sums
-    term scores per (query, document) without any shuffle.  Postings are sorted by
-    (field, term) inside each bucket file.
+    term scores per (query, document) without any shuffle.
 
     The corpus is tokenised once; lengths and term / collection statistics are
     aggregated from the written postings.  ``stats`` is written last: its
@@ -232,10 +231,8 @@ def write_index(index: Index, path: str, buckets: int | None = None) -> str:
     nxt = int(versions[-1][1:]) + 1 if versions else 1
     out = f"{path.rstrip('/')}/v{nxt:06d}"
     b = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    meta = spark.createDataFrame(
-        [(b, index.docs.schema.toDDL(), index.postings.schema.toDDL())],
-        "buckets int, docs_ddl string, postings_ddl string")
-    meta.coalesce(1).write.mode("errorifexists").json(f"{out}/_meta")
+    _write_meta(spark, out, {"buckets": b, "docs_ddl": index.docs.schema.toDDL(),
+                             "postings_ddl": index.postings.schema.toDDL()})
     _save_bucketed(index.docs, out, "docs", b)
     written_docs = _bucketed(spark, out, "docs")
     if index.by_field:
@@ -244,7 +241,7 @@ def write_index(index: Index, path: str, buckets: int | None = None) -> str:
         _, postings, _ = analyze(written_docs, tuple(index.by_field))
     else:
         postings = index.postings
-    _save_bucketed(postings, out, "postings", b, ("field", "term"))
+    _save_bucketed(postings, out, "postings", b)
     written = _bucketed(spark, out, "postings")
     lengths_of(written).write.mode("errorifexists").parquet(f"{out}/lengths")
     term_stats(written).write.mode("errorifexists").parquet(f"{out}/terms")
@@ -274,15 +271,35 @@ def _bucketed(spark: SparkSession, version_dir: str, name: str) -> DataFrame:
     """The bucketed table ``name`` of a saved version, registered in this session's catalog."""
     table = _table_name(version_dir, name)
     if not spark.catalog.tableExists(table):
-        meta = spark.read.json(f"{version_dir}/_meta").first()
+        meta = _read_meta(spark, version_dir)
         ddl = meta["docs_ddl"] if name == "docs" else meta["postings_ddl"]
-        sort = " SORTED BY (field, term)" if name == "postings" else ""
         spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet "
-                  f"CLUSTERED BY (ord){sort} INTO {int(meta['buckets'])} BUCKETS "
+                  f"CLUSTERED BY (ord) INTO {int(meta['buckets'])} BUCKETS "
                   f"LOCATION '{version_dir}/{name}'")
     return spark.table(table)
 
 
+def _write_meta(spark: SparkSession, version_dir: str, meta: dict) -> None:
+    """A few hundred bytes of layout metadata, written by the driver (no Spark job)."""
+    import json
+
+    fs, _, jvm = _fs(spark, version_dir)
+    stream = fs.create(jvm.org.apache.hadoop.fs.Path(f"{version_dir}/_meta.json"), False)
+    stream.write(bytearray(json.dumps(meta).encode("utf-8")))
+    stream.close()
+
+
+def _read_meta(spark: SparkSession, version_dir: str) -> dict:
+    import json
+
+    fs, _, jvm = _fs(spark, version_dir)
+    stream = fs.open(jvm.org.apache.hadoop.fs.Path(f"{version_dir}/_meta.json"))
+    try:
+        return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
 def index_exists(spark: SparkSession, path: str) -> bool:
     return bool(_versions(spark, path))
 
