@@ -56,3 +56,14 @@ def bounded(df: DataFrame, max_rows: int) -> bool:
     cheap inputs (topics, grids), never on a corpus-sized plan.
     """
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+def partitions_for(spark: SparkSession, path: str, target_bytes: int = 256 << 20) -> int:
+    """Number of partitions for data stored at ``path``: about ``target_bytes`` each,
+    and never fewer than the cluster's default parallelism.  Uses file-system
+    metadata only (no Spark job)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    size = fs.getContentSummary(p).getLength()
+    return max(spark.sparkContext.defaultParallelism, -(-size // target_bytes))

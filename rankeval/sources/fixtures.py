@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from rankeval.functions.text import first_tokens, tokens
 from rankeval.operators.index import Index, build_index
-from rankeval.session import bounded
+from rankeval.session import bounded, partitions_for
 
 # Fixed values of the derived collection.
 TITLE_TOKENS = 8
@@ -35,8 +35,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
-    """The corpus, hash-partitioned on ``doc_id`` (= ``ord``) before any per-document work."""
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """The corpus, hash-partitioned on ``doc_id`` (= ``ord``) before any per-document work.
+
+    The number of document partitions follows the size of the documents table.
+    """
+    n = partitions or partitions_for(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang").repartition(n, "doc_id")
     return d.select(
         F.col("doc_id").alias("ord"),
@@ -63,7 +66,8 @@ def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def index(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> Index:
-    return build_index(corpus(spark, sf_dir, partitions), partitions, prepartitioned=True)
+    n = partitions or partitions_for(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
+    return build_index(corpus(spark, sf_dir, n), n, prepartitioned=True)
 
 
 def qrels(spark: SparkSession, sf_dir: str, idx: Index | None = None) -> DataFrame:
