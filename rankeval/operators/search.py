@@ -67,21 +67,17 @@ def _maybe_broadcast(df: DataFrame, proof: DataFrame, max_rows: int) -> DataFram
 def query_statistics(index: Index, qterms: DataFrame, broadcast_ok: bool, field: str = "text") -> DataFrame:
     """Per (query, term): qtf plus the statistics both models read.
 
-    Rows are bounded by the query-term table.  Term statistics come from an
-    equi-join on the term; the collection statistics of the field are one row, read
-    once as a scalar subquery (a join on the constant field would plan as a
-    nested-loop join).
+    Rows are bounded by the query-term table, which is the broadcast side of the
+    lookup in the term statistics.  The collection statistics of the field are one
+    row, read once as a scalar subquery (a join on the constant field would plan as
+    a nested-loop join) and kept as one struct column.
     """
-    wanted = qterms.select("term").distinct()
-    wanted_b = F.broadcast(wanted) if broadcast_ok else wanted
-    tstats = index.terms.filter(F.col("field") == field).join(wanted_b, "term", "left_semi")
+    q = F.broadcast(qterms) if broadcast_ok else qterms
+    tstats = index.terms.filter(F.col("field") == field).select("term", "df", "cf")
     coll = (index.stats.filter(F.col("field") == field)
             .select(F.struct("n_docs", "n_tokens", "avgdl").alias("c")).scalar())
-    return (
-        qterms.join(tstats.select("term", "df", "cf"), "term")
-        .select(F.lit(field).alias("field"), "query_id", "term", "qtf", "df", "cf",
-                coll["n_docs"].alias("n_docs"), coll["n_tokens"].alias("n_tokens"), coll["avgdl"].alias("avgdl"))
-    )
+    return tstats.join(q.drop("field"), "term").select(
+        F.lit(field).alias("field"), "query_id", "term", "qtf", "df", "cf", coll.alias("coll"))
 
 
 def match(index: Index, qterms: DataFrame, field: str = "text",
@@ -91,7 +87,8 @@ def match(index: Index, qterms: DataFrame, field: str = "text",
     qstats = query_statistics(index, qterms, ok, field)
     postings = index.field_postings(field)
     side = F.broadcast(qstats) if ok else qstats
-    return postings.join(side.drop("field"), "term")
+    return postings.join(side.drop("field"), "term").select(
+        "*", *[F.col("coll")[c].alias(c) for c in ("n_docs", "n_tokens", "avgdl")]).drop("coll")
 
 
 def score_columns(scorers, length: str = "norm") -> list[tuple[str, float, Column]]:

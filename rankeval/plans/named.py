@@ -192,6 +192,17 @@ def metrics_jm(spark, sf):
     return _metrics_out(_metrics(spark, sf, JM(JM_LAMBDA)))
 
 
+def metrics_long(spark, sf):
+    """All four metrics in long form, selected by their command-line names."""
+    m = _metrics(spark, sf, BM25(BM25_K1))
+    names = {v: k for k, v in E.METRIC_NAMES.items()}
+    long = E.metrics_long(m)
+    return long.select(F.col("query_id").cast("bigint").alias("query_id"),
+                       F.element_at(F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v))]),
+                                    F.col("metric")).alias("metric"),
+                       _r("value").alias("value"))
+
+
 def metrics_float(spark, sf):
     return _metrics_out(_metrics(spark, sf, JM(JM_LAMBDA), "float"))
 
@@ -349,6 +360,7 @@ QUERIES = {
     "mean_nonzero": mean_nonzero,
     "metrics_with_mean_row": metrics_with_mean_row,
     "metrics_float": metrics_float,
+    "metrics_long": metrics_long,
     "sweep_k1": sweep_k1,
     "sweep_lambda": sweep_lambda,
     "sweep_means": sweep_means,

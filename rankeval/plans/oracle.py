@@ -259,6 +259,9 @@ def _sql() -> dict[str, str]:
     out["metrics_bm25"] = q(bm, judged, met, body=mout)
     out["metrics_jm"] = q(jmh, judged, met, body=mout)
     out["metrics_float"] = q(jmh, judged, met_f, body=mout)
+    out["metrics_long"] = q(bm, judged, met, body=" UNION ALL ".join(
+        f"SELECT query_id::BIGINT AS query_id, '{k}' AS metric, round({v}, 9) AS value FROM metrics"
+        for k, v in (("MRR", "rr"), ("MAP", "ap"), ("P", "p"), ("R", "recall"))))
     out["mean_nonzero"] = q(bm, judged, met, body="SELECT " + ", ".join(
         f"round({nz(c)}, 9) AS {c}" for c in ("rr", "ap", "p", "recall")) + ", max(cut) AS cut FROM metrics")
     out["metrics_with_mean_row"] = q(bm, judged, met, body=f"""
