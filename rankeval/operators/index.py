@@ -29,6 +29,7 @@ from rankeval.session import cut_lineage
 FIELDS = ("title", "text")
 DOC_COLUMNS = ("ord", "id", "title", "text", "url", "pubmedId")
 TABLES = ("docs", "lengths", "postings", "terms", "stats")
+POSTING_COLUMNS = ("field", "term", "ord", "tf", "dl", "norm")
 
 
 @dataclass(frozen=True)
@@ -41,6 +42,9 @@ class Index:
     # Lazily built indexes keep each field's postings separately: searching one field
     # then analyses only that field and keeps the document partitioning.
     by_field: dict = dc_field(default_factory=dict, compare=False)
+    # Saved indexes: postings and term statistics are partitioned on
+    # tb = pmod(xxhash64(term), term_partitions); 0 means not partitioned.
+    term_partitions: int = 0
 
     def field_postings(self, field: str) -> DataFrame:
         if field in self.by_field:
@@ -184,7 +188,8 @@ def upsert(base: Index, batch: DataFrame, partitions: int | None = None, fields=
     docs = base.docs.join(replaced, "ord", "left_anti").unionByName(new_docs)
     new_lengths, new_postings, _ = analyze(new_docs, fields)
     lengths = base.lengths.join(replaced, "ord", "left_anti").unionByName(new_lengths)
-    postings = base.postings.join(replaced, "ord", "left_anti").unionByName(new_postings)
+    postings = (base.postings.select(*POSTING_COLUMNS).join(replaced, "ord", "left_anti")
+                .unionByName(new_postings))
     return Index(docs, lengths, postings, term_stats(postings), collection_stats(lengths))
 
 
@@ -213,7 +218,15 @@ def _versions(spark: SparkSession, path: str, complete: bool = True) -> list[str
     return sorted(out)
 
 
-def write_index(index: Index, path: str, buckets: int | None = None) -> str:
+def term_bucket(term, n: int):
+    """Term partition of a term: ``pmod(xxhash64(term), n)``."""
+    return F.pmod(F.xxhash64(term), F.lit(n)).cast("int")
+
+
+TARGET_FILE_BYTES = 128 << 20
+
+
+def write_index(index: Index, path: str, buckets: int | None = None, term_partitions: int | None = None) -> str:
     """Write all tables under ``path/vNNNNNN`` and return that directory.
 
     ``docs`` and ``postings`` are written as tables bucketed on ``ord`` (``buckets``
@@ -222,6 +235,11 @@ def write_index(index: Index, path: str, buckets: int | None = None) -> str:
     back as bucketed tables restores the document partitioning, so a search sums
     term scores per (query, document) without any shuffle.
 
+    Postings and term statistics are also partitioned (directories) on the field and
+    on ``tb = pmod(xxhash64(term), term_partitions)``.  A search joins on (tb, term),
+    so dynamic partition pruning reads only the term partitions of the query terms.
+    ``term_partitions`` defaults to files of about 128 MB per (bucket, term partition).
+
     The corpus is tokenised once; lengths and term / collection statistics are
     aggregated from the written postings.  ``stats`` is written last: its
     ``_SUCCESS`` marks a complete version.
@@ -231,35 +249,44 @@ def write_index(index: Index, path: str, buckets: int | None = None) -> str:
     nxt = int(versions[-1][1:]) + 1 if versions else 1
     out = f"{path.rstrip('/')}/v{nxt:06d}"
     b = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    _write_meta(spark, out, {"buckets": b, "docs_ddl": index.docs.schema.toDDL(),
-                             "postings_ddl": index.postings.schema.toDDL()})
     _save_bucketed(index.docs, out, "docs", b)
-    written_docs = _bucketed(spark, out, "docs")
+    written_docs = _bucketed(spark, out, "docs", {"buckets": b, "docs_ddl": index.docs.schema.toDDL()})
+    t = term_partitions or max(1, -(-_size(spark, f"{out}/docs") // (b * TARGET_FILE_BYTES)))
     if index.by_field:
         # Re-analyse the written documents: the bucketed scan is already partitioned on
         # ord (no second shuffle of the texts) and postings match the stored ords.
         _, postings, _ = analyze(written_docs, tuple(index.by_field))
     else:
-        postings = index.postings
-    _save_bucketed(postings, out, "postings", b)
-    written = _bucketed(spark, out, "postings")
+        postings = index.postings.select(*POSTING_COLUMNS)
+    postings = postings.withColumn("tb", term_bucket(F.col("term"), t))
+    _save_bucketed(postings, out, "postings", b, partition_by=("field", "tb"))
+    meta = {"buckets": b, "term_partitions": t, "docs_ddl": index.docs.schema.toDDL(),
+            "postings_ddl": postings.schema.toDDL()}
+    _write_meta(spark, out, meta)
+    written = _bucketed(spark, out, "postings", meta)
     lengths_of(written).write.mode("errorifexists").parquet(f"{out}/lengths")
-    term_stats(written).write.mode("errorifexists").parquet(f"{out}/terms")
+    (term_stats(written).withColumn("tb", term_bucket(F.col("term"), t))
+     .write.mode("errorifexists").partitionBy("field", "tb").parquet(f"{out}/terms"))
     collection_stats(spark.read.parquet(f"{out}/lengths")).coalesce(1).write.mode("errorifexists").parquet(
         f"{out}/stats")
     return out
 
 
-def _save_bucketed(df: DataFrame, out: str, name: str, buckets: int, sort=()) -> None:
+def _save_bucketed(df: DataFrame, out: str, name: str, buckets: int, partition_by=()) -> None:
     spark = df.sparkSession
     table = _table_name(out, name)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     w = df.write.mode("errorifexists").format("parquet").bucketBy(buckets, "ord")
-    if sort:
-        w = w.sortBy(*sort)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     w.option("path", f"{out}/{name}").saveAsTable(table)
 
 
+def _size(spark: SparkSession, path: str) -> int:
+    fs, p, _ = _fs(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def _table_name(version_dir: str, name: str) -> str:
     import hashlib
 
@@ -267,15 +294,18 @@ def _table_name(version_dir: str, name: str) -> str:
     return f"rankeval_{digest}_{name}"
 
 
-def _bucketed(spark: SparkSession, version_dir: str, name: str) -> DataFrame:
+def _bucketed(spark: SparkSession, version_dir: str, name: str, meta: dict | None = None) -> DataFrame:
     """The bucketed table ``name`` of a saved version, registered in this session's catalog."""
     table = _table_name(version_dir, name)
     if not spark.catalog.tableExists(table):
-        meta = _read_meta(spark, version_dir)
+        meta = meta or _read_meta(spark, version_dir)
         ddl = meta["docs_ddl"] if name == "docs" else meta["postings_ddl"]
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet "
+        parts = " PARTITIONED BY (field, tb)" if name == "postings" else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet{parts} "
                   f"CLUSTERED BY (ord) INTO {int(meta['buckets'])} BUCKETS "
                   f"LOCATION '{version_dir}/{name}'")
+        if parts:
+            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     return spark.table(table)
 
 
@@ -311,9 +341,11 @@ def load_index(spark: SparkSession, path: str) -> Index:
         raise FileNotFoundError(f"no index at {path}")
     base = f"{path.rstrip('/')}/{versions[-1]}"
     t = {name: spark.read.parquet(f"{base}/{name}") for name in ("lengths", "terms", "stats")}
-    t["docs"] = _bucketed(spark, base, "docs")
-    t["postings"] = _bucketed(spark, base, "postings")
-    return Index(t["docs"], t["lengths"], t["postings"], t["terms"], t["stats"])
+    meta = _read_meta(spark, base)
+    t["docs"] = _bucketed(spark, base, "docs", meta)
+    t["postings"] = _bucketed(spark, base, "postings", meta)
+    return Index(t["docs"], t["lengths"], t["postings"], t["terms"], t["stats"],
+                 term_partitions=int(meta["term_partitions"]))
 
 
 def index_corpus(corpus: DataFrame, path: str, mode: str = "create_or_append",

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from rankeval.functions.text import query_echo, tokens
-from rankeval.operators.index import Index
+from rankeval.operators.index import Index, term_bucket
 from rankeval.session import bounded
 
 # Largest query-term table we broadcast (rows: one per distinct (query, term)).
@@ -72,12 +72,17 @@ def query_statistics(index: Index, qterms: DataFrame, broadcast_ok: bool, field:
     row, read once as a scalar subquery (a join on the constant field would plan as
     a nested-loop join) and kept as one struct column.
     """
-    q = F.broadcast(qterms) if broadcast_ok else qterms
-    tstats = index.terms.filter(F.col("field") == field).select("term", "df", "cf")
+    keys = ["term"]
+    q = qterms.drop("field")
+    if index.term_partitions:
+        keys = ["tb", "term"]
+        q = q.withColumn("tb", term_bucket(F.col("term"), index.term_partitions))
+    q = F.broadcast(q) if broadcast_ok else q
+    tstats = index.terms.filter(F.col("field") == field).select(*keys, "df", "cf")
     coll = (index.stats.filter(F.col("field") == field)
             .select(F.struct("n_docs", "n_tokens", "avgdl").alias("c")).scalar())
-    return tstats.join(q.drop("field"), "term").select(
-        F.lit(field).alias("field"), "query_id", "term", "qtf", "df", "cf", coll.alias("coll"))
+    return tstats.join(q, keys).select(
+        F.lit(field).alias("field"), "query_id", *keys, "qtf", "df", "cf", coll.alias("coll"))
 
 
 def match(index: Index, qterms: DataFrame, field: str = "text",
@@ -87,7 +92,8 @@ def match(index: Index, qterms: DataFrame, field: str = "text",
     qstats = query_statistics(index, qterms, ok, field)
     postings = index.field_postings(field)
     side = F.broadcast(qstats) if ok else qstats
-    return postings.join(side.drop("field"), "term").select(
+    keys = ["tb", "term"] if index.term_partitions else ["term"]
+    return postings.join(side.drop("field"), keys).select(
         "*", *[F.col("coll")[c].alias(c) for c in ("n_docs", "n_tokens", "avgdl")]).drop("coll")
 
 

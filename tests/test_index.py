@@ -75,3 +75,25 @@ def test_persisted_index_gives_same_hits(spark, tmp_dir):
     a = sorted(tuple(r) for r in search(idx, topics, BM25(0.7), 10).collect())
     b = sorted(tuple(r) for r in search(loaded, topics, BM25(0.7), 10).collect())
     assert a == b
+
+
+def test_saved_index_prunes_term_partitions_and_keeps_buckets(spark, tmp_dir):
+    docs, topics, _ = frames(spark)
+    idx = I.build_index(docs, 3)
+    I.write_index(idx, f"{tmp_dir}/tp", buckets=3, term_partitions=4)
+    loaded = I.load_index(spark, f"{tmp_dir}/tp")
+    assert loaded.term_partitions == 4
+    a = sorted(tuple(r) for r in search(idx, topics, BM25(0.7), 10).collect())
+    b = sorted(tuple(r) for r in search(loaded, topics, BM25(0.7), 10).collect())
+    assert a == b
+    one = topics.filter("query_id = 1")
+    plan = search(loaded, one, BM25(0.7), 10)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    assert "Bucketed: true" in plan or "bucketed" in plan.lower()
+    # the per-(query, doc) sum sits directly on the bucketed scan: the final aggregate is
+    # followed by its partial aggregate, with no exchange in between
+    lines = [l.strip(" :+-") for l in plan.splitlines()]
+    import re
+    final = [i for i, l in enumerate(lines)
+             if re.match(r"HashAggregate\(keys=\[query_id#\d+L?, ord#", l) and "partial_" not in l]
+    assert final and all("partial_sum" in lines[i + 1] for i in final)
