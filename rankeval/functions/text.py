@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the analyser keeps maximal runs of Unicode letters, digits and
-# underscore after lower-casing; everything else separates tokens.
-TOKEN_PATTERN = r"([\p{L}\p{N}_]+)"
+# The analyser keeps runs of Unicode letters, digits and underscore
+# after lower-casing (everything else separates tokens); a run longer than the
+# maximum token length of 255 characters is split every 255 characters.
+MAX_TOKEN_LENGTH = 255
+TOKEN_PATTERN = r"([\p{L}\p{N}_]{1,255})"
 
 # Fixed values of the one-byte length norm: lengths below 24 are exact, larger
 # ones keep 4 significant bits of (length - 24).

@@ -9,11 +9,14 @@ from __future__ import annotations
 from rankeval.plans import named as N
 from rankeval.operators.tune import K1_GRID, LAMBDA_GRID
 
-TOK = r"regexp_extract_all(lower(coalesce({x}, '')), '[\p{{L}}\p{{N}}_]+')"
+RUNS = r"regexp_extract_all(lower(coalesce({x}, '')), '[\p{{L}}\p{{N}}_]+')"
 
 
 def tok(x: str) -> str:
-    return TOK.format(x=x)
+    """Word runs, each run longer than 255 characters cut into 255-character pieces."""
+    runs = RUNS.format(x=x)
+    return (f"flatten(list_transform({runs}, lambda w: CASE WHEN length(w) <= 255 THEN [w] ELSE "
+            f"list_transform(range(0, (length(w) + 254) // 255), lambda i: substr(w, i * 255 + 1, 255)) END))")
 
 
 def norm(dl: str) -> str:

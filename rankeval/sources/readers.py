@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankeval.sources.schemas import CORPUS_SCHEMA, QRELS_SCHEMA, TOPICS_SCHEMA
 
@@ -13,11 +14,10 @@ def read_corpus(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataF
 
     ``mode="PERMISSIVE"`` keeps malformed lines in ``_corrupt_record`` instead of failing.
     """
-    reader = spark.read.schema(CORPUS_SCHEMA).option("mode", mode)
+    schema = CORPUS_SCHEMA
     if mode == "PERMISSIVE":
-        schema = CORPUS_SCHEMA.add("_corrupt_record", "string")
-        reader = spark.read.schema(schema).option("mode", mode)
-    return reader.json(path)
+        schema = T.StructType(CORPUS_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
+    return spark.read.schema(schema).option("mode", mode).json(path)
 
 
 def read_topics(spark: SparkSession, path: str) -> DataFrame:
