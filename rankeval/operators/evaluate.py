@@ -144,9 +144,15 @@ def metrics_long(metrics: DataFrame, keys=()) -> DataFrame:
     return metrics.unpivot([*keys, "query_id"], list(METRICS), "metric", "value")
 
 
-def hits_bounded(topics: DataFrame, cut: int, runs: int = 1) -> bool:
-    """Proof that hits fit a broadcast: topics x cut x runs <= MAX_BROADCAST_HITS."""
-    return bounded(topics, max(MAX_BROADCAST_HITS // (max(cut, 1) * max(runs, 1)), 1))
+def hits_bounded(topics: DataFrame, cut: int, runs: int = 1, field: str = "text") -> bool:
+    """Proof that hits fit a broadcast: (query-term rows) x cut x runs <= MAX_BROADCAST_HITS.
+
+    Only topics with at least one term have hits, so query-term rows bound the number
+    of topics with hits; the same proof also covers broadcasting the query terms.
+    """
+    from rankeval.operators.search import query_terms
+
+    return bounded(query_terms(topics, field), max(MAX_BROADCAST_HITS // (max(cut, 1) * max(runs, 1)), 1))
 
 
 def evaluate(index, topics: DataFrame, qrels: DataFrame, model, cut: int = 10,
@@ -154,6 +160,7 @@ def evaluate(index, topics: DataFrame, qrels: DataFrame, model, cut: int = 10,
     """Search + judge + per-query metrics for one model: ``query_id, rr, ap, p, recall, cut``."""
     from rankeval.operators.search import search
 
-    hits = search(index, topics, model, cut, field)
-    judged = judge(hits, index.docs, qrels, hits_bounded(topics, cut))
+    small = hits_bounded(topics, cut, 1, field)
+    hits = search(index, topics, model, cut, field, broadcast_ok=small or None)
+    judged = judge(hits, index.docs, qrels, small)
     return per_query_metrics(judged, topics, qrels, cut, precision=precision)

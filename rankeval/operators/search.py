@@ -86,9 +86,13 @@ def query_statistics(index: Index, qterms: DataFrame, broadcast_ok: bool, field:
 
 
 def match(index: Index, qterms: DataFrame, field: str = "text",
-          max_broadcast: int = MAX_BROADCAST_QUERY_TERMS) -> DataFrame:
-    """Postings of the query terms with everything a model needs (OR semantics)."""
-    ok = bounded(qterms, max_broadcast)
+          max_broadcast: int = MAX_BROADCAST_QUERY_TERMS, broadcast_ok: bool | None = None) -> DataFrame:
+    """Postings of the query terms with everything a model needs (OR semantics).
+
+    ``broadcast_ok`` is a caller's proof that the query-term table is small; without
+    it the row count is checked here.
+    """
+    ok = bounded(qterms, max_broadcast) if broadcast_ok is None else broadcast_ok
     qstats = query_statistics(index, qterms, ok, field)
     postings = index.field_postings(field)
     side = F.broadcast(qstats) if ok else qstats
@@ -150,14 +154,14 @@ def label_runs(hits: DataFrame, cols: list[tuple[str, float, Column]]) -> DataFr
 
 
 def search(index: Index, topics: DataFrame, model, cut: int = 10, field: str = "text",
-           length: str = "norm") -> DataFrame:
+           length: str = "norm", broadcast_ok: bool | None = None) -> DataFrame:
     """Rank documents for every topic: ``query_id, rank, ord, score``.
 
     ``model`` is a model instance, or a list of ``(model, params)`` for a sweep, in
     which case the output also carries ``model`` and ``param``.
     """
     qterms = query_terms(topics, field)
-    matched = match(index, qterms, field)
+    matched = match(index, qterms, field, broadcast_ok=broadcast_ok)
     cols = score_columns(model, length)
     hits = top_k(candidates(matched, cols), cut)
     if hasattr(model, "term_score"):

@@ -43,8 +43,9 @@ def sweep(index, topics: DataFrame, qrels: DataFrame, models=("jm",), grids=None
     gs = grids or [default_grid(m) for m in ms]
     scorers = list(zip(ms, gs))
     runs = sum(len(g) for g in gs)
-    hits = search(index, topics, scorers, cut, field)
-    judged = judge(hits, index.docs, qrels, hits_bounded(topics, cut, runs))
+    small = hits_bounded(topics, cut, runs, field)
+    hits = search(index, topics, scorers, cut, field, broadcast_ok=small or None)
+    judged = judge(hits, index.docs, qrels, small)
     params = F.array(*[
         F.struct(F.lit(m.name).alias("model"), F.lit(float(p)).alias("param"))
         for m, g in scorers for p in g
@@ -110,8 +111,10 @@ def train_test(index, topics: DataFrame, qrels: DataFrame, model, train, test, m
     from rankeval.operators.search import query_terms, match, candidates, top_k
     qterms = query_terms(test_topics, field)
     cols = [(m.name, 0.0, m.term_score(guarded))]
-    hits = top_k(candidates(match(index, qterms, field), cols), cut).select("query_id", "rank", "ord", "score")
-    judged = judge(hits, index.docs, qrels, hits_bounded(test_topics, cut))
+    small = hits_bounded(test_topics, cut, 1, field)
+    hits = top_k(candidates(match(index, qterms, field, broadcast_ok=small or None), cols), cut).select(
+        "query_id", "rank", "ord", "score")
+    judged = judge(hits, index.docs, qrels, small)
     test_metrics = per_query_metrics(judged, test_topics, qrels, cut, precision=precision)
     test_values = test_metrics.select("query_id", F.col(METRIC_NAMES[metric]).alias("value"))
     test_mean = test_values.agg(nonzero_mean("value").alias("mean"))
