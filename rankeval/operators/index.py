@@ -45,6 +45,8 @@ class Index:
     # Saved indexes: postings and term statistics are partitioned on
     # tb = pmod(xxhash64(term), term_partitions); 0 means not partitioned.
     term_partitions: int = 0
+    # Saved indexes: number of ord buckets (document partitions); 0 when unknown.
+    buckets: int = 0
 
     def field_postings(self, field: str) -> DataFrame:
         if field in self.by_field:
@@ -167,11 +169,12 @@ def build_index(corpus: DataFrame, partitions: int | None = None, fields=FIELDS,
     docs = _docs(assign_ord(corpus))
     if dedup:
         docs = last_wins(docs)
+    n = partitions or 0
     if dedup or not prepartitioned:
         n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         docs = docs.repartition(n, "ord")
     lengths, postings, by_field = analyze(docs, fields)
-    return Index(docs, lengths, postings, term_stats(postings), collection_stats(lengths), by_field)
+    return Index(docs, lengths, postings, term_stats(postings), collection_stats(lengths), by_field, buckets=n)
 
 
 def upsert(base: Index, batch: DataFrame, partitions: int | None = None, fields=FIELDS) -> Index:
@@ -182,7 +185,7 @@ def upsert(base: Index, batch: DataFrame, partitions: int | None = None, fields=
     longer count).
     """
     new_docs = last_wins(_docs(assign_ord(batch, base.docs)))
-    n = partitions or int(new_docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or base.buckets or int(new_docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     new_docs = new_docs.repartition(n, "ord")
     replaced = base.docs.join(new_docs.select("id"), "id", "left_semi").select("ord")
     docs = base.docs.join(replaced, "ord", "left_anti").unionByName(new_docs)
@@ -190,7 +193,7 @@ def upsert(base: Index, batch: DataFrame, partitions: int | None = None, fields=
     lengths = base.lengths.join(replaced, "ord", "left_anti").unionByName(new_lengths)
     postings = (base.postings.select(*POSTING_COLUMNS).join(replaced, "ord", "left_anti")
                 .unionByName(new_postings))
-    return Index(docs, lengths, postings, term_stats(postings), collection_stats(lengths))
+    return Index(docs, lengths, postings, term_stats(postings), collection_stats(lengths), buckets=n)
 
 
 # ---------------------------------------------------------------------------
@@ -248,7 +251,7 @@ def write_index(index: Index, path: str, buckets: int | None = None, term_partit
     versions = _versions(spark, path, complete=False)  # an interrupted write keeps its number
     nxt = int(versions[-1][1:]) + 1 if versions else 1
     out = f"{path.rstrip('/')}/v{nxt:06d}"
-    b = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    b = buckets or index.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     _save_bucketed(index.docs, out, "docs", b)
     written_docs = _bucketed(spark, out, "docs", {"buckets": b, "docs_ddl": index.docs.schema.toDDL()})
     t = term_partitions or max(1, -(-_size(spark, f"{out}/docs") // (b * TARGET_FILE_BYTES)))
@@ -345,7 +348,7 @@ def load_index(spark: SparkSession, path: str) -> Index:
     t["docs"] = _bucketed(spark, base, "docs", meta)
     t["postings"] = _bucketed(spark, base, "postings", meta)
     return Index(t["docs"], t["lengths"], t["postings"], t["terms"], t["stats"],
-                 term_partitions=int(meta["term_partitions"]))
+                 term_partitions=int(meta["term_partitions"]), buckets=int(meta["buckets"]))
 
 
 def index_corpus(corpus: DataFrame, path: str, mode: str = "create_or_append",
