@@ -35,10 +35,12 @@ def relevant_per_query(qrels: DataFrame) -> DataFrame:
     return positive_qrels(qrels).groupBy("query_id").agg(F.count(F.lit(1)).alias("n_relevant"))
 
 
-def judge(hits: DataFrame, docs: DataFrame, qrels: DataFrame, broadcast_hits: bool = True) -> DataFrame:
+def judge(hits: DataFrame, docs: DataFrame, qrels: DataFrame, broadcast_hits: bool = False) -> DataFrame:
     """J7 (id only) + J8: attach the external id and a relevance flag to every hit.
 
-    ``broadcast_hits`` must only be set when hits are provably small (queries x cut).
+    ``broadcast_hits`` must only be set with a proof that hits are small
+    (``hits_bounded``); the document table is then streamed with two columns read.
+    Otherwise the planner (and AQE at run time) chooses the join.
     """
     h = F.broadcast(hits) if broadcast_hits else hits
     with_id = docs.select("ord", "id").join(h, "ord")

@@ -2,7 +2,8 @@
 
 Plan shape for ``search`` (one job for all queries and all parameter values):
 
-    postings[field]  --(broadcast hash join on term, size checked)-->  matched
+    postings[field]  --(broadcast hash join on (tb, term), size checked;
+                        dynamic partition pruning on tb for a saved index)-->  matched
     matched          --(sum per query, doc; stays in the document partitions)-->
     candidates       --(partial top-k per partition: WindowGroupLimit)-->
     exchange on query (at most k rows per query per partition) --> final top-k
@@ -60,10 +61,6 @@ def parsed_queries(topics: DataFrame, field: str = "text") -> DataFrame:
     return topics.select("query_id", "query", query_echo(tokens(F.col("query")), field).alias("parsed"))
 
 
-def _maybe_broadcast(df: DataFrame, proof: DataFrame, max_rows: int) -> DataFrame:
-    return F.broadcast(df) if bounded(proof, max_rows) else df
-
-
 def query_statistics(index: Index, qterms: DataFrame, broadcast_ok: bool, field: str = "text") -> DataFrame:
     """Per (query, term): qtf plus the statistics both models read.
 
@@ -170,11 +167,12 @@ def search(index: Index, topics: DataFrame, model, cut: int = 10, field: str = "
 
 
 def fetch_hits(hits: DataFrame, docs: DataFrame, top: int | None = None,
-               fields=("id", "title", "text", "url", "pubmedId")) -> DataFrame:
+               fields=("id", "title", "text", "url", "pubmedId"), broadcast_ok: bool = True) -> DataFrame:
     """J6 + J7: keep ranks <= ``top`` and attach stored fields.
 
-    Hits are at most (queries x cut) rows; they are the broadcast side while the
-    document table is streamed with only the needed columns read.
+    Hits are at most (queries x cut) rows (see ``evaluate.hits_bounded``); they are
+    the broadcast side while the document table is streamed with only the needed
+    columns read.  ``broadcast_ok=False`` leaves the join strategy to the planner.
     """
     h = hits if top is None else hits.filter(F.col("rank") <= top)
-    return docs.select("ord", *fields).join(F.broadcast(h), "ord")
+    return docs.select("ord", *fields).join(F.broadcast(h) if broadcast_ok else h, "ord")
