@@ -85,8 +85,13 @@ def main() -> None:
     run("compare_wilcoxon", lambda: C.compare(runs, "wilcoxon", 0.05, baseline="bm25:0.4"))
 
     total = round(sum(times.values()), 3)
+    label = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf = float(label)
+    except ValueError:
+        sf = label
     print(json.dumps({"metric": "total_seconds", "value": total, "unit": "sec", "queries": times,
-                      "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""), "cpus": cpus}))
+                      "sf": sf, "cpus": cpus}))
     spark.stop()
 
 
