@@ -97,3 +97,19 @@ def test_saved_index_prunes_term_partitions_and_keeps_buckets(spark, tmp_dir):
     final = [i for i, l in enumerate(lines)
              if re.match(r"HashAggregate\(keys=\[query_id#\d+L?, ord#", l) and "partial_" not in l]
     assert final and all("partial_sum" in lines[i + 1] for i in final)
+
+
+def test_create_or_append_equals_create_of_last_wins(spark, tmp_dir):
+    a = spark.createDataFrame([("x1", "alpha beta"), ("x2", "gamma")], "id string, text string")
+    b = spark.createDataFrame([("x2", "gamma delta"), ("x3", "eps")], "id string, text string")
+    p = f"{tmp_dir}/ca"
+    I.index_corpus(a, p, partitions=2)
+    I.index_corpus(b, p, partitions=2)
+    got = I.load_index(spark, p)
+    union = a.withColumn("v", F.lit(0)).unionByName(b.withColumn("v", F.lit(1)))
+    expect = {r.id: r.text for r in union.orderBy("v").collect()}
+    assert {r.id: r.text for r in got.docs.collect()} == expect
+    s = got.stats.filter("field = 'text'").collect()[0]
+    assert (s.n_docs, s.n_tokens) == (3, 5)
+    assert {r.term: r.df for r in got.terms.filter("field = 'text'").collect()} == \
+        {"alpha": 1, "beta": 1, "gamma": 1, "delta": 1, "eps": 1}

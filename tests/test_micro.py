@@ -147,3 +147,18 @@ def test_mean_nonzero_skips_zero_and_nan(spark):
     r = mean_nonzero(m).collect()[0]
     assert r.rr == pytest.approx(0.75) and r.ap == pytest.approx(0.375) and r.p == pytest.approx(0.5)
     assert math.isnan(r.recall)
+
+
+def test_recall_non_decreasing_in_cut_and_metric_ranges(coll):
+    idx, topics, qrels = coll
+    by_cut = {}
+    for cut in (1, 2, 3, 10):
+        by_cut[cut] = {r.query_id: r for r in evaluate(idx, topics, qrels, BM25(1.2), cut).collect()}
+    for q in by_cut[1]:
+        seq = [by_cut[c][q].recall for c in (1, 2, 3, 10)]
+        if not any(math.isnan(v) for v in seq):
+            assert seq == sorted(seq)
+        for c in by_cut:
+            r = by_cut[c][q]
+            for v in (r.rr, r.ap, r.p, r.recall):
+                assert math.isnan(v) or 0.0 <= v <= 1.0
