@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from rankeval.functions.stats import nan, welch_p_value, wilcoxon_exact_p
+from rankeval.functions.stats import nan, signed_rank_null, upper_tail_p, welch_p_value
 
 PAIR = ("run_a", "run_b")
 
@@ -85,13 +85,18 @@ def wilcoxon_exact(paired: DataFrame) -> DataFrame:
     """Exact signed-rank test per pair: ``run_a, run_b, n, w_plus, w_max, p``.
 
     W+ sums the ranks of positive differences; zeros count in n and go to W-.
+    The null distribution (an O(n^3) fold, ``signed_rank_null``) is evaluated per pair
+    in the same single pass: pairs are spread over tasks, and nothing upstream is
+    computed twice (a separate table of distributions per distinct n would need the
+    pairs twice).
     """
     g = signed_ranks(paired).groupBy(*PAIR).agg(
         F.sum("c").alias("n"), F.sum(F.col("pos") * F.col("avg_rank")).alias("w_plus"))
     total = F.col("n") * (F.col("n") + 1) / F.lit(2.0)
     w_max = F.greatest(F.col("w_plus"), total - F.col("w_plus"))
-    return g.select(*PAIR, "n", "w_plus", w_max.alias("w_max")).withColumn(
-        "p", wilcoxon_exact_p(F.col("w_max"), F.col("n")))
+    stats = g.select(*PAIR, "n", "w_plus", w_max.alias("w_max"))
+    return stats.select(*PAIR, "n", "w_plus", "w_max",
+                        upper_tail_p(signed_rank_null(F.col("n")), F.col("w_max"), F.col("n")).alias("p"))
 
 
 def decide(tested: DataFrame, alpha: float) -> DataFrame:
