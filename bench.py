@@ -84,6 +84,13 @@ def main() -> None:
     run("compare_t", lambda: C.compare(runs, "t", 0.05, baseline="bm25:0.4"))
     run("compare_wilcoxon", lambda: C.compare(runs, "wilcoxon", 0.05, baseline="bm25:0.4"))
 
+    # Scale of the inputs (not timed): rows in, for the scaling curve across sf.
+    rows = {
+        "documents": fx.table(spark, sf_dir, "documents").count(),
+        "postings": idx.postings.count(),
+        "topics": n,
+        "judgments_positive": qrels.filter("score > 0").count(),
+    }
     total = round(sum(times.values()), 3)
     label = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     try:
@@ -91,7 +98,7 @@ def main() -> None:
     except ValueError:
         sf = label
     print(json.dumps({"metric": "total_seconds", "value": total, "unit": "sec", "queries": times,
-                      "sf": sf, "cpus": cpus}))
+                      "sf": sf, "cpus": cpus, "rows": rows}))
     spark.stop()
 
 
