@@ -167,12 +167,12 @@ def search(index: Index, topics: DataFrame, model, cut: int = 10, field: str = "
 
 
 def fetch_hits(hits: DataFrame, docs: DataFrame, top: int | None = None,
-               fields=("id", "title", "text", "url", "pubmedId"), broadcast_ok: bool = True) -> DataFrame:
+               fields=("id", "title", "text", "url", "pubmedId"), broadcast_ok: bool = False) -> DataFrame:
     """J6 + J7: keep ranks <= ``top`` and attach stored fields.
 
-    Hits are at most (queries x cut) rows (see ``evaluate.hits_bounded``); they are
-    the broadcast side while the document table is streamed with only the needed
-    columns read.  ``broadcast_ok=False`` leaves the join strategy to the planner.
+    With ``broadcast_ok`` (a proof from ``evaluate.hits_bounded``: hits are at most
+    topics x cut rows) the hits are the broadcast side while the document table is
+    streamed with only the needed columns read; otherwise the planner decides.
     """
     h = hits if top is None else hits.filter(F.col("rank") <= top)
     return docs.select("ord", *fields).join(F.broadcast(h) if broadcast_ok else h, "ord")

@@ -162,10 +162,11 @@ def judged_hits(spark, sf):
 
 def hits_top_m(spark, sf):
     c = Collection(spark, sf)
-    h = S.search(c.index, c.topics, BM25(BM25_K1), CUT)
-    j = E.judge(h, c.index.docs, c.qrels, E.hits_bounded(c.topics, CUT)).filter(F.col("rank") <= TOP)
+    small = E.hits_bounded(c.topics, CUT)
+    h = S.search(c.index, c.topics, BM25(BM25_K1), CUT, broadcast_ok=small or None)
+    j = E.judge(h, c.index.docs, c.qrels, small).filter(F.col("rank") <= TOP)
     shown = S.fetch_hits(j.select("query_id", "rank", "ord", "score", "rel"), c.index.docs,
-                         fields=("id", "title", "url", "pubmedId"))
+                         fields=("id", "title", "url", "pubmedId"), broadcast_ok=small)
     return shown.select(F.col("query_id").cast("bigint").alias("query_id"), F.col("rank").cast("bigint").alias("rank"),
                         F.col("id").cast("bigint").alias("id"), "title", "url", "pubmedId", "score",
                         F.when(F.col("rel"), "Yes").otherwise("No").alias("relevant"))

@@ -67,7 +67,7 @@ def test_hits_report(spark, tmp_dir):
     idx = build_index(docs, 2)
     hits = search(idx, topics, BM25(1.2), 10)
     judged = judge(hits, idx.docs, qrels).filter("rank <= 2").select("query_id", "rank", "ord", "score", "rel")
-    shown = fetch_hits(judged, idx.docs)
+    shown = fetch_hits(judged, idx.docs, broadcast_ok=True)  # 4 topics x 2 hits
     m = evaluate(idx, topics, qrels, BM25(1.2), 10)
     W.write_hits_report(W.hits_report(topics, shown, m), f"{tmp_dir}/hits")
     f = [x for x in os.listdir(f"{tmp_dir}/hits") if x.startswith("part-")][0]
