@@ -158,11 +158,15 @@ def hits_bounded(topics: DataFrame, cut: int, runs: int = 1, field: str = "text"
 
 
 def evaluate(index, topics: DataFrame, qrels: DataFrame, model, cut: int = 10,
-             precision: str = "double", field: str = "text") -> DataFrame:
-    """Search + judge + per-query metrics for one model: ``query_id, rr, ap, p, recall, cut``."""
+             precision: str = "double", field: str = "text", length: str = "norm") -> DataFrame:
+    """Search + judge + per-query metrics for one model: ``query_id, rr, ap, p, recall, cut``.
+
+    ``length="norm"`` scores with the one-byte length norm (library-like), ``"dl"``
+    with exact document lengths.
+    """
     from rankeval.operators.search import search
 
     small = hits_bounded(topics, cut, 1, field)
-    hits = search(index, topics, model, cut, field, broadcast_ok=small or None)
+    hits = search(index, topics, model, cut, field, length, broadcast_ok=small or None)
     judged = judge(hits, index.docs, qrels, small)
     return per_query_metrics(judged, topics, qrels, cut, precision=precision)

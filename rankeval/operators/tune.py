@@ -33,7 +33,7 @@ def _model(model):
 
 
 def sweep(index, topics: DataFrame, qrels: DataFrame, models=("jm",), grids=None, cut: int = 10,
-          precision: str = "float", field: str = "text") -> DataFrame:
+          precision: str = "float", field: str = "text", length: str = "norm") -> DataFrame:
     """Per (model, param, query) metrics for every grid value, all models in one job.
 
     Returns ``model, param, query_id, rr, ap, p, recall, cut``.  ``precision="float"``
@@ -44,7 +44,7 @@ def sweep(index, topics: DataFrame, qrels: DataFrame, models=("jm",), grids=None
     scorers = list(zip(ms, gs))
     runs = sum(len(g) for g in gs)
     small = hits_bounded(topics, cut, runs, field)
-    hits = search(index, topics, scorers, cut, field, broadcast_ok=small or None)
+    hits = search(index, topics, scorers, cut, field, length, broadcast_ok=small or None)
     judged = judge(hits, index.docs, qrels, small)
     params = F.array(*[
         F.struct(F.lit(m.name).alias("model"), F.lit(float(p)).alias("param"))
@@ -92,7 +92,8 @@ def sweep_wide(swept: DataFrame, metric: str, grid) -> DataFrame:
 
 
 def train_test(index, topics: DataFrame, qrels: DataFrame, model, train, test, metric: str = "MAP",
-               cut: int = 10, grid=None, precision: str = "float", field: str = "text") -> dict[str, DataFrame]:
+               cut: int = 10, grid=None, precision: str = "float", field: str = "text",
+               length: str = "norm") -> dict[str, DataFrame]:
     """F4 + T3-T7 + T6: tune on ``train`` topics, evaluate the best value on ``test``.
 
     The best value stays a one-row DataFrame; the test run reads it as a scalar
@@ -103,14 +104,14 @@ def train_test(index, topics: DataFrame, qrels: DataFrame, model, train, test, m
     g = tuple(grid or default_grid(m))
     train_topics = select_queries(topics, train)
     test_topics = select_queries(topics, test)
-    swept = sweep(index, train_topics, qrels, [m], [g], cut, precision, field)
+    swept = sweep(index, train_topics, qrels, [m], [g], cut, precision, field, length)
     means = sweep_means(swept, metric)
     best = best_param(means)
     param = best.select("param").scalar()
     guarded = F.when(param.isNull(), F.raise_error(F.lit("no parameter value with a positive mean"))).otherwise(param)
     from rankeval.operators.search import query_terms, match, candidates, top_k
     qterms = query_terms(test_topics, field)
-    cols = [(m.name, 0.0, m.term_score(guarded))]
+    cols = [(m.name, 0.0, m.term_score(guarded, length=length))]
     small = hits_bounded(test_topics, cut, 1, field)
     hits = top_k(candidates(match(index, qterms, field, broadcast_ok=small or None), cols), cut).select(
         "query_id", "rank", "ord", "score")

@@ -162,3 +162,18 @@ def test_recall_non_decreasing_in_cut_and_metric_ranges(coll):
             r = by_cut[c][q]
             for v in (r.rr, r.ap, r.p, r.recall):
                 assert math.isnan(v) or 0.0 <= v <= 1.0
+
+
+def test_exact_length_option(spark):
+    from rankeval.operators.index import build_index
+    long_text = " ".join(["w%d" % i for i in range(40)]) + " apple"
+    docs = spark.createDataFrame([(0, "a", "", long_text), (1, "b", "", "apple pie")],
+                                 "ord long, id string, title string, text string")
+    topics = spark.createDataFrame([(1, "apple")], "query_id long, query string")
+    idx = build_index(docs, 2)
+    byte = {h.ord: h.score for h in search(idx, topics, JM(0.5), 10).collect()}
+    exact = {h.ord: h.score for h in search(idx, topics, JM(0.5), 10, length="dl").collect()}
+    # 41 tokens is stored as 40 by the one-byte norm; 2 tokens are exact either way
+    assert byte[1] == exact[1]
+    assert byte[0] == pytest.approx(_jm(1, 41, 2, 43, 0.5), abs=1e-6)
+    assert exact[0] != byte[0]
