@@ -125,3 +125,34 @@ def duplicate_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corpus plus every 20th document again under a new internal number."""
     c = corpus(spark, sf_dir)
     return c.unionByName(c.filter(F.col("id") % 20 == 0).withColumn("ord", F.col("ord") + 20_000_000))
+
+
+# ---------------------------------------------------------------------------
+# Saved collection: built once per Spark application and scale-factor directory,
+# written to the shared checkpoint folder, then read like any saved index.
+
+_SAVED: dict[tuple[str, str], str] = {}
+
+
+def saved_collection(spark: SparkSession, sf_dir: str) -> tuple[Index, DataFrame, DataFrame]:
+    """(index, topics, qrels) of the derived collection, materialised once.
+
+    The index is written with :func:`write_index` (bucketed on ord, term-partitioned)
+    and the judgments as Parquet, under ``spark.checkpoint.dir``; later calls in the
+    same application read them back instead of re-deriving them.
+    """
+    import os
+    import uuid
+
+    from rankeval.operators.index import load_index, write_index
+    from rankeval.session import checkpoint_dir
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    base = _SAVED.get(key)
+    if base is None:
+        base = f"{checkpoint_dir(spark).rstrip('/')}/rankeval-collection-{uuid.uuid4().hex}"
+        n = partitions_for(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
+        write_index(index(spark, sf_dir, n), f"{base}/index", n)
+        qrels(spark, sf_dir, load_index(spark, f"{base}/index")).write.parquet(f"{base}/qrels")
+        _SAVED[key] = base
+    return load_index(spark, f"{base}/index"), topics(spark, sf_dir), spark.read.parquet(f"{base}/qrels")
