@@ -15,7 +15,7 @@ from rankeval.operators.evaluate import (
     METRIC_NAMES, hits_bounded, judge, nonzero_mean, per_query_metrics,
 )
 from rankeval.operators.models import BM25, JM
-from rankeval.operators.search import search, select_queries
+from rankeval.operators.search import candidates, match, query_terms, search, select_queries, top_k
 
 # The two parameter grids (intended decimals, not accumulated floats).
 LAMBDA_GRID = (0.001, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
@@ -109,7 +109,6 @@ def train_test(index, topics: DataFrame, qrels: DataFrame, model, train, test, m
     best = best_param(means)
     param = best.select("param").scalar()
     guarded = F.when(param.isNull(), F.raise_error(F.lit("no parameter value with a positive mean"))).otherwise(param)
-    from rankeval.operators.search import query_terms, match, candidates, top_k
     qterms = query_terms(test_topics, field)
     cols = [(m.name, 0.0, m.term_score(guarded, length=length))]
     small = hits_bounded(test_topics, cut, 1, field)
