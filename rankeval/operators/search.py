@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from rankeval.functions.text import query_echo, tokens
-from rankeval.operators.index import Index, term_bucket
+from rankeval.operators.index import Index, term_bucket, term_stats
 from rankeval.session import bounded
 
 # Largest query-term table we broadcast (rows: one per distinct (query, term)).
@@ -75,7 +75,11 @@ def query_statistics(index: Index, qterms: DataFrame, broadcast_ok: bool, field:
         keys = ["tb", "term"]
         q = q.withColumn("tb", term_bucket(F.col("term"), index.term_partitions))
     q = F.broadcast(q) if broadcast_ok else q
-    tstats = index.terms.filter(F.col("field") == field).select(*keys, "df", "cf")
+    if field in index.by_field:
+        # Lazily built index: aggregate df / cf for the query terms only.
+        tstats = term_stats(index.by_field[field].join(q.select(*keys), keys, "left_semi")).select(*keys, "df", "cf")
+    else:
+        tstats = index.terms.filter(F.col("field") == field).select(*keys, "df", "cf")
     coll = (index.stats.filter(F.col("field") == field)
             .select(F.struct("n_docs", "n_tokens", "avgdl").alias("c")).scalar())
     return tstats.join(q, keys).select(

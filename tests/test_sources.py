@@ -73,3 +73,13 @@ def test_hits_report(spark, tmp_dir):
     f = [x for x in os.listdir(f"{tmp_dir}/hits") if x.startswith("part-")][0]
     text = open(f"{tmp_dir}/hits/{f}").read()
     assert "Parsed query: text:apple" in text and "Relevant: Yes" in text and text.rstrip().splitlines()[-1].startswith("P@N: ")
+
+
+def test_permissive_corpus_keeps_bad_lines(spark, tmp_dir):
+    from rankeval.sources.schemas import CORPUS_SCHEMA
+    _write(f"{tmp_dir}/bad.jsonl", [json.dumps({"_id": "a", "title": "t", "text": "x", "metadata": {"url": "u"}}),
+                                    "{not json"])
+    df = read_corpus(spark, f"{tmp_dir}/bad.jsonl", mode="PERMISSIVE").cache()
+    rows = df.collect()
+    assert len(rows) == 2 and sum(r._corrupt_record is not None for r in rows) == 1
+    assert "_corrupt_record" not in CORPUS_SCHEMA.fieldNames()
