@@ -13,15 +13,15 @@ QUERIES = {
 }
 
 
-def _crc32_sql(text: str) -> str:
-    """DuckDB has no crc32: a fold over the bytes with the table of the reflected polynomial 0xEDB88320."""
+def _crc32_sql(hex_text: str) -> str:
+    """DuckDB has no crc32: a fold over the bytes (a column of hex digits) with the table of the reflected
+    polynomial 0xEDB88320."""
     table = []
     for c in range(256):
         for _ in range(8):
             c = (c >> 1) ^ (0xEDB88320 if c & 1 else 0)
         table.append(c)
-    bytes_ = (f"list_transform(range(1, 2 * strlen({text}), 2), "
-              f"lambda i: CAST('0x' || substr(hex(encode({text})), i, 2) AS BIGINT))")
+    bytes_ = f"list_transform(range(1, strlen({hex_text}), 2), lambda i: CAST('0x' || substr({hex_text}, i, 2) AS BIGINT))"
     return (f"xor(4294967295, list_reduce({bytes_}, lambda c, v: xor({table}[(xor(c, v) & 255) + 1], c >> 8), "
             "CAST(4294967295 AS BIGINT)))")
 
@@ -29,7 +29,8 @@ def _crc32_sql(text: str) -> str:
 SQL: dict[str, str] = {
     "op10_feistel_shards": f"""WITH RECURSIVE docs AS MATERIALIZED (
   SELECT doc_id, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size,
-         {_crc32_sql("coalesce(text, '')")} AS text_crc32 FROM documents),
+         {_crc32_sql("h")} AS text_crc32
+  FROM (SELECT doc_id, text, hex(encode(coalesce(text, ''))) AS h FROM documents)),
 {shard_sql("SELECT * FROM docs", "doc_id, text_crc32, size")}
 SELECT doc_id, size, text_crc32, 'rows' AS law, shard, slot, CAST(NULL AS INTEGER) AS grown_shard FROM placed""",
 }
