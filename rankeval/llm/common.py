@@ -14,14 +14,14 @@ from rankeval.session import checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage ends there.
 
     The folder is the cluster's ``spark.checkpoint.dir``, so the table survives lost executors and
     later readers never recompute (non-deterministic or costly) work upstream.
     """
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+from .chat import op4_chat_machine
+from .htmlmain import op3_minimum_cut
 from .quality import op2_divergence_rules
+from .rans import op8_rans_blocks
+from .secrets import op6_token_efficiency
 from .sharding import op10_feistel_shards, shard_sql
 from .simhash import op7_simhash_bktree
 
 QUERIES = {
     "op2_divergence_rules": op2_divergence_rules,
+    "op3_minimum_cut": op3_minimum_cut,
+    "op4_chat_machine": op4_chat_machine,
+    "op6_token_efficiency": op6_token_efficiency,
     "op7_simhash_bktree": op7_simhash_bktree,
+    "op8_rans_blocks": op8_rans_blocks,
     "op10_feistel_shards": op10_feistel_shards,
 }
 
