@@ -122,7 +122,7 @@ def derived_records(pages: DataFrame) -> DataFrame:
         F.col("k") == 2, F.regexp_replace("url", "^http", "HTTP")).otherwise(F.col("url"))
     revisit = seen.select(
         (F.col("page_id") * 4 + F.col("k")).alias("record_id"), spelt.alias("url"),
-        (F.col("start") + (F.col("k") - 1) * 90_000 - F.when(fault == 5, 200_000).otherwise(0)).alias("ts"),
+        (F.col("start") + F.col("k") * 30_000 - F.when(fault == 5, 200_000).otherwise(0)).alias("ts"),
         F.lit("revisit").alias("kind"), F.lit(304).alias("status"),
         F.map_filter(F.create_map(
             F.lit("etag"), F.when(fault == 3, '"other"').when(fault == 4, None).otherwise(F.concat(F.lit('"'), "digest", F.lit('"'))),
@@ -154,7 +154,7 @@ records AS (
          'W/"' || digest || '"' AS etag, digest, length, 0 AS k FROM base
   UNION ALL
   SELECT page_id * 4 + k, CASE k WHEN 1 THEN url || '#again' WHEN 2 THEN regexp_replace(url, '^http', 'HTTP') ELSE url END,
-         start + (k - 1) * 90000 - CASE WHEN (page_id + k) % 11 = 5 THEN 200000 ELSE 0 END, 'revisit', 304,
+         start + k * 30000 - CASE WHEN (page_id + k) % 11 = 5 THEN 200000 ELSE 0 END, 'revisit', 304,
          CASE (page_id + k) % 11 WHEN 3 THEN '"other"' WHEN 4 THEN NULL ELSE '"' || digest || '"' END, NULL, NULL, k
   FROM base, (VALUES (1), (2), (3)) AS v(k)),
 cut AS (SELECT *, lower(regexp_extract(url, '{URL}', 1)) AS scheme,
