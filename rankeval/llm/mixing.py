@@ -1,7 +1,9 @@
 """Soft-membership mixing of documents to target token totals per domain.
 
 1. A classifier over hashed words is fitted on labelled documents (at most ``SAMPLE``, the lowest by a hash of the
-   id): smoothed naive Bayes on word presence, weights shrunk towards zero for rare words.
+   id): smoothed naive Bayes on words that stand out in a domain (``MIN_Z`` deviations from chance), their rates
+   shrunk to the overall one.  Presence counts for all of them, absence for those in fewer than ``RARE`` of the
+   documents (a short text lacks frequent words whatever its domain).
 2. Every whole text gets posteriors over the domains, rounded to 1 / ``RESOLUTION``, and its number of words t.
 3. Nonnegative rates r minimise  1/2 sum_k (T_k - target_k)^2 / mass_k  with  T_k = sum_i r_i t_i p_ik  by projected
    gradient descent from r = 1, in the metric of the token counts: r_i <- max(0, r_i - sum_k p_ik (T_k - target_k)
@@ -14,7 +16,7 @@
 
 DataFrame functions only.  The broadcast side is the weight table, at most ``BUCKETS`` rows.
 
-Defined cases: null and wordless texts have no tokens and the prior as posteriors; rows that share a doc_id are one
+Defined cases: null and wordless texts have no tokens and the posteriors of a text without weighted words; rows that share a doc_id are one
 document (posteriors from all their words); without labelled documents there are no domains and every rate is 1;
 an empty table gives an empty result; input columns named like outputs are replaced.
 """
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import materialise, table
 
 BUCKETS, SAMPLE, SEED = 1 << 18, 20_000, 42
-PSEUDO, MIN_DOCS, MIN_WEIGHT = 10.0, 5, 0.3
+PSEUDO, MIN_DOCS, MIN_Z, RARE = 10.0, 5, 3.5, 0.1
 RESOLUTION, SNAP = 100, 0.05
 ITERATIONS, TOLERANCE = 60, 1e-6
 #: Separators of classifier words and of tokens.
@@ -57,8 +59,8 @@ def _buckets(docs: DataFrame) -> DataFrame:
         "doc_id", F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int").alias("bucket"))
 
 
-def fit(docs: DataFrame, domains: DataFrame, sample: int = SAMPLE) -> tuple[list[str], dict[str, int], DataFrame]:
-    """Names, documents per domain in the sample, and the weight table (bucket, w_0, w_1, ...)."""
+def fit(docs: DataFrame, domains: DataFrame, sample: int = SAMPLE) -> tuple[list[str], list[float], DataFrame]:
+    """Names, scores of a text without weighted words, and the weight table (bucket, w_0, w_1, ...)."""
     unique = domains.groupBy("doc_id").agg(F.min("domain").alias("domain"))
     chosen = unique.orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(sample)
     chosen = materialise(chosen, "labelled")
@@ -69,27 +71,31 @@ def fit(docs: DataFrame, domains: DataFrame, sample: int = SAMPLE) -> tuple[list
     counted = seen.groupBy("bucket").agg(
         F.count("*").alias("n"), *[F.count(F.when(F.col("domain") == d, 1)).alias(f"n_{i}") for i, d in enumerate(names)])
     overall = F.col("n") / F.lit(float(max(total, 1)))
-    weights = [F.log(((F.col(f"n_{i}") + PSEUDO * overall) / (size[d] + PSEUDO)) / overall).alias(f"w_{i}")
-               for i, d in enumerate(names)]
-    table_ = counted.filter(F.col("n") >= MIN_DOCS).select("bucket", *weights)
-    if names:
-        table_ = table_.filter(F.greatest(*[F.abs(f"w_{i}") for i in range(len(names))], F.lit(0.0)) >= MIN_WEIGHT)
-    return names, size, materialise(table_, "weights")
-
-
-def posteriors(docs: DataFrame, names: list[str], size: dict[str, int], weights: DataFrame) -> DataFrame:
-    """(doc_id, p_0, p_1, ...) for the documents that hold a weighted word; others have the prior."""
-    total = float(sum(size.values()))
+    share = [F.least((F.col(f"n_{i}") + PSEUDO * overall) / (size[d] + PSEUDO), F.lit(0.999)) for i, d in enumerate(names)]
+    spare = F.greatest(1 - overall, F.lit(0.001))
+    absent = [F.when(overall < RARE, F.log((1 - x) / spare)).otherwise(0.0) for x in share]
+    weights = [c for i, x in enumerate(share) for c in (
+        absent[i].alias(f"a_{i}"), (F.log(x / overall) - absent[i]).alias(f"w_{i}"))]
+    # a word counts when some domain holds it far more or less often than chance has it
+    expected = [F.lit(float(size[d])) * overall for d in names]
+    z = [F.abs(F.col(f"n_{i}") - e) / F.sqrt(e * (1 - overall) + 0.5) for i, e in enumerate(expected)]
+    table_ = counted.filter((F.col("n") >= MIN_DOCS) & (F.greatest(*z, F.lit(0.0), F.lit(0.0)) >= MIN_Z)).select("bucket", *weights)
+    table_ = materialise(table_, "weights")
+    lacking = table_.agg(F.lit(0.0), *[F.coalesce(F.sum(f"a_{i}"), F.lit(0.0)) for i in range(len(names))]).first()[1:]
+    return names, [log(size[d] / total) + a for d, a in zip(names, lacking)], table_
+
+
+def posteriors(docs: DataFrame, base: list[float], weights: DataFrame) -> DataFrame:
+    """(doc_id, p_0, p_1, ...) for the documents that hold a weighted word."""
     scored = _buckets(docs).join(F.broadcast(weights), "bucket").groupBy("doc_id").agg(
-        *[F.sum(f"w_{i}").alias(f"s_{i}") for i in range(len(names))])
-    raw = [F.col(f"s_{i}") + F.lit(log(size[d] / total)) for i, d in enumerate(names)]
-    top = F.greatest(*raw, F.lit(-1e300))
-    e = [F.exp(r - top) for r in raw]
-    return scored.select("doc_id", *_rounded(e, len(names)))
+        *[F.sum(f"w_{i}").alias(f"s_{i}") for i in range(len(base))])
+    return scored.select("doc_id", *_rounded([F.col(f"s_{i}") + F.lit(b) for i, b in enumerate(base)]))
 
 
-def _rounded(e: list[Column], n: int) -> list[Column]:
-    """Shares of the terms rounded to 1 / RESOLUTION; the largest takes up the rounding, so they sum to 1."""
+def _rounded(scores: list[Column]) -> list[Column]:
+    """Softmax shares rounded to 1 / RESOLUTION; the largest takes up the rounding, so they sum to 1."""
+    n, top = len(scores), F.greatest(*scores, F.lit(-1e300))
+    e = [F.exp(x - top) for x in scores]
     share = [F.round(x / reduce(lambda a, b: a + b, e) * RESOLUTION).cast("int") for x in e]
     spare = F.lit(RESOLUTION) - reduce(lambda a, b: a + b, share)
     largest = F.greatest(*share, F.lit(-1))
@@ -136,15 +142,13 @@ def mix(docs: DataFrame, domains: DataFrame, multiples: dict[str, float] | None
     """(doc_id, tokens, p_0.., rate, copies), one row per distinct doc_id, and the names of the domains."""
     multiples = MULTIPLES if multiples is None else multiples
     narrow = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    names, size, weights = fit(narrow, domains)
+    names, base, weights = fit(narrow, domains)
     tokens = narrow.groupBy("doc_id").agg(F.sum(token_count(F.col("text"))).alias("tokens"))
     n = len(names)
     if not n:
         return tokens.withColumn("rate", F.lit(1.0)).withColumn("copies", F.lit(1)), names
-    total = float(sum(size.values()))
-    prior = [F.lit(size[d] / total) for d in names]
-    scored = posteriors(narrow, names, size, weights)
-    default = _rounded(prior, n)
+    scored = posteriors(narrow, base, weights)
+    default = _rounded([F.lit(b) for b in base])
     scored = materialise(
         tokens.alias("t").join(scored.alias("s"), F.col("t.doc_id").eqNullSafe(F.col("s.doc_id")), "left").select(
             "t.doc_id", "t.tokens", *[F.coalesce(f"s.p_{i}", default[i]).alias(f"p_{i}") for i in range(n)]), "posteriors")
