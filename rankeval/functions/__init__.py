@@ -1,5 +1,5 @@
-from rankeval.functions.text import TOKEN_PATTERN, tokens, query_echo, length_norm, first_tokens
+from rankeval.functions.text import TOKEN_PATTERN, tokens, query_echo, length_norm
 from rankeval.functions.stats import nan, safe_div, signed_rank_null, upper_tail_p, welch_p_value, wilcoxon_exact_p
 
-__all__ = ["TOKEN_PATTERN", "tokens", "query_echo", "length_norm", "first_tokens",
+__all__ = ["TOKEN_PATTERN", "tokens", "query_echo", "length_norm",
            "nan", "safe_div", "signed_rank_null", "upper_tail_p", "welch_p_value", "wilcoxon_exact_p"]

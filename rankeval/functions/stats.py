@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SIMPSON_STEPS = 2000  # even number of Simpson intervals for the t distribution tail
+TAIL = 80.0  # the t density is integrated until it has fallen by exp(-TAIL)
+MAX_EXACT_N = 1000  # beyond, halved probabilities leave the range of doubles
 
 
 def nan() -> Column:
@@ -19,9 +19,9 @@ def safe_div(num: Column, den: Column) -> Column:
     return F.when(den == 0, nan()).otherwise(num.cast("double") / den.cast("double"))
 
 
-def _simpson_sin_power(upper: Column, power: Column) -> Column:
-    """Simpson rule for the integral of sin(phi)^power over [0, upper]."""
-    h = upper / F.lit(SIMPSON_STEPS)
+def _simpson(lower: Column, upper: Column, f) -> Column:
+    """Simpson rule for the integral of ``f`` over [lower, upper]."""
+    h = (upper - lower) / F.lit(SIMPSON_STEPS)
 
     def weight(i):
         return F.when((i == 0) | (i == SIMPSON_STEPS), 1.0).when(i % 2 == 1, 4.0).otherwise(2.0)
@@ -29,20 +29,30 @@ def _simpson_sin_power(upper: Column, power: Column) -> Column:
     total = F.aggregate(
         F.sequence(F.lit(0), F.lit(SIMPSON_STEPS)),
         F.lit(0.0).cast("double"),
-        lambda acc, i: acc + weight(i) * F.pow(F.sin(i.cast("double") * h), power),
+        lambda acc, i: acc + weight(i) * f(lower + i.cast("double") * h),
     )
     return total * h / F.lit(3.0)
 
 
 def welch_p_value(t: Column, df: Column) -> Column:
-    """Two-sided p of Student's t with (fractional) ``df`` degrees of freedom.
+    """Two-sided p of Student's t with (fractional, >= 1) ``df`` degrees of freedom.
 
-    p = I_{df/(df+t^2)}(df/2, 1/2); with x = sin^2(phi) the incomplete beta
-    becomes the ratio of two integrals of sin^(df-1), so no gamma function is needed.
+    The ratio of the density's integral beyond |t| to that over the half line, so no gamma
+    function is needed.  With u = sinh(w) the integrand has a width of order one for any
+    ``df``, and each integral ends where the density has fallen by exp(-TAIL) from its start:
+    the steps follow the peak however large ``df`` is.
     """
-    theta = F.asin(F.sqrt(df / (df + t * t)))
-    power = df - F.lit(1.0)
-    return _simpson_sin_power(theta, power) / _simpson_sin_power(F.lit(math.pi / 2), power)
+    def density(w):  # relative to the start of the window, times du/dw
+        u = F.sinh(w)
+        return lambda at: F.exp(-(df + 1) / 2 * (F.log1p(u * u / df) - F.log1p(at * at / df))) * F.cosh(w)
+
+    def beyond(at):
+        fall = F.lit(2 * TAIL) / (df + 1)
+        end = F.sqrt(df * (at * at / df * F.exp(fall) + F.expm1(fall)))
+        return _simpson(F.asinh(at), F.asinh(end), lambda w: density(w)(at))
+
+    scale = F.exp(-(df + 1) / 2 * F.log1p(t * t / df))
+    return scale * beyond(F.abs(t)) / beyond(F.lit(0.0))
 
 
 def signed_rank_null(n: Column) -> Column:
@@ -52,8 +62,11 @@ def signed_rank_null(n: Column) -> Column:
     W is the sum of a random subset of the ranks 1..n.  The distribution is built by a
     fold over j = 1..n on an array of subset-sum probabilities (O(n^3)), instead of
     enumerating 2^n subsets; probabilities are halved at every step, which is exact in
-    binary floating point, so nothing overflows.  It depends on ``n`` only.
+    binary floating point down to 2^-1022, so ``n`` beyond ``MAX_EXACT_N`` is an error (use the
+    normal approximation).  It depends on ``n`` only.
     """
+    n = F.when(n > MAX_EXACT_N, F.raise_error(F.lit(
+        f"exact signed-rank test of more than {MAX_EXACT_N} pairs: choose the normal approximation"))).otherwise(n)
     top = n * (n + F.lit(1)) / F.lit(2)
     start = F.transform(F.sequence(F.lit(0), top.cast("int")), lambda s: F.when(s == 0, 1.0).otherwise(0.0))
     return F.aggregate(
@@ -78,3 +91,21 @@ def upper_tail_p(dist: Column, w_max: Column, n: Column) -> Column:
 def wilcoxon_exact_p(w_max: Column, n: Column) -> Column:
     """Exact two-sided p of the signed-rank statistic: 2 * P(W >= w_max) under H0."""
     return upper_tail_p(signed_rank_null(n), w_max, n)
+
+
+def wilcoxon_normal_p(w_max: Column, n: Column, ties: Column) -> Column:
+    """Two-sided p by the normal approximation with tie correction: ``ties`` is the sum of c^3 - c
+    over the groups of equal absolute differences."""
+    nd = n.cast("double")
+    mean = nd * (nd + 1) / 4
+    variance = nd * (nd + 1) * (2 * nd + 1) / 24 - ties / 48
+    z = (w_max - mean) / F.sqrt(variance)
+    return F.when((n <= 0) | (variance <= 0), nan()).otherwise(_normal_two_sided(z))
+
+
+def _normal_two_sided(z: Column) -> Column:
+    """erfc(z / sqrt 2): the normal density's integral beyond ``z`` over that over the half line."""
+    def beyond(at):
+        return _simpson(F.lit(0.0), F.sqrt(at * at + 2 * TAIL) - at, lambda x: F.exp(-x * (at + x / 2)))
+
+    return F.exp(-z * z / 2) * beyond(z) / beyond(F.lit(0.0))

@@ -5,11 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The analyser keeps runs of Unicode letters, digits and underscore
-# after lower-casing (everything else separates tokens); a run longer than the
-# maximum token length of 255 characters is split every 255 characters.
+# Word rules of the analyser, after lower-casing.
+#  * letters, digits and underscores run together, combining marks stay with their base;
+#  * an apostrophe or full stop between two letters, and a full stop, comma or apostrophe
+#    between two digits, belong to the token; anywhere else they separate;
+#  * an ideograph or Hiragana sign is a token of its own;
+#  * a token longer than 255 characters is cut every 255 characters.
+# Possessive quantifiers keep the matcher iterative, however long a run is.
 MAX_TOKEN_LENGTH = 255
-TOKEN_PATTERN = r"([\p{L}\p{N}_]{1,255})"
+_IDEOGRAPH = r"\p{IsHan}\p{IsHiragana}"
+_LETTERS = rf"[\p{{L}}&&[^{_IDEOGRAPH}]][\p{{L}}\p{{M}}&&[^{_IDEOGRAPH}]]*+"
+_DIGITS = r"\p{N}[\p{N}\p{M}]*+"
+TOKEN_PATTERN = (rf"([{_IDEOGRAPH}]\p{{M}}*+|(?:{_LETTERS}(?:['’.]{_LETTERS})*+"
+                 rf"|{_DIGITS}(?:[.,'’]{_DIGITS})*+|_[_\p{{M}}]*+)++)")
 
 # Fixed values of the one-byte length norm: lengths below 24 are exact, larger
 # ones keep 4 significant bits of (length - 24).
@@ -23,12 +31,14 @@ def _col(c: Column | str) -> Column:
 
 def tokens(text: Column | str) -> Column:
     """Lower-case, split into word tokens.  Null text yields no tokens."""
-    return F.regexp_extract_all(F.lower(F.coalesce(_col(text), F.lit(""))), F.lit(TOKEN_PATTERN), 1)
+    found = F.regexp_extract_all(F.lower(F.coalesce(_col(text), F.lit(""))), F.lit(TOKEN_PATTERN), 1)
+    size = F.lit(MAX_TOKEN_LENGTH)
 
+    def cut(w: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor((F.length(w) - 1) / size).cast("int"))
+        return F.transform(starts, lambda i: w.substr(i * size + 1, size))
 
-def first_tokens(text: Column | str, n: int, start: int = 1) -> Column:
-    """Tokens ``start``..``start+n-1`` joined by one space."""
-    return F.array_join(F.slice(tokens(text), start, n), " ")
+    return F.when(F.exists(found, lambda w: F.length(w) > size), F.flatten(F.transform(found, cut))).otherwise(found)
 
 
 def query_echo(token_array: Column | str, field: str = "text") -> Column:

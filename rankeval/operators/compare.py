@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from rankeval.functions.stats import nan, signed_rank_null, upper_tail_p, welch_p_value
+from rankeval.functions.stats import nan, signed_rank_null, upper_tail_p, welch_p_value, wilcoxon_normal_p
 
 PAIR = ("run_a", "run_b")
 
@@ -66,9 +66,12 @@ def signed_ranks(paired: DataFrame) -> DataFrame:
     and the number of positive differences, and a running sum over the distinct
     values gives the average rank.  A tie group holding most of the rows is one
     aggregated row, so it never concentrates in a single window partition.
+
+    A NaN difference (a metric that is undefined for a topic) is one of the pairs and ranks above
+    all numbers, but is never positive.
     """
     d = paired.withColumn("d", F.col("y") - F.col("x")).withColumn("m", F.abs("d"))
-    groups = d.groupBy(*PAIR, "m").agg(F.count(F.lit(1)).alias("c"), F.sum((F.col("d") > 0).cast("int")).alias("pos"))
+    groups = d.groupBy(*PAIR, "m").agg(F.count(F.lit(1)).alias("c"), F.sum(((F.col("d") > 0) & ~F.isnan("d")).cast("int")).alias("pos"))
     w = Window.partitionBy(*PAIR).orderBy("m").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = groups.withColumn("upto", F.sum("c").over(w)).withColumn(
         "avg_rank", F.col("upto") - F.col("c") + (F.col("c") + F.lit(1)) / F.lit(2.0))
@@ -81,22 +84,35 @@ def ranked_rows(paired: DataFrame) -> DataFrame:
     return d.join(signed_ranks(paired), [*PAIR, "m"]).select(*PAIR, "query_id", "d", F.col("avg_rank").alias("rank"))
 
 
-def wilcoxon_exact(paired: DataFrame) -> DataFrame:
-    """Exact signed-rank test per pair: ``run_a, run_b, n, w_plus, w_max, p``.
+def wilcoxon(paired: DataFrame, method: str = "exact") -> DataFrame:
+    """Signed-rank test per pair: ``run_a, run_b, n, w_plus, w_max, p``.
 
-    W+ sums the ranks of positive differences; zeros count in n and go to W-.
+    W+ sums the ranks of positive differences; ``n`` counts all pairs, zeros and NaN
+    included, and these go to W-.  ``method="normal"`` is the normal approximation with tie
+    correction, for many topics; it is never chosen silently.
     The null distribution (an O(n^3) fold, ``signed_rank_null``) is evaluated per pair
     in the same single pass: pairs are spread over tasks, and nothing upstream is
     computed twice (a separate table of distributions per distinct n would need the
     pairs twice).
     """
     g = signed_ranks(paired).groupBy(*PAIR).agg(
-        F.sum("c").alias("n"), F.sum(F.col("pos") * F.col("avg_rank")).alias("w_plus"))
+        F.sum("c").alias("n"), F.sum(F.col("pos") * F.col("avg_rank")).alias("w_plus"),
+        F.sum(F.pow(F.col("c"), 3.0) - F.col("c")).alias("ties"))
     total = F.col("n") * (F.col("n") + 1) / F.lit(2.0)
     w_max = F.greatest(F.col("w_plus"), total - F.col("w_plus"))
-    stats = g.select(*PAIR, "n", "w_plus", w_max.alias("w_max"))
-    return stats.select(*PAIR, "n", "w_plus", "w_max",
-                        upper_tail_p(signed_rank_null(F.col("n")), F.col("w_max"), F.col("n")).alias("p"))
+    stats = g.select(*PAIR, "n", "w_plus", w_max.alias("w_max"), "ties")
+    if method not in ("exact", "normal"):
+        raise ValueError(f"unknown method {method!r}")
+    if method == "normal":
+        p = wilcoxon_normal_p(F.col("w_max"), F.col("n"), F.col("ties"))
+    else:
+        p = upper_tail_p(signed_rank_null(F.col("n")), F.col("w_max"), F.col("n"))
+    return stats.select(*PAIR, "n", "w_plus", "w_max", p.alias("p"))
+
+
+def wilcoxon_exact(paired: DataFrame) -> DataFrame:
+    """C3 by the exact null distribution."""
+    return wilcoxon(paired, "exact")
 
 
 def decide(tested: DataFrame, alpha: float) -> DataFrame:
@@ -106,8 +122,8 @@ def decide(tested: DataFrame, alpha: float) -> DataFrame:
 
 
 def compare(runs: DataFrame, test: str = "t", alpha: float = 0.05, pairs: DataFrame | None = None,
-            baseline: str | None = None) -> DataFrame:
-    """Compare runs pairwise; ``test="t"`` is Welch's t-test, anything else the exact Wilcoxon test."""
+            baseline: str | None = None, method: str = "exact") -> DataFrame:
+    """Compare runs pairwise; ``test="t"`` is Welch's t-test, anything else the Wilcoxon test (by ``method``)."""
     if pairs is None:
         if baseline is None:
             raise ValueError("give pairs or a baseline run")
@@ -117,6 +133,6 @@ def compare(runs: DataFrame, test: str = "t", alpha: float = 0.05, pairs: DataFr
         res = welch_t(paired).select(*PAIR, "n", F.col("t").alias("statistic"), "p")
         name = "t"
     else:
-        res = wilcoxon_exact(paired).select(*PAIR, "n", F.col("w_max").alias("statistic"), "p")
+        res = wilcoxon(paired, method).select(*PAIR, "n", F.col("w_max").alias("statistic"), "p")
         name = "wilcoxon"
     return decide(res.withColumn("test", F.lit(name)), alpha)

@@ -23,7 +23,7 @@ from rankeval.session import bounded
 
 METRICS = ("rr", "ap", "p", "recall")
 METRIC_NAMES = {"MRR": "rr", "MAP": "ap", "P": "p", "R": "recall"}  # P6 selector names
-MAX_BROADCAST_HITS = 2_000_000
+MAX_BROADCAST_HITS = 500_000  # rows of a few numbers: under 32 MB
 
 
 def positive_qrels(qrels: DataFrame) -> DataFrame:
@@ -37,7 +37,8 @@ def relevant_per_query(qrels: DataFrame) -> DataFrame:
 
 
 def judge(hits: DataFrame, docs: DataFrame, qrels: DataFrame, broadcast_hits: bool = False) -> DataFrame:
-    """J7 (id only) + J8: attach the external id and a relevance flag to every hit.
+    """J7 (id only) + J8: attach the external id, the judged grade (null: not judged; the highest of
+    repeated judgments) and the relevance flag (grade > 0) to every hit.
 
     ``broadcast_hits`` must only be set with a proof that hits are small
     (``hits_bounded``); the document table is then streamed with two columns read.
@@ -45,8 +46,8 @@ def judge(hits: DataFrame, docs: DataFrame, qrels: DataFrame, broadcast_hits: bo
     """
     h = F.broadcast(hits) if broadcast_hits else hits
     with_id = docs.select("ord", "id").join(h, "ord")
-    pos = positive_qrels(qrels).select("query_id", F.col("doc_id").alias("id"), F.lit(True).alias("rel"))
-    return with_id.join(pos, ["query_id", "id"], "left").withColumn("rel", F.coalesce("rel", F.lit(False)))
+    grades = qrels.groupBy("query_id", F.col("doc_id").alias("id")).agg(F.max("score").alias("grade"))
+    return with_id.join(grades, ["query_id", "id"], "left").withColumn("rel", F.coalesce(F.col("grade") > 0, F.lit(False)))
 
 
 def precision_at_rank(judged: DataFrame, keys=()) -> DataFrame:
@@ -62,12 +63,17 @@ def _float(c):
 
 
 def per_query_metrics(judged: DataFrame, topics: DataFrame, qrels: DataFrame, cut: int,
-                      keys=(), params: DataFrame | None = None, precision: str = "double") -> DataFrame:
+                      keys=(), params: DataFrame | None = None, precision: str = "double",
+                      undefined: str = "nan") -> DataFrame:
     """E2-E6 (and E9 with ``precision="float"``): one row per selected topic.
 
+    ``undefined``: what P without hits and recall without judgments are, ``nan`` or ``zero``.
+
     ``keys`` are extra run keys (e.g. ``model, param``); ``params`` then lists the run
     key values so that topics without hits still get a row for every run.
     """
+    if undefined not in ("nan", "zero"):
+        raise ValueError(f"unknown value for undefined metrics {undefined!r}")
     keys = list(keys)
     ranked = precision_at_rank(judged, keys)
     rel = F.col("rel")
@@ -107,6 +113,8 @@ def per_query_metrics(judged: DataFrame, topics: DataFrame, qrels: DataFrame, cu
         ap = F.when(n_rel > 0, F.col("ap_sum") / n_rel).otherwise(0.0)
         p = safe_div(n_rel, F.coalesce(F.col("n_hits"), F.lit(0)))
         recall = safe_div(n_rel, n_rel_judged)
+    if undefined == "zero":
+        p, recall = (F.when(F.isnan(c), 0.0).otherwise(c) for c in (p, recall))
     failed = F.col("parse_failed")
     out = [
         F.when(failed, 0.0).otherwise(rr).cast("double").alias("rr"),
@@ -157,7 +165,8 @@ def hits_bounded(topics: DataFrame, cut: int, runs: int = 1, field: str = "text"
 
 
 def evaluate(index, topics: DataFrame, qrels: DataFrame, model, cut: int = 10,
-             precision: str = "double", field: str = "text", length: str = "norm") -> DataFrame:
+             precision: str = "double", field: str = "text", length: str = "norm",
+             undefined: str = "nan") -> DataFrame:
     """Search + judge + per-query metrics for one model: ``query_id, rr, ap, p, recall, cut``.
 
     ``length="norm"`` scores with the one-byte length norm (library-like), ``"dl"``
@@ -166,4 +175,4 @@ def evaluate(index, topics: DataFrame, qrels: DataFrame, model, cut: int = 10,
     small = hits_bounded(topics, cut, 1, field)
     hits = search(index, topics, model, cut, field, length, broadcast_ok=small or None)
     judged = judge(hits, index.docs, qrels, small)
-    return per_query_metrics(judged, topics, qrels, cut, precision=precision)
+    return per_query_metrics(judged, topics, qrels, cut, precision=precision, undefined=undefined)

@@ -9,6 +9,7 @@ and the collection statistics ``n_docs``, ``n_tokens``, ``avgdl``.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import isfinite
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,6 +31,16 @@ class BM25:
     name = "bm25"
     param_name = "k1"
 
+    def __post_init__(self):
+        self.check(self.k1)
+        if not 0 <= self.b <= 1:
+            raise ValueError("b must be in [0, 1]")
+
+    @staticmethod
+    def check(k1: float) -> None:
+        if not (k1 >= 0 and isfinite(k1)):
+            raise ValueError("k1 must be finite and >= 0")
+
     @property
     def param(self) -> float:
         return self.k1
@@ -38,7 +49,7 @@ class BM25:
         k1 = _lit(self.k1 if param is None else param)
         b = F.lit(self.b)
         n, df = F.col("n_docs").cast("double"), F.col("df").cast("double")
-        idf = F.log(F.lit(1.0) + (n - df + F.lit(0.5)) / (df + F.lit(0.5)))
+        idf = F.log1p((n - df + F.lit(0.5)) / (df + F.lit(0.5)))
         tf = F.col("tf").cast("double")
         k = k1 * ((F.lit(1.0) - b) + b * F.col(length).cast("double") / F.col("avgdl"))
         return F.col("qtf") * idf * tf / (tf + k)
@@ -56,6 +67,14 @@ class JM:
     name = "jm"
     param_name = "lambda"
 
+    def __post_init__(self):
+        self.check(self.lam)
+
+    @staticmethod
+    def check(lam: float) -> None:
+        if not 0 < lam <= 1:
+            raise ValueError("lambda must be in (0, 1]")
+
     @property
     def param(self) -> float:
         return self.lam
@@ -64,17 +83,13 @@ class JM:
         lam = _lit(self.lam if param is None else param)
         p_coll = (F.col("cf").cast("double") + F.lit(1.0)) / (F.col("n_tokens").cast("double") + F.lit(1.0))
         p_doc = (F.lit(1.0) - lam) * F.col("tf").cast("double") / F.col(length).cast("double")
-        return F.col("qtf") * F.log(F.lit(1.0) + p_doc / (lam * p_coll))
+        return F.col("qtf") * F.log1p(p_doc / (lam * p_coll))
 
 
 def model_from_name(name: str, value: float):
     """Model by name, as on the reference command line; unknown names are an error."""
     if name == "bm25":
-        if not value >= 0:
-            raise ValueError("k1 must be finite and >= 0")
         return BM25(k1=float(value))
     if name == "jm":
-        if not 0 < value <= 1:
-            raise ValueError("lambda must be in (0, 1]")
         return JM(lam=float(value))
     raise ValueError(f"unknown model {name!r}")

@@ -13,17 +13,21 @@ A frequent term never causes a skewed shuffle: postings are never shuffled by te
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from rankeval.functions.text import query_echo, tokens
 from rankeval.operators.index import Index, term_bucket, term_stats
-from rankeval.session import bounded
+from rankeval.session import bounded, cut_lineage
 
 # Largest query-term table we broadcast (rows: one per distinct (query, term)).
-MAX_BROADCAST_QUERY_TERMS = 2_000_000
-SCORE_DECIMALS = 6
+MAX_BROADCAST_QUERY_TERMS = 500_000
+# Most query terms, and most hits, that are handed to a scan as literals.
+MAX_TERM_LITERALS, MAX_HIT_LITERALS = 64, 1000
 
 
 def select_queries(topics: DataFrame, selector: str | int | tuple[int, int] = "all") -> DataFrame:
@@ -80,6 +84,9 @@ def query_statistics(index: Index, qterms: DataFrame, broadcast_ok: bool, field:
         tstats = term_stats(index.by_field[field].join(q.select(*keys), keys, "left_semi")).select(*keys, "df", "cf")
     else:
         tstats = index.terms.filter(F.col("field") == field).select(*keys, "df", "cf")
+        if index.segmented:  # changes of several segments: add up those of the query terms
+            tstats = (tstats.join(q.select(*keys), keys, "left_semi").groupBy(*keys)
+                      .agg(F.sum("df").alias("df"), F.sum("cf").alias("cf")).filter("df > 0"))
     coll = (index.stats.filter(F.col("field") == field)
             .select(F.struct("n_docs", "n_tokens", "avgdl").alias("c")).scalar())
     return tstats.join(q, keys).select(
@@ -96,6 +103,12 @@ def match(index: Index, qterms: DataFrame, field: str = "text",
     ok = bounded(qterms, max_broadcast) if broadcast_ok is None else broadcast_ok
     qstats = query_statistics(index, qterms, ok, field)
     postings = index.field_postings(field)
+    if ok and index.term_partitions:
+        # few terms: as literals they reach the scan, and files sorted by term skip the rest
+        few = [r.term for r in qterms.select("term").distinct().limit(MAX_TERM_LITERALS + 1).collect()]
+        if 0 < len(few) <= MAX_TERM_LITERALS:
+            postings = postings.filter(reduce(or_, [
+                (F.col("tb") == term_bucket(F.lit(t), index.term_partitions)) & (F.col("term") == t) for t in few]))
     side = F.broadcast(qstats) if ok else qstats
     keys = ["tb", "term"] if index.term_partitions else ["term"]
     return postings.join(side.drop("field"), keys).select(
@@ -112,6 +125,7 @@ def score_columns(scorers, length: str = "norm") -> list[tuple[str, float, Colum
     out = []
     for model, params in scorers:
         for p in params:
+            model.check(p)
             out.append((model.name, float(p), model.term_score(p, length=length)))
     return out
 
@@ -134,13 +148,14 @@ def candidates(matched: DataFrame, cols: list[tuple[str, float, Column]]) -> Dat
 def top_k(cands: DataFrame, cut: int, keys=("run",)) -> DataFrame:
     """Best ``cut`` documents per query (and run); ties by lower ``ord``.
 
-    Scores are compared after rounding to 6 decimals so that summation-order noise
-    does not reorder equal scores.  ``row_number() <= cut`` is planned as a partial
-    WindowGroupLimit before the exchange and a final one after it.
+    The sum is taken in double precision and kept in single precision: a relative
+    precision, so frequent terms of a large collection, whose weights are tiny, rank like any
+    other, while summation-order noise does not reorder equal scores.  ``row_number() <= cut`` is
+    planned as a partial WindowGroupLimit before the exchange and a final one after it.
     """
     if cut <= 0:
         raise ValueError("cut must be positive")
-    scored = cands.withColumn("score", F.round("score", SCORE_DECIMALS))
+    scored = cands.withColumn("score", F.col("score").cast("float").cast("double"))
     w = Window.partitionBy(*keys, "query_id").orderBy(F.desc("score"), F.asc("ord"))
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= cut)
 
@@ -179,4 +194,10 @@ def fetch_hits(hits: DataFrame, docs: DataFrame, top: int | None = None,
     streamed with only the needed columns read; otherwise the planner decides.
     """
     h = hits if top is None else hits.filter(F.col("rank") <= top)
+    if broadcast_ok:
+        # the numbers of few hits as literals: a saved index opens only their buckets and row groups
+        h = cut_lineage(h)
+        few = [r.ord for r in h.select("ord").distinct().limit(MAX_HIT_LITERALS + 1).collect()]
+        if len(few) <= MAX_HIT_LITERALS:
+            docs = docs.filter(F.col("ord").isin(few) if few else F.lit(False))
     return docs.select("ord", *fields).join(F.broadcast(h) if broadcast_ok else h, "ord")

@@ -108,7 +108,8 @@ def train_test(index, topics: DataFrame, qrels: DataFrame, model, train, test, m
     means = sweep_means(swept, metric)
     best = best_param(means)
     param = best.select("param").scalar()
-    guarded = F.when(param.isNull(), F.raise_error(F.lit("no parameter value with a positive mean"))).otherwise(param)
+    # one reference to the subquery: a second one would run the training sweep again
+    guarded = F.coalesce(param, F.raise_error(F.lit("no parameter value with a positive mean")).cast("double"))
     qterms = query_terms(test_topics, field)
     cols = [(m.name, 0.0, m.term_score(guarded, length=length))]
     small = hits_bounded(test_topics, cut, 1, field)

@@ -9,7 +9,10 @@ from __future__ import annotations
 from rankeval.plans import named as N
 from rankeval.operators.tune import K1_GRID, LAMBDA_GRID
 
-RUNS = r"regexp_extract_all(lower(coalesce({x}, '')), '[\p{{L}}\p{{N}}_]+')"
+_L = r"[^\P{{L}}\p{{Han}}\p{{Hiragana}}]\p{{M}}*"
+_D = r"\p{{N}}\p{{M}}*"
+RUNS = (r"regexp_extract_all(lower(coalesce({x}, '')), '[\p{{Han}}\p{{Hiragana}}]\p{{M}}*|(?:" + _L + r"(?:[''’.]" + _L
+        + r")*|" + _D + r"(?:[.,''’]" + _D + r")*|_\p{{M}}*)+')")
 
 
 def tok(x: str) -> str:
@@ -28,7 +31,7 @@ def norm(dl: str) -> str:
 BASE = f"""
 corpus AS (
   SELECT doc_id AS ord, doc_id AS id,
-         array_to_string(list_slice({tok('text')}, 1, 8), ' ') AS title,
+         concat_ws(' ', source, lang) AS title,
          text, source AS url, lang AS pubmedId
   FROM documents),
 toks AS (
@@ -46,19 +49,20 @@ terms AS (SELECT field, term, count(*)::BIGINT AS df, sum(tf)::BIGINT AS cf FROM
 stats AS (SELECT field, count(*)::BIGINT AS n_docs, sum(dl)::BIGINT AS n_tokens, avg(dl::DOUBLE) AS avgdl
           FROM lengths GROUP BY field),
 topics AS (
-  SELECT item_id AS query_id, array_to_string(list_slice({tok('text')}, 1, 3), ' ') AS query FROM benchmark),
+  SELECT item_id AS query_id, text AS query FROM benchmark),
 qterms AS (
   SELECT query_id, term, count(*)::BIGINT AS qtf
   FROM (SELECT query_id, unnest({tok('query')}) AS term FROM topics) GROUP BY query_id, term),
 qrels AS (
-  SELECT query_id, doc_id, score FROM (
-    SELECT b.item_id AS query_id, d.id AS doc_id,
-      CASE WHEN contains(d.text, b.text) THEN 2
-           WHEN len(list_distinct(list_slice(b.tk, 4, 8))) = 5 AND list_has_all(d.tk, list_slice(b.tk, 4, 8)) THEN 1
-           WHEN d.id % 50 = b.item_id % 50 THEN 0 END AS score
-    FROM (SELECT item_id, text, {tok('text')} AS tk FROM benchmark) b,
-         (SELECT id, text, {tok('text')} AS tk FROM corpus) d)
-  WHERE score IS NOT NULL),
+  SELECT query_id, doc_id, CASE WHEN got = need AND contains(run, passage) THEN 2 WHEN got * 4 >= need * 3 THEN 1 ELSE 0 END AS score
+  FROM (
+    SELECT b.item_id AS query_id, d.id AS doc_id, len(b.terms) AS need, len(list_intersect(b.terms, d.terms)) AS got,
+           d.run, b.passage
+    FROM (SELECT item_id, list_distinct({tok('text')}) AS terms, ' ' || array_to_string({tok('text')}, ' ') || ' ' AS passage
+          FROM benchmark) b,
+         (SELECT id, list_distinct({tok('text')}) AS terms, ' ' || array_to_string({tok('text')}, ' ') || ' ' AS run
+          FROM corpus) d)
+  WHERE need > 0 AND got * 2 >= need),
 qpos AS (SELECT DISTINCT query_id, doc_id FROM qrels WHERE score > 0),
 nrel AS (SELECT query_id, count(*)::BIGINT AS n_relevant FROM qpos GROUP BY query_id),
 matched AS (
@@ -70,6 +74,14 @@ matched AS (
   WHERE p.field = 'text')"""
 
 
+#: The same collection after the append: revised documents and new ones under numbers after the others.
+LIVE_BASE = BASE.replace("""  FROM documents),
+toks""", """  FROM (
+    SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN text || ' revised' ELSE text END AS text, source, lang FROM documents
+    UNION ALL SELECT doc_id + 10000000, text, source, lang FROM documents WHERE doc_id % 100 = 1)),
+toks""")
+
+
 def bm25(k1) -> str:
     return (f"qtf * ln(1.0::DOUBLE + (n_docs - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf::DOUBLE"
             f" / (tf::DOUBLE + {float(k1)!r}::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * norm::DOUBLE / avgdl))")
@@ -87,7 +99,7 @@ def hits_cte(name: str, expr: str, model: str = "", param: float = 0.0, topics:
     return f"""{name} AS (
   SELECT '{model}' AS model, {float(param)!r}::DOUBLE AS param, query_id,
          row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ord ASC)::BIGINT AS rank, ord, score
-  FROM (SELECT m.query_id, m.ord, round(sum({expr}), 6) AS score
+  FROM (SELECT m.query_id, m.ord, sum({expr})::FLOAT::DOUBLE AS score
         FROM matched m WHERE m.query_id IN (SELECT query_id FROM {topics}) GROUP BY m.query_id, m.ord)
   QUALIFY rank <= {cut})"""
 
@@ -151,8 +163,9 @@ def r9(c: str, alias: str | None = None, d: int = 9) -> str:
 
 M4 = ", ".join(r9(c) for c in ("rr", "ap", "p", "recall"))
 
-TRAIN = f"train AS (SELECT * FROM topics WHERE query_id BETWEEN {N.fx.TRAIN[0]} AND {N.fx.TRAIN[1]})"
-TEST = f"test AS (SELECT * FROM topics WHERE query_id BETWEEN {N.fx.TEST[0]} AND {N.fx.TEST[1]})"
+_MIDDLE = "(SELECT (min(query_id) + max(query_id)) // 2 FROM topics)"
+TRAIN = f"train AS (SELECT * FROM topics WHERE query_id <= {_MIDDLE})"
+TEST = f"test AS (SELECT * FROM topics WHERE query_id > {_MIDDLE})"
 
 
 def grid_ctes(model: str, grid, topics: str, precision: str = "float", prefix: str = "g") -> tuple[list[str], str]:
@@ -175,6 +188,9 @@ def _runs_sql() -> tuple[list[str], str]:
         c, name = grid_ctes(m.name, grid, "topics", "double", prefix=m.name)
         ctes += c
         parts.append(f"SELECT model || ':' || param::VARCHAR AS run, query_id::BIGINT AS query_id, ap AS value FROM {name}")
+        wanted = ", ".join(f"'{x}'" for x in N.RECALL_RUNS)
+        parts.append(f"SELECT model || ':' || param::VARCHAR || ':recall', query_id::BIGINT, recall FROM {name} "
+                     f"WHERE model || param::VARCHAR IN ({wanted})")
     ctes.append(f"runs AS ({' UNION ALL '.join(parts)})")
     ctes.append(f"""paired AS (
   SELECT a.run AS run_a, b.run AS run_b, a.query_id, a.value AS x, b.value AS y
@@ -186,7 +202,7 @@ def _runs_sql() -> tuple[list[str], str]:
     + (count(*) OVER (PARTITION BY run_a, run_b, abs(y - x)) - 1) / 2.0 AS rnk
   FROM paired)""")
     ctes.append("""wsr AS (
-  SELECT run_a, run_b, count(*) AS n, coalesce(sum(CASE WHEN d > 0 THEN rnk END), 0)::DOUBLE AS w_plus
+  SELECT run_a, run_b, count(*) AS n, coalesce(sum(CASE WHEN d > 0 AND NOT isnan(d) THEN rnk END), 0)::DOUBLE AS w_plus
   FROM ranks GROUP BY run_a, run_b)""")
     ctes.append("""wsr2 AS (
   SELECT *, greatest(w_plus, n * (n + 1) / 2.0 - w_plus) AS w_max,
@@ -311,6 +327,33 @@ def _sql() -> dict[str, str]:
         UNION ALL SELECT id + 10000000 AS id, text FROM corpus WHERE id % 100 = 1),
       live AS (SELECT id, text FROM corpus WHERE id NOT IN (SELECT id FROM batch) UNION ALL SELECT id, text FROM batch)""",
         body=f"SELECT id::BIGINT AS id, len({tok('text')})::BIGINT AS dl FROM live")
+    live = """batch AS (
+        SELECT id, title, concat(text, ' revised') AS text FROM corpus WHERE id % 10 = 0
+        UNION ALL SELECT id + 10000000 AS id, title, text FROM corpus WHERE id % 100 = 1),
+      live AS (SELECT id, title, text FROM corpus WHERE id NOT IN (SELECT id FROM batch) UNION ALL SELECT * FROM batch)"""
+    words = f"""words AS (
+        SELECT field, id, unnest(tk) AS term FROM (SELECT 'text' AS field, id, {tok('text')} AS tk FROM live
+                                                   UNION ALL SELECT 'title', id, {tok('title')} FROM live))"""
+    out["append_docs"] = q(live, body="SELECT id::BIGINT AS id, length(text)::BIGINT AS n_chars FROM live")
+    out["append_terms"] = q(live, words, body="SELECT field, term, count(DISTINCT id)::BIGINT AS df, count(*)::BIGINT AS cf "
+                                              "FROM words GROUP BY field, term")
+    out["append_stats"] = q(live, words, body="SELECT field, count(DISTINCT id)::BIGINT AS n_docs, count(*)::BIGINT AS n_tokens, "
+                                              "round(count(*) / count(DISTINCT id), 9) AS avgdl FROM words GROUP BY field")
+    # the collection's own search SQL, over the live documents: which number breaks a tie is the index's own affair
+    lived = q(bm, body="SELECT query_id::BIGINT AS query_id, rank, score FROM hits").replace(BASE, LIVE_BASE)
+    out["append_search"] = lived
+    out["topics_file"] = q(body="SELECT query_id::BIGINT AS query_id, query FROM topics")
+    out["qrels_file"] = out["qrels_derived"]
+    out["metrics_file"] = out["metrics_with_mean_row"]
+    out["sweep_file"] = out["sweep_wide"]
+    out["test_file"] = out["test_split_eval"].replace("SELECT query_id::BIGINT AS query_id, round(ap", "SELECT 'jm' AS run, query_id::BIGINT AS query_id, round(ap")
+    out["hits_file"] = q(bm, judged, f"""shown AS (
+        SELECT j.id, c.title, c.url, c.pubmedId, j.rel FROM judged j JOIN corpus c ON c.ord = j.ord WHERE j.rank <= {N.TOP}),
+      lines AS (SELECT 'Document with id: ' || id AS value FROM shown UNION ALL SELECT 'Title: ' || title FROM shown
+        UNION ALL SELECT 'Url: ' || url FROM shown UNION ALL SELECT 'PubmedId: ' || pubmedId FROM shown
+        UNION ALL SELECT 'Relevant: ' || CASE WHEN rel THEN 'Yes' ELSE 'No' END FROM shown
+        UNION ALL SELECT 'Parsed query: ' || array_to_string(list_transform({tok('query')}, lambda t: 'text:' || t), ' ') FROM topics)""",
+        body="SELECT value, count(*)::BIGINT AS n FROM lines GROUP BY value")
     out["create_keeps_dups"] = q(f"""dup AS (SELECT * FROM corpus UNION ALL SELECT * FROM corpus WHERE id % 20 = 0),
       dlen AS (SELECT 'text' AS field, len({tok('text')}) AS dl FROM dup UNION ALL
                SELECT 'title' AS field, len({tok('title')}) AS dl FROM dup)""",

@@ -31,11 +31,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster-wide checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) do we set our own scratch folder.
+    Only a local session without one (tests, the bench) gets a scratch folder of its own; on a
+    cluster a machine-local folder would be lost with its machine, so an unset folder is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="rankeval-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

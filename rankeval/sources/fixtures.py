@@ -1,16 +1,15 @@
 """Test collection derived from the generated tables (documents, benchmark).
 
-* corpus:  one document per ``documents`` row; ``ord = id = doc_id``; title = first
-           8 tokens; url = source; pubmedId = lang.
-* topics:  one topic per ``benchmark`` item; query = the passage's tokens 1-3.
-* qrels:   grade 2 when the document contains the passage verbatim; grade 1 when it
-           does not but holds all of the passage's tokens 4-8 (five distinct tokens);
-           grade 0 when ``doc_id % 50 = item_id % 50`` and neither applies.
-
-The judgments are computed with the index itself: a document that contains the
-passage verbatim also holds the passage's inner tokens 4-8, so candidates come from
-a join of postings with those five terms per item (no document x item product), and
-only candidates are checked with a substring test.
+* corpus:  one document per ``documents`` row; ``ord = id = doc_id``; title = source and
+           language; url = source; pubmedId = lang.
+* topics:  one topic per ``benchmark`` item; query = the whole passage.
+* qrels:   by the share of the passage's distinct tokens that the document holds: grade 2 when
+           the document holds the whole passage as one run of tokens, else 1 from
+           ``RELEVANT_SHARE`` on, else 0 from ``JUDGED_SHARE`` on; below that, not judged.
+
+The judgments are computed with the index itself: per (item, document) the number of the
+item's distinct tokens among the document's postings, summed in the document partitions;
+only documents that hold all of them are checked for the run.
 """
 
 from __future__ import annotations
@@ -18,16 +17,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankeval.functions.text import first_tokens, tokens
+from rankeval.functions.text import tokens
 from rankeval.operators.index import Index, build_index
-from rankeval.session import bounded, partitions_for
+from rankeval.session import partitions_for
 
-# Fixed values of the derived collection.
-TITLE_TOKENS = 8
-QUERY_TOKENS = 3
-PROBE_FROM, PROBE_COUNT = 4, 5
-ZERO_GRADE_MODULUS = 50
-MAX_BROADCAST_ITEMS = 1_000_000
+# Fixed values of the derived collection (shares as fractions of whole numbers).
+RELEVANT_SHARE = (3, 4)
+JUDGED_SHARE = (1, 2)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,16 +31,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
-    """The corpus, hash-partitioned on ``doc_id`` (= ``ord``) before any per-document work.
-
-    The number of document partitions follows the size of the documents table.
-    """
-    n = partitions or partitions_for(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang").repartition(n, "doc_id")
+    """The corpus; with ``partitions``, hash-partitioned on ``ord`` before any per-document work."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    if partitions:
+        d = d.repartition(partitions, "doc_id")
     return d.select(
         F.col("doc_id").alias("ord"),
         F.col("doc_id").alias("id"),
-        first_tokens(F.col("text"), TITLE_TOKENS).alias("title"),
+        F.concat_ws(" ", "source", "lang").alias("title"),
         "text",
         F.col("source").alias("url"),
         F.col("lang").alias("pubmedId"),
@@ -62,7 +56,7 @@ def nested_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = table(spark, sf_dir, "benchmark")
-    return b.select(F.col("item_id").alias("query_id"), first_tokens(F.col("text"), QUERY_TOKENS).alias("query"))
+    return b.select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
 
 
 def index(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> Index:
@@ -70,47 +64,42 @@ def index(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> In
     return build_index(corpus(spark, sf_dir, n), n, prepartitioned=True)
 
 
+def _run(c) -> F.Column:
+    """Tokens as one string in which whole tokens can be found."""
+    return F.concat(F.lit(" "), F.array_join(c, " "), F.lit(" "))
+
+
 def qrels(spark: SparkSession, sf_dir: str, idx: Index | None = None) -> DataFrame:
     """``query_id, doc_id, score`` as described in the module docstring."""
     idx = idx or index(spark, sf_dir)
-    bench = table(spark, sf_dir, "benchmark").select("item_id", "text")
-    probe = F.slice(tokens(F.col("text")), PROBE_FROM, PROBE_COUNT)
-    items = bench.select(
-        "item_id", F.col("text").alias("passage"),
-        F.array_distinct(probe).alias("probe"),
-        (F.size(F.array_distinct(probe)) == PROBE_COUNT).alias("five"),
-    )
-    small = bounded(bench, MAX_BROADCAST_ITEMS)
-
-    def b(df):
-        return F.broadcast(df) if small else df
-
-    probe_terms = items.select("item_id", F.explode("probe").alias("term"), F.size("probe").alias("need"))
-    hits = (idx.field_postings("text").join(b(probe_terms), "term")
-            .groupBy("item_id", "ord", "need").agg(F.count(F.lit(1)).alias("got"))
-            .filter(F.col("got") == F.col("need")))
-    graded = (hits.join(idx.docs.select("ord", "id", "text"), "ord")
-              .join(b(items.select("item_id", "passage", "five")), "item_id")
-              .select(F.col("item_id").alias("query_id"), F.col("id").alias("doc_id"),
-                      F.when(F.contains(F.col("text"), F.col("passage")), 2)
-                      .when(F.col("five"), 1).alias("score"))
-              .filter(F.col("score").isNotNull()))
-    key = F.pmod(F.col("id"), F.lit(ZERO_GRADE_MODULUS))
-    zero = (idx.docs.select(F.col("id").alias("doc_id"), key.alias("k"))
-            .join(b(bench.select(F.col("item_id").alias("query_id"),
-                                 F.pmod("item_id", F.lit(ZERO_GRADE_MODULUS)).alias("k"))), "k")
-            .join(graded, ["query_id", "doc_id"], "left_anti")
-            .select("query_id", "doc_id", F.lit(0).alias("score")))
-    return graded.unionByName(zero).select("query_id", "doc_id", F.col("score").cast("int"))
+    items = table(spark, sf_dir, "benchmark").select("item_id", tokens(F.col("text")).alias("toks")).filter(
+        F.size("toks") > 0)
+    terms = items.select("item_id", F.size(F.array_distinct("toks")).alias("need"),
+                         F.explode(F.array_distinct("toks")).alias("term"))
+    held = (idx.field_postings("text").join(terms, "term")
+            .groupBy("ord", "item_id", "need").agg(F.count(F.lit(1)).alias("got"))
+            .filter(F.col("got") * JUDGED_SHARE[1] >= F.col("need") * JUDGED_SHARE[0]))
+    whole = (idx.docs.select("ord", "text").join(held.filter("got = need").select("ord", "item_id"), "ord")
+             .join(items.select("item_id", _run(F.col("toks")).alias("passage")), "item_id")
+             .filter(F.contains(_run(tokens(F.col("text"))), F.col("passage")))
+             .select("ord", "item_id", F.lit(2).alias("grade")))
+    grade = F.when(F.col("got") * RELEVANT_SHARE[1] >= F.col("need") * RELEVANT_SHARE[0], 1).otherwise(0)
+    return (held.join(whole, ["ord", "item_id"], "left").join(idx.docs.select("ord", "id"), "ord")
+            .select(F.col("item_id").alias("query_id"), F.col("id").alias("doc_id"),
+                    F.coalesce("grade", grade).cast("int").alias("score")))
 
 
 def split_topics(t: DataFrame, lo: int, hi: int) -> DataFrame:
     return t.filter(F.col("query_id").between(lo, hi))
 
 
-# Train / test split of the derived topics (item ids).
-TRAIN = (0, 19)
-TEST = (20, 39)
+def train_test_ranges(spark: SparkSession, sf_dir: str) -> tuple[tuple[int, int], tuple[int, int]]:
+    """All topics, split in the middle of their id range: (train, test)."""
+    lo, hi = table(spark, sf_dir, "benchmark").agg(F.min("item_id"), F.max("item_id")).first()
+    if lo is None:
+        return (0, 0), (1, 1)
+    middle = (lo + hi) // 2
+    return (lo, middle), (middle + 1, max(hi, middle + 1))
 
 
 def upsert_batch(spark: SparkSession, sf_dir: str) -> DataFrame:

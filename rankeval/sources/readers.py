@@ -9,6 +9,14 @@ from pyspark.sql import types as T
 from rankeval.sources.schemas import CORPUS_SCHEMA, QRELS_SCHEMA, TOPICS_SCHEMA
 
 
+def file_version() -> F.Column:
+    """Order of rows as they were written: file time, file and block; inside a block the row numbers
+    that the index assigns decide (for ``last_wins``)."""
+    m = F.col("_metadata")
+    return F.struct(m["file_modification_time"].alias("time"), m["file_path"].alias("path"),
+                    m["file_block_start"].alias("block"))
+
+
 def read_corpus(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
     """JSON-lines articles with nested metadata, read in parallel by Spark.
 
@@ -27,34 +35,28 @@ def read_topics(spark: SparkSession, path: str) -> DataFrame:
 
 
 def topics_from_raw(raw: DataFrame) -> DataFrame:
-    return raw.select(F.col("_id").alias("query_id"), F.col("metadata.query").alias("query"))
+    """The id may be a number or a string of one; anything else raises."""
+    return raw.select(F.col("_id").cast("int").alias("query_id"), F.col("metadata.query").alias("query"))
 
 
 def read_qrels(spark: SparkSession, path: str, clean: bool = False) -> DataFrame:
     """S3 + F6: judgments ``query_id, doc_id, score``.
 
-    The header line is skipped; lines that do not have exactly three tab-separated
-    fields are skipped silently.  ``clean=True`` uses the CSV reader for files known
+    The first line of each file is the header and is skipped unread.  Empty fields at the end of a
+    line do not count; lines that then do not have exactly three fields are skipped silently, a
+    topic id or grade that is no number raises.  ``clean=True`` uses the CSV reader for files known
     to be well formed.
     """
     if clean:
         return (spark.read.schema(QRELS_SCHEMA).option("sep", "\t").option("header", True)
                 .option("mode", "FAILFAST").csv(path))
-    lines = spark.read.text(path)
-    parts = F.split(F.col("value"), "\t")
-    body = (
-        lines.filter(F.size(parts) == 3)
-        .select(
-            F.trim(parts.getItem(0)).alias("_q"),
-            parts.getItem(1).alias("doc_id"),
-            F.trim(parts.getItem(2)).alias("_s"),
-        )
-    )
-    # The header is the only 3-field line whose first field is not an integer.
-    body = body.filter(F.col("_q").rlike(r"^[+-]?\d+$"))
-    return body.select(
-        F.col("_q").cast("int").alias("query_id"), "doc_id", F.col("_s").cast("int").alias("score")
-    )
+    # a separator and a quote that no line holds: whole lines, without the header
+    lines = (spark.read.schema("value string").option("header", True).option("sep", "\u0001").option("quote", "\u0002")
+             .option("escape", "\u0002").csv(path))
+    parts = F.split(F.regexp_replace("value", r"\t+$", ""), "\t")
+    body = lines.select(parts.alias("f")).filter(F.size("f") == 3)
+    return body.select(F.trim(F.col("f")[0]).cast("int").alias("query_id"), F.col("f")[1].alias("doc_id"),
+                       F.trim(F.col("f")[2]).cast("int").alias("score"))
 
 
 def read_result_values(spark: SparkSession, path: str, run: str | None = None) -> DataFrame:

@@ -22,7 +22,7 @@ META_TOPIC = T.StructType([
 
 # One JSON object per line; only _id and metadata.query are used.
 TOPICS_SCHEMA = T.StructType([
-    T.StructField("_id", T.IntegerType()),
+    T.StructField("_id", T.StringType()),  # published files have numbers or strings
     T.StructField("text", T.StringType()),
     T.StructField("metadata", META_TOPIC),
 ])

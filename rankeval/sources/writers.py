@@ -1,8 +1,9 @@
 """Report sinks (S8-S11, with P4/P7 rendering).
 
 Every report goes to its own directory (``mode`` defaults to ``errorifexists``), so
-a re-run never appends a second header to an earlier file.  Reports have one row
-per topic (plus a mean row), so they are ordered and written as a single file.
+a re-run never appends a second header to an earlier file.  Rows are ordered over the
+part files (tasks write ranges of topics side by side; a small report is one file);
+``single_file=True`` asks for exactly one.
 """
 
 from __future__ import annotations
@@ -16,25 +17,26 @@ from rankeval.operators.evaluate import METRICS, mean_nonzero, with_mean_row
 METRIC_HEADERS = {"rr": "RR", "ap": "AP@N", "p": "P@N", "recall": "Recall@N"}
 
 
-def _single_file(df: DataFrame, order) -> DataFrame:
-    return df.orderBy(*order).coalesce(1)
+def _ordered(df: DataFrame, order, single_file: bool) -> DataFrame:
+    ordered = df.orderBy(*order)
+    return ordered.coalesce(1) if single_file else ordered
 
 
-def write_metrics_csv(metrics: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_metrics_csv(metrics: DataFrame, path: str, mode: str = "errorifexists", single_file: bool = False) -> None:
     """``Query,RR,AP@N,P@N,Recall@N,Cut`` per topic, then the ``-`` row of non-zero means."""
     rows = with_mean_row(metrics).withColumn("_last", (F.col("query") == "-").cast("int")).withColumn(
         "_q", F.expr("try_cast(query AS BIGINT)"))
-    out = _single_file(rows, ["_last", "_q"]).select(
+    out = _ordered(rows, ["_last", "_q"], single_file).select(
         F.col("query").alias("Query"), *[F.col(m).alias(METRIC_HEADERS[m]) for m in METRICS], F.col("cut").alias("Cut"))
     out.write.mode(mode).option("header", True).csv(path)
 
 
-def write_sweep_csv(wide: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_sweep_csv(wide: DataFrame, path: str, mode: str = "errorifexists", single_file: bool = False) -> None:
     """Wide training table ``Metrica,Query,Cut,<grid values...>`` plus the mean row."""
     labels = [c for c in wide.columns if c not in ("metric", "query", "cut")]
     rows = wide.withColumn("_last", (F.col("query") == "-").cast("int")).withColumn(
         "_q", F.expr("try_cast(query AS BIGINT)"))
-    out = _single_file(rows, ["_last", "_q"]).select(
+    out = _ordered(rows, ["_last", "_q"], single_file).select(
         F.col("metric").alias("Metrica"), F.col("query").alias("Query"), F.col("cut").alias("Cut"),
         *[F.col(f"`{l}`") for l in labels])
     out.write.mode(mode).option("header", True).csv(path)
@@ -45,7 +47,7 @@ def _fmt(c) -> F.Column:
 
 
 def write_test_csv(best: DataFrame, test_values: DataFrame, metric: str, path: str,
-                   mode: str = "errorifexists") -> None:
+                   mode: str = "errorifexists", single_file: bool = False) -> None:
     """Line 1 ``<best>,<metric>``; then ``<query>,<value>``; then ``-,<non-zero mean>``."""
     head = best.select(F.lit(0).alias("_part"), F.lit(None).cast("bigint").alias("_q"),
                        F.concat_ws(",", _fmt("param"), F.lit(metric)).alias("value"))
@@ -55,7 +57,7 @@ def write_test_csv(best: DataFrame, test_values: DataFrame, metric: str, path: s
         F.lit(2).alias("_part"), F.lit(None).cast("bigint").alias("_q"),
         F.concat_ws(",", F.lit("-"), _fmt(F.col("m"))).alias("value"))
     lines = head.unionByName(body).unionByName(mean)
-    _single_file(lines, ["_part", "_q"]).select("value").write.mode(mode).text(path)
+    _ordered(lines, ["_part", "_q"], single_file).select("value").write.mode(mode).text(path)
 
 
 def mean_nonzero_value():
@@ -70,6 +72,7 @@ def hits_report(topics: DataFrame, shown_hits: DataFrame, metrics: DataFrame, fi
     ``shown_hits`` has ``query_id, rank, id, title, text, url, pubmedId, score, rel``
     and at most ``top`` rows per topic, so gathering a topic's hits is bounded.
     """
+    # The labels of the report's layout.
     hit_text = F.concat_ws(
         "\n",
         F.concat(F.lit("Document with id: "), _fmt("id")),
@@ -106,5 +109,5 @@ def hits_report(topics: DataFrame, shown_hits: DataFrame, metrics: DataFrame, fi
     return blocks.withColumn("_last", F.lit(0)).unionByName(means.withColumn("_last", F.lit(1)))
 
 
-def write_hits_report(report: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    _single_file(report, ["_last", "_q"]).select("value").write.mode(mode).text(path)
+def write_hits_report(report: DataFrame, path: str, mode: str = "errorifexists", single_file: bool = False) -> None:
+    _ordered(report, ["_last", "_q"], single_file).select("value").write.mode(mode).text(path)

@@ -2,9 +2,10 @@
 
 The reference indexes a file in ``append`` / ``create_or_append`` mode; here the
 same open modes run once per micro-batch of a file stream.  Each micro-batch is
-one ``index_corpus`` call (upsert by id, last version wins) that writes a new
-complete index version, so readers always see a consistent version and a batch
-that is replayed after a failure only replaces the same ids again (idempotent).
+one ``index_corpus`` call (upsert by id, last version wins) that writes a new segment
+at the cost of the batch, so readers always see a consistent version and a batch
+that is replayed after a failure only replaces the same ids again (idempotent).  Inside
+a batch the version of a row is its file's time, its file and its place in it.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from rankeval.operators.index import flatten_articles, index_corpus
+from rankeval.sources.readers import file_version
 from rankeval.sources.schemas import CORPUS_SCHEMA
 
 
@@ -27,7 +29,8 @@ def index_stream(spark: SparkSession, source_dir: str, index_path: str, checkpoi
     reader = spark.readStream.schema(CORPUS_SCHEMA).option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    articles = flatten_articles(reader.json(source_dir))
+    raw = reader.json(source_dir).withColumn("version", file_version())
+    articles = flatten_articles(raw)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         index_corpus(batch, index_path, mode, partitions)

@@ -6,15 +6,18 @@ import duckdb
 import pytest
 
 import __spark_entry__ as se
+from rankeval.plans.named import QUERIES
+from rankeval.plans.oracle import SQL
 
 SF = "/root/testdata/sf0.001"
 SAMPLE = ["term_stats", "qrels_derived", "metrics_bm25", "metrics_float", "sweep_lambda", "best_k1",
-          "test_split_eval", "upsert_last_wins", "wilcoxon_exact", "welch_t"]
+          "test_split_eval", "upsert_last_wins", "wilcoxon_exact", "welch_t", "docs_flatten", "qrels_file",
+          "append_terms", "append_search", "hits_file", "metrics_file"]
 
 
 def _norm(v):
     if isinstance(v, float):
-        return ("nan",) if math.isnan(v) else round(v, 9)
+        return ("nan",) if math.isnan(v) else float(f"{v:.9e}")
     return v
 
 
@@ -26,7 +29,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(se.queries()) == set(se.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(se.queries()) and set(se.oracle_sql()) <= set(se.queries())
 
 
 @pytest.fixture(scope="module")

@@ -1,0 +1,184 @@
+"""Ranking on large collections, versions and segments of a saved index, pruning on its default layout."""
+
+import json
+import math
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from micro import frames
+from rankeval.operators import index as I
+from rankeval.operators.evaluate import evaluate, judge
+from rankeval.operators.models import BM25, JM, model_from_name
+from rankeval.operators.search import fetch_hits, search
+from rankeval.streaming import index_stream
+
+
+def _rows(df):
+    return sorted(map(str, (tuple(r) for r in df.collect())))
+
+
+def _stats(idx):
+    terms = idx.terms.groupBy("field", "term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf")).filter("df > 0")
+    return _rows(terms), _rows(idx.stats.select("field", "n_docs", "n_tokens", F.round("avgdl", 9)))
+
+
+def test_term_of_every_document_still_ranks(spark):
+    """200,000 documents that all hold the term: its idf is about 2.5e-6, and tf decides."""
+    n = 200_000
+    docs = spark.range(n).select(
+        F.col("id").alias("ord"), F.col("id").cast("string").alias("id"), F.lit("").alias("title"),
+        F.repeat(F.lit("the "), (F.col("id") % 20 + 1).cast("int")).alias("text"))
+    topics = spark.createDataFrame([(1, "the")], "query_id long, query string")
+    hits = search(I.build_index(docs, 8), topics, BM25(1.2), 10).orderBy("rank").collect()
+    assert [h.ord for h in hits] == list(range(19, 200, 20))
+    idf = math.log1p(0.5 / (n + 0.5))
+    assert hits[0].score == pytest.approx(idf * 20 / (20 + 1.2 * (0.25 + 0.75 * 20 / 10.5)), rel=1e-6)
+
+
+def test_versions_sort_as_numbers(spark, tmp_dir):
+    for v in ("v000009", "v999999", "v1000000"):
+        os.makedirs(f"{tmp_dir}/{v}/stats")
+        open(f"{tmp_dir}/{v}/stats/_SUCCESS", "w").close()
+    assert I._versions(spark, tmp_dir) == ["v000009", "v999999", "v1000000"]
+    assert I._next_version(spark, tmp_dir).endswith("/v1000001")
+
+
+def test_null_ids_are_all_kept(spark, tmp_dir):
+    docs = spark.createDataFrame([(None, "a b"), (None, "c"), ("x", "d"), ("x", "e")], "id string, text string").coalesce(1)
+    I.index_corpus(docs, f"{tmp_dir}/n")
+    idx = I.load_index(spark, f"{tmp_dir}/n")
+    assert sorted((r.id or "", r.text) for r in idx.docs.collect()) == [("", "a b"), ("", "c"), ("x", "e")]
+    I.index_corpus(spark.createDataFrame([(None, "f")], "id string, text string"), f"{tmp_dir}/n")
+    assert sorted((r.id or "") for r in I.load_index(spark, f"{tmp_dir}/n").docs.collect()) == ["", "", "", "x"]
+
+
+def test_numbers_of_a_batch_never_collide(spark):
+    base = I.build_index(spark.createDataFrame([(0, "d0", "apple")], "ord long, id string, text string"), 2)
+    up = I.upsert(base, spark.createDataFrame([(0, "dNEW", "apple")], "ord long, id string, text string"), 2)
+    assert len({r.ord for r in up.docs.collect()}) == 2
+    topics = spark.createDataFrame([(1, "apple")], "query_id long, query string")
+    assert search(up, topics, BM25(1.2), 10).count() == 2
+
+
+def test_explicit_version_wins(spark):
+    docs = spark.createDataFrame([("x", "new", 5), ("x", "old", 3), ("y", "one", 1)], "id string, text string, version int")
+    got = {r.id: r.text for r in I.build_index(docs.coalesce(1), 2, dedup=True).docs.collect()}
+    assert got == {"x": "new", "y": "one"}
+
+
+def test_stream_batch_keeps_the_newer_file(spark, tmp_dir):
+    """One micro-batch with a small older and a larger newer file: file time decides, not file size."""
+    src = f"{tmp_dir}/in"
+    os.makedirs(src)
+
+    def write(name, rows, when):
+        with open(f"{src}/{name}", "w") as f:
+            f.write("\n".join(json.dumps({"_id": i, "title": "t", "text": x, "metadata": {"url": "u", "pubmed_id": "p"}}) for i, x in rows) + "\n")
+        os.utime(f"{src}/{name}", (when, when))
+    write("b-old.jsonl", [("d1", "OLD")], 1_000_000_000)
+    write("a-new.jsonl", [("d1", "NEW")] + [(f"f{i}", "filler " * 50) for i in range(200)], 1_500_000_000)
+    index_stream(spark, src, f"{tmp_dir}/idx", f"{tmp_dir}/ck", partitions=2, available_now=True).awaitTermination(180)
+    assert [r.text for r in I.load_index(spark, f"{tmp_dir}/idx").docs.filter("id = 'd1'").collect()] == ["NEW"]
+
+
+def _corpus(spark, n, word="w", first=0):
+    return spark.range(first, first + n).select(
+        F.concat(F.lit("d"), F.col("id")).alias("id"), F.concat(F.lit("title "), F.col("id") % 7).alias("title"),
+        F.concat_ws(" ", F.lit(word), F.concat(F.lit("t"), F.col("id") % 13), F.concat(F.lit("u"), F.col("id"))).alias("text"))
+
+
+def _bytes(path):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet"))
+
+
+def test_segments_equal_a_rebuild_and_compact(spark, tmp_dir):
+    first, second, third = _corpus(spark, 60), _corpus(spark, 20, "changed", 50), _corpus(spark, 5, "again", 0)
+    for batch in (first, second, third):
+        I.index_corpus(batch, f"{tmp_dir}/s", partitions=2)
+    union = first.withColumn("version", F.lit(1)).unionByName(second.withColumn("version", F.lit(2))).unionByName(
+        third.withColumn("version", F.lit(3)))
+    rebuilt, seg = I.build_index(union, 2, dedup=True), I.load_index(spark, f"{tmp_dir}/s")
+    assert seg.segmented
+    live = ("id", "title", "text")
+    assert _rows(seg.docs.select(*live)) == _rows(rebuilt.docs.select(*live)) and _stats(seg) == _stats(rebuilt)
+    topics = spark.createDataFrame([(1, "w t3 again u4"), (2, "changed t1")], "query_id long, query string")
+
+    def scores(idx):
+        return _rows(search(idx, topics, JM(0.3), 100).join(idx.docs, "ord").select("query_id", "id", "score"))
+    want = scores(rebuilt)
+    assert scores(seg) == want
+    I.compact(spark, f"{tmp_dir}/s", 2)
+    whole = I.load_index(spark, f"{tmp_dir}/s")
+    assert not whole.segmented and _stats(whole) == _stats(rebuilt) and scores(whole) == want
+    assert I.drop_old_versions(spark, f"{tmp_dir}/s", keep=1) == ["v000001", "v000002", "v000003"]
+    assert scores(I.load_index(spark, f"{tmp_dir}/s")) == want
+
+
+def test_append_writes_the_batch_only(spark, tmp_dir):
+    written = []
+    for n in (200, 4000):
+        path = f"{tmp_dir}/a{n}"
+        I.index_corpus(_corpus(spark, n), path, partitions=2)
+        I.index_corpus(_corpus(spark, 20, "changed", 10), path, partitions=2)
+        written.append(_bytes(f"{path}/v000002"))
+    assert written[1] < 1.1 * written[0]
+
+
+def test_default_layout_prunes_postings_and_documents(spark, tmp_dir):
+    I.write_index(I.build_index(_corpus(spark, 3000).withColumn("ord", F.monotonically_increasing_id()), 8), f"{tmp_dir}/p", 8)
+    idx = I.load_index(spark, f"{tmp_dir}/p")
+    assert idx.term_partitions >= 4 and idx.buckets == 8
+    topics = spark.createDataFrame([(1, "u17")], "query_id long, query string")
+    plan = search(idx, topics, BM25(1.2), 10)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "EqualTo(term,u17)" in plan
+    hits = search(idx, topics, BM25(1.2), 10)
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")  # the plan then tells the buckets
+    try:
+        shown = fetch_hits(hits, idx.docs, broadcast_ok=True)
+        assert [r.id for r in shown.collect()] == ["d17"]
+        assert "SelectedBucketsCount: 1 out of 8" in shown._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+
+
+def test_grades_and_undefined_metrics(spark):
+    docs, topics, qrels = frames(spark)
+    idx = I.build_index(docs, 2)
+    judged = {(r.query_id, r.id): (r.grade, r.rel) for r in judge(search(idx, topics, BM25(1.2), 10), idx.docs, qrels).collect()}
+    assert judged[(1, "d1")] == (2, True) and judged[(1, "d0")] == (0, False) and judged[(3, "d0")] == (None, False)
+    nan = {r.query_id: r for r in evaluate(idx, topics, qrels, BM25(1.2), 3).collect()}
+    zero = {r.query_id: r for r in evaluate(idx, topics, qrels, BM25(1.2), 3, undefined="zero").collect()}
+    assert math.isnan(nan[2].p) and math.isnan(nan[3].recall)
+    assert zero[2].p == 0.0 and zero[3].recall == 0.0 and zero[1] == nan[1]
+    with pytest.raises(ValueError):
+        evaluate(idx, topics, qrels, BM25(1.2), 3, undefined="x")
+
+
+@pytest.mark.parametrize("bad", [lambda: BM25(float("inf")), lambda: BM25(-1), lambda: BM25(1, 2), lambda: JM(0), lambda: JM(1.1),
+                                 lambda: model_from_name("bm25", math.inf), lambda: JM(float("nan"))])
+def test_parameters_are_checked(bad):
+    with pytest.raises(ValueError):
+        bad()
+
+
+def test_shared_folder_is_required_on_a_cluster(spark):
+    from rankeval.session import checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Session:
+        sparkContext = Context
+
+        class conf:
+            @staticmethod
+            def get(*_):
+                return None
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(Session)

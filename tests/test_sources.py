@@ -2,6 +2,7 @@ import json
 import math
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from micro import frames
@@ -36,11 +37,28 @@ def test_qrels_tsv_skips_header_and_malformed(spark, tmp_dir):
     assert rows == [(1, "d1", 2), (2, "d3", 0), (3, "d4", 1)]
 
 
+def test_qrels_trailing_fields_header_and_bad_ids(spark, tmp_dir):
+    _write(f"{tmp_dir}/t.tsv", ["1\t2\t3", "1\td1\t2\t", "1\td2\t", "2\td3\t0\t\t", "", "2\td\"4\t1"])
+    rows = sorted(tuple(r) for r in read_qrels(spark, f"{tmp_dir}/t.tsv").collect())
+    assert rows == [(1, "d1", 2), (2, 'd"4', 1), (2, "d3", 0)]  # the first line is a header whatever it holds
+    _write(f"{tmp_dir}/bad.tsv", ["h", "x\td1\t2"])
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_qrels(spark, f"{tmp_dir}/bad.tsv").collect()
+
+
+def test_topic_ids_as_strings(spark, tmp_dir):
+    _write(f"{tmp_dir}/s.jsonl", [json.dumps({"_id": "7", "metadata": {"query": "q"}}), json.dumps({"_id": 8, "metadata": {"query": "r"}})])
+    assert sorted(tuple(r) for r in read_topics(spark, f"{tmp_dir}/s.jsonl").collect()) == [(7, "q"), (8, "r")]
+    _write(f"{tmp_dir}/x.jsonl", [json.dumps({"_id": "seven", "metadata": {"query": "q"}})])
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_topics(spark, f"{tmp_dir}/x.jsonl").collect()
+
+
 def test_reports_round_trip(spark, tmp_dir):
     docs, topics, qrels = frames(spark)
     idx = build_index(docs, 2)
     m = evaluate(idx, topics, qrels, BM25(1.2), 10)
-    W.write_metrics_csv(m, f"{tmp_dir}/metrics")
+    W.write_metrics_csv(m, f"{tmp_dir}/metrics", single_file=True)
     files = [f for f in os.listdir(f"{tmp_dir}/metrics") if f.endswith(".csv")]
     lines = open(f"{tmp_dir}/metrics/{files[0]}").read().splitlines()
     assert lines[0] == "Query,RR,AP@N,P@N,Recall@N,Cut"
@@ -50,11 +68,11 @@ def test_reports_round_trip(spark, tmp_dir):
     assert back == {r.query_id: r.rr for r in m.collect()}
 
     out = train_test(idx, topics, qrels, JM(), (1, 4), (1, 4), "MAP", 10)
-    W.write_sweep_csv(out["wide"], f"{tmp_dir}/train")
+    W.write_sweep_csv(out["wide"], f"{tmp_dir}/train", single_file=True)
     tf = [f for f in os.listdir(f"{tmp_dir}/train") if f.endswith(".csv")][0]
     head = open(f"{tmp_dir}/train/{tf}").readline().strip().split(",")
     assert head == ["Metrica", "Query", "Cut"] + [str(g) for g in LAMBDA_GRID]
-    W.write_test_csv(out["best"], out["test"], "MAP", f"{tmp_dir}/test")
+    W.write_test_csv(out["best"], out["test"], "MAP", f"{tmp_dir}/test", single_file=True)
     xf = [f for f in os.listdir(f"{tmp_dir}/test") if f.startswith("part-")][0]
     tl = open(f"{tmp_dir}/test/{xf}").read().splitlines()
     assert tl[0].endswith(",MAP") and tl[-1].startswith("-,") and len(tl) == 6
@@ -69,7 +87,7 @@ def test_hits_report(spark, tmp_dir):
     judged = judge(hits, idx.docs, qrels).filter("rank <= 2").select("query_id", "rank", "ord", "score", "rel")
     shown = fetch_hits(judged, idx.docs, broadcast_ok=True)  # 4 topics x 2 hits
     m = evaluate(idx, topics, qrels, BM25(1.2), 10)
-    W.write_hits_report(W.hits_report(topics, shown, m), f"{tmp_dir}/hits")
+    W.write_hits_report(W.hits_report(topics, shown, m), f"{tmp_dir}/hits", single_file=True)
     f = [x for x in os.listdir(f"{tmp_dir}/hits") if x.startswith("part-")][0]
     text = open(f"{tmp_dir}/hits/{f}").read()
     assert "Parsed query: text:apple" in text and "Relevant: Yes" in text and text.rstrip().splitlines()[-1].startswith("P@N: ")

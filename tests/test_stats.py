@@ -81,3 +81,37 @@ def test_compare_decision_and_baseline(spark):
          compare(runs, "t", 0.05, baseline="base").unionByName(compare(runs, "wilcoxon", 0.05, baseline="base")).collect()}
     assert d[("better", "wilcoxon")] == "rejected"
     assert d[("same", "t")] == "accepted"
+
+
+@pytest.mark.parametrize("df,t,p", [
+    (1e5, 2.0, 0.0455026), (1e6, 2.0, 0.0455003), (1e7, 2.0, 0.0455003), (1e9, 2.0, 0.0455003), (1e9, 0.0, 1.0),
+    (1.0, 1.0, 0.5), (1.0, 1e6, 6.366198e-7), (3.5, 0.0, 1.0), (30.0, 10.0, 4.5752514e-11)])
+def test_welch_p_value_for_any_df(spark, df, t, p):
+    from rankeval.functions.stats import welch_p_value
+    got = spark.range(1).select(welch_p_value(F.lit(t), F.lit(df)).alias("p")).first().p
+    assert got == pytest.approx(p, rel=2e-5)
+
+
+def test_nan_differences_count_but_are_never_positive(spark):
+    nan = float("nan")
+    r = wilcoxon_exact(_runs(spark, [1.0, 2.0, 3.0, 4.0, nan, 1.0], [0.5, 1.0, 1.5, 2.0, 1.0, nan])).first()
+    assert (r.n, r.w_plus, r.w_max) == (6, 0.0, 21.0) and r.p == pytest.approx(0.03125)
+
+
+def test_normal_approximation_is_explicit(spark):
+    from rankeval.operators.compare import wilcoxon
+    x, y = [0.0] * 40, [(-1) ** i * (1 + i % 7) + 0.5 for i in range(40)]
+    exact, normal = (wilcoxon(_runs(spark, x, y), m).first() for m in ("exact", "normal"))
+    assert normal.w_max == exact.w_max and normal.p == pytest.approx(exact.p, abs=0.02)
+    with pytest.raises(ValueError):
+        wilcoxon(_runs(spark, x, y), "other")
+    many = _runs(spark, [0.0] * 1500, [1.0 + i for i in range(1500)])
+    with pytest.raises(Exception, match="normal approximation"):
+        wilcoxon(many, "exact").collect()
+    assert wilcoxon(many, "normal").first().p < 1e-100
+
+
+@pytest.mark.parametrize("z,p", [(0.0, 1.0), (1.0, 0.3173105), (1.959964, 0.05), (5.0, 5.733e-7), (30.0, 9.8134e-198)])
+def test_normal_tail(spark, z, p):
+    from rankeval.functions.stats import _normal_two_sided
+    assert spark.range(1).select(_normal_two_sided(F.lit(z)).alias("p")).first().p == pytest.approx(p, rel=1e-4)

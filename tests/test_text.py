@@ -6,10 +6,30 @@ from rankeval.functions.text import query_echo, tokens
 def test_tokens_lowercase_unicode_and_split_long_runs(spark):
     df = spark.createDataFrame([("Don't STOP: naïve café 3.14 x_y " + "a" * 600,)], "t string")
     toks = df.select(tokens("t").alias("k")).collect()[0].k
-    assert toks[:8] == ["don", "t", "stop", "naïve", "café", "3", "14", "x_y"]
-    assert [len(t) for t in toks[8:]] == [255, 255, 90]
+    assert toks[:6] == ["don't", "stop", "naïve", "café", "3.14", "x_y"]
+    assert [len(t) for t in toks[6:]] == [255, 255, 90]
 
 
 def test_query_echo(spark):
-    df = spark.createDataFrame([("Covid Origin covid",)], "q string")
-    assert df.select(query_echo(tokens("q")).alias("e")).collect()[0].e == "text:covid text:origin text:covid"
+    df = spark.createDataFrame([("Wind Origin wind",)], "q string")
+    assert df.select(query_echo(tokens("q")).alias("e")).collect()[0].e == "text:wind text:origin text:wind"
+
+
+def test_word_rules(spark):
+    """Inner apostrophes and points, digits with commas, marks, ideographs, edges."""
+    cases = {
+        "don't U.S. e.g. rock'n'roll 'quoted' end.": ["don't", "u.s", "e.g", "rock'n'roll", "quoted", "end"],
+        "3.14 1,000.5 v1.2 a.1 1.a .5 5. 1,a": ["3.14", "1,000.5", "v1.2", "a", "1", "1", "a", "5", "5", "1", "a"],
+        "cafe\u0301 na\u0308ive": ["cafe\u0301", "na\u0308ive"],
+        "中文字 かな カタカナ 한국어 abc中def": ["中", "文", "字", "か", "な", "カタカナ", "한국어", "abc", "中", "def"],
+        "a_b __ x-y a..b l’eau": ["a_b", "__", "x", "y", "a", "b", "l’eau"],
+        "": [], "?!": [],
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t string").select("t", tokens("t").alias("k"))
+    assert {r.t: r.k for r in df.collect()} == cases
+
+
+def test_very_long_run_does_not_overflow(spark):
+    df = spark.createDataFrame([("a" * 300_000,), ("a." * 100_000,), ("a1" * 100_000,)], "t string").coalesce(1)
+    sizes = [r.n for r in df.select(F.size(tokens("t")).alias("n")).collect()]
+    assert sizes == [-(-300_000 // 255), -(-199_999 // 255), -(-200_000 // 255)]
