@@ -31,6 +31,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -40,16 +41,30 @@ from rankeval.session import checkpoint_dir
 
 VOCABULARY, END = "byte_bpe_50k.json", 0
 PRECISION, BLOCK, STEPS, EVERY = 20, 1 << 16, 512, 256
-CACHE = 300_000
+CACHE = 600_000
 HEADER, MAGIC = struct.Struct("<4sIIIII"), b"RB01"
 LOW = np.uint64(1 << 31)
 
 #: A single space before a character that is no white space always starts a new token of this vocabulary.
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 SPLIT, UNSAFE = re.compile(r" (?=\S)"), re.compile(r" (?=\s|\Z)")
 
 
+def _byte_alphabet() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable Latin-1 characters stand for
+    themselves, the others follow from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return [chr(b if b in plain else next(spare)) for b in range(256)]
+
+
 class Encoder:
-    """Ids of texts by the tokenizers library, remembering the ids of space-separated pieces."""
+    """Ids of texts by the tokenizers library, remembering the ids of space-separated pieces.
+
+    Letters go straight to the library's model, and marks that close them are looked up (the vocabulary's pattern cuts
+    between letters, marks and line feeds); other pieces go through the whole pipeline.  Pieces are kept for one to two
+    generations of ``CACHE``: frequent ones stay.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -59,45 +74,78 @@ class Encoder:
         self.length = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.length[i] = len(token)  # one character stands for one byte
+        self.width = 2 if len(self.length) <= 1 << 16 else 4
+        self.alphabet = _byte_alphabet()
+        self.model, self.space = self.tokenizer.model, self.alphabet[32]
         self.later: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
-
-    def plain(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        self.closing: dict[str, bytes] = {"": b"", "\n": self.plain("\n")}
+
+    def pack(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
+
+    def plain(self, text: str) -> bytes:
+        return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def word(self, text: str, space: str) -> bytes | None:
+        """Ids of letters with closing marks, after a space or not; None if the text is anything else."""
+        letters = text.rstrip(MARKS)
+        if not letters.isalpha():
+            return None
+        tail = text[len(letters):]
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(self.alphabet)
+        if tail not in self.closing:
+            if len(self.closing) > CACHE // 8:
+                self.closing = {"": b"", "\n": self.closing["\n"]}
+            self.closing[tail] = self.plain(tail)
+        return self.pack([t.id for t in self.model.tokenize(space + letters)]) + self.closing[tail]
+
+    def lines(self, piece: str) -> bytes | None:
+        """Ids of words joined by single line feeds, the first one after a space."""
+        parts = [self.word(x, "" if i else self.space) for i, x in enumerate(piece.split("\n"))]
+        return None if None in parts else self.closing["\n"].join(parts)
 
     def learn(self, pieces: list[str]) -> None:
         """Ids of `` piece`` for each piece: one call over all of them, cut at the pieces' byte lengths."""
-        ids = self.plain("".join([" " + p for p in pieces]))
+        ids = np.array(self.tokenizer.encode("".join([" " + p for p in pieces]), add_special_tokens=False).ids, np.int64)
         ends = np.cumsum([len(p.encode()) + 1 for p in pieces])
         reached = np.cumsum(self.length[ids])
         at = np.searchsorted(reached, ends)
         if len(reached) and at[-1] < len(reached) and np.array_equal(reached[at], ends):
-            begin = 0
-            for p, end in zip(pieces, (at + 1).tolist()):
-                self.later[p] = ids[begin:end].tobytes()
+            packed, begin = ids.astype(f"<u{self.width}").tobytes(), 0
+            for p, end in zip(pieces, ((at + 1) * self.width).tolist()):
+                self.later[p] = packed[begin:end]
                 begin = end
         else:
             for p in pieces:
-                self.later[p] = self.plain(" " + p).tobytes()
+                self.later[p] = self.plain(" " + p)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids per text."""
+        """Little-endian ids of ``width`` bytes per text."""
         if len(self.later) > CACHE:
-            self.later.clear()
-        if len(self.first) > CACHE // 8:
+            self.old, self.later = self.later, {}
             self.first.clear()
         cut = [SPLIT.split(t) if UNSAFE.search(t) else t.split(" ") for t in texts]
-        new = set()
+        wanted: set[str] = set()
         for pieces in cut:
-            new.update(pieces[1:])
-        new = [p for p in new if p not in self.later]
-        for i in range(0, len(new), 4096):
-            self.learn(new[i: i + 4096])
-        out, get = [], self.later.__getitem__
+            wanted.update(pieces[1:])
+        later, old, rest = self.later, self.old, []
+        for p in wanted.difference(later):
+            if (ids := old.get(p)) is not None:
+                later[p] = ids
+            elif (ids := self.lines(p) if "\n" in p else self.word(p, self.space)) is not None:
+                later[p] = ids
+            else:
+                rest.append(p)
+        for i in range(0, len(rest), 1024):
+            self.learn(rest[i: i + 1024])
+        out, get = [], later.__getitem__
         for pieces in cut:
             head = pieces[0]
             if head not in self.first:
-                self.first[head] = self.plain(head).tobytes() if head else b""
+                self.first[head] = self.plain(head)
             out.append(self.first[head] + b"".join(map(get, pieces[1:])))
         return out
 
@@ -118,16 +166,14 @@ def token_table(docs: DataFrame, path: str, end: int = END) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail, of = np.array([end], "<u4").tobytes(), encoder(path)
+        of = encoder(path)
+        tail = of.pack([end])
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                ids = of.encode([t.as_py() or "" for t in part.column(1)])
-                # 16 bits are enough for ids below 65,536: half the table's size
-                small = len(of.length) <= 1 << 16
-                ids = [np.frombuffer(x + tail, "<u4").astype("<u2" if small else "<u4").tobytes() for x in ids]
+                ids = [x + tail for x in of.encode([t.as_py() or "" for t in part.column(1)])]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(ids, pa.binary()), pa.array([2 if small else 4] * len(ids), pa.int32())],
+                    [part.column(0), pa.array(ids, pa.binary()), pa.array([of.width] * len(ids), pa.int32())],
                     ["doc_id", "ids", "width"])
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
@@ -145,10 +191,12 @@ def id_counts(tokens: DataFrame) -> dict[int, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids, width in zip(batch.column(0), batch.column(1)):
-                n = np.bincount(unpack(ids.as_py(), width.as_py()), minlength=len(total))
-                n[: len(total)] += total
-                total = n
+            for width in set(batch.column(1).to_pylist()):
+                own = batch.filter(pa.compute.equal(batch.column(1), width)).column(0)
+                for at in range(0, len(own), 1024):  # some megabytes at a time, not one count of all ids per document
+                    n = np.bincount(unpack(b"".join(own.slice(at, 1024).to_pylist()), width), minlength=len(total))
+                    n[: len(total)] += total
+                    total = n
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["id", "n"])
 
@@ -184,49 +232,64 @@ class Coder:
         self.slot = np.repeat(np.arange(len(freq), dtype=np.int32), freq)
 
     @staticmethod
-    def _lanes(sizes: np.ndarray):
-        """Per block its lanes; per lane its block, place and number of steps."""
+    def _layout(sizes: np.ndarray):
+        """Blocks by falling number of steps (so the lanes at work are always a prefix), and by lane: its block (in
+        that order), its first id, the distance between its ids, and its steps; per block also its lanes."""
         lanes = np.maximum(1, -(-sizes // STEPS))
+        order = np.argsort(-(-(-sizes // lanes)), kind="stable")
+        base = (np.cumsum(sizes) - sizes)[order]
+        sizes, lanes = sizes[order], lanes[order]
         block = np.repeat(np.arange(len(sizes)), lanes)
         place = np.arange(len(block)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
-        return lanes, block, place, (sizes[block] - place + lanes[block] - 1) // lanes[block]
+        stride = lanes[block]
+        return order, lanes, block, base[block] + place, stride, (sizes[block] - place + stride - 1) // stride
+
+    @staticmethod
+    def _prefixes(lanes: np.ndarray, longest: np.ndarray) -> np.ndarray:
+        """Lanes at work at each step: those of the blocks with more steps."""
+        steps = int(longest.max(initial=0))
+        blocks = np.searchsorted(-longest, -np.arange(steps), "left")
+        return np.r_[0, np.cumsum(lanes)][blocks]
 
     def encode(self, blocks: list[np.ndarray]) -> list[bytes]:
         sizes = np.array([len(b) for b in blocks], np.int64)
-        lanes, block, place, steps = self._lanes(sizes)
-        ids, base = np.concatenate(blocks), np.cumsum(sizes) - sizes
+        order, lanes, block, at, stride, steps = self._layout(sizes)
+        longest = -(-sizes[order] // lanes)
+        prefix, ids = self._prefixes(lanes, longest), np.concatenate(blocks)
         x = np.full(len(block), LOW, np.uint64)
-        at = base[block] + place
         words, owner, marks = [], [], {}
-        for t in range(int(steps.max(initial=0)) - 1, -1, -1):
-            live = np.flatnonzero(steps > t)
-            s = ids[at[live] + t * lanes[block[live]]]
-            f, y = self.freq[s], x[live]
+        for t in range(len(prefix) - 1, -1, -1):
+            k = prefix[t]
+            y, idle = x[:k], np.flatnonzero(steps[:k] <= t)  # idle: lanes that end one step before their block
+            s = ids.take(at[:k] + t * stride[:k], mode="clip")
+            f = self.freq[s]
             out = y >= f << (np.uint64(63) - self.m)
+            out[idle] = False
             words.append((y[out] & np.uint64(0xFFFFFFFF)).astype("<u4"))
-            owner.append(block[live[out]])
-            y[out] >>= np.uint64(32)
-            q, r = np.divmod(y, f)
-            x[live] = (q << self.m) + r + self.cum[s]
+            owner.append(block[:k][out])
+            z = np.where(out, y >> np.uint64(32), y)
+            q = z // f
+            z = (q << self.m) + (z - q * f) + self.cum[s]
+            z[idle] = LOW
+            x[:k] = z
             if t and t % EVERY == 0:
                 marks[t] = (x.copy(), len(words))
+        ahead = {t: np.bincount(np.concatenate(owner[n:]), minlength=len(blocks)) if n < len(owner) else np.zeros(len(blocks), np.int64)
+                 for t, (_, n) in marks.items()}
         words.reverse()
         owner.reverse()
         word, own = (np.concatenate(words), np.concatenate(owner)) if words else (np.empty(0, "<u4"), np.empty(0, np.int64))
         word = word[np.argsort(own, kind="stable")]  # by block, in the order of steps and lanes
         count = np.bincount(own, minlength=len(blocks))
-        ends, lane_ends, result = np.cumsum(count), np.cumsum(lanes), []
-        ahead = {t: count - np.bincount(np.concatenate(owner[len(owner) - n:]), minlength=len(blocks))
-                 for t, (_, n) in marks.items()}
-        longest = -(-sizes // lanes)
-        for i, b in enumerate(blocks):
-            a, z = int(lane_ends[i] - lanes[i]), int(lane_ends[i])
+        ends, lane_ends, result = np.cumsum(count), np.cumsum(lanes), [b""] * len(blocks)
+        for i, j in enumerate(order.tolist()):
+            b, a, z = blocks[j], int(lane_ends[i] - lanes[i]), int(lane_ends[i])
             own_marks = [t for t in sorted(marks) if t < longest[i]]
             parts = [HEADER.pack(MAGIC, len(b), int(lanes[i]), int(count[i]), len(own_marks), zlib.crc32(b.astype("<u4").tobytes())),
                      x[a:z].astype("<u8").tobytes()]
             for t in own_marks:
                 parts += [struct.pack("<I", int(ahead[t][i])), marks[t][0][a:z].astype("<u8").tobytes()]
-            result.append(b"".join([*parts, word[ends[i] - count[i]: ends[i]].tobytes()]))
+            result[j] = b"".join([*parts, word[ends[i] - count[i]: ends[i]].tobytes()])
         return result
 
     def decode(self, payloads: list[bytes], first: int = 0) -> list[np.ndarray]:
@@ -235,15 +298,17 @@ class Coder:
         if any(h[0] != MAGIC for h in heads):
             raise ValueError("not a block of this format")
         sizes = np.array([h[1] for h in heads], np.int64)
-        lanes, block, place, steps = self._lanes(sizes)
+        order, lanes, block, at, stride, steps = self._layout(sizes)
+        prefix = self._prefixes(lanes, -(-sizes[order] // lanes))
         states, words, skip = [], [], []
-        for p, (_, _, n, count, marks, _) in zip(payloads, heads):
-            at, skipped = HEADER.size, 0
-            tail = at + 8 * n + marks * (4 + 8 * n)
+        for j in order.tolist():
+            p, (_, _, n, count, marks, _) = payloads[j], heads[j]
+            place, skipped = HEADER.size, 0
+            tail = place + 8 * n + marks * (4 + 8 * n)
             if first:
-                at += 8 * n + (first - 1) * (4 + 8 * n) + 4
-                skipped = struct.unpack_from("<I", p, at - 4)[0]
-            states.append(np.frombuffer(p, "<u8", n, at))
+                place += 8 * n + (first - 1) * (4 + 8 * n) + 4
+                skipped = struct.unpack_from("<I", p, place - 4)[0]
+            states.append(np.frombuffer(p, "<u8", n, place))
             words.append(np.frombuffer(p, "<u4", count, tail))
             skip.append(skipped)
         x = np.concatenate(states).astype(np.uint64) if states else np.empty(0, np.uint64)
@@ -251,26 +316,29 @@ class Coder:
         word = np.concatenate([*words, np.zeros(1, "<u4")]).astype(np.uint64)
         counts = np.array([len(w) for w in words], np.int64)
         read = np.cumsum(counts) - counts + np.array(skip, np.int64)
-        base = np.cumsum(sizes) - sizes
-        out, mask = np.zeros(int(sizes.sum()), np.int64), np.uint64((1 << int(self.m)) - 1)
-        at = base[block] + place
-        for t in range(first * EVERY, int(steps.max(initial=0))):
-            live = np.flatnonzero(steps > t)
-            y, own = x[live], block[live]
+        total = int(sizes.sum())
+        out, mask = np.zeros(total + 1, np.int64), np.uint64((1 << int(self.m)) - 1)
+        for t in range(first * EVERY, len(prefix)):
+            k = prefix[t]
+            y, idle = x[:k], np.flatnonzero(steps[:k] <= t)
             low = y & mask
             s = self.slot[low]
-            out[at[live] + t * lanes[own]] = s
+            to = at[:k] + t * stride[:k]
+            to[idle] = total
+            out[to] = s
             y = self.freq[s] * (y >> self.m) + low - self.cum[s]
+            y[idle] = LOW
             need = np.flatnonzero(y < LOW)
             if len(need):
-                owner = own[need]  # ascending: lanes of a block lie together
+                owner = block[need]  # ascending: lanes of a block lie together
                 begin = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
                 size = np.diff(np.r_[begin, len(owner)])
                 rank = np.arange(len(owner)) - np.repeat(begin, size)
                 y[need] = (y[need] << np.uint64(32)) | word.take(read[owner] + rank, mode="clip")
                 read[owner[begin]] += size
-            x[live] = y
-        skipped = [min(first * EVERY * int(n), int(z)) for n, z in zip(lanes, sizes)]
+            x[:k] = y
+        base = np.cumsum(sizes) - sizes
+        skipped = [min(first * EVERY * h[2], h[1]) for h in heads]
         return [out[b + k: b + z] for b, z, k in zip(base.tolist(), sizes.tolist(), skipped)]
 
 
@@ -325,26 +393,29 @@ def stored_checksum(payload: bytes) -> int:
     return HEADER.unpack_from(payload)[5]
 
 
-def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, block, ids) decoded from the files; raises on a checksum that does not hold."""
+def read_ids(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
+    """(doc_id, block, ids) decoded from the files, or with ``digest`` (doc_id, block, crc, n_bytes) of the decoded
+    ids; raises on a checksum that does not hold."""
     freq = read_table(spark, path)
     blocks = spark.read.parquet(f"{path}/blocks")
     id_type = blocks.schema["doc_id"].dataType.simpleString()
+    results = (("crc", "bigint"), ("n_bytes", "bigint")) if digest else (("ids", "binary"),)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(freq)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                payloads, ids = part.column(2).to_pylist(), []
+                payloads, ids, crcs = part.column(2).to_pylist(), [], []
                 for p, values in zip(payloads, coder.decode(payloads)):
                     ids.append(values.astype("<u4").tobytes())
-                    if zlib.crc32(ids[-1]) != stored_checksum(p):
+                    crcs.append(zlib.crc32(ids[-1]))
+                    if crcs[-1] != stored_checksum(p):
                         raise ValueError("checksum of a block does not hold")
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(ids, pa.binary())], ["doc_id", "block", "ids"])
+                out = [pa.array(crcs, pa.int64()), pa.array(list(map(len, ids)), pa.int64())] if digest else [pa.array(ids, pa.binary())]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *out], ["doc_id", "block", *[n for n, _ in results]])
 
-    return blocks.mapInArrow(run, struct_of(("doc_id", id_type), ("block", "int"), ("ids", "binary")))
+    return blocks.mapInArrow(run, struct_of(("doc_id", id_type), ("block", "int"), *results))
 
 
 def _zeros(crc: int, n: int) -> int:
@@ -377,9 +448,9 @@ def join_crc32(parts: list[tuple[int, int]]) -> int:
 
 def documents_back(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 per document, from the files alone."""
-    ids = read_ids(spark, path)
+    ids = read_ids(spark, path, digest=True)
     id_type = ids.schema["doc_id"].dataType.simpleString()
-    parts = ids.select("doc_id", F.struct("block", F.crc32("ids").alias("crc"), F.octet_length("ids").cast("long").alias("n")).alias("part"))
+    parts = ids.select("doc_id", F.struct("block", "crc", F.col("n_bytes").alias("n")).alias("part"))
     grouped = materialise(parts.groupBy("doc_id").agg(F.sort_array(F.collect_list("part")).alias("parts")), "parts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

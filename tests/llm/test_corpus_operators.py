@@ -338,7 +338,7 @@ def test_join_crc32(parts):
 def test_encoder_equals_the_library(text):
     of = R.encoder(R.vocabulary_path())
     want = of.tokenizer.encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(of.encode([text])[0], "<u4").tolist() == want
+    assert np.frombuffer(of.encode([text])[0], f"<u{of.width}").tolist() == want
 
 
 def test_files_round_trip(spark):
@@ -354,6 +354,8 @@ def test_files_round_trip(spark):
         want = np.array([*library.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
         assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (d, start, len(want), zlib.crc32(want.tobytes()))
         start += len(want)
+    ids = {(r.doc_id, r.block): r.ids for r in R.read_ids(spark, path).collect()}
+    assert np.frombuffer(ids[3, 0], "<u4").tolist() == [*library.encode("hello world", add_special_tokens=False).ids, 0]
     blocks = spark.read.parquet(f"{path}/blocks")
     assert blocks.filter("doc_id = 4").count() > 1
     # a damaged block is noticed
