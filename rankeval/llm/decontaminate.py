@@ -37,7 +37,7 @@ from .common import materialise, struct_of, table
 RANK, OVERSAMPLE, SEED = 96, 16, 42
 TILE, MAX_DF, RAREST = 64, 0.1, 5
 MIN_COSINE, SURE, MAYBE, ANSWER = 0.45, 0.8, 0.55, 0.6
-BLOCK_BYTES, TERM_BLOCK = 4 << 20, 512
+BLOCK_BYTES, TERM_BLOCK, SEGMENT = 4 << 20, 512, 1 << 18
 
 WORDS = re.compile(r"\w+")
 SENTENCE = re.compile(r"[.!?\n]+")
@@ -245,7 +245,22 @@ class Searcher:
         self.queries = (rows / np.where(norm > 0, norm, 1)).T.astype(np.float32)
 
     def candidates(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, int, float]]:
-        """(text, first word of the tile, piece, cosine)."""
+        """(text, first word of the tile, piece, cosine); long texts in overlapping segments, so memory is bounded."""
+        group, held = [], 0
+        for t, words in enumerate(texts):
+            for at in range(0, max(1, len(words)), SEGMENT):
+                group.append((t, at, words[at: at + SEGMENT + TILE]))
+                held += len(group[-1][2])
+                if held >= SEGMENT:
+                    yield from self._tiled(group)
+                    group, held = [], 0
+        yield from self._tiled(group)
+
+    def _tiled(self, group: list[tuple[int, int, np.ndarray]]) -> Iterator[tuple[int, int, int, float]]:
+        for i, start, piece, cosine in self._candidates([w for _, _, w in group]):
+            yield group[i][0], group[i][1] + start, piece, cosine
+
+    def _candidates(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, int, float]]:
         step = TILE // 4
         words, tile, first, n = _tiles(texts, step, self.weight)
         if not len(words):

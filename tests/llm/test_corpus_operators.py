@@ -432,3 +432,16 @@ def test_revisits_against_brute_force(spark):
 def test_materialise_reads_what_it_wrote(spark):
     df = spark.range(5).withColumn("x", F.lit(None).cast("string"))
     assert bag(materialise(df, "t")) == bag(df)
+
+
+def test_leak_across_segments(spark, monkeypatch):
+    """A passage that spans the border of two segments of a long text is found."""
+    item = [f"q{i}" for i in range(40)]
+    words = ["the", "of", "and"] * 100
+    docs = docs_of(spark, [" ".join(words[:n] + item + words) for n in (0, 100, 120, 127, 128, 200)] + [" ".join(words)])
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(f"r{i}" for i in range(20)))], "item_id long, text string")
+    (search, numbered), = D.searchers(docs, bench)
+    monkeypatch.setattr(D, "SEGMENT", 128)
+    texts = {r.doc_id: np.frombuffer(r.words, "<i4") for r in numbered.collect()}
+    found = search.leaks([texts[d] for d in range(7)])
+    assert [sorted(f) for f in found] == [[0]] * 6 + [[]]
