@@ -3,7 +3,7 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Prints one JSON line.  The index is built from ``documents`` and written once to
-a fresh scratch directory (timed as ``index_build``); every later step reads the
+a new folder below ``BENCH_SCRATCH`` or the session's checkpoint folder (timed as ``index_build``); every later step reads the
 saved index, as a search service would.  Each step runs to completion through the
 ``noop`` sink, so the full plan executes without collecting rows.
 """
@@ -13,8 +13,8 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -33,7 +33,9 @@ def main() -> None:
     from rankeval.operators.models import BM25, JM
     from rankeval.sources import fixtures as fx
 
-    scratch = tempfile.mkdtemp(prefix="rankeval-bench-")
+    from rankeval.session import checkpoint_dir
+
+    scratch = f"{os.environ.get('BENCH_SCRATCH') or checkpoint_dir(spark)}/rankeval-bench-{uuid.uuid4().hex}"
     times: dict[str, float] = {}
 
     def run(name, fn):
@@ -71,8 +73,8 @@ def main() -> None:
     run("sweep_k1", lambda: T.sweep(idx, topics, qrels, [BM25()], [T.K1_GRID], 10))
     run("sweep_lambda", lambda: T.sweep(idx, topics, qrels, [JM()], [T.LAMBDA_GRID], 10))
     n = topics.count()
-    half = n // 2
-    run("train_test", lambda: T.train_test(idx, topics, qrels, JM(), (0, half - 1), (half, n - 1), "MAP", 10)["test"])
+    train, test = fx.train_test_ranges(spark, sf_dir)
+    run("train_test", lambda: T.train_test(idx, topics, qrels, JM(), train, test, "MAP", 10)["test"])
 
     def runs_df():
         sw = T.sweep(idx, topics, qrels, [BM25(), JM()], [(0.4, 1.2, 2.0), (0.1, 0.5)], 10, "double")

@@ -81,17 +81,21 @@ def flatten_articles(articles: DataFrame) -> DataFrame:
 def assign_ord(corpus: DataFrame, base: DataFrame | None = None, first: int = 0) -> DataFrame:
     """Give every document a unique internal number after the base index's maximum (or from ``first`` on).
 
-    ``monotonically_increasing_id`` depends on the input partitioning and row order,
-    which a recomputed task after an executor loss need not reproduce when the input
-    went through a shuffle.  The numbered corpus is therefore pinned with a reliable
-    checkpoint in the shared checkpoint folder before anything else reads it.
+    ``monotonically_increasing_id`` depends on the input partitioning and row order.  A file
+    scan with projections and filters reproduces both, so nothing needs to be copied; behind a
+    shuffle, Python or an RDD a recomputed task may not, and the numbered corpus is pinned with a
+    reliable checkpoint in the shared folder before anything else reads it.
     """
     if "ord" in corpus.columns:
         return corpus
     offset = F.lit(first)
     if base is not None:
         offset = base.agg(F.coalesce(F.max("ord") + 1, F.lit(0)).alias("m")).scalar()
-    return cut_lineage(corpus.withColumn("ord", F.monotonically_increasing_id() + offset))
+    numbered = corpus.withColumn("ord", F.monotonically_increasing_id() + offset)
+    plan = corpus._jdf.queryExecution().executedPlan().toString()
+    if "FileScan" in plan and not any(x in plan for x in ("Exchange", "RDD", "Python", "Arrow", "Pandas", "InMemory")):
+        return numbered
+    return cut_lineage(numbered)
 
 
 def _docs(corpus: DataFrame) -> DataFrame:

@@ -25,7 +25,8 @@ from rankeval.operators.index import Index, term_bucket, term_stats
 from rankeval.session import bounded, cut_lineage
 
 # Largest query-term table we broadcast (rows: one per distinct (query, term)).
-MAX_BROADCAST_QUERY_TERMS = 500_000
+# A term has at most 255 characters, so this many rows stay far under 100 MB.
+MAX_BROADCAST_QUERY_TERMS = 100_000
 # Most query terms, and most hits, that are handed to a scan as literals.
 MAX_TERM_LITERALS, MAX_HIT_LITERALS = 64, 1000
 
