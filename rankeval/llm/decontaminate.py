@@ -10,7 +10,8 @@
    gives the Ritz vectors.
 4. Candidates: every tile and half tile (each overlapping the next by half) whose latent vector has a cosine of
    ``MIN_COSINE`` or more with that of a benchmark piece.  No cap on candidates.
-5. Checks on the words: the longest common subsequence with the item, in windows of 1.5 times its length around the
+5. Checks on the words: first an exact bound (the content words of the item around the tile, and all its words in a
+   window, are at least as many as the common subsequence needs), then the longest common subsequence with the item, in windows of 1.5 times its length around the
    tile.  A share of ``SURE`` decides alone; from ``MAYBE`` on the item's answer (its last sentence, or the last
    third of a single sentence) must also be there by ``ANSWER`` of its words.
 
@@ -136,10 +137,10 @@ def gram_times(words: np.ndarray, tile: np.ndarray, weight: np.ndarray, right: n
     pair = tile * len(weight) + words
     pair, tf = np.unique(pair, return_counts=True)
     tile, words = np.divmod(pair, len(weight))
-    value = (weight[words] * tf).astype(np.float64)
+    value = (weight[words] * tf).astype(right.dtype)
     begin = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]])
     row = np.cumsum(np.r_[False, tile[1:] != tile[:-1]])
-    value /= np.sqrt(np.add.reduceat(value * value, begin))[row]
+    value /= np.sqrt(np.add.reduceat(value * value, begin, dtype=np.float64)).astype(right.dtype)[row]
     product = np.add.reduceat(value[:, None] * right[words], begin)
     order = np.argsort(words, kind="stable")
     words = words[order]
@@ -152,12 +153,12 @@ def gram_times(words: np.ndarray, tile: np.ndarray, weight: np.ndarray, right: n
 def _distributed_gram_times(numbered: DataFrame, weight: np.ndarray, right: np.ndarray) -> np.ndarray:
     """A'(A right) over the passages of all documents; sums meet by block of vocabulary rows."""
     spark = numbered.sparkSession
-    shared = spark.sparkContext.broadcast((weight, right))
+    shared = spark.sparkContext.broadcast((weight, right.astype(np.float32)))  # tasks add batches up in double
     columns = right.shape[1]
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight, right = shared.value
-        total = np.zeros_like(right)
+        total = np.zeros(right.shape)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 texts = [np.frombuffer(w.as_py(), "<i4") for w in batch.column(0).slice(at, 256)]
@@ -243,6 +244,17 @@ class Searcher:
         rows = np.stack([self.vector[benchmark.items[i][at: at + TILE]].sum(0) for i, at in benchmark.pieces])
         norm = np.linalg.norm(rows, axis=1, keepdims=True)
         self.queries = (rows / np.where(norm > 0, norm, 1)).T.astype(np.float32)
+        # items of each content word (flat lists), and per item the content words without which no share of
+        # MAYBE is possible even if all its other words were there in order
+        content = [np.unique(x)[weight[np.unique(x)] > 0] for x in benchmark.items]
+        word, item = np.concatenate(content), np.repeat(np.arange(len(content)), [len(c) for c in content])
+        order = np.argsort(word, kind="stable")
+        self.holders = item[order]
+        self.holders_from = np.searchsorted(word[order], np.arange(benchmark.size + 1))
+        self.needed = np.array([int(np.ceil(MAYBE * len(x) - 1e-9)) - int((weight[np.array(x)] == 0).sum()) for x in benchmark.items])
+        self.piece_item, self.piece_at = np.array(benchmark.pieces).T
+        self.lengths = np.array([len(x) for x in benchmark.items])
+        self.slot = np.zeros(benchmark.size, np.int64)
 
     def candidates(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, int, float]]:
         """(text, first word of the tile, piece, cosine); long texts in overlapping segments, so memory is bounded."""
@@ -269,6 +281,10 @@ class Searcher:
         for part in _pieces(tile):
             begin = np.flatnonzero(np.r_[True, np.diff(tile[part]) > 0])
             rows[tile[part][begin]] = np.add.reduceat(self.vector[words[part]], begin)
+        ends = np.r_[first[1:], n]
+        count = self.holders_from[words + 1] - self.holders_from[words]
+        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(self.holders_from[words], count)
+        held = np.sort(self.holders[at] * n + np.repeat(tile, count))
         owner = np.repeat(np.arange(len(first)), np.diff(np.r_[first, n]))
         place = np.arange(n) - first[owner]
         for quarters in (2, 4):  # half tiles and whole tiles, each overlapping the next by half
@@ -281,35 +297,68 @@ class Searcher:
             for at in range(0, len(live), 8192):
                 part = live[at: at + 8192]
                 cosine = (joined[part] / norm[part, None]) @ self.queries
-                for r, p in zip(*np.nonzero(cosine >= self.min_cosine)):
-                    yield int(owner[part[r]]), int(place[part[r]]) * step, int(p), float(cosine[r, p])
-
-    def check(self, words: np.ndarray, start: int, piece: int) -> tuple[float, float, int, int]:
-        """Best (share of the item, share of its answer, first word, end) around a candidate tile."""
-        i, offset = self.benchmark.pieces[piece]
+                r, p = np.nonzero(cosine >= self.min_cosine)
+                near = part[r]
+                item, start = self.piece_item[p], place[near] * step - self.piece_at[p]
+                low, high = start - self.lengths[item], start + TILE + 2 * self.lengths[item]
+                # content words of the item around the tile, counted exactly
+                a = item * n + first[owner[near]] + np.clip(low // step, 0, None)
+                b = item * n + np.minimum(first[owner[near]] + -(-high // step), ends[owner[near]])
+                enough = np.searchsorted(held, b) - np.searchsorted(held, a) >= self.needed[item]
+                for t, q, c, k in zip(owner[near][enough].tolist(), p[enough].tolist(), cosine[r, p][enough].tolist(),
+                                      (place[near][enough] * step).tolist()):
+                    yield t, k, q, c
+
+    def check(self, words: np.ndarray, i: int, begins: list[int]) -> tuple[float, float, int, int]:
+        """Best (share of item i, share of its answer, first word, end) in windows around the places (first words
+        of tiles, less their pieces' offsets); overlapping places share their windows."""
         item, answer = self.benchmark.items[i], self.benchmark.answers[i]
         n = len(item)
-        width, low = n + n // 2 + 8, max(0, start - offset - n)
-        high = min(len(words), start + TILE - offset + 2 * n)
-        best, known = (0.0, 0.0, 0, 0), set(item)
-        for at in range(low, max(low + 1, high - n), max(1, n // 4)):
-            window = [w for w in words[at: at + width].tolist() if w in known]
-            if len(window) <= best[0] * n:
+        width, step, least = n + n // 2 + 8, max(1, n // 4), int(np.ceil(MAYBE * n - 1e-9))
+        low = np.clip(np.array(begins) - n, 0, None) // step
+        high = np.maximum(low, (np.minimum(np.array(begins) + TILE + 2 * n, len(words)) - n) // step)
+        starts = np.unique(np.concatenate([np.arange(x, y + 1) for x, y in zip(low.tolist(), high.tolist())])) * step
+        base = int(starts[0])
+        part = words[base: int(starts[-1]) + width]
+        kinds, times = np.unique(item, return_counts=True)
+        self.slot[kinds] = np.arange(1, len(kinds) + 1)
+        slot = self.slot[part]
+        self.slot[kinds] = 0
+        known = slot > 0
+        upto, content = np.r_[0, np.cumsum(known)], np.r_[0, np.cumsum(known & (self.weight[part] > 0))]
+        starts = np.minimum(starts - base, len(part))
+        ends = np.minimum(starts + width, len(part))
+        counts = upto[ends] - upto[starts]
+        live = np.flatnonzero((counts >= least) & (content[ends] - content[starts] >= self.needed[i]))
+        best = (0.0, 0.0, 0, 0)
+        for k in live[np.argsort(-counts[live], kind="stable")].tolist():
+            if counts[k] <= best[0] * n:
+                break
+            a, z = int(starts[k]), int(ends[k])
+            inside = known[a:z]
+            # no common subsequence is longer than what the two bags of words share
+            shared = int(np.minimum(np.bincount(slot[a:z][inside], minlength=len(kinds) + 1)[1:], times).sum())
+            if shared < max(least, best[0] * n + 1e-9):
                 continue
+            window = part[a:z][inside].tolist()
             share = common_subsequence(item, window) / n
             if share > best[0]:
-                best = (share, common_subsequence(item[answer:], window) / (n - answer), at, min(at + width, len(words)))
+                best = (share, common_subsequence(item[answer:], window) / (n - answer), base + a, base + z)
         return best
 
     def leaks(self, texts: list[np.ndarray]) -> list[dict[int, tuple]]:
         """Per text: item number -> (cosine, share, answer share, first word, end) of what counts as a leak."""
-        found: list[dict[int, tuple]] = [{} for _ in texts]
+        places: dict[tuple[int, int], tuple[list[int], float]] = {}
         for t, start, piece, cosine in self.candidates(texts):
-            share, answer, a, b = self.check(texts[t], start, piece)
+            i, offset = self.benchmark.pieces[piece]
+            begins, most = places.get((t, i), ([], 0.0))
+            begins.append(start - offset)
+            places[t, i] = begins, max(most, cosine)
+        found: list[dict[int, tuple]] = [{} for _ in texts]
+        for (t, i), (begins, cosine) in places.items():
+            share, answer, a, b = self.check(texts[t], i, begins)
             if share >= SURE or (share >= MAYBE and answer >= ANSWER):
-                i = self.benchmark.pieces[piece][0]
-                if i not in found[t] or found[t][i][1:3] < (share, answer):
-                    found[t][i] = (cosine, share, answer, a, b)
+                found[t][i] = (cosine, share, answer, a, b)
         return found
 
 
