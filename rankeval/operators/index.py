@@ -57,8 +57,13 @@ class Index:
     term_partitions: int = 0
     # Saved indexes: number of ord buckets (document partitions); 0 when unknown.
     buckets: int = 0
-    # Saved indexes with appended segments: ``terms`` holds one row per segment and term.
-    segmented: bool = False
+    # Saved indexes with appended segments: the changes of df and cf, one row per segment and term,
+    # which ``terms`` adds up; a search adds up those of its own terms only.
+    term_changes: DataFrame | None = None
+
+    @property
+    def segmented(self) -> bool:
+        return self.term_changes is not None
 
     def field_postings(self, field: str) -> DataFrame:
         if field in self.by_field:
@@ -473,7 +478,10 @@ def load_index(spark: SparkSession, path: str) -> Index:
         # numbers are never reused, so a number replaced by any later segment is dead in all of them
         for name in ("docs", "lengths", "postings"):
             one[name] = one[name].join(one["replaced"], "ord", "left_anti")
-    return Index(one["docs"], one["lengths"], one["postings"], one["terms"], stats, segmented="replaced" in one,
+    changes = one["terms"] if "replaced" in one else None
+    if changes is not None:
+        one["terms"] = changes.groupBy("field", "tb", "term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf")).filter("df > 0")
+    return Index(one["docs"], one["lengths"], one["postings"], one["terms"], stats, term_changes=changes,
                  term_partitions=int(meta["term_partitions"]), buckets=int(meta["buckets"]))
 
 

@@ -84,7 +84,7 @@ def query_statistics(index: Index, qterms: DataFrame, broadcast_ok: bool, field:
         # Lazily built index: aggregate df / cf for the query terms only.
         tstats = term_stats(index.by_field[field].join(q.select(*keys), keys, "left_semi")).select(*keys, "df", "cf")
     else:
-        tstats = index.terms.filter(F.col("field") == field).select(*keys, "df", "cf")
+        tstats = (index.term_changes if index.segmented else index.terms).filter(F.col("field") == field).select(*keys, "df", "cf")
         if index.segmented:  # changes of several segments: add up those of the query terms
             tstats = (tstats.join(q.select(*keys), keys, "left_semi").groupBy(*keys)
                       .agg(F.sum("df").alias("df"), F.sum("cf").alias("cf")).filter("df > 0"))

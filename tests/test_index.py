@@ -88,6 +88,9 @@ def test_saved_index_prunes_term_partitions_and_keeps_buckets(spark, tmp_dir):
     assert a == b
     one = topics.filter("query_id = 1")
     plan = search(loaded, one, BM25(0.7), 10)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(term,apple)" in plan  # few terms: literals that reach the files
+    many = spark.createDataFrame([(1, "apple " + " ".join(f"t{i}" for i in range(70)))], "query_id long, query string")
+    plan = search(loaded, many, BM25(0.7), 10)._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan
     assert "Bucketed: true" in plan or "bucketed" in plan.lower()
     # the per-(query, doc) sum sits directly on the bucketed scan: the final aggregate is
