@@ -1,9 +1,11 @@
 """Soft-membership mixing of documents to target token totals per domain.
 
 1. A classifier over hashed words is fitted on labelled documents (at most ``SAMPLE``, the lowest by a hash of the
-   id): smoothed naive Bayes on words that stand out in a domain (``MIN_Z`` deviations from chance), their rates
-   shrunk to the overall one.  Presence counts for all of them, absence for those in fewer than ``RARE`` of the
-   documents (a short text lacks frequent words whatever its domain).
+   id): naive Bayes on the distinct words of a text, of which only those count that stand out in a domain by
+   ``MIN_Z`` deviations and a factor of e**``MIN_WEIGHT``.  What chance has is in proportion to a domain's distinct
+   words, not documents: long texts hold more of any word, and length is no sign of a domain.  Rates are smoothed by
+   ``PSEUDO``.  Absence counts for words in fewer than ``RARE`` of the documents (a short text lacks frequent words
+   whatever its domain).
 2. Every whole text gets posteriors over the domains, rounded to 1 / ``RESOLUTION``, and its number of words t.
 3. Nonnegative rates r minimise  1/2 sum_k (T_k - target_k)^2 / mass_k  with  T_k = sum_i r_i t_i p_ik  by projected
    gradient descent from r = 1, in the metric of the token counts: r_i <- max(0, r_i - sum_k p_ik (T_k - target_k)
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import materialise, table
 
 BUCKETS, SAMPLE, SEED = 1 << 18, 20_000, 42
-PSEUDO, MIN_DOCS, MIN_Z, RARE = 10.0, 5, 3.5, 0.1
+PSEUDO, MIN_DOCS, MIN_Z, MIN_WEIGHT, RARE = 2.0, 10, 5.0, 0.7, 0.1
 RESOLUTION, SNAP = 100, 0.05
 ITERATIONS, TOLERANCE = 60, 1e-5
 #: Separators of classifier words and of tokens.
@@ -68,18 +70,20 @@ def fit(docs: DataFrame, domains: DataFrame, sample: int = SAMPLE) -> tuple[list
     size = {r["domain"]: r["n"] for r in held.groupBy("domain").agg(F.countDistinct("doc_id").alias("n")).collect()}
     names, total = sorted(size), sum(size.values())
     seen = _buckets(held).distinct().join(F.broadcast(chosen), "doc_id")
-    counted = seen.groupBy("bucket").agg(
-        F.count("*").alias("n"), *[F.count(F.when(F.col("domain") == d, 1)).alias(f"n_{i}") for i, d in enumerate(names)])
+    counted = materialise(seen.groupBy("bucket").agg(
+        F.count("*").alias("n"), *[F.count(F.when(F.col("domain") == d, 1)).alias(f"n_{i}") for i, d in enumerate(names)]), "words")
+    mass = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), *[F.coalesce(F.sum(f"n_{i}"), F.lit(0)) for i in range(len(names))]).first()
     overall = F.col("n") / F.lit(float(max(total, 1)))
+    expected = [F.col("n") * F.lit(mass[i + 1] / max(mass[0], 1)) for i in range(len(names))]
+    present = [F.log((F.col(f"n_{i}") + PSEUDO) / (e + PSEUDO)) for i, e in enumerate(expected)]
     share = [F.least((F.col(f"n_{i}") + PSEUDO * overall) / (size[d] + PSEUDO), F.lit(0.999)) for i, d in enumerate(names)]
     spare = F.greatest(1 - overall, F.lit(0.001))
     absent = [F.when(overall < RARE, F.log((1 - x) / spare)).otherwise(0.0) for x in share]
-    weights = [c for i, x in enumerate(share) for c in (
-        absent[i].alias(f"a_{i}"), (F.log(x / overall) - absent[i]).alias(f"w_{i}"))]
-    # a word counts when some domain holds it far more or less often than chance has it
-    expected = [F.lit(float(size[d])) * overall for d in names]
-    z = [F.abs(F.col(f"n_{i}") - e) / F.sqrt(e * (1 - overall) + 0.5) for i, e in enumerate(expected)]
-    table_ = counted.filter((F.col("n") >= MIN_DOCS) & (F.greatest(*z, F.lit(0.0), F.lit(0.0)) >= MIN_Z)).select("bucket", *weights)
+    weights = [c for i, w in enumerate(present) for c in (absent[i].alias(f"a_{i}"), (w - absent[i]).alias(f"w_{i}"))]
+    none = F.lit(False)
+    marked = [(F.abs(F.col(f"n_{i}") - e) / F.sqrt(e + 0.5) >= MIN_Z) & (F.abs(w) >= MIN_WEIGHT)
+              for i, (e, w) in enumerate(zip(expected, present))]
+    table_ = counted.filter((F.col("n") >= MIN_DOCS) & reduce(lambda a, b: a | b, marked, none)).select("bucket", *weights)
     table_ = materialise(table_, "weights")
     lacking = table_.agg(F.lit(0.0), *[F.coalesce(F.sum(f"a_{i}"), F.lit(0.0)) for i in range(len(names))]).first()[1:]
     return names, [log(size[d] / total) + a for d, a in zip(names, lacking)], table_
