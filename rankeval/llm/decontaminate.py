@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -97,7 +98,7 @@ def word_numbers(docs: DataFrame, benchmark: Benchmark) -> DataFrame:
 
 def encode(text: str | None, number: dict[str, int]) -> np.ndarray:
     words = words_of(text)
-    return np.fromiter((number.get(w, 0) for w in words), "<i4", len(words))
+    return np.fromiter(map(number.get, words, repeat(0)), "<i4", len(words))
 
 
 def document_frequencies(numbered: DataFrame, size: int) -> tuple[int, np.ndarray]:
@@ -255,6 +256,7 @@ class Searcher:
         self.piece_item, self.piece_at = np.array(benchmark.pieces).T
         self.lengths = np.array([len(x) for x in benchmark.items])
         self.slot = np.zeros(benchmark.size, np.int64)
+        self.kinds = [np.unique(x, return_counts=True) for x in benchmark.items]
 
     def candidates(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, int, float]]:
         """(text, first word of the tile, piece, cosine); long texts in overlapping segments, so memory is bounded."""
@@ -304,11 +306,26 @@ class Searcher:
                 # content words of the item around the tile, counted exactly
                 a = item * n + first[owner[near]] + np.clip(low // step, 0, None)
                 b = item * n + np.minimum(first[owner[near]] + -(-high // step), ends[owner[near]])
-                enough = np.searchsorted(held, b) - np.searchsorted(held, a) >= self.needed[item]
+                enough = np.flatnonzero(np.searchsorted(held, b) - np.searchsorted(held, a) >= self.needed[item])
+                # and a window somewhere in the text must hold them: one answer for all tiles of a text and item
+                pair, back = np.unique(owner[near[enough]] * len(self.lengths) + item[enough], return_inverse=True)
+                possible = np.array([self._possible(held, n, first, ends, *divmod(x, len(self.lengths))) for x in pair.tolist()], bool)
+                enough = enough[possible[back]]
                 for t, q, c, k in zip(owner[near][enough].tolist(), p[enough].tolist(), cosine[r, p][enough].tolist(),
                                       (place[near][enough] * step).tolist()):
                     yield t, k, q, c
 
+    def _possible(self, held: np.ndarray, n: int, first: np.ndarray, ends: np.ndarray, t: int, i: int) -> bool:
+        """Whether some window of text t can hold the content words that item i needs (counted by quarter tiles)."""
+        needed = int(self.needed[i])
+        if needed <= 0:
+            return True
+        a, b = np.searchsorted(held, (i * n + first[t], i * n + ends[t])).tolist()
+        if b - a < needed:
+            return False
+        tiles, span = held[a:b], (int(self.lengths[i]) * 3 // 2 + 8) // (TILE // 4) + 2
+        return bool((tiles[needed - 1:] - tiles[: b - a - needed + 1] < span).any())
+
     def check(self, words: np.ndarray, i: int, begins: list[int]) -> tuple[float, float, int, int]:
         """Best (share of item i, share of its answer, first word, end) in windows around the places (first words
         of tiles, less their pieces' offsets); overlapping places share their windows."""
@@ -317,15 +334,20 @@ class Searcher:
         width, step, least = n + n // 2 + 8, max(1, n // 4), int(np.ceil(MAYBE * n - 1e-9))
         low = np.clip(np.array(begins) - n, 0, None) // step
         high = np.maximum(low, (np.minimum(np.array(begins) + TILE + 2 * n, len(words)) - n) // step)
-        starts = np.unique(np.concatenate([np.arange(x, y + 1) for x, y in zip(low.tolist(), high.tolist())])) * step
+        places = set()
+        for x, y in zip(low.tolist(), high.tolist()):
+            places.update(range(x, y + 1))
+        starts = np.array(sorted(places)) * step
         base = int(starts[0])
         part = words[base: int(starts[-1]) + width]
-        kinds, times = np.unique(item, return_counts=True)
+        kinds, times = self.kinds[i]
         self.slot[kinds] = np.arange(1, len(kinds) + 1)
         slot = self.slot[part]
         self.slot[kinds] = 0
         known = slot > 0
-        upto, content = np.r_[0, np.cumsum(known)], np.r_[0, np.cumsum(known & (self.weight[part] > 0))]
+        upto, content = np.zeros((2, len(part) + 1), np.int64)
+        np.cumsum(known, out=upto[1:])
+        np.cumsum(known & (self.weight[part] > 0), out=content[1:])
         starts = np.minimum(starts - base, len(part))
         ends = np.minimum(starts + width, len(part))
         counts = upto[ends] - upto[starts]
