@@ -8,6 +8,7 @@ from .chat import op4_chat_machine
 from .decontaminate import op1_latent_decontamination
 from .htmlmain import op3_minimum_cut
 from .mixing import op5_soft_mixing
+from .phrases import OP11_SQL, op11_phrase_collocations
 from .quality import op2_divergence_rules
 from .rans import op8_rans_blocks
 from .secrets import op6_token_efficiency
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_rans_blocks": op8_rans_blocks,
     "op9_revisit_resolution": op9_revisit_resolution,
     "op10_feistel_shards": op10_feistel_shards,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -69,6 +71,7 @@ FROM judged GROUP BY conv_id"""
 SQL: dict[str, str] = {
     "op4_chat_machine": _CHAT_SQL,
     "op9_revisit_resolution": OP9_SQL,
+    "op11_phrase_collocations": OP11_SQL,
     "op10_feistel_shards": f"""WITH RECURSIVE docs AS MATERIALIZED (
   SELECT doc_id, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size,
          {_crc32_sql("h")} AS text_crc32
