@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
+from .alignment import op13_tokenizer_alignment
 from .chat import op4_chat_machine
 from .decontaminate import op1_latent_decontamination
 from .htmlmain import op3_minimum_cut
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_revisit_resolution": op9_revisit_resolution,
     "op10_feistel_shards": op10_feistel_shards,
     "op11_phrase_collocations": op11_phrase_collocations,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
     "pipeline": corpus_pipeline.run,
 }
 
