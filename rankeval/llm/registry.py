@@ -15,6 +15,7 @@ from .rans import op8_rans_blocks
 from .secrets import op6_token_efficiency
 from .sharding import op10_feistel_shards, shard_sql
 from .simhash import op7_simhash_bktree
+from .treelm import op12_context_tree_scores
 from .warc import OP9_SQL, op9_revisit_resolution
 
 QUERIES = {
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_revisit_resolution": op9_revisit_resolution,
     "op10_feistel_shards": op10_feistel_shards,
     "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_context_tree_scores": op12_context_tree_scores,
     "op13_tokenizer_alignment": op13_tokenizer_alignment,
     "pipeline": corpus_pipeline.run,
 }
