@@ -26,6 +26,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +36,14 @@ from pyspark.sql import functions as F
 from .common import materialise, partitions, table
 
 A_VOCABULARY, B_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
-BLOCK, SLICE, LEARN = 1 << 25, 256, 2048
+BLOCK, SLICE, LEARN = 1 << 24, 256, 4096
 #: Ids below 2**25 let a piece's number of a batch and both ids share 62 bits.
 ID_BITS, WIDE = 25, 1 << 16
 HOT_TEXTS = 1000
 
-SPLIT, UNSAFE = re.compile(r"(?<=\S) (?=\S)"), re.compile(r"\A | (?=\s|\Z)|(?<=\s) ")
+SPLIT, DOUBLE = re.compile(r"(?<=\S) (?=\S)"), re.compile(r"\s\s")
+#: Fixed value: how a byte-level BPE of this kind cuts a text before merging.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def _byte_of() -> dict[str, int]:
@@ -55,6 +58,7 @@ class Pieces:
 
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(a_path)
@@ -71,82 +75,112 @@ class Pieces:
                         for i, n in enumerate(names)]
         if max(len(self.a_bytes), size) > 1 << ID_BITS:
             raise ValueError("vocabularies of more than 2**25 ids")
+        # the same vocabulary, its ids being the ranks of its merges, in a library that is several times as fast
+        fast = tiktoken.Encoding("a", pat_str=PATTERN, special_tokens={}, mergeable_ranks={
+            self.a_bytes[i]: i for t, i in self.a.get_vocab(with_added_tokens=False).items() if all(c in byte for c in t)})
+        probe = " don't Stop3.14, it's 10 000\n\n  x \t y é日本🙂 " * 3
+        self.fast = fast if fast.encode_ordinary(probe) == self.a.encode(probe, add_special_tokens=False).ids else None
         self.a_size, self.b_size = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
         #: a space after a visible character always starts a token of both
         self.splits = not any(re.search("[^▁]▁", n) for i, n in enumerate(names) if not self.b.is_control(i))
-        self.a_text, self.b_text = ([str(i) for i in range(len(x))] for x in (self.a_bytes, self.b_bytes))
+        self.a_more, self.a_last = ([f"{i}{c}" for i in range(len(self.a_bytes))] for c in ",|")
+        self.b_more, self.b_last = ([f"{i}{c}" for i in range(size)] for c in ",;")
 
     def cut(self, text: str) -> list[str]:
         if not self.splits:
             return [text]
-        return SPLIT.split(text) if UNSAFE.search(text) else text.split(" ")
+        if DOUBLE.search(text) or text[0].isspace() or text[-1].isspace():
+            return SPLIT.split(text)
+        return text.split(" ")
 
-    def _encode_a(self, pieces: list[str]) -> list[list[int]]:
-        """Ids of " " + piece: one call over all pieces, cut at their byte lengths."""
+    def _ids_a(self, text: str) -> np.ndarray:
+        if self.fast:
+            return self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
+        return np.array(self.a.encode(text, add_special_tokens=False).ids, np.int64)
+
+    def _encode(self, ids_of, size: np.ndarray, pieces: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces in a row, and how many each has: from one call, cut at the pieces' byte lengths."""
         if self.splits:
-            ids = self.a.encode("".join([" " + p for p in pieces]), add_special_tokens=False).ids
-            ends = np.cumsum([len(p.encode()) + 1 for p in pieces])
-            reached = np.cumsum(self.a_size[np.array(ids, np.int64)])
+            ids = ids_of(" ".join(pieces))
+            ends, reached = np.cumsum(sizes), np.cumsum(size[ids])
             at = np.searchsorted(reached, ends)
             if len(reached) and at[-1] < len(reached) and np.array_equal(reached[at], ends):
-                cuts = [0, *(at + 1).tolist()]
-                return [ids[x:y] for x, y in zip(cuts, cuts[1:])]
-        return [self.a.encode(" " + p, add_special_tokens=False).ids for p in pieces]
-
-    def learn(self, pieces: list[str]) -> list[tuple]:
-        """(n_a, n_b, n_groups, n_links, groups, codes, occurrences) per piece; None where a side does not spell it."""
-        a, b = self._encode_a(pieces), self.b.encode(pieces, num_threads=1)
-        good = []
-        for k, p in enumerate(pieces):
-            spelled = (" " + p).encode()
-            if b"".join(map(self.a_bytes.__getitem__, a[k])) == spelled == b"".join(map(self.b_bytes.__getitem__, b[k])):
-                good.append(k)
-        out: list = [None] * len(pieces)
-        if not good:
-            return out
-        na, nb = (np.array([len(x[k]) for k in good], np.int64) for x in (a, b))
-        ia, ib = (np.array([i for k in good for i in x[k]], np.int64) for x in (a, b))
+                return ids, np.diff(np.r_[0, at + 1])
+        each = [ids_of(p) for p in pieces]
+        return np.concatenate(each), np.array(list(map(len, each)), np.int64)
+
+    def _spelled(self, names: list[bytes], ids: np.ndarray, count: np.ndarray, pieces: list[bytes]) -> np.ndarray:
+        """Which pieces their tokens spell."""
+        spelled = list(map(names.__getitem__, ids.tolist()))
+        if b"".join(spelled) == b"".join(pieces) and np.array_equal(
+                np.add.reduceat(np.r_[np.fromiter(map(len, spelled), np.int64, len(spelled)), 0], np.cumsum(count) - count) * (count > 0),
+                np.fromiter(map(len, pieces), np.int64, len(pieces))):
+            return np.ones(len(pieces), bool)
+        ends = [0, *np.cumsum(count).tolist()]
+        return np.array([b"".join(spelled[x:y]) == p for x, y, p in zip(ends, ends[1:], pieces)], bool)
+
+    def learn(self, pieces: list[str]) -> "Learnt":
+        """Tokens, groups and links of each piece; nothing where a side does not spell it."""
+        spelled = [(" " + p).encode() for p in pieces]
+        sizes = np.fromiter(map(len, spelled), np.int64, len(spelled))
+        ia, na = self._encode(lambda text: self._ids_a(" " + text), self.a_size, pieces, sizes)
+        ib, nb = self._encode(lambda text: np.array(self.b.encode(text), np.int64), self.b_size, pieces, sizes)
+        good = self._spelled(self.a_bytes, ia, na, spelled) & self._spelled(self.b_bytes, ib, nb, spelled)
+        if not good.all():
+            ia, ib = ia[np.repeat(good, na)], ib[np.repeat(good, nb)]
+            na, nb = na * good, nb * good
         ea, eb = np.cumsum(self.a_size[ia]), np.cumsum(self.b_size[ib])
-        mark = np.zeros(int(ea[-1]) + 1, np.int8)
+        mark = np.zeros(int(ea[-1]) + 1 if len(ea) else 1, np.int8)
         mark[ea] += 1
         mark[eb] += 1
         last_a, last_b = mark[ea] == 2, mark[eb] == 2
         ga, gb = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
         ka, kb = np.bincount(ga), np.bincount(gb)
-        ends = np.cumsum(na)
-        piece_of = np.searchsorted(ends, np.flatnonzero(last_a), "right")  # piece of each group
-        groups = np.bincount(piece_of, minlength=len(good))
-        links = np.bincount(piece_of, weights=(ka * kb).astype(float), minlength=len(good)).astype(np.int64)
+        piece_of = np.repeat(np.arange(len(pieces)), na)[last_a]  # piece of each group
+        groups = np.bincount(piece_of, minlength=len(pieces))
+        links = np.zeros(len(pieces), np.int64)
+        np.add.at(links, piece_of, ka * kb)
         # groups as text: A ids, then B ids, group by group
-        parts = [self.a_text[i] + ("|" if x else ",") for i, x in zip(ia.tolist(), last_a.tolist())]
-        parts += [self.b_text[i] + (";" if x else ",") for i, x in zip(ib.tolist(), last_b.tolist())]
+        parts = [(self.a_last if x else self.a_more)[i] for i, x in zip(ia.tolist(), last_a.tolist())]
+        parts += [(self.b_last if x else self.b_more)[i] for i, x in zip(ib.tolist(), last_b.tolist())]
         order = np.argsort(np.r_[2 * ga, 2 * gb + 1], kind="stable")
-        parts = [parts[i] for i in order.tolist()]
+        parts = list(map(parts.__getitem__, order.tolist()))
         to = [0, *np.cumsum(na + nb).tolist()]
+        texts = ["".join(parts[x:y])[:-1] for x, y in zip(to, to[1:])]
         # links: every A token of a group with every B token of it
-        first_b = np.cumsum(kb) - kb
+        first_a, first_b = np.cumsum(ka) - ka, np.cumsum(kb) - kb
         wide = ka * kb > WIDE
-        some = np.flatnonzero(~wide[ga])
-        each = kb[ga[some]]
-        owner = np.repeat(some, each)
-        at = np.arange(len(owner)) - np.repeat(np.cumsum(each) - each, each) + first_b[ga[owner]]
-        code = [piece_of[ga[owner]] << 2 * ID_BITS | ia[owner] << ID_BITS | ib[at]]
-        times = [np.ones(len(owner), np.int64)]
-        first_a = np.cumsum(ka) - ka
+        some = np.flatnonzero(~wide[ga]) if len(ga) else ga
+        times = kb[ga[some]] if len(ga) else ga
+        owner = np.repeat(some, times)
+        at = np.arange(len(owner)) - np.repeat(np.cumsum(times) - times, times) + first_b[ga[owner]] if len(owner) else owner
+        code = [piece_of[ga[owner]] << 2 * ID_BITS | ia[owner] << ID_BITS | ib[at]] if len(owner) else [owner]
+        count = [np.ones(len(owner), np.int64)]
         for g in np.flatnonzero(wide).tolist():
             x, n = np.unique(ia[first_a[g]: first_a[g] + ka[g]], return_counts=True)
             y, m = np.unique(ib[first_b[g]: first_b[g] + kb[g]], return_counts=True)
             code.append((piece_of[g] << 2 * ID_BITS | x[:, None] << ID_BITS | y[None, :]).ravel())
-            times.append((n[:, None] * m[None, :]).ravel())
-        code, times = np.concatenate(code), np.concatenate(times)
-        distinct, where = np.unique(code, return_inverse=True)
-        total = np.bincount(where, weights=times.astype(float)).astype(np.int64)
-        cuts = np.searchsorted(distinct, np.arange(len(good) + 1) << 2 * ID_BITS)
-        distinct &= (1 << 2 * ID_BITS) - 1
-        for j, k in enumerate(good):
-            out[k] = (int(na[j]), int(nb[j]), int(groups[j]), int(links[j]), "".join(parts[to[j]: to[j + 1]])[:-1],
-                      distinct[cuts[j]: cuts[j + 1]], total[cuts[j]: cuts[j + 1]])
-        return out
+            count.append((n[:, None] * m[None, :]).ravel())
+        code, count = np.concatenate(code), np.concatenate(count)
+        order = np.argsort(code)
+        code = code[order]
+        new = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else order
+        total = np.add.reduceat(count[order], new) if len(code) else count
+        code = code[new]
+        return Learnt(good, texts, np.stack([na, nb, groups, links], 1), np.bincount(code >> 2 * ID_BITS, minlength=len(pieces)),
+                      code & ((1 << 2 * ID_BITS) - 1), total)
+
+
+class Learnt(NamedTuple):
+    """Results of pieces: which are spelled, groups as text, (n_a, n_b, n_groups, n_links), and how many distinct links
+    each has; then all links, piece by piece, and how often each occurs in its piece."""
+
+    good: np.ndarray
+    texts: list[str]
+    measures: np.ndarray
+    sizes: np.ndarray
+    codes: np.ndarray
+    times: np.ndarray
 
 
 @lru_cache(maxsize=1)
@@ -154,56 +188,66 @@ def pieces_of(a_path: str, b_path: str) -> Pieces:
     return Pieces(a_path, b_path)
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x.sort()
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
 class Block:
-    """Texts of a block: pieces by number, and per text its key, multiplicity, digest and pieces."""
+    """Texts of a block: its distinct pieces by number, and per text its key, multiplicity, digest and pieces."""
 
     def __init__(self, of: Pieces):
-        self.of, self.number, self.known = of, {}, []
+        self.of, self.number, self.learnt, self.groups, self.bad = of, {}, [], [], set()
         self.keys, self.times, self.digests, self.texts, self.bytes = [], [], [], [], 0
 
     def add(self, keys: list[bytes], texts: list[str], times: list[int]) -> None:
         cut = [self.of.cut(t) for t in texts]
-        new = list(dict.fromkeys(p for pieces in cut for p in pieces if p not in self.number))
+        new = list(set().union(*cut).difference(self.number))
         for i in range(0, len(new), LEARN):
-            self.known += self.of.learn(new[i: i + LEARN])
-        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-        get, known = self.number.__getitem__, self.known
+            part = new[i: i + LEARN]
+            found = self.of.learn(part)
+            at = len(self.number)
+            self.number.update(zip(part, range(at, at + len(part))))
+            self.bad.update((np.flatnonzero(~found.good) + at).tolist())
+            self.groups += found.texts
+            self.learnt.append(found._replace(texts=[]))
+        get, groups = self.number.__getitem__, self.groups.__getitem__
         for key, pieces, m, text in zip(keys, cut, times, texts):
             numbers = list(map(get, pieces))
-            found = [known[k] for k in numbers]
             self.bytes += len(text)
             self.keys.append(key)
             self.times.append(m)
-            if None in found:
+            if self.bad and not self.bad.isdisjoint(numbers):
                 self.digests.append("")
                 self.texts.append(np.empty(0, np.int32))
                 continue
-            self.digests.append(hashlib.sha256(";".join([x[4] for x in found]).encode()).hexdigest())
+            self.digests.append(hashlib.sha256(";".join(map(groups, numbers)).encode()).hexdigest())
             self.texts.append(np.array(numbers, np.int32))
 
     def rows(self, number: int) -> Iterator[pa.RecordBatch]:
-        sizes = np.array([0 if x is None else len(x[5]) for x in self.known], np.int64)
-        code = np.concatenate([x[5] for x in self.known if x] or [np.empty(0, np.int64)])
-        occurrences = np.concatenate([x[6] for x in self.known if x] or [np.empty(0, np.int64)])
+        sizes, code, occurrences, measures = (np.concatenate([getattr(x, f) for x in self.learnt])
+                                              for f in ("sizes", "codes", "times", "measures"))
+        self.learnt, self.groups = [], []
+        self.number.clear()
         pairs, pair = np.unique(code, return_inverse=True)
+        del code
         start = np.cumsum(sizes) - sizes
         weight = np.zeros(len(pairs), np.int64)
         times = np.array(self.times, np.int64)
-        held, size = [], 0
-        for t, x in enumerate([*self.texts, None]):
-            if x is not None and len(x):
-                x = np.unique(x)
-                held.append((t, x))
-                size += int(sizes[x].sum())
-            if held and (x is None or size > 1 << 21):  # documents that hold a pair: each counts once
-                own = np.concatenate([x for _, x in held]).astype(np.int64)
-                text = np.repeat([t for t, _ in held], [len(x) for _, x in held])
-                each = sizes[own]
-                at = np.arange(int(each.sum())) - np.repeat(np.cumsum(each) - each, each) + np.repeat(start[own], each)
-                both = np.unique(np.repeat(text, each) << 32 | pair[at])
-                weight += np.bincount(both & ((1 << 32) - 1), weights=times[both >> 32].astype(float),
-                                      minlength=len(pairs)).astype(np.int64)
-                held, size = [], 0
+        ends = np.cumsum([len(x) for x in self.texts])
+        begin = 0
+        while begin < len(self.texts):  # documents that hold a pair, some texts at a time: each counts once
+            done = ends[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, done + (1 << 17), "right")))
+            own = np.concatenate(self.texts[begin:end])
+            text = np.repeat(np.arange(begin, end), [len(x) for x in self.texts[begin:end]])
+            own = _distinct(text << 32 | own)
+            text, own = own >> 32, own & ((1 << 32) - 1)
+            each = sizes[own]
+            at = np.arange(int(each.sum())) + np.repeat(start[own] - np.cumsum(each) + each, each)
+            both = _distinct(np.repeat(text, each) << 32 | pair[at])
+            np.add.at(weight, both & ((1 << 32) - 1), times[both >> 32])
+            begin = end
 
         def batch(kind: int, rows: int, **columns) -> pa.RecordBatch:
             filled = {"block": pa.array([number] * rows, pa.int64()), "kind": pa.array([kind] * rows, pa.int32())} | columns
@@ -212,9 +256,8 @@ class Block:
         for i in range(0, len(pairs), 1 << 16):
             p = pairs[i: i + (1 << 16)]
             yield batch(0, len(p), pair=pa.array(p), n=pa.array(weight[i: i + (1 << 16)]))
-        measures = np.array([(0,) * 4 if x is None else x[:4] for x in self.known], np.int64).reshape(-1, 4)
         yield batch(1, 1, data=pa.array([b"".join(
-            [np.array([len(sizes), len(code)], "<i8").tobytes(), sizes.astype("<i4").tobytes(), pair.astype("<i4").tobytes(),
+            [np.array([len(sizes), len(pair)], "<i8").tobytes(), sizes.astype("<i4").tobytes(), pair.astype("<i4").tobytes(),
              occurrences.astype("<i8").tobytes(), measures.astype("<i8").tobytes()])], pa.binary()))
         for i in range(0, len(self.keys), 1024):
             j = slice(i, i + 1024)
