@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import materialise, partitions, table
 
 A_VOCABULARY, B_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
-BLOCK, SLICE, LEARN = 1 << 24, 256, 4096
+BLOCK, SLICE, LEARN = 1 << 23, 128, 4096
 #: Ids below 2**25 let a piece's number of a batch and both ids share 62 bits.
 ID_BITS, WIDE = 25, 1 << 16
 HOT_TEXTS = 1000
