@@ -30,13 +30,14 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialise, partitions, table
 
 A_VOCABULARY, B_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
-BLOCK, SLICE, LEARN = 1 << 23, 128, 4096
+BLOCK, SLICE, LEARN = 1 << 22, 128, 4096
 #: Ids below 2**25 let a piece's number of a batch and both ids share 62 bits.
 ID_BITS, WIDE = 25, 1 << 16
 HOT_TEXTS = 1000
@@ -256,9 +257,9 @@ class Block:
         for i in range(0, len(pairs), 1 << 16):
             p = pairs[i: i + (1 << 16)]
             yield batch(0, len(p), pair=pa.array(p), n=pa.array(weight[i: i + (1 << 16)]))
-        yield batch(1, 1, data=pa.array([b"".join(
-            [np.array([len(sizes), len(pair)], "<i8").tobytes(), sizes.astype("<i4").tobytes(), pair.astype("<i4").tobytes(),
-             occurrences.astype("<i8").tobytes(), measures.astype("<i8").tobytes()])], pa.binary()))
+        pieces = b"".join([np.array([len(sizes), len(pair)], "<i8").tobytes(), sizes.astype("<i4").tobytes(), pair.astype("<i4").tobytes(),
+                           occurrences.astype("<i8").tobytes(), measures.astype("<i8").tobytes()])
+        yield batch(1, 1, data=pa.array([zstandard.ZstdCompressor(1).compress(pieces)], pa.binary()))
         for i in range(0, len(self.keys), 1024):
             j = slice(i, i + 1024)
             yield batch(2, len(self.keys[j]), key=pa.array(self.keys[j], pa.binary()), n=pa.array(self.times[j], pa.int64()),
@@ -305,7 +306,7 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held.append(tuple(part.column(c).to_numpy(zero_copy_only=False) for c in (2, 3, 4)))
             elif kinds[i] == 1:
                 for data in part.column(7):
-                    raw = data.as_py()
+                    raw = zstandard.ZstdDecompressor().decompress(data.as_py())
                     n, links = np.frombuffer(raw, "<i8", 2).tolist()
                     sizes = np.frombuffer(raw, "<i4", n, 16).astype(np.int64)
                     pair = np.frombuffer(raw, "<i4", links, 16 + 4 * n)
