@@ -9,7 +9,7 @@ explained the training texts.  A text is scored with the trees as trained: the s
 
 1. Texts are gathered into blocks of about ``BLOCK`` bytes.  A block's rows, written to the shared folder: its distinct
    grams (context and next byte packed into a number, most recent byte first) with their training counts, its distinct
-   words with theirs, and its texts.
+   words with theirs, and its texts in compressed segments.
 2. Counts are summed over blocks.  All grams of the corpus are in the table, those of held-out texts with count 0.
 3. Subtrees below the last ``TRUNK`` bytes of context are independent and hold at most 256**(depth - TRUNK + 1) grams: tasks
    weight them whole.  Above, the trees are added up level by level (grouped sums) and the mixtures are carried down
@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +40,9 @@ from .common import materialise, partitions, table
 
 DEPTH, TRUNK = 5, 3
 FOLDS, SMOOTHING = 10, 0.1
-BLOCK, SLICE, TREE_ROWS = 1 << 25, 1 << 20, 1 << 18
+BLOCK, SLICE, SEGMENT, TREE_ROWS = 1 << 25, 1 << 20, 1 << 18, 1 << 18
+#: Kinds of a block's rows, in this order; a row's ``place`` is four times its block's number plus its kind.
+GRAMS, WORDS, TEXTS = 0, 1, 2
 END = b"\xff"
 LN2, LN10 = math.log(2), math.log(10)
 
@@ -70,25 +73,25 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def blocks(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(block, kind, gram, word, n, doc_id, held_out, body): kind 0 grams, 1 words, 2 texts."""
+    """(place, gram, n, word, segment): rows of the three kinds; a segment has doc_ids, held_out, sizes and the texts."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    ddl = f"block long, kind int, gram long, word binary, n long, doc_id {id_type}, held_out boolean, body binary"
+    ddl = ("place long, gram long, n long, word binary, "
+           f"segment struct<doc_ids: array<{id_type}>, held_out: array<boolean>, sizes: array<int>, bodies: binary>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        number = TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << 24
         found: list[tuple[np.ndarray, np.ndarray]] = []
         words: Counter = Counter()
         waiting: dict[bool, list[bytes]] = {False: [], True: []}
-        size = held_size = 0
-        fields = {"block": pa.int64(), "kind": pa.int32(), "gram": pa.int64(), "word": pa.binary(), "n": pa.int64(),
-                  "doc_id": None, "held_out": pa.bool_(), "body": pa.binary()}
+        size = held_size = segment_size = 0
+        segment: list[tuple] = []
+        types: dict = {"gram": pa.int64(), "n": pa.int64(), "word": pa.binary()}
 
         def rows(kind: int, count: int, **columns) -> pa.RecordBatch:
-            filled = {"block": pa.array([number] * count, pa.int64()), "kind": pa.array([kind] * count, pa.int32())} | columns
-            return pa.RecordBatch.from_arrays([filled[f] if f in filled else pa.nulls(count, t) for f, t in fields.items()],
-                                              list(fields))
+            place = pa.array([number << 2 | kind] * count, pa.int64())
+            return pa.RecordBatch.from_arrays([place, *[columns.get(f, pa.nulls(count, t)) for f, t in types.items()]], ["place", *types])
 
         def count_waiting() -> None:
             for held, bodies in waiting.items():
@@ -103,32 +106,46 @@ def blocks(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                         words[b""] += len(bodies)
                     bodies.clear()
 
+        def close_segment() -> pa.RecordBatch:
+            ids, held, bodies = (list(x) for x in zip(*segment))
+            row = {"doc_ids": ids, "held_out": held, "sizes": list(map(len, bodies)),
+                   "bodies": zstandard.ZstdCompressor(3).compress(b"".join(bodies))}
+            segment.clear()
+            return rows(TEXTS, 1, segment=pa.array([row], types["segment"]))
+
         def out() -> Iterator[pa.RecordBatch]:
+            if segment:
+                yield close_segment()
             code, n = _merged(found)
             for i in range(0, len(code), 1 << 17):
                 c = code[i: i + (1 << 17)]
-                yield rows(0, len(c), gram=pa.array(c), n=pa.array(n[i: i + (1 << 17)]))
+                yield rows(GRAMS, len(c), gram=pa.array(c), n=pa.array(n[i: i + (1 << 17)]))
             listed, counts = list(words), list(words.values())
             for i in range(0, len(listed), 1 << 16):
                 w = listed[i: i + (1 << 16)]
-                yield rows(1, len(w), word=pa.array(w, pa.binary()), n=pa.array(counts[i: i + (1 << 16)], pa.int64()))
+                yield rows(WORDS, len(w), word=pa.array(w, pa.binary()), n=pa.array(counts[i: i + (1 << 16)], pa.int64()))
 
         for batch in batches:
-            fields["doc_id"] = batch.column(0).type
+            types["segment"] = pa.struct([("doc_ids", pa.list_(batch.column(0).type)), ("held_out", pa.list_(pa.bool_())),
+                                          ("sizes", pa.list_(pa.int32())), ("bodies", pa.binary())])
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
-                bodies = [(t or "").encode("utf-8", "surrogatepass").lower() + END for t in part.column(2).to_pylist()]
-                for held, body in zip(part.column(1).to_pylist(), bodies):
+                for doc_id, held, text in zip(*[part.column(c).to_pylist() for c in range(3)]):
+                    body = (text or "").encode("utf-8", "surrogatepass").lower() + END
+                    segment.append((doc_id, held, body))
+                    segment_size += len(body)
+                    if segment_size > SEGMENT:
+                        yield close_segment()
+                        segment_size = 0
                     waiting[held].append(body)
                     held_size += len(body)
                     if held_size > SLICE:
                         count_waiting()
                         size, held_size = size + held_size, 0
-                yield rows(2, len(bodies), doc_id=part.column(0), held_out=part.column(1), body=pa.array(bodies, pa.binary()))
                 if size >= BLOCK:
                     count_waiting()
                     yield from out()
-                    found, words, size, held_size, number = [], Counter(), 0, 0, number + 1
+                    found, words, size, held_size, segment_size, number = [], Counter(), 0, 0, 0, number + 1
         count_waiting()
         if found:
             yield from out()
@@ -355,57 +372,48 @@ class Places:
 
 
 def _scorer(depth: int, tokens: int, distinct: int):
-    """Rows of blocks in the order (block, kind); grams carry lp, words their count n."""
+    """Rows of blocks in the order of ``place``; ``value`` is a gram's log probability or a word's count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list[np.ndarray] = []
         values: list[np.ndarray] = []
         words: dict[bytes, int] = {}
         counts: list[np.ndarray] = []
-        places, lp, unigram, known = None, None, None, None
+        model = None
         for batch in batches:
-            kinds = batch.column(1).to_numpy()
-            edges = np.flatnonzero(np.r_[True, kinds[1:] != kinds[:-1], True])
+            place = batch.column(0).to_numpy()
+            edges = np.flatnonzero(np.r_[True, place[1:] != place[:-1], True])
             for i, j in zip(edges.tolist(), edges[1:].tolist()):
-                part = batch.slice(i, j - i)
-                if kinds[i] == 0:
-                    if places is not None:  # a new block
-                        keys, values, words, counts, places = [], [], {}, [], None
-                    keys.append(part.column(2).to_numpy(zero_copy_only=False))
-                    values.append(part.column(5).to_numpy(zero_copy_only=False))
-                elif kinds[i] == 1:
+                part, kind = batch.slice(i, j - i), int(place[i]) & 3
+                if kind == GRAMS:
+                    if model is not None:  # a new block
+                        keys, values, words, counts, model = [], [], {}, [], None
+                    keys.append(part.column(1).to_numpy(zero_copy_only=False).astype(np.int64))
+                    values.append(part.column(2).to_numpy(zero_copy_only=False))
+                elif kind == WORDS:
                     words.update(zip(part.column(3).to_pylist(), range(len(words), len(words) + j - i)))
-                    counts.append(part.column(4).to_numpy(zero_copy_only=False))
+                    counts.append(part.column(2).to_numpy(zero_copy_only=False))
                 else:
-                    if places is None:
-                        places, lp = Places(np.concatenate(keys).astype(np.int64)), np.concatenate(values)
+                    if model is None:
                         c = np.concatenate(counts)
-                        unigram, known = np.log10((c + SMOOTHING) / (tokens + SMOOTHING * (distinct + 1))), (c > 0).astype(np.int64)
-                    yield from scored(part, places, lp, words, unigram, known)
-
-    def scored(part: pa.RecordBatch, places: Places, lp, words, unigram, known) -> Iterator[pa.RecordBatch]:
-        bodies = part.column(8).to_pylist()
-        cuts, size = [0], 0
-        for i, b in enumerate(bodies):
-            size += len(b)
-            if size > SLICE:
-                cuts.append(i + 1)
-                size = 0
-        for i, j in zip(cuts, [*cuts[1:], len(bodies)]):
-            if i == j:
-                continue
-            own = bodies[i:j]
-            sizes = np.array(list(map(len, own)))
-            score = np.add.reduceat(lp[places.of(grams(own, depth))], np.cumsum(sizes) - sizes)
-            tokens_ = [[*b[:-1].split(), b""] for b in own]
-            n = np.array(list(map(len, tokens_)))
-            at = np.fromiter(map(words.__getitem__, [w for t in tokens_ for w in t]), np.int64, int(n.sum()))
-            first = np.cumsum(n) - n
-            yield pa.RecordBatch.from_arrays(
-                [part.column(6).slice(i, j - i), part.column(7).slice(i, j - i), pa.array(n),
-                 pa.array(np.add.reduceat(known[at], first)), pa.array([tokens] * (j - i), pa.int64()),
-                 pa.array(np.add.reduceat(unigram[at], first)), pa.array(score)],
-                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                        model = (Places(np.concatenate(keys)), np.concatenate(values), words,
+                                 np.log10((c + SMOOTHING) / (tokens + SMOOTHING * (distinct + 1))), (c > 0).astype(np.int64))
+                    for row in part.column(4):
+                        yield scored(row, *model)
+
+    def scored(row: pa.StructScalar, places: Places, lp, words, unigram, known) -> pa.RecordBatch:
+        sizes = np.array(row["sizes"].as_py())
+        joined, ends = zstandard.ZstdDecompressor().decompress(row["bodies"].as_py()), np.cumsum(sizes).tolist()
+        bodies = [joined[e - n: e] for e, n in zip(ends, sizes.tolist())]
+        score = np.add.reduceat(lp[places.of(grams(bodies, depth))], np.cumsum(sizes) - sizes)
+        listed = [[*b[:-1].split(), b""] for b in bodies]
+        n = np.array(list(map(len, listed)))
+        at = np.fromiter(map(words.__getitem__, [w for t in listed for w in t]), np.int64, int(n.sum()))
+        first = np.cumsum(n) - n
+        return pa.RecordBatch.from_arrays(
+            [row["doc_ids"].values, row["held_out"].values, pa.array(n), pa.array(np.add.reduceat(known[at], first)),
+             pa.array([tokens] * len(n), pa.int64()), pa.array(np.add.reduceat(unigram[at], first)), pa.array(score)],
+            ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return run
 
@@ -416,23 +424,23 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         raise ValueError("contexts of 4 to 6 bytes")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     made = blocks(docs, depth)
-    own = made.filter("kind = 0").select("block", "gram", "n")
+    kind = F.col("place").bitwiseAND(F.lit(3))
+    own = made.filter(kind == GRAMS).select("place", "gram", "n")
     counts = materialise(own.groupBy("gram").agg(F.sum("n").alias("n")), "treelm-grams")
     scores = gram_scores(counts, depth)
-    listed = made.filter("kind = 1").select("block", "word", "n")
+    listed = made.filter(kind == WORDS).select("place", "word", "n")
     words = materialise(listed.groupBy("word").agg(F.sum("n").alias("n")), "treelm-words")
     tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") > 0).cast("long")), F.lit(0))).first()
-    null = {name: F.lit(None).cast(t) for name, t in (
-        ("gram", "long"), ("word", "binary"), ("n", "long"), ("lp", "double"), ("doc_id", id_type), ("held_out", "boolean"),
-        ("body", "binary"))}
+    segments = made.filter(kind == TEXTS).select("place", "segment")
+    null = {"gram": "long", "value": "double", "word": "binary", "segment": made.schema["segment"].dataType}
 
-    def shaped(df: DataFrame, kind: int) -> DataFrame:
-        return df.select("block", F.lit(kind).alias("kind"), *[F.col(c) if c in df.columns else null[c].alias(c) for c in null])
+    def shaped(df: DataFrame) -> DataFrame:
+        return df.select("place", *[F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in null.items()])
 
-    back = shaped(own.select("block", "gram").join(scores, "gram"), 0).unionByName(
-        shaped(listed.select("block", "word").join(words, "word"), 1)).unionByName(
-        shaped(made.filter("kind = 2").select("block", "doc_id", "held_out", "body"), 2))
-    rows = back.repartition(partitions(docs.sparkSession), "block").sortWithinPartitions("block", "kind")
+    back = shaped(own.select("place", "gram").join(scores.withColumnRenamed("lp", "value"), "gram")).unionByName(
+        shaped(listed.select("place", "word").join(words.select("word", F.col("n").cast("double").alias("value")), "word"))).unionByName(
+        shaped(segments))
+    rows = back.repartition(partitions(docs.sparkSession), F.shiftright("place", 2)).sortWithinPartitions("place")
     return rows.mapInArrow(_scorer(depth, tokens, distinct), f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, "
                            "train_tokens long, base_score double, score double")
 
