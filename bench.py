@@ -28,6 +28,7 @@ def main() -> None:
     from rankeval.operators import compare as C
     from rankeval.operators import evaluate as E
     from rankeval.operators import index as I
+    from rankeval.operators import saved
     from rankeval.operators import search as S
     from rankeval.operators import tune as T
     from rankeval.operators.models import BM25, JM
@@ -50,16 +51,15 @@ def main() -> None:
     from pyspark.sql import functions as F
     bench_docs = fx.table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("ord"), F.col("item_id").alias("id"), F.lit("").alias("title"), "text")
-    warm = I.load_index(spark, I.write_index(I.build_index(bench_docs, cpus), f"{scratch}/warm", cpus)
-                        .rsplit("/", 1)[0])
+    warm = saved.load_index(spark, saved.write_index(I.build_index(bench_docs, cpus), f"{scratch}/warm", cpus))
     no_qrels = spark.createDataFrame([], "query_id long, doc_id long, score int")
     E.evaluate(warm, fx.topics(spark, sf_dir), no_qrels, BM25(0.4), 10).write.format("noop").mode("overwrite").save()
     T.sweep(warm, fx.topics(spark, sf_dir), no_qrels, [JM()], [T.LAMBDA_GRID], 10).write.format("noop").mode(
         "overwrite").save()
 
     path = f"{scratch}/index"
-    run("index_build", lambda: (I.write_index(fx.index(spark, sf_dir, cpus), path, cpus), None)[1])
-    idx = I.load_index(spark, path)
+    run("index_build", lambda: (saved.write_index(fx.index(spark, sf_dir, cpus), path, cpus), None)[1])
+    idx = saved.load_index(spark, path)
     topics = fx.topics(spark, sf_dir)
 
     def write_qrels():

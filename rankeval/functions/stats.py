@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 SIMPSON_STEPS = 2000  # even number of Simpson intervals for the t distribution tail
 TAIL = 80.0  # the t density is integrated until it has fallen by exp(-TAIL)
-MAX_EXACT_N = 1000  # beyond, halved probabilities leave the range of doubles
 
 
 def nan() -> Column:
@@ -55,44 +54,6 @@ def welch_p_value(t: Column, df: Column) -> Column:
     return scale * beyond(F.abs(t)) / beyond(F.lit(0.0))
 
 
-def signed_rank_null(n: Column) -> Column:
-    """Null distribution of the signed-rank sum W for ``n`` pairs: element s (0-based)
-    is P(W = s), s = 0 .. n(n+1)/2.
-
-    W is the sum of a random subset of the ranks 1..n.  The distribution is built by a
-    fold over j = 1..n on an array of subset-sum probabilities (O(n^3)), instead of
-    enumerating 2^n subsets; probabilities are halved at every step, which is exact in
-    binary floating point down to 2^-1022, so ``n`` beyond ``MAX_EXACT_N`` is an error (use the
-    normal approximation).  It depends on ``n`` only.
-    """
-    n = F.when(n > MAX_EXACT_N, F.raise_error(F.lit(
-        f"exact signed-rank test of more than {MAX_EXACT_N} pairs: choose the normal approximation"))).otherwise(n)
-    top = n * (n + F.lit(1)) / F.lit(2)
-    start = F.transform(F.sequence(F.lit(0), top.cast("int")), lambda s: F.when(s == 0, 1.0).otherwise(0.0))
-    return F.aggregate(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1)).cast("int")),
-        start,
-        lambda c, j: F.transform(
-            c, lambda v, s: (v + F.when(s >= j, F.element_at(c, (s - j + 1).cast("int"))).otherwise(0.0)) / 2.0
-        ),
-    )
-
-
-def upper_tail_p(dist: Column, w_max: Column, n: Column) -> Column:
-    """Two-sided exact p = 2 * P(W >= w_max) from a null distribution (not clamped at 1)."""
-    tail = F.aggregate(
-        F.filter(F.transform(dist, lambda v, s: F.when(s.cast("double") >= w_max, v).otherwise(0.0)), lambda v: v > 0),
-        F.lit(0.0).cast("double"),
-        lambda acc, v: acc + v,
-    )
-    return F.when(n <= 0, nan()).otherwise(F.lit(2.0) * tail)
-
-
-def wilcoxon_exact_p(w_max: Column, n: Column) -> Column:
-    """Exact two-sided p of the signed-rank statistic: 2 * P(W >= w_max) under H0."""
-    return upper_tail_p(signed_rank_null(n), w_max, n)
-
-
 def wilcoxon_normal_p(w_max: Column, n: Column, ties: Column) -> Column:
     """Two-sided p by the normal approximation with tie correction: ``ties`` is the sum of c^3 - c
     over the groups of equal absolute differences."""

@@ -18,7 +18,7 @@ from pyspark.sql import Window
 
 from rankeval.functions.stats import nan, safe_div
 from rankeval.functions.text import tokens
-from rankeval.operators.search import query_terms, search
+from rankeval.operators.search import look_up, query_terms, search
 from rankeval.session import bounded
 
 METRICS = ("rr", "ap", "p", "recall")
@@ -40,12 +40,10 @@ def judge(hits: DataFrame, docs: DataFrame, qrels: DataFrame, broadcast_hits: bo
     """J7 (id only) + J8: attach the external id, the judged grade (null: not judged; the highest of
     repeated judgments) and the relevance flag (grade > 0) to every hit.
 
-    ``broadcast_hits`` must only be set with a proof that hits are small
-    (``hits_bounded``); the document table is then streamed with two columns read.
-    Otherwise the planner (and AQE at run time) chooses the join.
+    ``broadcast_hits`` must only be set with a proof that hits are small (``hits_bounded``).  Only two
+    columns of the document table are read, and of a saved index only the hits' slots (``look_up``).
     """
-    h = F.broadcast(hits) if broadcast_hits else hits
-    with_id = docs.select("ord", "id").join(h, "ord")
+    with_id = look_up(docs, hits, ["id"], broadcast_hits)
     grades = qrels.groupBy("query_id", F.col("doc_id").alias("id")).agg(F.max("score").alias("grade"))
     return with_id.join(grades, ["query_id", "id"], "left").withColumn("rel", F.coalesce(F.col("grade") > 0, F.lit(False)))
 
@@ -170,8 +168,10 @@ def evaluate(index, topics: DataFrame, qrels: DataFrame, model, cut: int = 10,
     """Search + judge + per-query metrics for one model: ``query_id, rr, ap, p, recall, cut``.
 
     ``length="norm"`` scores with the one-byte length norm (library-like), ``"dl"``
-    with exact document lengths.
+    with exact document lengths.  A ``cut`` of 0 asks for no hits: like a failed parse, every metric is 0.
     """
+    if cut == 0:
+        return topics.select("query_id", *[F.lit(0.0).alias(m) for m in METRICS], F.lit(0).alias("cut"))
     small = hits_bounded(topics, cut, 1, field)
     hits = search(index, topics, model, cut, field, length, broadcast_ok=small or None)
     judged = judge(hits, index.docs, qrels, small)

@@ -1,4 +1,4 @@
-"""Index construction and maintenance.
+"""Index construction (P1, P5, A1-A5, A7) and in-memory upserts; ``saved`` keeps an index on disk.
 
 Layout: a *document-partitioned* index.  The corpus is hash-partitioned once on
 the internal document number ``ord``; tokenising, term frequencies and lengths are
@@ -6,9 +6,9 @@ then computed inside each partition (no further shuffle), and at search time the
 per-(query, document) score sum runs in the same partitions.  Only the small
 per-query top-k lists and the term statistics cross the network.
 
-Tables (all plain DataFrames, persisted as Parquet by :func:`write_index`):
+Tables (all plain DataFrames):
 
-* ``docs``     ord, id, title, text, url, pubmedId   (stored fields)
+* ``docs``     ord, id, title, text, url, pubmedId   (stored fields; saved: also slot)
 * ``lengths``  field, ord, dl, norm                  (A2, P5; only non-empty fields)
 * ``postings`` field, term, ord, tf, dl, norm        (A1; length denormalised so scoring needs no join)
 * ``terms``    field, term, df, cf                   (A3, A4)
@@ -17,29 +17,18 @@ Tables (all plain DataFrames, persisted as Parquet by :func:`write_index`):
 
 from __future__ import annotations
 
-import hashlib
-import json
-import uuid
 from dataclasses import dataclass, field as dc_field, replace
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from rankeval.functions.text import length_norm, tokens
-from rankeval.session import cut_lineage
+from rankeval.operators.numbering import numbered
+from rankeval.session import input_bytes
 
 FIELDS = ("title", "text")
 DOC_COLUMNS = ("ord", "id", "title", "text", "url", "pubmedId")
-TABLES = ("docs", "lengths", "postings", "terms", "stats")
 POSTING_COLUMNS = ("field", "term", "ord", "tf", "dl", "norm")
-# Written schemas: an empty table (a batch of empty texts) has no files to tell them.
-TABLE_DDL = {
-    "lengths": "field string, ord long, dl int, norm int",
-    "terms": "term string, df long, cf long, field string, tb int",
-    "stats": "field string, n_docs long, n_tokens long, avgdl double",
-}
 
 
 @dataclass(frozen=True)
@@ -52,18 +41,30 @@ class Index:
     # Lazily built indexes keep each field's postings separately: searching one field
     # then analyses only that field and keeps the document partitioning.
     by_field: dict = dc_field(default_factory=dict, compare=False)
-    # Saved indexes: postings and term statistics are partitioned on
-    # tb = pmod(xxhash64(term), term_partitions); 0 means not partitioned.
-    term_partitions: int = 0
-    # Saved indexes: number of ord buckets (document partitions); 0 when unknown.
-    buckets: int = 0
-    # Saved indexes with appended segments: the changes of df and cf, one row per segment and term,
-    # which ``terms`` adds up; a search adds up those of its own terms only.
+    # Saved indexes: the postings of each document range, each bucketed on ord (see ``saved``); a search
+    # sums scores inside every range and only then unites them.
+    ranges: tuple = ()
+    # Saved indexes: per field the terms at which a term group starts; postings and term statistics lie in
+    # directories by group.
+    bounds: dict = dc_field(default_factory=dict, compare=False)
+    # Saved indexes with appended batches: numbers of replaced documents, and the changes of df and cf (one
+    # row per batch and term), which ``terms`` adds up; a search adds up those of its own terms only.
+    replaced: DataFrame | None = None
     term_changes: DataFrame | None = None
 
     @property
-    def segmented(self) -> bool:
-        return self.term_changes is not None
+    def grouped(self) -> bool:
+        return bool(self.bounds)
+
+    def field_ranges(self, field: str) -> list[DataFrame]:
+        """The field's postings range by range; of replaced documents too."""
+        if not self.ranges:
+            return [self.field_postings(field)]
+        return [r.filter(F.col("field") == field) for r in self.ranges]
+
+    def live(self, rows: DataFrame) -> DataFrame:
+        """Rows (with ``ord``) of documents that no later batch replaced."""
+        return rows if self.replaced is None else rows.join(self.replaced, "ord", "left_anti")
 
     def field_postings(self, field: str) -> DataFrame:
         if field in self.by_field:
@@ -84,23 +85,10 @@ def flatten_articles(articles: DataFrame) -> DataFrame:
 
 
 def assign_ord(corpus: DataFrame, base: DataFrame | None = None, first: int = 0) -> DataFrame:
-    """Give every document a unique internal number after the base index's maximum (or from ``first`` on).
-
-    ``monotonically_increasing_id`` depends on the input partitioning and row order.  A file
-    scan with projections and filters reproduces both, so nothing needs to be copied; behind a
-    shuffle, Python or an RDD a recomputed task may not, and the numbered corpus is pinned with a
-    reliable checkpoint in the shared folder before anything else reads it.
-    """
-    if "ord" in corpus.columns:
-        return corpus
-    offset = F.lit(first)
+    """Give every document a unique internal number after the base index's maximum (or from ``first`` on)."""
     if base is not None:
-        offset = base.agg(F.coalesce(F.max("ord") + 1, F.lit(0)).alias("m")).scalar()
-    numbered = corpus.withColumn("ord", F.monotonically_increasing_id() + offset)
-    plan = corpus._jdf.queryExecution().executedPlan().toString()
-    if "FileScan" in plan and not any(x in plan for x in ("Exchange", "RDD", "Python", "Arrow", "Pandas", "InMemory")):
-        return numbered
-    return cut_lineage(numbered)
+        first = base.agg(F.coalesce(F.max("ord") + 1, F.lit(0)).alias("m")).scalar()
+    return numbered(corpus, first)
 
 
 def _docs(corpus: DataFrame) -> DataFrame:
@@ -191,13 +179,12 @@ def renumbered(batch: DataFrame, base: DataFrame | None = None, first: int = 0)
 
 
 def partitions_of(corpus: DataFrame, target_bytes: int = 256 << 20) -> int:
-    """Document partitions for a corpus: about ``target_bytes`` of its input files each, at least
-    the cluster's default parallelism; without input files, ``spark.sql.shuffle.partitions``."""
+    """Document partitions for a corpus: about ``target_bytes`` of its input each, at least the
+    cluster's default parallelism; with input of unknown size, ``spark.sql.shuffle.partitions``."""
     spark = corpus.sparkSession
-    files = corpus.inputFiles()
-    if not files:
+    size = input_bytes(corpus)
+    if size is None:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    size = sum(_size(spark, f) for f in files)
     return max(spark.sparkContext.defaultParallelism, -(-size // target_bytes))
 
 
@@ -212,14 +199,14 @@ def build_index(corpus: DataFrame, partitions: int | None = None, fields=FIELDS,
     ``prepartitioned=True`` states that the corpus is already hash-partitioned on
     ``ord`` (e.g. repartitioned before expensive per-document projections).
     """
-    numbered = assign_ord(corpus)
-    docs = _docs(last_wins(numbered) if dedup else numbered)
+    corpus = assign_ord(corpus)
+    docs = _docs(last_wins(corpus) if dedup else corpus)
     n = partitions or 0
     if dedup or not prepartitioned:
         n = partitions or partitions_of(corpus)
         docs = docs.repartition(n, "ord")
     lengths, postings, by_field = analyze(docs, fields)
-    return Index(docs, lengths, postings, term_stats(postings), collection_stats(lengths), by_field, buckets=n)
+    return Index(docs, lengths, postings, term_stats(postings), collection_stats(lengths), by_field)
 
 
 def upsert(base: Index, batch: DataFrame, partitions: int | None = None, fields=FIELDS) -> Index:
@@ -230,281 +217,15 @@ def upsert(base: Index, batch: DataFrame, partitions: int | None = None, fields=
     longer count).
     """
     new_docs = renumbered(batch, base.docs)
-    n = partitions or base.buckets or int(new_docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or int(new_docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     new_docs = new_docs.repartition(n, "ord")
     replaced = base.docs.join(new_docs.select("id"), "id", "left_semi").select("ord")
-    docs = base.docs.join(replaced, "ord", "left_anti").unionByName(new_docs)
+    docs = _docs(base.docs).join(replaced, "ord", "left_anti").unionByName(new_docs)
     new_lengths, new_postings, _ = analyze(new_docs, fields)
     lengths = base.lengths.join(replaced, "ord", "left_anti").unionByName(new_lengths)
     postings = (base.postings.select(*POSTING_COLUMNS).join(replaced, "ord", "left_anti")
                 .unionByName(new_postings))
-    return Index(docs, lengths, postings, term_stats(postings), collection_stats(lengths), buckets=n)
-
-
-# ---------------------------------------------------------------------------
-# Persistence (S4, S5-S7).  Every write goes to a fresh version directory, since a
-# path that is being read cannot be overwritten; readers take the newest complete one.
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-
-def _versions(spark: SparkSession, path: str, complete: bool = True) -> list[str]:
-    """Version directories under ``path``; with ``complete`` only those whose last table finished."""
-    fs, p, jvm = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v") and name[1:].isdigit():
-            done = jvm.org.apache.hadoop.fs.Path(st.getPath(), "stats/_SUCCESS")
-            if not complete or fs.exists(done):
-                out.append(name)
-    return sorted(out, key=lambda name: int(name[1:]))
-
-
-def term_bucket(term, n: int):
-    """Term partition of a term: ``pmod(xxhash64(term), n)``."""
-    return F.pmod(F.xxhash64(term), F.lit(n)).cast("int")
-
-
-# Term partitions: a slice of the documents' bytes each, within bounds on their number and on files.
-TERM_SLICE_BYTES, MIN_TERM_PARTITIONS, MAX_TERM_PARTITIONS, MAX_POSTING_FILES = 32 << 20, 4, 256, 1_000_000
-
-
-def default_term_partitions(docs_bytes: int, buckets: int) -> int:
-    wanted = min(-(-docs_bytes // TERM_SLICE_BYTES), MAX_POSTING_FILES // (2 * buckets), MAX_TERM_PARTITIONS)
-    return max(MIN_TERM_PARTITIONS, wanted)
-
-
-def write_index(index: Index, path: str, buckets: int | None = None, term_partitions: int | None = None) -> str:
-    """Write all tables under ``path/vNNNNNN`` and return that directory.
-
-    ``docs`` and ``postings`` are written as tables bucketed on ``ord`` (``buckets``
-    shards, default ``spark.sql.shuffle.partitions``; use the number of document
-    partitions of the build so each task writes one file per table).  Reading them
-    back as bucketed tables restores the document partitioning, so a search sums
-    term scores per (query, document) without any shuffle.
-
-    Postings and term statistics are also partitioned (directories) on the field and
-    on ``tb = pmod(xxhash64(term), term_partitions)``.  A search joins on (tb, term),
-    so dynamic partition pruning reads only the term partitions of the query terms.
-    ``term_partitions`` does not depend on the buckets (``default_term_partitions``).  Files are
-    sorted, postings by term and documents by ord, so Parquet's own statistics skip row groups and
-    pages inside a file as well.
-
-    The corpus is tokenised once; lengths and term / collection statistics are
-    aggregated from the written postings.  ``stats`` is written last: its
-    ``_SUCCESS`` marks a complete version.
-    """
-    spark = index.docs.sparkSession
-    out = _next_version(spark, path)
-    b = buckets or index.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    meta = {"token": uuid.uuid4().hex, "buckets": b, "docs_ddl": index.docs.schema.toDDL(), "segments": [out.rsplit("/", 1)[1]]}
-    _save_bucketed(index.docs, out, "docs", meta)
-    written_docs = _bucketed(spark, out, "docs", meta)
-    t = term_partitions or default_term_partitions(_size(spark, f"{out}/docs"), b)
-    if index.by_field:
-        # Re-analyse the written documents: the bucketed scan is already partitioned on
-        # ord (no second shuffle of the texts) and postings match the stored ords.
-        _, postings, _ = analyze(written_docs, tuple(index.by_field))
-    else:
-        postings = index.postings.select(*POSTING_COLUMNS)
-    written = _write_postings(spark, out, postings, t, meta, written_docs)
-    _write_terms(term_stats(written), out, t)
-    collection_stats(spark.read.parquet(f"{out}/lengths")).coalesce(1).write.mode("errorifexists").parquet(
-        f"{out}/stats")
-    return out
-
-
-def _next_version(spark: SparkSession, path: str) -> str:
-    versions = _versions(spark, path, complete=False)  # an interrupted write keeps its number
-    nxt = int(versions[-1][1:]) + 1 if versions else 1
-    return f"{path.rstrip('/')}/v{nxt:06d}"
-
-
-def _write_postings(spark: SparkSession, out: str, postings: DataFrame, t: int, meta: dict, docs: DataFrame) -> DataFrame:
-    """Postings, lengths and the metadata of a version; returns the written postings."""
-    postings = postings.withColumn("tb", term_bucket(F.col("term"), t))
-    _save_bucketed(postings, out, "postings", meta, partition_by=("field", "tb"))
-    meta |= {"term_partitions": t, "postings_ddl": postings.schema.toDDL(),
-             "next_ord": docs.agg(F.coalesce(F.max("ord") + 1, F.lit(meta.get("next_ord", 0)))).first()[0]}
-    _write_meta(spark, out, meta)
-    written = _bucketed(spark, out, "postings", meta)
-    lengths_of(written).write.mode("errorifexists").parquet(f"{out}/lengths")
-    return written
-
-
-def _write_terms(terms: DataFrame, out: str, t: int) -> None:
-    (terms.withColumn("tb", term_bucket(F.col("term"), t)).repartition("field", "tb").sortWithinPartitions("field", "tb", "term")
-     .write.mode("errorifexists").partitionBy("field", "tb").parquet(f"{out}/terms"))
-
-
-def append_segment(path: str, batch: DataFrame, buckets: int | None = None) -> str:
-    """Add a batch to a saved index as a new version that refers to the earlier segments.
-
-    Written: the batch's documents and postings, the numbers of the documents it replaces, the
-    changes of df and cf, and the new collection statistics.  Nothing of the base is rewritten; of the
-    base only ids are read, and the postings and lengths of replaced documents.
-    """
-    spark = batch.sparkSession
-    base = load_index(spark, path)
-    version = _versions(spark, path)[-1]
-    old = _read_meta(spark, f"{path.rstrip('/')}/{version}")
-    out, t = _next_version(spark, path), int(old["term_partitions"])
-    docs = renumbered(batch, first=int(old["next_ord"]))
-    b = buckets or min(partitions_of(batch), int(old["buckets"]))
-    meta = {"token": uuid.uuid4().hex, "buckets": b, "docs_ddl": docs.schema.toDDL(), "next_ord": old["next_ord"],
-            "segments": [*old["segments"], out.rsplit("/", 1)[1]]}
-    _save_bucketed(docs.repartition(b, "ord"), out, "docs", meta)
-    docs = _bucketed(spark, out, "docs", meta)
-    base.docs.select("ord", "id").join(docs.select("id"), "id", "left_semi").select("ord").write.mode(
-        "errorifexists").parquet(f"{out}/replaced")
-    replaced = spark.read.schema("ord long").parquet(f"{out}/replaced")
-    written = _write_postings(spark, out, analyze(docs)[1], t, meta, docs)
-    lost = term_stats(base.postings.select(*POSTING_COLUMNS).join(replaced, "ord", "left_semi"))
-    change = term_stats(written).unionByName(lost.select("field", "term", (-F.col("df")).alias("df"), (-F.col("cf")).alias("cf")))
-    _write_terms(change.groupBy("field", "term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf")), out, t)
-    sums = [F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")]
-    gained = collection_stats(spark.read.parquet(f"{out}/lengths"))
-    gone = collection_stats(base.lengths.join(replaced, "ord", "left_semi")).select(
-        "field", (-F.col("n_docs")).alias("n_docs"), (-F.col("n_tokens")).alias("n_tokens"))
-    parts = base.stats.select("field", "n_docs", "n_tokens").unionByName(gained.drop("avgdl")).unionByName(gone)
-    total = parts.groupBy("field").agg(*sums).filter("n_docs > 0").withColumn("avgdl", F.col("n_tokens") / F.col("n_docs"))
-    total.coalesce(1).write.mode("errorifexists").parquet(f"{out}/stats")
-    return out
-
-
-def compact(spark: SparkSession, path: str, buckets: int | None = None) -> str:
-    """Rewrite a segmented index as one segment (a new version)."""
-    return write_index(load_index(spark, path), path, buckets)
-
-
-def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
-    """Delete versions that neither are among the newest ``keep`` nor hold a segment of one of these."""
-    versions = _versions(spark, path)
-    fs, _, jvm = _fs(spark, path)
-    base = path.rstrip("/")
-    needed = {s for v in versions[-max(keep, 1):] for s in [v, *_read_meta(spark, f"{base}/{v}")["segments"]]}
-    gone = [v for v in versions if v not in needed]
-    for v in gone:
-        meta = _read_meta(spark, f"{base}/{v}")
-        for name in ("docs", "postings"):
-            spark.sql(f"DROP TABLE IF EXISTS {_table_name(f'{base}/{v}', name, meta)}")
-        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{base}/{v}"), True)
-    return gone
-
-
-def _save_bucketed(df: DataFrame, out: str, name: str, meta: dict, partition_by=()) -> None:
-    table = _table_name(out, name, meta)
-    w = (df.write.mode("errorifexists").format("parquet").bucketBy(int(meta["buckets"]), "ord")
-         .sortBy("term" if name == "postings" else "ord"))
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.option("path", f"{out}/{name}").saveAsTable(table)
-
-
-def _size(spark: SparkSession, path: str) -> int:
-    fs, p, _ = _fs(spark, path)
-    return fs.getContentSummary(p).getLength()
-
-
-def _table_name(version_dir: str, name: str, meta: dict) -> str:
-    """Catalog name of a table: the write's own token, so an index rebuilt at the same path by
-    another application never meets stale catalog entries."""
-    digest = hashlib.sha1(f"{version_dir}#{meta['token']}".encode()).hexdigest()[:16]
-    return f"rankeval_{digest}_{name}"
-
-
-def _bucketed(spark: SparkSession, version_dir: str, name: str, meta: dict) -> DataFrame:
-    """The bucketed table ``name`` of a saved version, registered in this session's catalog."""
-    table = _table_name(version_dir, name, meta)
-    if not spark.catalog.tableExists(table):
-        ddl = meta["docs_ddl"] if name == "docs" else meta["postings_ddl"]
-        parts = " PARTITIONED BY (field, tb)" if name == "postings" else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet{parts} "
-                  f"CLUSTERED BY (ord) SORTED BY ({'term' if parts else 'ord'}) INTO {int(meta['buckets'])} BUCKETS "
-                  f"LOCATION '{version_dir}/{name}'")
-        if parts:
-            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-    return spark.table(table)
-
-
-def _write_meta(spark: SparkSession, version_dir: str, meta: dict) -> None:
-    """A few hundred bytes of layout metadata, written by the driver (no Spark job)."""
-    fs, _, jvm = _fs(spark, version_dir)
-    stream = fs.create(jvm.org.apache.hadoop.fs.Path(f"{version_dir}/_meta.json"), False)
-    stream.write(bytearray(json.dumps(meta).encode("utf-8")))
-    stream.close()
-
-
-def _read_meta(spark: SparkSession, version_dir: str) -> dict:
-    fs, _, jvm = _fs(spark, version_dir)
-    stream = fs.open(jvm.org.apache.hadoop.fs.Path(f"{version_dir}/_meta.json"))
-    try:
-        return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
-
-
-def index_exists(spark: SparkSession, path: str) -> bool:
-    return bool(_versions(spark, path))
-
-
-def load_index(spark: SparkSession, path: str) -> Index:
-    """Open the newest complete version of a saved index."""
-    versions = _versions(spark, path)
-    if not versions:
-        raise FileNotFoundError(f"no index at {path}")
-    root = path.rstrip("/")
-    newest = f"{root}/{versions[-1]}"
-    meta = _read_meta(spark, newest)
-    parts: dict[str, list[DataFrame]] = {name: [] for name in ("docs", "lengths", "postings", "terms", "replaced")}
-    for k, segment in enumerate(meta["segments"]):
-        out = f"{root}/{segment}"
-        own = _read_meta(spark, out)
-        for name in ("docs", "postings"):
-            parts[name].append(_bucketed(spark, out, name, own))
-        for name in ("lengths", "terms"):
-            parts[name].append(spark.read.schema(TABLE_DDL[name]).parquet(f"{out}/{name}"))
-        if k:
-            parts["replaced"].append(spark.read.schema("ord long").parquet(f"{out}/replaced"))
-    stats = spark.read.schema(TABLE_DDL["stats"]).parquet(f"{newest}/stats")
-    one = {name: reduce(DataFrame.unionByName, frames) for name, frames in parts.items() if frames}
-    if "replaced" in one:
-        # numbers are never reused, so a number replaced by any later segment is dead in all of them
-        for name in ("docs", "lengths", "postings"):
-            one[name] = one[name].join(one["replaced"], "ord", "left_anti")
-    changes = one["terms"] if "replaced" in one else None
-    if changes is not None:
-        one["terms"] = changes.groupBy("field", "tb", "term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf")).filter("df > 0")
-    return Index(one["docs"], one["lengths"], one["postings"], one["terms"], stats, term_changes=changes,
-                 term_partitions=int(meta["term_partitions"]), buckets=int(meta["buckets"]))
-
-
-def index_corpus(corpus: DataFrame, path: str, mode: str = "create_or_append",
-                 partitions: int | None = None) -> str:
-    """Index sink with the three open modes.
-
-    * ``create``: new index from the corpus, duplicate ids kept (S5).
-    * ``append``: upsert by id into the existing index as a new segment, at the cost of the
-      batch; error if none exists (S6).  ``compact`` merges segments.
-    * ``create_or_append``: append when an index exists, else create with de-duplication (S7).
-    """
-    spark = corpus.sparkSession
-    exists = index_exists(spark, path)
-    if mode == "create":
-        return write_index(build_index(corpus, partitions), path, partitions)
-    if mode == "append" and not exists:
-        raise FileNotFoundError(f"append needs an existing index at {path}")
-    if mode not in ("append", "create_or_append"):
-        raise ValueError(f"unknown open mode {mode!r}")
-    if exists:
-        return append_segment(path, corpus, partitions)
-    return write_index(build_index(corpus, partitions, dedup=True), path, partitions)
+    return Index(docs, lengths, postings, term_stats(postings), collection_stats(lengths))
 
 
 def with_field(index: Index, field: str) -> Index:

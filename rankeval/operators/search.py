@@ -2,11 +2,15 @@
 
 Plan shape for ``search`` (one job for all queries and all parameter values):
 
-    postings[field]  --(broadcast hash join on (tb, term), size checked;
-                        dynamic partition pruning on tb for a saved index)-->  matched
+    postings[field]  --(broadcast hash join on (tg, term), size checked;
+                        dynamic partition pruning on tg for a saved index)-->  matched
     matched          --(sum per query, doc; stays in the document partitions)-->
-    candidates       --(partial top-k per partition: WindowGroupLimit)-->
-    exchange on query (at most k rows per query per partition) --> final top-k
+    candidates       --(partial top-k per partition: WindowGroupLimit, or a bounded heap
+                        per setting for several settings)-->
+    exchange on query (at most k rows per query, setting and partition) --> final top-k
+
+A saved index has its postings in ranges of document numbers: match and sum run range by range,
+and the candidates are united.
 
 A frequent term never causes a skewed shuffle: postings are never shuffled by term.
 """
@@ -21,14 +25,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from rankeval.functions.text import query_echo, tokens
-from rankeval.operators.index import Index, term_bucket, term_stats
+from rankeval.functions.topk import greatest_k
+from rankeval.operators.index import Index, term_stats
+from rankeval.operators.saved import group_of, slot_of, term_group
 from rankeval.session import bounded, cut_lineage
 
 # Largest query-term table we broadcast (rows: one per distinct (query, term)).
 # A term has at most 255 characters, so this many rows stay far under 100 MB.
 MAX_BROADCAST_QUERY_TERMS = 100_000
-# Most query terms, and most hits, that are handed to a scan as literals.
-MAX_TERM_LITERALS, MAX_HIT_LITERALS = 64, 1000
+# Most query terms that are handed to a scan as literals.
+MAX_TERM_LITERALS = 64
 
 
 def select_queries(topics: DataFrame, selector: str | int | tuple[int, int] = "all") -> DataFrame:
@@ -76,16 +82,17 @@ def query_statistics(index: Index, qterms: DataFrame, broadcast_ok: bool, field:
     """
     keys = ["term"]
     q = qterms.drop("field")
-    if index.term_partitions:
-        keys = ["tb", "term"]
-        q = q.withColumn("tb", term_bucket(F.col("term"), index.term_partitions))
+    if index.grouped:
+        keys = ["tg", "term"]
+        q = q.withColumn("tg", term_group(F.col("term"), index.bounds.get(field) or []))
     q = F.broadcast(q) if broadcast_ok else q
     if field in index.by_field:
         # Lazily built index: aggregate df / cf for the query terms only.
         tstats = term_stats(index.by_field[field].join(q.select(*keys), keys, "left_semi")).select(*keys, "df", "cf")
     else:
-        tstats = (index.term_changes if index.segmented else index.terms).filter(F.col("field") == field).select(*keys, "df", "cf")
-        if index.segmented:  # changes of several segments: add up those of the query terms
+        changed = index.term_changes is not None
+        tstats = (index.term_changes if changed else index.terms).filter(F.col("field") == field).select(*keys, "df", "cf")
+        if changed:  # changes of several batches: add up those of the query terms
             tstats = (tstats.join(q.select(*keys), keys, "left_semi").groupBy(*keys)
                       .agg(F.sum("df").alias("df"), F.sum("cf").alias("cf")).filter("df > 0"))
     coll = (index.stats.filter(F.col("field") == field)
@@ -94,26 +101,35 @@ def query_statistics(index: Index, qterms: DataFrame, broadcast_ok: bool, field:
         F.lit(field).alias("field"), "query_id", *keys, "qtf", "df", "cf", coll.alias("coll"))
 
 
-def match(index: Index, qterms: DataFrame, field: str = "text",
-          max_broadcast: int = MAX_BROADCAST_QUERY_TERMS, broadcast_ok: bool | None = None) -> DataFrame:
-    """Postings of the query terms with everything a model needs (OR semantics).
+def match_ranges(index: Index, qterms: DataFrame, field: str = "text",
+                 max_broadcast: int = MAX_BROADCAST_QUERY_TERMS, broadcast_ok: bool | None = None) -> list[DataFrame]:
+    """J1 per document range of the index (one for an index in memory), of replaced documents too.
 
     ``broadcast_ok`` is a caller's proof that the query-term table is small; without
     it the row count is checked here.
     """
     ok = bounded(qterms, max_broadcast) if broadcast_ok is None else broadcast_ok
     qstats = query_statistics(index, qterms, ok, field)
-    postings = index.field_postings(field)
-    if ok and index.term_partitions:
+    few = []
+    if ok and index.grouped:
         # few terms: as literals they reach the scan, and files sorted by term skip the rest
         few = [r.term for r in qterms.select("term").distinct().limit(MAX_TERM_LITERALS + 1).collect()]
-        if 0 < len(few) <= MAX_TERM_LITERALS:
-            postings = postings.filter(reduce(or_, [
-                (F.col("tb") == term_bucket(F.lit(t), index.term_partitions)) & (F.col("term") == t) for t in few]))
     side = F.broadcast(qstats) if ok else qstats
-    keys = ["tb", "term"] if index.term_partitions else ["term"]
-    return postings.join(side.drop("field"), keys).select(
-        "*", *[F.col("coll")[c].alias(c) for c in ("n_docs", "n_tokens", "avgdl")]).drop("coll")
+    keys = ["tg", "term"] if index.grouped else ["term"]
+    out = []
+    for postings in index.field_ranges(field):
+        if 0 < len(few) <= MAX_TERM_LITERALS:
+            bounds = index.bounds.get(field) or []
+            postings = postings.filter(reduce(or_, [(F.col("tg") == group_of(t, bounds)) & (F.col("term") == t) for t in few]))
+        out.append(postings.join(side.drop("field"), keys).select(
+            "*", *[F.col("coll")[c].alias(c) for c in ("n_docs", "n_tokens", "avgdl")]).drop("coll"))
+    return out
+
+
+def match(index: Index, qterms: DataFrame, field: str = "text",
+          max_broadcast: int = MAX_BROADCAST_QUERY_TERMS, broadcast_ok: bool | None = None) -> DataFrame:
+    """Postings of the query terms with everything a model needs (OR semantics)."""
+    return index.live(reduce(DataFrame.unionByName, match_ranges(index, qterms, field, max_broadcast, broadcast_ok)))
 
 
 def score_columns(scorers, length: str = "norm") -> list[tuple[str, float, Column]]:
@@ -131,34 +147,42 @@ def score_columns(scorers, length: str = "norm") -> list[tuple[str, float, Colum
     return out
 
 
-def candidates(matched: DataFrame, cols: list[tuple[str, float, Column]]) -> DataFrame:
-    """Per (run, query, doc) score = sum of term scores.
+def candidates(index: Index, matched: list[DataFrame], cols: list[tuple[str, float, Column]]) -> DataFrame:
+    """Per (query, doc) one sum of term scores per setting: columns s0, s1, ...
 
-    All parameter values are summed side by side in one aggregation (one column each)
-    and unpivoted afterwards with ``posexplode``, so a sweep never multiplies the
-    matched rows; ``run`` is the integer position of the (model, param) setting.
+    All parameter values are summed side by side in one aggregation, so a sweep never multiplies
+    the matched rows.  The sum stays inside the partitions of each document range.
     """
     sums = [F.sum(c).alias(f"s{i}") for i, (_, _, c) in enumerate(cols)]
-    agg = matched.groupBy("query_id", "ord").agg(*sums)
-    if len(cols) == 1:
-        return agg.select(F.lit(0).alias("run"), "query_id", "ord", F.col("s0").alias("score"))
-    return agg.select("query_id", "ord", F.posexplode(F.array(*[F.col(f"s{i}") for i in range(len(cols))]))
-                      .alias("run", "score"))
+    return index.live(reduce(DataFrame.unionByName, [m.groupBy("query_id", "ord").agg(*sums) for m in matched]))
+
+
+def _kept(score: Column) -> Column:
+    """The sum is taken in double precision and kept in single precision: a relative precision, so
+    frequent terms of a large collection, whose weights are tiny, rank like any other, while
+    summation-order noise does not reorder equal scores."""
+    return score.cast("float").cast("double")
 
 
-def top_k(cands: DataFrame, cut: int, keys=("run",)) -> DataFrame:
-    """Best ``cut`` documents per query (and run); ties by lower ``ord``.
+def top_k(cands: DataFrame, cut: int, runs: int = 1) -> DataFrame:
+    """Best ``cut`` documents per setting and query, ties by lower ``ord``: run, query_id, rank, ord, score.
 
-    The sum is taken in double precision and kept in single precision: a relative
-    precision, so frequent terms of a large collection, whose weights are tiny, rank like any
-    other, while summation-order noise does not reorder equal scores.  ``row_number() <= cut`` is
-    planned as a partial WindowGroupLimit before the exchange and a final one after it.
+    One setting: ``row_number() <= cut`` is planned as a partial WindowGroupLimit before the exchange
+    and a final one after it.  Several: a bounded heap per query and setting, in each partition and
+    again behind the exchange, so the candidates are never multiplied by the settings nor sorted for each.
     """
     if cut <= 0:
         raise ValueError("cut must be positive")
-    scored = cands.withColumn("score", F.col("score").cast("float").cast("double"))
-    w = Window.partitionBy(*keys, "query_id").orderBy(F.desc("score"), F.asc("ord"))
-    return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= cut)
+    if runs == 1:
+        w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("ord"))
+        return (cands.select(F.lit(0).alias("run"), "query_id", "ord", _kept(F.col("s0")).alias("score"))
+                .withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= cut))
+    best = [greatest_k(F.struct(_kept(F.col(f"s{i}")).alias("score"), (-F.col("ord")).alias("minus")), cut) for i in range(runs)]
+    heaps = cands.groupBy("query_id").agg(*[b.alias(f"b{i}") for i, b in enumerate(best)])
+    each = heaps.select("query_id", F.posexplode(F.array(*[F.col(f"b{i}") for i in range(runs)])).alias("run", "hits"))
+    hits = each.select("run", "query_id", F.posexplode("hits").alias("place", "hit"))
+    return hits.select("run", "query_id", (-F.col("hit.minus")).alias("ord"), F.col("hit.score").alias("score"),
+                       (F.col("place") + 1).alias("rank")).filter(F.col("rank") <= cut)
 
 
 def label_runs(hits: DataFrame, cols: list[tuple[str, float, Column]]) -> DataFrame:
@@ -178,27 +202,34 @@ def search(index: Index, topics: DataFrame, model, cut: int = 10, field: str = "
     which case the output also carries ``model`` and ``param``.
     """
     qterms = query_terms(topics, field)
-    matched = match(index, qterms, field, broadcast_ok=broadcast_ok)
+    matched = match_ranges(index, qterms, field, broadcast_ok=broadcast_ok)
     cols = score_columns(model, length)
-    hits = top_k(candidates(matched, cols), cut)
+    hits = top_k(candidates(index, matched, cols), cut, len(cols))
     if hasattr(model, "term_score"):
         return hits.select("query_id", "rank", "ord", "score")
     return label_runs(hits, cols).select("model", "param", "query_id", "rank", "ord", "score")
 
 
-def fetch_hits(hits: DataFrame, docs: DataFrame, top: int | None = None,
-               fields=("id", "title", "text", "url", "pubmedId"), broadcast_ok: bool = False) -> DataFrame:
-    """J6 + J7: keep ranks <= ``top`` and attach stored fields.
+def look_up(docs: DataFrame, hits: DataFrame, columns, small: bool = False) -> DataFrame:
+    """Stored columns of the hits' documents.
 
-    With ``broadcast_ok`` (a proof from ``evaluate.hits_bounded``: hits are at most
-    topics x cut rows) the hits are the broadcast side while the document table is
-    streamed with only the needed columns read; otherwise the planner decides.
+    Stored documents of a saved index lie in directories by slot (``ord div`` the documents per slot).  The distinct
+    slots of the hits (at most as many as the index has) are broadcast and prune them at run time, whatever the number
+    of hits; the hits are pinned first, so that both uses of them are one computation.  ``small``: a proof (from
+    ``evaluate.hits_bounded``) that the hits themselves can be broadcast.
     """
+    layout = docs.schema["slot"].metadata if "slot" in docs.columns else {"slots": 1}
+    if layout["slots"] == 1:
+        return docs.select("ord", *columns).join(F.broadcast(hits) if small else hits, "ord")
+    hits = cut_lineage(hits.withColumn("slot", slot_of(layout["docs"])))
+    # the filter holds for all of them; the planner prunes by a side only if that has one
+    slots = F.broadcast(hits.select("slot").distinct().filter("slot is not null and slot >= 0"))
+    stored = docs.select("slot", "ord", *columns).join(slots, "slot", "left_semi")
+    return stored.join(F.broadcast(hits) if small else hits, ["slot", "ord"]).drop("slot")
+
+
+def fetch_hits(hits: DataFrame, docs: DataFrame, top: int | None = None,
+               fields=("id", "title", "text", "url", "pubmedId"), broadcast_ok: bool = False) -> DataFrame:
+    """J6 + J7: keep ranks <= ``top`` and attach stored fields (``look_up``)."""
     h = hits if top is None else hits.filter(F.col("rank") <= top)
-    if broadcast_ok:
-        # the numbers of few hits as literals: a saved index opens only their buckets and row groups
-        h = cut_lineage(h)
-        few = [r.ord for r in h.select("ord").distinct().limit(MAX_HIT_LITERALS + 1).collect()]
-        if len(few) <= MAX_HIT_LITERALS:
-            docs = docs.filter(F.col("ord").isin(few) if few else F.lit(False))
-    return docs.select("ord", *fields).join(F.broadcast(h) if broadcast_ok else h, "ord")
+    return look_up(docs, h, fields, broadcast_ok)

@@ -15,7 +15,7 @@ from rankeval.operators.evaluate import (
     METRIC_NAMES, hits_bounded, judge, nonzero_mean, per_query_metrics,
 )
 from rankeval.operators.models import BM25, JM
-from rankeval.operators.search import candidates, match, query_terms, search, select_queries, top_k
+from rankeval.operators.search import candidates, match_ranges, query_terms, search, select_queries, top_k
 
 # The two parameter grids (intended decimals, not accumulated floats).
 LAMBDA_GRID = (0.001, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
@@ -113,7 +113,7 @@ def train_test(index, topics: DataFrame, qrels: DataFrame, model, train, test, m
     qterms = query_terms(test_topics, field)
     cols = [(m.name, 0.0, m.term_score(guarded, length=length))]
     small = hits_bounded(test_topics, cut, 1, field)
-    hits = top_k(candidates(match(index, qterms, field, broadcast_ok=small or None), cols), cut).select(
+    hits = top_k(candidates(index, match_ranges(index, qterms, field, broadcast_ok=small or None), cols), cut).select(
         "query_id", "rank", "ord", "score")
     judged = judge(hits, index.docs, qrels, small)
     test_metrics = per_query_metrics(judged, test_topics, qrels, cut, precision=precision)

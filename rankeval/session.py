@@ -41,7 +41,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="rankeval-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir() or path
 
@@ -62,12 +61,21 @@ def bounded(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or folder, from file-system metadata (no Spark job)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes of the tables and files a DataFrame reads, by the planner's statistics (no Spark job);
+    None when one of them is of unknown size (the planner then assumes the largest number)."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return None if any(x >= 1 << 62 for x in sizes) else sum(sizes)
+
+
 def partitions_for(spark: SparkSession, path: str, target_bytes: int = 256 << 20) -> int:
     """Number of partitions for data stored at ``path``: about ``target_bytes`` each,
-    and never fewer than the cluster's default parallelism.  Uses file-system
-    metadata only (no Spark job)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    size = fs.getContentSummary(p).getLength()
-    return max(spark.sparkContext.defaultParallelism, -(-size // target_bytes))
+    and never fewer than the cluster's default parallelism."""
+    return max(spark.sparkContext.defaultParallelism, -(-path_bytes(spark, path) // target_bytes))

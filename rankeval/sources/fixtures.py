@@ -16,10 +16,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from rankeval.functions.text import tokens
 from rankeval.operators.index import Index, build_index
-from rankeval.session import partitions_for
+from rankeval.operators.search import MAX_BROADCAST_QUERY_TERMS
+from rankeval.session import bounded, partitions_for
 
 # Fixed values of the derived collection (shares as fractions of whole numbers).
 RELEVANT_SHARE = (3, 4)
@@ -76,8 +78,22 @@ def qrels(spark: SparkSession, sf_dir: str, idx: Index | None = None) -> DataFra
         F.size("toks") > 0)
     terms = items.select("item_id", F.size(F.array_distinct("toks")).alias("need"),
                          F.explode(F.array_distinct("toks")).alias("term"))
-    held = (idx.field_postings("text").join(terms, "term")
-            .groupBy("ord", "item_id", "need").agg(F.count(F.lit(1)).alias("got"))
+    # a document that holds half of an item's terms holds one of its rarest (half of them plus one): only those find
+    # candidates, and the other terms are counted for candidates alone
+    df = idx.terms.filter("field = 'text'").select("term", "df")
+    place = F.row_number().over(Window.partitionBy("item_id").orderBy(F.coalesce("df", F.lit(0)), "term"))
+    terms = terms.join(df, "term", "left").withColumn("rare", place <= F.floor(F.col("need") / 2) + 1)
+    small = bounded(terms, MAX_BROADCAST_QUERY_TERMS)
+
+    def held_by(part: DataFrame) -> DataFrame:
+        return idx.field_postings("text").select("ord", "term").join(
+            (F.broadcast(part) if small else part).select("item_id", "need", "term"), "term")
+
+    found = held_by(terms.filter("rare")).groupBy("ord", "item_id", "need").agg(F.count(F.lit(1)).alias("got"))
+    rest = held_by(terms.filter("not rare")).join(found.select("ord", "item_id"), ["ord", "item_id"]).groupBy(
+        "ord", "item_id").agg(F.count(F.lit(1)).alias("more"))
+    held = (found.join(rest, ["ord", "item_id"], "left")
+            .select("ord", "item_id", "need", (F.col("got") + F.coalesce("more", F.lit(0))).alias("got"))
             .filter(F.col("got") * JUDGED_SHARE[1] >= F.col("need") * JUDGED_SHARE[0]))
     whole = (idx.docs.select("ord", "text").join(held.filter("got = need").select("ord", "item_id"), "ord")
              .join(items.select("item_id", _run(F.col("toks")).alias("passage")), "item_id")
@@ -133,7 +149,7 @@ def saved_collection(spark: SparkSession, sf_dir: str) -> tuple[Index, DataFrame
     import os
     import uuid
 
-    from rankeval.operators.index import load_index, write_index
+    from rankeval.operators.saved import load_index, write_index
     from rankeval.session import checkpoint_dir
 
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))

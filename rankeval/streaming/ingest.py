@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from rankeval.operators.index import flatten_articles, index_corpus
+from rankeval.operators.index import flatten_articles
+from rankeval.operators.saved import index_corpus
 from rankeval.sources.readers import file_version
 from rankeval.sources.schemas import CORPUS_SCHEMA
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from micro import frames
 from rankeval.functions.text import length_norm
 from rankeval.operators import index as I
+from rankeval.operators import saved
 from rankeval.operators.search import search
 from rankeval.operators.models import BM25
 
@@ -52,26 +53,26 @@ def test_create_keeps_duplicates_and_modes(spark, tmp_dir):
     dup = docs.unionByName(docs.filter("id = 'd0'").withColumn("ord", F.lit(100).cast("long")))
     path = f"{tmp_dir}/idx"
     with pytest.raises(FileNotFoundError):
-        I.index_corpus(dup, path, "append")
-    I.index_corpus(dup, path, "create")
-    idx = I.load_index(spark, path)
+        saved.index_corpus(dup, path, "append")
+    saved.index_corpus(dup, path, "create")
+    idx = saved.load_index(spark, path)
     assert idx.docs.filter("id = 'd0'").count() == 2
     batch = spark.createDataFrame([("d0", "zz top"), ("d0", "zz newest")], "id string, text string")
-    I.index_corpus(batch, path, "append")
-    idx2 = I.load_index(spark, path)
+    saved.index_corpus(batch, path, "append")
+    idx2 = saved.load_index(spark, path)
     got = [r.text for r in idx2.docs.filter("id = 'd0'").collect()]
     assert len(got) == 1
     # create_or_append on a fresh path de-duplicates
     p2 = f"{tmp_dir}/idx2"
-    I.index_corpus(dup, p2)
-    assert I.load_index(spark, p2).docs.filter("id = 'd0'").count() == 1
+    saved.index_corpus(dup, p2)
+    assert saved.load_index(spark, p2).docs.filter("id = 'd0'").count() == 1
 
 
 def test_persisted_index_gives_same_hits(spark, tmp_dir):
     docs, topics, _ = frames(spark)
     idx = I.build_index(docs, 3)
-    I.write_index(idx, f"{tmp_dir}/p")
-    loaded = I.load_index(spark, f"{tmp_dir}/p")
+    saved.write_index(idx, f"{tmp_dir}/p")
+    loaded = saved.load_index(spark, f"{tmp_dir}/p")
     a = sorted(tuple(r) for r in search(idx, topics, BM25(0.7), 10).collect())
     b = sorted(tuple(r) for r in search(loaded, topics, BM25(0.7), 10).collect())
     assert a == b
@@ -80,9 +81,9 @@ def test_persisted_index_gives_same_hits(spark, tmp_dir):
 def test_saved_index_prunes_term_partitions_and_keeps_buckets(spark, tmp_dir):
     docs, topics, _ = frames(spark)
     idx = I.build_index(docs, 3)
-    I.write_index(idx, f"{tmp_dir}/tp", buckets=3, term_partitions=4)
-    loaded = I.load_index(spark, f"{tmp_dir}/tp")
-    assert loaded.term_partitions == 4
+    saved.write_index(idx, f"{tmp_dir}/tp", buckets=3, groups=4)
+    loaded = saved.load_index(spark, f"{tmp_dir}/tp")
+    assert len(loaded.bounds["text"]) >= 2 and len(loaded.ranges) == 1
     a = sorted(tuple(r) for r in search(idx, topics, BM25(0.7), 10).collect())
     b = sorted(tuple(r) for r in search(loaded, topics, BM25(0.7), 10).collect())
     assert a == b
@@ -106,9 +107,9 @@ def test_create_or_append_equals_create_of_last_wins(spark, tmp_dir):
     a = spark.createDataFrame([("x1", "alpha beta"), ("x2", "gamma")], "id string, text string")
     b = spark.createDataFrame([("x2", "gamma delta"), ("x3", "eps")], "id string, text string")
     p = f"{tmp_dir}/ca"
-    I.index_corpus(a, p, partitions=2)
-    I.index_corpus(b, p, partitions=2)
-    got = I.load_index(spark, p)
+    saved.index_corpus(a, p, partitions=2)
+    saved.index_corpus(b, p, partitions=2)
+    got = saved.load_index(spark, p)
     union = a.withColumn("v", F.lit(0)).unionByName(b.withColumn("v", F.lit(1)))
     expect = {r.id: r.text for r in union.orderBy("v").collect()}
     assert {r.id: r.text for r in got.docs.collect()} == expect

@@ -1,10 +1,12 @@
 import itertools
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rankeval.operators.compare import compare, run_pairs, signed_ranks, welch_t, wilcoxon_exact
+from rankeval.functions.signed_rank import upper_tails
+from rankeval.operators.compare import compare, compare_all, run_pairs, signed_ranks, unpaired, welch_t, wilcoxon_exact
 
 
 def _brute_wilcoxon(x, y):
@@ -37,15 +39,79 @@ def test_wilcoxon_exact_matches_enumeration(spark, x, y):
     assert r.p == pytest.approx(p, abs=1e-12)
 
 
-def test_wilcoxon_null_table_n10(spark):
-    # all positive differences with distinct ranks: W+ = 55; p for W >= 45 is 2 * 43 / 1024
-    x = [0.0] * 10
-    y = [float(i) for i in range(1, 11)]
-    rows = [("a", i, v) for i, v in enumerate(x)] + [("b", i, v) for i, v in enumerate(y)]
-    runs = spark.createDataFrame(rows, "run string, query_id long, value double")
-    from rankeval.functions.stats import wilcoxon_exact_p
-    p = runs.limit(1).select(wilcoxon_exact_p(F.lit(45.0), F.lit(10)).alias("p")).collect()[0].p
-    assert p == pytest.approx(2 * 43 / 1024)
+def test_wilcoxon_null_table_n10():
+    assert upper_tails(10, np.array([45.0, 55.0, 55.5, 27.5]))[:3] == pytest.approx([43 / 1024, 1 / 1024, 0.0])
+
+
+def test_null_tables_against_all_subsets():
+    for n in range(1, 21):
+        sums = np.zeros(1, np.int64)
+        for rank in range(1, n + 1):
+            sums = np.concatenate([sums, sums + rank])
+        top = n * (n + 1) / 2
+        w = np.arange(top / 2, top + 1, 0.5)
+        assert upper_tails(n, w) == pytest.approx([(sums >= x).mean() for x in w], rel=1e-12, abs=0)
+
+
+def test_null_tails_of_many_pairs():
+    """Exact integers of Python for n = 200, and tails beyond 1,000 pairs down to the range of doubles."""
+    n, least = 200, 14_000
+    top = n * (n + 1) // 2
+    bound = top - least
+    counts = [1] + [0] * bound
+    for rank in range(1, n + 1):
+        for s in range(bound, rank - 1, -1):
+            counts[s] += counts[s - rank]
+    exact = [sum(counts[: top - w + 1]) / 2 ** n for w in (least, least + 1000, least + 4000)]
+    assert upper_tails(n, np.array([least, least + 1000, least + 4000])) == pytest.approx(exact, rel=1e-11)
+    assert upper_tails(1500, np.array([1500 * 1501 / 4]))[0] == pytest.approx(0.5, abs=1e-3)
+    middle, spread = 2000 * 2001 / 4, math.sqrt(2000 * 2001 * 4001 / 24)
+    assert upper_tails(2000, np.array([middle + 3 * spread]))[0] == pytest.approx(0.00135, rel=0.02)
+    assert 0 < upper_tails(2000, np.array([middle + 30 * spread]))[0] < 1e-190
+
+
+def test_a_thousand_pairs_of_a_thousand_topics(spark):
+    runs = spark.range(1001).select(F.concat(F.lit("r"), F.col("id")).alias("run"), F.explode(F.sequence(F.lit(1), F.lit(1000))).alias("query_id"),
+                                    F.col("id").alias("k")).withColumn("value", F.rand(7) + F.col("k") * 1e-4).drop("k")
+    got = compare(runs, "wilcoxon", 0.05, baseline="r0").agg(F.count("*").alias("n"), F.min("p").alias("low"), F.max("p").alias("high")).first()
+    assert got.n == 1000 and 0 <= got.low < 0.05 < got.high <= 1.01
+
+
+def test_all_pairs_equal_one_pair_at_a_time(spark):
+    import random
+
+    rnd = random.Random(5)
+    rows = [(f"r{k}", q, float("nan") if rnd.random() < 0.05 else round(rnd.random() + k / 20, 1), "MAP" if k < 7 else "P")
+            for k in range(9) for q in range(30) if not (k == 3 and q % 5 == 0) and not (k == 5 and q > 24)]
+    runs = spark.createDataFrame(rows, "run string, query_id long, value double, metric string").repartition(3)
+    whole = compare_all(runs, 0.1, tile=100).collect()
+    names = {f"r{k}" for k in range(7)}
+    assert {(r.run_a, r.run_b) for r in whole if r.metric == "MAP"} == set(itertools.combinations(sorted(names), 2))
+    assert {(r.run_a, r.run_b) for r in whole if r.metric == "P"} == {("r7", "r8")}
+    assert sorted(map(str, compare_all(runs, 0.1, tile=2).collect())) == sorted(map(str, whole))
+    pairs = spark.createDataFrame(sorted({(r.run_a, r.run_b) for r in whole}), "run_a string, run_b string")
+    one = {(r.run_a, r.run_b): r for r in wilcoxon_exact(run_pairs(runs.drop("metric"), pairs)).collect()}
+    missing = {r.asDict()["run_a"] + r.run_b + r.missing_in: 0 for r in unpaired(runs, pairs).collect()}
+    for r in unpaired(runs, pairs).collect():
+        missing[r.run_a + r.run_b + r.missing_in] += 1
+    for r in whole:
+        assert (r.only_a, r.only_b) == tuple(missing.get(r.run_a + r.run_b + side, 0) for side in ("run_b", "run_a"))
+        if r.test == "wilcoxon":
+            e = one[r.run_a, r.run_b]
+            assert (r.n, r.statistic) == (e.n, e.w_max) and r.p == pytest.approx(e.p)
+    same = [r for r in whole if r.test == "t" and r.only_a == r.only_b == 0]
+    t = {(r.run_a, r.run_b): r for r in welch_t(run_pairs(runs.drop("metric"), pairs)).collect()}
+    assert len(same) > 5
+    for r in same:
+        e = t[r.run_a, r.run_b]
+        assert (math.isnan(r.statistic) and math.isnan(e.t)) or (r.statistic == pytest.approx(e.t) and r.p == pytest.approx(e.p))
+
+
+def test_runs_of_different_metrics_are_no_pair(spark):
+    runs = spark.createDataFrame([("a", 1, 0.5, "MAP"), ("b", 1, 0.4, "P")], "run string, query_id long, value double, metric string")
+    with pytest.raises(Exception, match="different metrics"):
+        compare(runs, "t", 0.05, baseline="a").collect()
+    assert compare_all(runs).collect() == [] and compare_all(runs.limit(0)).collect() == []
 
 
 def test_signed_ranks_average_ties(spark):
@@ -106,8 +172,7 @@ def test_normal_approximation_is_explicit(spark):
     with pytest.raises(ValueError):
         wilcoxon(_runs(spark, x, y), "other")
     many = _runs(spark, [0.0] * 1500, [1.0 + i for i in range(1500)])
-    with pytest.raises(Exception, match="normal approximation"):
-        wilcoxon(many, "exact").collect()
+    assert wilcoxon(many, "exact").first().p == 0.0  # 2 / 2**1500 is below the least double
     assert wilcoxon(many, "normal").first().p < 1e-100
 
 

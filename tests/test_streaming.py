@@ -1,7 +1,7 @@
 import json
 import os
 
-from rankeval.operators.index import load_index
+from rankeval.operators.saved import load_index
 from rankeval.streaming import index_stream
 
 

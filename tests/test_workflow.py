@@ -4,7 +4,7 @@ import json
 import os
 
 from rankeval import (BM25, JM, compare, evaluate, flatten_articles, mean_nonzero, select_queries, train_test)
-from rankeval.operators.index import index_corpus, load_index
+from rankeval.operators.saved import index_corpus, load_index
 from rankeval.sources import read_corpus, read_qrels, read_result_values, read_topics
 from rankeval.sources import writers as W
 
