@@ -17,10 +17,11 @@ from rankeval.functions.text import query_echo, tokens
 from rankeval.operators import compare as C
 from rankeval.operators import evaluate as E
 from rankeval.operators import index as I
+from rankeval.operators import saved
 from rankeval.operators import search as S
 from rankeval.operators import tune as T
 from rankeval.operators.models import BM25, JM
-from rankeval.session import checkpoint_dir
+from rankeval.session import checkpoint_dir, cut_lineage
 from rankeval.sources import fixtures as fx
 from rankeval.sources import readers as R
 from rankeval.sources import writers as W
@@ -105,17 +106,26 @@ def metrics_file(spark, sf):
 
 
 def hits_file(spark, sf):
-    """The hits report; its labelled lines with how often each occurs."""
+    """The hits report; every line that comes back, with how often it occurs (numbers in millionths)."""
     path = _scratch(spark, "hits")
     c = Collection(spark, sf)
     small = E.hits_bounded(c.topics, CUT)
     h = S.search(c.index, c.topics, BM25(BM25_K1), CUT, broadcast_ok=small or None)
-    j = E.judge(h, c.index.docs, c.qrels, small)
+    j = cut_lineage(E.judge(h, c.index.docs, c.qrels, small))  # for the metrics and for the shown hits
     metrics = E.per_query_metrics(j, c.topics, c.qrels, CUT)
     shown = S.fetch_hits(j.select("query_id", "rank", "ord", "score", "rel"), c.index.docs, TOP, broadcast_ok=small)
     W.write_hits_report(W.hits_report(c.topics, shown, metrics), path)
-    lines = spark.read.text(path).filter(F.col("value").rlike("^(Document with id|Title|Url|PubmedId|Relevant|Parsed query): "))
-    return lines.groupBy("value").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    lines = spark.read.option("lineSep", "\n").text(path)
+    numbers = F.regexp_extract_all("value", F.lit(r"([0-9.E-]+|NaN)(?=[,}]|$)"), 1)
+    millionths = F.transform(numbers, _millionths)
+    figures = F.col("value").rlike(r"^(Score: |Metrics = \{RR=|MRR: |M@P: |Recall@N: |P@N: )")
+    value = F.when(figures, F.concat_ws(" ", F.regexp_extract("value", r"^[^:=]*", 0), F.array_join(millionths, " "))).otherwise(F.col("value"))
+    return lines.select(value.alias("value")).groupBy("value").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+def _millionths(x):
+    number = x.try_cast("double")
+    return F.when(F.isnan(number), "NaN").otherwise(F.round(number * 1e6).cast("bigint").cast("string"))
 
 
 def sweep_file(spark, sf):
@@ -135,20 +145,21 @@ def test_file(spark, sf):
     train, test = fx.train_test_ranges(spark, sf)
     out = T.train_test(c.index, c.topics, c.qrels, JM(), train, test, "MAP", CUT)
     W.write_test_csv(out["best"], out["test"], "MAP", path)
-    return R.read_result_values(spark, path, "jm").select("run", "query_id", _r("value").alias("value"))
+    return R.read_result_values(spark, path, "jm").select("run", "query_id", "metric", _r("value").alias("value"))
 
 
 def _appended(spark, sf) -> I.Index:
     """Created, then appended to in the same mode."""
     path = _scratch(spark, "index")
-    I.index_corpus(fx.corpus(spark, sf), path)
-    I.index_corpus(fx.upsert_batch(spark, sf), path)
-    return I.load_index(spark, path)
+    saved.index_corpus(fx.corpus(spark, sf), path)
+    saved.index_corpus(fx.upsert_batch(spark, sf), path)
+    return saved.load_index(spark, path)
 
 
 def append_docs(spark, sf):
     docs = _appended(spark, sf).docs
-    return docs.select(F.col("id").cast("bigint").alias("id"), F.length("text").cast("bigint").alias("n_chars"))
+    return docs.select(F.col("id").cast("bigint").alias("id"), "title", "url", "pubmedId",
+                       F.length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
 
 
 def append_terms(spark, sf):
@@ -163,7 +174,7 @@ def append_stats(spark, sf):
 
 
 def append_search(spark, sf):
-    """J1-J5 over a segmented index."""
+    """J1-J5 over an index of two batches."""
     return _hits_out(S.search(_appended(spark, sf), fx.topics(spark, sf), BM25(BM25_K1), CUT)).drop("ord")
 
 
@@ -391,10 +402,18 @@ def upsert_last_wins(spark, sf):
     base = Collection(spark, sf).index
     up = I.upsert(base, fx.upsert_batch(spark, sf))
     dl = up.lengths.filter(F.col("field") == "text").select("ord", "dl")
-    return up.docs.join(dl, "ord", "left").select(F.col("id").cast("bigint").alias("id"),
+    return up.docs.join(dl, "ord", "left").select(F.col("id").cast("bigint").alias("id"), F.sha2("text", 256).alias("text_sha256"),
                                                    F.coalesce("dl", F.lit(0)).cast("bigint").alias("dl"))
 
 
+def create_docs(spark, sf):
+    """The stored documents of a corpus with repeated ids, created and opened."""
+    path = _scratch(spark, "create")
+    saved.index_corpus(fx.duplicate_corpus(spark, sf), path, "create")
+    docs = saved.load_index(spark, path).docs
+    return docs.select(F.col("id").cast("bigint").alias("id"), "title", "url", "pubmedId", F.sha2("text", 256).alias("text_sha256"))
+
+
 def create_keeps_dups(spark, sf):
     idx = I.build_index(fx.duplicate_corpus(spark, sf))
     return idx.stats.select("field", F.col("n_docs").cast("bigint").alias("n_docs"),
@@ -451,6 +470,32 @@ def compare_decision(spark, sf):
     return out.select("run_a", "run_b", "test", F.col("n").cast("bigint").alias("n"), "decision")
 
 
+def compare_all_pairs(spark, sf):
+    """C1-C5 over all pairs of the runs of each metric, without a baseline."""
+    is_recall = F.col("run").endswith(":recall")
+    r = runs(spark, sf).withColumn("metric", F.when(is_recall, "R").otherwise("MAP"))
+    out = C.compare_all(r, ALPHA)
+    return out.select("metric", "run_a", "run_b", "test", F.col("n").cast("bigint").alias("n"),
+                      (F.col("only_a") + F.col("only_b")).cast("bigint").alias("unmatched"),
+                      _r("statistic", 6).alias("statistic"), _r("p", 6).alias("p"), "decision")
+
+
+def test_files_compared(spark, sf):
+    """The reports of both models on the test topics, read back with their metric and compared."""
+    c = Collection(spark, sf)
+    train, test = fx.train_test_ranges(spark, sf)
+    read = None
+    for model in (JM(), BM25()):
+        path = _scratch(spark, f"test-{model.name}")
+        out = T.train_test(c.index, c.topics, c.qrels, model, train, test, "MAP", CUT)
+        W.write_test_csv(out["best"], out["test"], "MAP", path)
+        own = R.read_result_values(spark, path, model.name)
+        read = own if read is None else read.unionByName(own)
+    found = C.compare_all(read, ALPHA)
+    return found.select("metric", "run_a", "run_b", "test", F.col("n").cast("bigint").alias("n"),
+                        _r("statistic", 6).alias("statistic"), _r("p", 6).alias("p"), "decision")
+
+
 QUERIES = {
     "docs_flatten": docs_flatten,
     "topics_file": topics_file,
@@ -502,4 +547,7 @@ QUERIES = {
     "signed_ranks": signed_ranks,
     "wilcoxon_exact": wilcoxon_exact,
     "compare_decision": compare_decision,
+    "compare_all_pairs": compare_all_pairs,
+    "test_files_compared": test_files_compared,
+    "create_docs": create_docs,
 }

@@ -182,7 +182,7 @@ def grid_ctes(model: str, grid, topics: str, precision: str = "float", prefix: s
     return ctes, f"{prefix}metrics"
 
 
-def _runs_sql() -> tuple[list[str], str]:
+def _runs_sql(pairs: str = f"a.run = '{N.BASELINE_RUN}' AND b.run <> '{N.BASELINE_RUN}'") -> tuple[list[str], str]:
     ctes, parts = [], []
     for m, grid in N.RUNS:
         c, name = grid_ctes(m.name, grid, "topics", "double", prefix=m.name)
@@ -192,10 +192,16 @@ def _runs_sql() -> tuple[list[str], str]:
         parts.append(f"SELECT model || ':' || param::VARCHAR || ':recall', query_id::BIGINT, recall FROM {name} "
                      f"WHERE model || param::VARCHAR IN ({wanted})")
     ctes.append(f"runs AS ({' UNION ALL '.join(parts)})")
+    return [*ctes, *_tests_sql(pairs)], "runs"
+
+
+def _tests_sql(pairs: str) -> list[str]:
+    """Both tests over the CTE runs(run, query_id, value), for the pairs a, b that the condition tells."""
+    ctes = []
     ctes.append(f"""paired AS (
   SELECT a.run AS run_a, b.run AS run_b, a.query_id, a.value AS x, b.value AS y
   FROM runs a JOIN runs b ON a.query_id = b.query_id
-  WHERE a.run = '{N.BASELINE_RUN}' AND b.run <> '{N.BASELINE_RUN}')""")
+  WHERE {pairs})""")
     ctes.append("""ranks AS (
   SELECT run_a, run_b, query_id, y - x AS d,
     (rank() OVER (PARTITION BY run_a, run_b ORDER BY abs(y - x)))
@@ -235,7 +241,7 @@ def _runs_sql() -> tuple[list[str], str]:
                   * pow(sin(i * (pi() / 2) / 2000.0), df - 1))
        FROM range(0, 2001) r(i)) * (pi() / 2)) END AS p
   FROM welch1)""")
-    return ctes, "runs"
+    return ctes
 
 
 def _sql() -> dict[str, str]:
@@ -326,15 +332,16 @@ def _sql() -> dict[str, str]:
         SELECT id, concat(text, ' revised') AS text FROM corpus WHERE id % 10 = 0
         UNION ALL SELECT id + 10000000 AS id, text FROM corpus WHERE id % 100 = 1),
       live AS (SELECT id, text FROM corpus WHERE id NOT IN (SELECT id FROM batch) UNION ALL SELECT id, text FROM batch)""",
-        body=f"SELECT id::BIGINT AS id, len({tok('text')})::BIGINT AS dl FROM live")
+        body=f"SELECT id::BIGINT AS id, sha256(text) AS text_sha256, len({tok('text')})::BIGINT AS dl FROM live")
     live = """batch AS (
-        SELECT id, title, concat(text, ' revised') AS text FROM corpus WHERE id % 10 = 0
-        UNION ALL SELECT id + 10000000 AS id, title, text FROM corpus WHERE id % 100 = 1),
-      live AS (SELECT id, title, text FROM corpus WHERE id NOT IN (SELECT id FROM batch) UNION ALL SELECT * FROM batch)"""
+        SELECT id, title, concat(text, ' revised') AS text, url, pubmedId FROM corpus WHERE id % 10 = 0
+        UNION ALL SELECT id + 10000000 AS id, title, text, url, pubmedId FROM corpus WHERE id % 100 = 1),
+      live AS (SELECT id, title, text, url, pubmedId FROM corpus WHERE id NOT IN (SELECT id FROM batch) UNION ALL SELECT * FROM batch)"""
     words = f"""words AS (
         SELECT field, id, unnest(tk) AS term FROM (SELECT 'text' AS field, id, {tok('text')} AS tk FROM live
                                                    UNION ALL SELECT 'title', id, {tok('title')} FROM live))"""
-    out["append_docs"] = q(live, body="SELECT id::BIGINT AS id, length(text)::BIGINT AS n_chars FROM live")
+    out["append_docs"] = q(live, body="SELECT id::BIGINT AS id, title, url, pubmedId, length(text)::BIGINT AS n_chars, "
+                                      "sha256(text) AS text_sha256 FROM live")
     out["append_terms"] = q(live, words, body="SELECT field, term, count(DISTINCT id)::BIGINT AS df, count(*)::BIGINT AS cf "
                                               "FROM words GROUP BY field, term")
     out["append_stats"] = q(live, words, body="SELECT field, count(DISTINCT id)::BIGINT AS n_docs, count(*)::BIGINT AS n_tokens, "
@@ -346,13 +353,26 @@ def _sql() -> dict[str, str]:
     out["qrels_file"] = out["qrels_derived"]
     out["metrics_file"] = out["metrics_with_mean_row"]
     out["sweep_file"] = out["sweep_wide"]
-    out["test_file"] = out["test_split_eval"].replace("SELECT query_id::BIGINT AS query_id, round(ap", "SELECT 'jm' AS run, query_id::BIGINT AS query_id, round(ap")
-    out["hits_file"] = q(bm, judged, f"""shown AS (
-        SELECT j.id, c.title, c.url, c.pubmedId, j.rel FROM judged j JOIN corpus c ON c.ord = j.ord WHERE j.rank <= {N.TOP}),
-      lines AS (SELECT 'Document with id: ' || id AS value FROM shown UNION ALL SELECT 'Title: ' || title FROM shown
-        UNION ALL SELECT 'Url: ' || url FROM shown UNION ALL SELECT 'PubmedId: ' || pubmedId FROM shown
-        UNION ALL SELECT 'Relevant: ' || CASE WHEN rel THEN 'Yes' ELSE 'No' END FROM shown
-        UNION ALL SELECT 'Parsed query: ' || array_to_string(list_transform({tok('query')}, lambda t: 'text:' || t), ' ') FROM topics)""",
+    out["test_file"] = out["test_split_eval"].replace("SELECT query_id::BIGINT AS query_id, round(ap", "SELECT 'jm' AS run, 'MAP' AS metric, query_id::BIGINT AS query_id, round(ap")
+    def millionths(x: str) -> str:
+        return f"CASE WHEN isnan({x}) THEN 'NaN' ELSE round({x} * 1000000)::BIGINT::VARCHAR END"
+
+    figures = " || ' ' || ".join(millionths(f"m.{c}") for c in ("rr", "ap", "p", "recall"))
+    out["hits_file"] = q(bm, judged, met, f"""shown AS (
+        SELECT j.id, c.title, c.text, c.url, c.pubmedId, j.score, j.rel FROM judged j JOIN corpus c ON c.ord = j.ord WHERE j.rank <= {N.TOP}),
+      means AS (SELECT {", ".join(f"{nz(c)} AS {c}" for c in ("rr", "ap", "p", "recall"))} FROM metrics),
+      lines AS (SELECT 'Document with id: ' || id AS value FROM shown
+        UNION ALL SELECT 'Title: ' || coalesce(title, 'null') FROM shown
+        UNION ALL SELECT unnest(string_split('Text: ' || coalesce(text, 'null'), chr(10))) FROM shown
+        UNION ALL SELECT 'Url: ' || coalesce(url, 'null') FROM shown UNION ALL SELECT 'PubmedId: ' || coalesce(pubmedId, 'null') FROM shown
+        UNION ALL SELECT 'Score ' || {millionths("score")} FROM shown
+        UNION ALL SELECT 'Relevant: ' || CASE WHEN rel THEN 'Yes' ELSE 'No' END FROM shown UNION ALL SELECT '' FROM shown
+        UNION ALL SELECT unnest(['{"-" * 71}', '', '']) FROM topics
+        UNION ALL SELECT unnest(string_split('Query: ' || query, chr(10))) FROM topics
+        UNION ALL SELECT 'Parsed query: ' || array_to_string(list_transform({tok('query')}, lambda t: 'text:' || t), ' ') FROM topics
+        UNION ALL SELECT 'Metrics  ' || {figures} FROM metrics m UNION ALL SELECT '' FROM metrics
+        UNION ALL SELECT 'MRR ' || {millionths("rr")} FROM means UNION ALL SELECT 'M@P ' || {millionths("ap")} FROM means
+        UNION ALL SELECT 'Recall@N ' || {millionths("recall")} FROM means UNION ALL SELECT 'P@N ' || {millionths("p")} FROM means)""",
         body="SELECT value, count(*)::BIGINT AS n FROM lines GROUP BY value")
     out["create_keeps_dups"] = q(f"""dup AS (SELECT * FROM corpus UNION ALL SELECT * FROM corpus WHERE id % 20 = 0),
       dlen AS (SELECT 'text' AS field, len({tok('text')}) AS dl FROM dup UNION ALL
@@ -372,6 +392,28 @@ def _sql() -> dict[str, str]:
         UNION ALL
         SELECT run_a, run_b, 'wilcoxon' AS test, n::BIGINT AS n,
                CASE WHEN NOT isnan(p) AND p < {N.ALPHA} THEN 'rejected' ELSE 'accepted' END AS decision FROM wilcox""")
+    def both_tests(metric: str, extra: str) -> str:
+        decision = f"CASE WHEN NOT isnan(p) AND p < {N.ALPHA} THEN 'rejected' ELSE 'accepted' END AS decision"
+        return " UNION ALL ".join(
+            f"SELECT {metric} AS metric, run_a, run_b, '{test}' AS test, n::BIGINT AS n, {extra}round({statistic}, 6) AS statistic, "
+            f"round(p, 6) AS p, {decision} FROM {src}" for test, statistic, src in (("t", "t", "welch"), ("wilcoxon", "w_max", "wilcox")))
+
+    a_ctes, _ = _runs_sql("a.run < b.run AND (a.run LIKE '%:recall') = (b.run LIKE '%:recall')")
+    out["compare_all_pairs"] = q(*a_ctes, body=both_tests("CASE WHEN run_a LIKE '%:recall' THEN 'R' ELSE 'MAP' END", "0::BIGINT AS unmatched, "))
+    u_ctes, u_m = grid_ctes("bm25", K1_GRID, "test", prefix="u")
+
+    def best_cte(name: str, means: str) -> str:
+        return (f"{name} AS (SELECT param FROM (SELECT *, row_number() OVER (ORDER BY mean DESC, param ASC) AS rn FROM {means} "
+                "WHERE metric = 'MAP' AND NOT isnan(mean) AND mean > 0) WHERE rn = 1)")
+
+    out["test_files_compared"] = q(
+        TRAIN, TEST, *l_ctes, means_cte(l_m, "lmeans"), *t_ctes, *k_ctes, means_cte(k_m, "kmeans"), *u_ctes,
+        best_cte("lbest", "lmeans"), best_cte("kbest", "kmeans"),
+        f"""runs AS (SELECT 'jm' AS run, query_id::BIGINT AS query_id, ap AS value FROM {t_m} WHERE param = (SELECT param FROM lbest)
+        UNION ALL SELECT 'bm25', query_id::BIGINT, ap FROM {u_m} WHERE param = (SELECT param FROM kbest))""",
+        *_tests_sql("a.run < b.run"), body=both_tests("'MAP'", ""))
+    out["create_docs"] = q("dup AS (SELECT * FROM corpus UNION ALL SELECT * FROM corpus WHERE id % 20 = 0)",
+                           body="SELECT id::BIGINT AS id, title, url, pubmedId, sha256(text) AS text_sha256 FROM dup")
     return out
 
 

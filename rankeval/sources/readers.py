@@ -60,11 +60,12 @@ def read_qrels(spark: SparkSession, path: str, clean: bool = False) -> DataFrame
 
 
 def read_result_values(spark: SparkSession, path: str, run: str | None = None) -> DataFrame:
-    """Legacy result CSV (test file or per-query metrics file) -> (run, query_id, value).
+    """Legacy result CSV (test file or per-query metrics file) -> (run, query_id, value, metric).
 
     Keeps exactly the body rows: the first field must be an integer query id, which
     drops the ``best,metric`` line, the ``Query,...`` header and the ``-,mean`` row.
-    The value is column 2 (for per-query metric files that is RR).
+    The value is column 2 (for per-query metric files that is RR).  ``metric`` is the name in the first line: that of a
+    test file, or MRR for the RR column of a metrics file; null where no line tells it, an error where two differ.
     """
     lines = spark.read.text(path)
     parts = F.split(F.col("value"), ",")
@@ -72,5 +73,10 @@ def read_result_values(spark: SparkSession, path: str, run: str | None = None) -
     out = lines.filter(qid.isNotNull()).select(
         qid.cast("bigint").alias("query_id"), parts.getItem(1).cast("double").alias("value")
     )
+    named = lines.filter(qid.isNull() & (F.size(parts) > 1) & (F.trim(parts.getItem(0)) != "-")).select(
+        F.trim(parts.getItem(1)).alias("name"))
+    found = named.agg(F.min("name").alias("low"), F.max("name").alias("high")).select(
+        F.when(F.col("low") == F.col("high"), F.when(F.col("low") == "RR", "MRR").otherwise(F.col("low")))
+        .when(F.col("low").isNotNull(), F.raise_error(F.lit("files of different metrics in one run"))).alias("name")).scalar()
     name = F.lit(run if run is not None else path)
-    return out.select(name.alias("run"), "query_id", "value")
+    return out.select(name.alias("run"), "query_id", "value", found.alias("metric"))

@@ -66,48 +66,38 @@ def mean_nonzero_value():
 
 
 def hits_report(topics: DataFrame, shown_hits: DataFrame, metrics: DataFrame, field: str = "text") -> DataFrame:
-    """One text block per topic: the query, its parsed echo, the shown hits
-    (stored fields, score, relevant Yes/No) and the metrics; then the overall means.
+    """S9, one row per line of the report: per topic the query, its parsed echo, the shown hits (stored fields, score,
+    relevant Yes/No) and the metrics; then the overall means.
 
-    ``shown_hits`` has ``query_id, rank, id, title, text, url, pubmedId, score, rel``
-    and at most ``top`` rows per topic, so gathering a topic's hits is bounded.
+    Columns ``part`` (0 topics, 1 means), ``topic``, ``place`` (0 the topic's head, its hits by rank, then its metrics),
+    ``line`` and ``value``; the first four order the report.  No topic's hits are gathered in one row or task.
+    ``shown_hits`` has ``query_id, rank, id, title, text, url, pubmedId, score, rel``.
     """
+    def lines(df: DataFrame, part: int, topic, place, *values) -> DataFrame:
+        return df.select(F.lit(part).alias("part"), topic.cast("bigint").alias("topic"), place.cast("bigint").alias("place"),
+                         F.posexplode(F.array(*values)).alias("line", "value"))
+
+    def stored(label: str, c: str) -> F.Column:
+        return F.concat(F.lit(label), F.coalesce(_fmt(c), F.lit("null")))
+
+    topic, none = F.col("query_id"), F.lit("")
     # The labels of the report's layout.
-    hit_text = F.concat_ws(
-        "\n",
-        F.concat(F.lit("Document with id: "), _fmt("id")),
-        F.concat(F.lit("Title: "), F.coalesce(F.col("title"), F.lit("null"))),
-        F.concat(F.lit("Text: "), F.coalesce(F.col("text"), F.lit("null"))),
-        F.concat(F.lit("Url: "), F.coalesce(F.col("url"), F.lit("null"))),
-        F.concat(F.lit("PubmedId: "), F.coalesce(F.col("pubmedId"), F.lit("null"))),
-        F.concat(F.lit("Score: "), _fmt("score")),
-        F.concat(F.lit("Relevant: "), F.when(F.col("rel"), "Yes").otherwise("No")),
-    )
-    per_query = shown_hits.groupBy("query_id").agg(
-        F.array_sort(F.collect_list(F.struct("rank", hit_text.alias("t")))).alias("hs"))
-    blocks = (
-        topics.select("query_id", "query", query_echo(tokens(F.col("query")), field).alias("parsed"))
-        .join(per_query, "query_id", "left")
-        .join(metrics, "query_id", "left")
-        .select(
-            F.col("query_id").cast("bigint").alias("_q"),
-            F.concat_ws(
-                "\n",
-                F.lit("-" * 71 + "\n"),
-                F.concat(F.lit("Query: "), F.col("query")),
-                F.concat(F.lit("Parsed query: "), F.col("parsed"), F.lit("\n")),
-                F.array_join(F.transform(F.coalesce(F.col("hs"), F.array()), lambda s: F.concat(s["t"], F.lit("\n"))), "\n"),
-                F.concat(F.lit("Metrics = {RR="), _fmt("rr"), F.lit(", AP@N="), _fmt("ap"), F.lit(", P@N="),
-                         _fmt("p"), F.lit(", Recall@N="), _fmt("recall"), F.lit("}\n")),
-            ).alias("value"),
-        )
-    )
-    means = mean_nonzero(metrics).select(
-        F.lit(None).cast("bigint").alias("_q"),
-        F.concat_ws("\n", F.concat(F.lit("MRR: "), _fmt("rr")), F.concat(F.lit("M@P: "), _fmt("ap")),
-                    F.concat(F.lit("Recall@N: "), _fmt("recall")), F.concat(F.lit("P@N: "), _fmt("p"))).alias("value"))
-    return blocks.withColumn("_last", F.lit(0)).unionByName(means.withColumn("_last", F.lit(1)))
+    head = lines(topics, 0, topic, F.lit(0), F.lit("-" * 71), none, F.concat(F.lit("Query: "), F.col("query")),
+                 F.concat(F.lit("Parsed query: "), query_echo(tokens(F.col("query")), field)), none)
+    hits = lines(shown_hits, 0, topic, F.col("rank"), stored("Document with id: ", "id"), stored("Title: ", "title"),
+                 stored("Text: ", "text"), stored("Url: ", "url"), stored("PubmedId: ", "pubmedId"),
+                 F.concat(F.lit("Score: "), _fmt("score")),
+                 F.concat(F.lit("Relevant: "), F.when(F.col("rel"), "Yes").otherwise("No")), none)
+    last = F.lit((1 << 62))
+    figures = lines(metrics, 0, topic, last, F.concat(
+        F.lit("Metrics = {RR="), _fmt("rr"), F.lit(", AP@N="), _fmt("ap"), F.lit(", P@N="), _fmt("p"), F.lit(", Recall@N="),
+        _fmt("recall"), F.lit("}")), none)
+    means = lines(mean_nonzero(metrics), 1, F.lit(None), F.lit(0), *[
+        F.concat(F.lit(label), _fmt(c)) for label, c in (("MRR: ", "rr"), ("M@P: ", "ap"), ("Recall@N: ", "recall"), ("P@N: ", "p"))])
+    return head.unionByName(hits).unionByName(figures).unionByName(means)
 
 
 def write_hits_report(report: DataFrame, path: str, mode: str = "errorifexists", single_file: bool = False) -> None:
-    _ordered(report, ["_last", "_q"], single_file).select("value").write.mode(mode).text(path)
+    """The lines in order over the part files (ranges of topics, ranks and lines side by side)."""
+    _ordered(report, ["part", "topic", "place", "line"], single_file).select(F.coalesce("value", F.lit("")).alias("value")).write.mode(
+        mode).text(path)
