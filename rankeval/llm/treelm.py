@@ -32,7 +32,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,10 +72,8 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def blocks(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(place, gram, n, word, segment): rows of the three kinds; a segment has doc_ids, held_out, sizes and the texts."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    ddl = ("place long, gram long, n long, word binary, "
-           f"segment struct<doc_ids: array<{id_type}>, held_out: array<boolean>, sizes: array<int>, bodies: binary>")
+    """(place, gram, n, data): rows of the three kinds; ``data`` is a word, or a segment of texts with doc_id and held_out
+    (an Arrow stream: one column without nulls inside travels to Python much faster than a struct of lists)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -87,7 +84,8 @@ def blocks(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         waiting: dict[bool, list[bytes]] = {False: [], True: []}
         size = held_size = segment_size = 0
         segment: list[tuple] = []
-        types: dict = {"gram": pa.int64(), "n": pa.int64(), "word": pa.binary()}
+        types = {"gram": pa.int64(), "n": pa.int64(), "data": pa.binary()}
+        id_kind = pa.null()
 
         def rows(kind: int, count: int, **columns) -> pa.RecordBatch:
             place = pa.array([number << 2 | kind] * count, pa.int64())
@@ -107,11 +105,14 @@ def blocks(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                     bodies.clear()
 
         def close_segment() -> pa.RecordBatch:
-            ids, held, bodies = (list(x) for x in zip(*segment))
-            row = {"doc_ids": ids, "held_out": held, "sizes": list(map(len, bodies)),
-                   "bodies": zstandard.ZstdCompressor(3).compress(b"".join(bodies))}
+            ids, held, bodies = zip(*segment)
+            texts = pa.RecordBatch.from_arrays([pa.array(ids, id_kind), pa.array(held, pa.bool_()), pa.array(bodies, pa.binary())],
+                                               ["doc_id", "held_out", "body"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, texts.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                writer.write_batch(texts)
             segment.clear()
-            return rows(TEXTS, 1, segment=pa.array([row], types["segment"]))
+            return rows(TEXTS, 1, data=pa.array([sink.getvalue().to_pybytes()], pa.binary()))
 
         def out() -> Iterator[pa.RecordBatch]:
             if segment:
@@ -123,11 +124,10 @@ def blocks(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
             listed, counts = list(words), list(words.values())
             for i in range(0, len(listed), 1 << 16):
                 w = listed[i: i + (1 << 16)]
-                yield rows(WORDS, len(w), word=pa.array(w, pa.binary()), n=pa.array(counts[i: i + (1 << 16)], pa.int64()))
+                yield rows(WORDS, len(w), data=pa.array(w, pa.binary()), n=pa.array(counts[i: i + (1 << 16)], pa.int64()))
 
         for batch in batches:
-            types["segment"] = pa.struct([("doc_ids", pa.list_(batch.column(0).type)), ("held_out", pa.list_(pa.bool_())),
-                                          ("sizes", pa.list_(pa.int32())), ("bodies", pa.binary())])
+            id_kind = batch.column(0).type
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
                 for doc_id, held, text in zip(*[part.column(c).to_pylist() for c in range(3)]):
@@ -151,7 +151,8 @@ def blocks(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
             yield from out()
 
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % FOLDS == 0
-    rows = docs.select("doc_id", held_out.alias("held_out"), F.col("text").cast("string").alias("text")).mapInArrow(run, ddl)
+    rows = docs.select("doc_id", held_out.alias("held_out"), F.col("text").cast("string").alias("text")).mapInArrow(
+        run, "place long, gram long, n long, data binary")
     return materialise(rows, "treelm-blocks", compression="zstd")
 
 
@@ -398,20 +399,19 @@ def _scorer(depth: int, tokens: int, distinct: int):
                         c = np.concatenate(counts)
                         model = (Places(np.concatenate(keys)), np.concatenate(values), words,
                                  np.log10((c + SMOOTHING) / (tokens + SMOOTHING * (distinct + 1))), (c > 0).astype(np.int64))
-                    for row in part.column(4):
-                        yield scored(row, *model)
+                    for row in part.column(3):
+                        yield scored(pa.ipc.open_stream(row.as_buffer()).read_next_batch(), *model)
 
-    def scored(row: pa.StructScalar, places: Places, lp, words, unigram, known) -> pa.RecordBatch:
-        sizes = np.array(row["sizes"].as_py())
-        joined, ends = zstandard.ZstdDecompressor().decompress(row["bodies"].as_py()), np.cumsum(sizes).tolist()
-        bodies = [joined[e - n: e] for e, n in zip(ends, sizes.tolist())]
+    def scored(texts: pa.RecordBatch, places: Places, lp, words, unigram, known) -> pa.RecordBatch:
+        bodies = texts.column(2).to_pylist()
+        sizes = np.array(list(map(len, bodies)))
         score = np.add.reduceat(lp[places.of(grams(bodies, depth))], np.cumsum(sizes) - sizes)
         listed = [[*b[:-1].split(), b""] for b in bodies]
         n = np.array(list(map(len, listed)))
         at = np.fromiter(map(words.__getitem__, [w for t in listed for w in t]), np.int64, int(n.sum()))
         first = np.cumsum(n) - n
         return pa.RecordBatch.from_arrays(
-            [row["doc_ids"].values, row["held_out"].values, pa.array(n), pa.array(np.add.reduceat(known[at], first)),
+            [texts.column(0), texts.column(1), pa.array(n), pa.array(np.add.reduceat(known[at], first)),
              pa.array([tokens] * len(n), pa.int64()), pa.array(np.add.reduceat(unigram[at], first)), pa.array(score)],
             ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
@@ -428,18 +428,17 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     own = made.filter(kind == GRAMS).select("place", "gram", "n")
     counts = materialise(own.groupBy("gram").agg(F.sum("n").alias("n")), "treelm-grams")
     scores = gram_scores(counts, depth)
-    listed = made.filter(kind == WORDS).select("place", "word", "n")
-    words = materialise(listed.groupBy("word").agg(F.sum("n").alias("n")), "treelm-words")
+    listed = made.filter(kind == WORDS).select("place", "data", "n")
+    words = materialise(listed.groupBy("data").agg(F.sum("n").alias("n")), "treelm-words")
     tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") > 0).cast("long")), F.lit(0))).first()
-    segments = made.filter(kind == TEXTS).select("place", "segment")
-    null = {"gram": "long", "value": "double", "word": "binary", "segment": made.schema["segment"].dataType}
+    null = {"gram": "long", "value": "double", "data": "binary"}
 
     def shaped(df: DataFrame) -> DataFrame:
         return df.select("place", *[F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in null.items()])
 
     back = shaped(own.select("place", "gram").join(scores.withColumnRenamed("lp", "value"), "gram")).unionByName(
-        shaped(listed.select("place", "word").join(words.select("word", F.col("n").cast("double").alias("value")), "word"))).unionByName(
-        shaped(segments))
+        shaped(listed.select("place", "data").join(words.select("data", F.col("n").cast("double").alias("value")), "data"))).unionByName(
+        shaped(made.filter(kind == TEXTS).select("place", "data")))
     rows = back.repartition(partitions(docs.sparkSession), F.shiftright("place", 2)).sortWithinPartitions("place")
     return rows.mapInArrow(_scorer(depth, tokens, distinct), f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, "
                            "train_tokens long, base_score double, score double")
