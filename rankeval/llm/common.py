@@ -40,3 +40,27 @@ def struct_of(*fields: tuple[str, str]) -> T.StructType:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+#: At most this many keys can each have one part in ``HOT_KEYS`` of all rows.
+HOT_KEYS = 1000
+
+
+def join_counted(rows: DataFrame, per_key: DataFrame, key: str, n: str) -> DataFrame:
+    """``rows`` with the columns of ``per_key``, a written table with one row per key and the number ``n`` of rows of it.
+
+    Keys with so many rows that at most ``HOT_KEYS`` of them exist are joined by a broadcast, so no task gets all rows of
+    one; the others by a shuffle.  Keys are not null.
+    """
+    least = per_key.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0] // HOT_KEYS + 1
+    hot = F.broadcast(per_key.filter(F.col(n) >= least))
+    rest = rows.join(hot.select(key), key, "left_anti").join(per_key.filter(F.col(n) < least), key)
+    return rows.join(hot, key).unionByName(rest)

@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import materialise, struct_of, table
 
@@ -407,6 +408,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_cosine: float = MIN_CO
         ("doc_id", docs.schema["doc_id"].dataType.simpleString()), ("item_id", benchmark.schema["item_id"].dataType.simpleString()),
         ("cosine", "double"), ("lcs_ratio", "double"), ("answer_ratio", "double"), ("start_word", "bigint"), ("end_word", "bigint"))
     out = spark.createDataFrame([], schema)
+    item_type = to_arrow_type(schema["item_id"].dataType)
     for searcher, numbered in searchers(docs, benchmark, min_cosine):
         shared = spark.sparkContext.broadcast(searcher)
 
@@ -421,7 +423,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_cosine: float = MIN_CO
                     if rows:
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(c, t) for c, t in zip(zip(*rows), [
-                                part.schema.field(0).type, pa.array(search.benchmark.ids).type, pa.float64(), pa.float64(),
+                                part.schema.field(0).type, item_type, pa.float64(), pa.float64(),
                                 pa.float64(), pa.int64(), pa.int64()])], schema.names)
 
         out = out.unionByName(numbered.mapInArrow(run, schema))

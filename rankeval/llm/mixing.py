@@ -31,7 +31,7 @@ from math import log
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import fresh, materialise, table
 
 BUCKETS, SAMPLE, SEED = 1 << 18, 20_000, 42
 PSEUDO, MIN_DOCS, MIN_Z, MIN_WEIGHT, RARE = 2.0, 10, 5.0, 0.7, 0.1
@@ -179,6 +179,7 @@ def op5_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def apply_rates(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Pipeline stage: every row as often as its copies say."""
     rated, _ = mix(docs, label_domain(labels))
-    rated = rated.select(F.col("doc_id").alias("__id"), F.col("copies").alias("__copies")).filter("__copies > 0")
-    joined = docs.join(rated, F.col("doc_id").eqNullSafe(F.col("__id")))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    own, copies, copy = fresh(docs, "rated_id"), fresh(docs, "copies"), fresh(docs, "copy")
+    rated = rated.select(F.col("doc_id").alias(own), F.col("copies").alias(copies)).filter(F.col(copies) > 0)
+    joined = docs.join(rated, F.col("doc_id").eqNullSafe(F.col(own)))
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*[f"`{c}`" for c in docs.columns])

@@ -13,8 +13,9 @@ Base rules (exact): a document with fewer than 10 words, or with more than a fif
 repeated 5-word windows, fails whatever its distances.
 
 Defined cases: a null text has no words and fails the base; a null language is a language of its own; a language
-whose reference is below the minimum length judges nobody; very long texts are processed whole; an empty table gives
-an empty result; extra columns are ignored by the query and carried by the stage.
+whose reference is below the minimum length judges nobody; common words with equal counts rank by the word; repeated rows
+count and are judged each; very long texts are processed whole; an empty table gives an empty result; extra columns are
+ignored by the query and carried by the stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialise, struct_of, table
+from .common import fresh, materialise, struct_of, table
 
 COMMON = 50
 MIN_CHARS, MIN_WORDS, MIN_REFERENCE_WORDS = 200, 100, 1000
@@ -180,12 +181,13 @@ def score(docs: DataFrame, max_char: float = MAX_CHAR_DISTANCE, max_word: float
           carry: bool = False) -> DataFrame:
     """One row per document with its counts, distances and verdict; ``carry`` keeps the input's columns instead
     and returns only the rows kept."""
-    docs = docs.withColumn("__lang", F.col("lang").cast("string")).withColumn("__text", F.col("text").cast("string"))
+    lang, text = fresh(docs, "lang_"), fresh(docs, "text_")
+    docs = docs.withColumns({lang: F.col("lang").cast("string"), text: F.col("text").cast("string")})
     refs = docs.sparkSession.sparkContext.broadcast(references(docs))  # COMMON + classes numbers per language
     if carry:
-        schema = docs.drop("__lang", "__text").schema
+        schema = docs.drop(lang, text).schema
     else:
-        docs = docs.select("doc_id", "__lang", "__text")
+        docs = docs.select("doc_id", lang, text)
         schema = struct_of(
             ("doc_id", docs.schema["doc_id"].dataType.simpleString()), ("n_words", "bigint"), ("word_chars", "bigint"),
             ("n_symbols", "bigint"), ("n_dup_lines", "bigint"), ("n_repeat_words", "bigint"), ("base_failed", "boolean"),
@@ -194,9 +196,9 @@ def score(docs: DataFrame, max_char: float = MAX_CHAR_DISTANCE, max_word: float
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.schema.names
-            langs = batch.column(names.index("__lang")).to_pylist()
-            texts = batch.column(names.index("__text"))
-            rows = [judge(t.as_py() or "", refs.value.get(lang), max_char, max_word) for lang, t in zip(langs, texts)]
+            texts = batch.column(names.index(text))
+            langs = batch.column(names.index(lang)).to_pylist()
+            rows = [judge(t.as_py() or "", refs.value.get(own), max_char, max_word) for own, t in zip(langs, texts)]
             if carry:
                 kept = batch.filter(pa.array([r[-1] for r in rows], pa.bool_()))
                 yield kept.select(schema.names)

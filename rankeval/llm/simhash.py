@@ -15,7 +15,10 @@
 5. Large-star / small-star rounds on the links, cut by tables in the shared folder, give components.
 
 Defined cases: null and wordless texts have fingerprint zero and link like any other; null doc_ids are
-carried, and a component of only null ids has a null component_id; an empty table gives an empty result.
+carried, and a component of only null ids has a null component_id; repeated rows are rows of their own in the query,
+while the stage keeps one row of each component: that of the least doc_id (null ids last), and of several with it the one
+whose columns have the least hash; very long texts are hashed whole; an empty table gives an empty result; extra columns are
+ignored by the query and carried by the stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,10 +28,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, struct_of, table
+from .common import fresh, join_counted, materialise, struct_of, table
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 TREE = 8192
@@ -54,17 +57,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint's 64 bits as a signed long."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp, columns to carry): fp is the fingerprint's 64 bits as a signed long."""
+    names = ["doc_id", "fp", *carry]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = np.fromiter((fingerprint(t.as_py(), shingle, seed) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64)), *batch.columns[2:]], names)
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        run, struct_of(("doc_id", id_type), ("fp", "bigint")))
+    types = [(c, "bigint" if c == "fp" else docs.schema[c].dataType.simpleString()) for c in names]
+    return docs.select("doc_id", F.col("text").cast("string").alias("text"), *carry).mapInArrow(run, struct_of(*types))
 
 
 class Forest:
@@ -242,16 +245,23 @@ def components(edges: DataFrame) -> DataFrame:
         mark = tuple(now)
 
 
+def _components(prints: DataFrame, first: Column, radius: int) -> tuple[DataFrame, DataFrame]:
+    """Written tables: (fp, n, root) of the distinct fingerprints with their numbers of rows, and (root, m, best) of the
+    components, m fingerprints each and the least ``first`` of their rows."""
+    distinct = prints.groupBy("fp").agg(F.min(first).alias("first"), F.count("*").alias("n"))
+    roots = components(links(distinct.select("fp"), radius))
+    placed = materialise(distinct.join(roots, distinct.fp == roots.node, "left").select(
+        "fp", "first", "n", F.coalesce("root", "fp").alias("root")), "placed")
+    best = placed.groupBy("root").agg(F.min("first").alias("best"), F.count("*").alias("m"))
+    return placed.drop("first"), materialise(best, "components")
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """One row per document: doc_id, fp (signed long), component_id (least doc_id of its component)."""
     prints = materialise(fingerprints(docs, shingle, seed), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = components(links(distinct.select("fp"), radius))
-    placed = distinct.join(roots, distinct.fp == roots.node, "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = placed.join(least, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    placed, best = _components(prints, F.col("doc_id"), radius)
+    classes = join_counted(placed, best, "root", "m").select("fp", "n", F.col("best").alias("component_id"))
+    return join_counted(prints, materialise(classes, "classes"), "fp", "n").select("doc_id", "fp", "component_id")
 
 
 def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,11 +270,15 @@ def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """Pipeline stage: of each near-duplicate component only the document with the least doc_id stays.
+    """Pipeline stage: of each near-duplicate component one row stays, that of the least doc_id.
 
-    Rows that repeat a doc_id count as one document.
+    Rows are told apart by two hashes of all their columns, never by doc_id alone: unlike rows that share an id, or have
+    none, stand for themselves, and rows alike in every column are one.
     """
-    found = near_duplicates(docs.select("doc_id", "text"))
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"]).select(*docs.columns)
+    h1, h2 = fresh(docs, "h1"), fresh(docs, "h2")
+    columns = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    marked = docs.withColumns({h1: F.xxhash64(*columns), h2: F.xxhash64(F.lit(1), *columns)})
+    prints = materialise(fingerprints(marked, carry=(h1, h2)), "fingerprints")
+    _, best = _components(prints, F.struct(F.col("doc_id").isNull(), "doc_id", h1, h2), RADIUS)
+    stay = best.select(F.col(f"best.{h1}").alias(h1), F.col(f"best.{h2}").alias(h2))
+    return marked.join(stay, [h1, h2], "left_semi").dropDuplicates([h1, h2]).select(*[f"`{c}`" for c in docs.columns])
