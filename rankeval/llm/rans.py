@@ -3,7 +3,7 @@
 Texts are encoded by a byte-level BPE vocabulary; every document ends with ``END``.  One frequency table, counted
 over all ids of the corpus and scaled to 2**PRECISION, is shared by all blocks.
 
-File format: a folder of Parquet files whose rows are blocks in ascending (doc_id, block) order, plus a folder
+File format: a folder of Parquet files whose rows are blocks in ascending (doc_id, row, block) order, plus a folder
 ``table`` with the frequency of each id.  A block holds at most ``BLOCK`` ids of one document and can be decoded alone:
 
     header   magic "RB01", ids, lanes, words, checkpoints, crc32 of the ids (little-endian unsigned 32-bit)
@@ -17,8 +17,10 @@ blocks are coded together with numpy, one step at a time.  A decoder may start a
 Steps: encode texts (written to the shared folder), count ids, code blocks, range-partition them by document and
 write; then read the files back, check every checksum, and add up ``start`` with one offset per partition.
 
-Defined cases: a null text is empty and has the end id alone; rows that share a doc_id are one document's ids
-in text order; null ids come first; a very long text becomes many blocks; an empty table gives an empty result.
+Defined cases: a null text is empty and has the end id alone; rows that share a doc_id are documents of their own, in the
+order of their input rows (``row``, fixed when the ids are written); null ids come first; a very long text becomes many
+blocks; ids with equal counts share the frequency table as counted; an empty table gives an empty result; extra columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ from rankeval.session import checkpoint_dir
 
 VOCABULARY, END = "byte_bpe_50k.json", 0
 PRECISION, BLOCK, STEPS, EVERY = 20, 1 << 16, 512, 256
-CACHE = 600_000
+CACHE, FIRST_BYTES = 600_000, 1 << 24
 HEADER, MAGIC = struct.Struct("<4sIIIII"), b"RB01"
 LOW = np.uint64(1 << 31)
 
@@ -80,6 +82,7 @@ class Encoder:
         self.later: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
+        self.first_bytes = 0
         self.closing: dict[str, bytes] = {"": b"", "\n": self.plain("\n")}
 
     def pack(self, ids: list[int]) -> bytes:
@@ -126,7 +129,6 @@ class Encoder:
         """Little-endian ids of ``width`` bytes per text."""
         if len(self.later) > CACHE:
             self.old, self.later = self.later, {}
-            self.first.clear()
         cut = [SPLIT.split(t) if UNSAFE.search(t) else t.split(" ") for t in texts]
         wanted: set[str] = set()
         for pieces in cut:
@@ -144,9 +146,16 @@ class Encoder:
         out, get = [], later.__getitem__
         for pieces in cut:
             head = pieces[0]
-            if head not in self.first:
-                self.first[head] = self.plain(head)
-            out.append(self.first[head] + b"".join(map(get, pieces[1:])))
+            ids = self.first.get(head)
+            if ids is None:
+                ids = self.plain(head)
+                if len(head) < FIRST_BYTES // 64:  # long heads are not met again
+                    self.first_bytes += len(head) + len(ids) + 200
+                    if self.first_bytes > FIRST_BYTES:
+                        self.first.clear()
+                        self.first_bytes = 0
+                    self.first[head] = ids
+            out.append(ids + b"".join(map(get, pieces[1:])))
         return out
 
 
@@ -162,22 +171,38 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 
 def token_table(docs: DataFrame, path: str, end: int = END) -> DataFrame:
-    """(doc_id, ids): little-endian ids of each whole text with the end id; written to the shared folder."""
+    """(doc_id, row, ids, width, counts): little-endian ids of each whole text with the end id; and one row per task with
+    how often it saw each id (``counts``, little-endian 64-bit).  Written to the shared folder."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         of = encoder(path)
-        tail = of.pack([end])
+        tail, row = of.pack([end]), TaskContext.get().partitionId() << 33
+        seen, id_kind = np.zeros(len(of.length), np.int64), pa.null()
+
+        def rows(doc_ids, first, ids, counts) -> pa.RecordBatch:
+            n = len(ids)
+            return pa.RecordBatch.from_arrays(
+                [doc_ids, pa.array(np.arange(first, first + n), pa.int64()), pa.array(ids, pa.binary()),
+                 pa.array([of.width] * n, pa.int32()), pa.array(counts, pa.binary())], ["doc_id", "row", "ids", "width", "counts"])
+
         for batch in batches:
+            id_kind = batch.column(0).type
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 ids = [x + tail for x in of.encode([t.as_py() or "" for t in part.column(1)])]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(ids, pa.binary()), pa.array([of.width] * len(ids), pa.int32())],
-                    ["doc_id", "ids", "width"])
+                joined = b"".join(ids)
+                for k in range(0, len(joined), 1 << 22):
+                    seen += np.bincount(np.frombuffer(joined[k: k + (1 << 22)], f"<u{of.width}"), minlength=len(seen))
+                yield rows(part.column(0), row, ids, [None] * len(ids))
+                row += len(ids)
+        if seen.any():
+            yield rows(pa.nulls(1, id_kind), row, [None], [seen.astype("<i8").tobytes()])
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        run, struct_of(("doc_id", id_type), ("ids", "binary"), ("width", "int")))
+        run, struct_of(("doc_id", id_type), ("row", "bigint"), ("ids", "binary"), ("width", "int"), ("counts", "binary")))
     return materialise(rows, "tokens", compression="zstd")
 
 
@@ -186,21 +211,18 @@ def unpack(ids: bytes, width: int) -> np.ndarray:
 
 
 def id_counts(tokens: DataFrame) -> dict[int, int]:
-    """Occurrences of every id (as many rows as the vocabulary has ids, whatever the corpus)."""
+    """Occurrences of every id (as many rows as the vocabulary has ids, whatever the corpus), from the tasks' own counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for width in set(batch.column(1).to_pylist()):
-                own = batch.filter(pa.compute.equal(batch.column(1), width)).column(0)
-                for at in range(0, len(own), 1024):  # some megabytes at a time, not one count of all ids per document
-                    n = np.bincount(unpack(b"".join(own.slice(at, 1024).to_pylist()), width), minlength=len(total))
-                    n[: len(total)] += total
-                    total = n
+            for counts in batch.column(0):
+                own = np.frombuffer(counts.as_py(), "<i8")
+                total = own + np.r_[total, np.zeros(len(own) - len(total), np.int64)]
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["id", "n"])
 
-    counted = tokens.select("ids", "width").mapInArrow(run, "id long, n long")
+    counted = tokens.filter("counts IS NOT NULL").select("counts").mapInArrow(run, "id long, n long")
     return {r.id: r.n for r in counted.groupBy("id").agg(F.sum("n").alias("n")).collect()}
 
 
@@ -343,7 +365,7 @@ class Coder:
 
 
 def write_blocks(tokens: DataFrame, freq: np.ndarray, path: str) -> None:
-    """Code ``tokens`` and write the format's files to ``path`` in ascending (doc_id, block) order."""
+    """Code ``tokens`` and write the format's files to ``path`` in ascending (doc_id, row, block) order."""
     spark = tokens.sparkSession
     id_type = tokens.schema["doc_id"].dataType.simpleString()
 
@@ -354,13 +376,13 @@ def write_blocks(tokens: DataFrame, freq: np.ndarray, path: str) -> None:
 
             def out() -> pa.RecordBatch:
                 done = pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(docs, pa.int64())), pa.array(numbers, pa.int32()),
-                     pa.array(coder.encode(blocks), pa.binary())], ["doc_id", "block", "payload"])
+                    [*[batch.column(c).take(pa.array(docs, pa.int64())) for c in (0, 1)], pa.array(numbers, pa.int32()),
+                     pa.array(coder.encode(blocks), pa.binary())], ["doc_id", "row", "block", "payload"])
                 docs.clear(), numbers.clear(), blocks.clear()
                 return done
 
             held = 0
-            for i, (ids, width) in enumerate(zip(batch.column(1), batch.column(2))):
+            for i, (ids, width) in enumerate(zip(batch.column(2), batch.column(3))):
                 values = unpack(ids.as_py(), width.as_py())
                 for k in range(0, len(values), BLOCK):
                     docs.append(i)
@@ -373,8 +395,9 @@ def write_blocks(tokens: DataFrame, freq: np.ndarray, path: str) -> None:
             if docs:
                 yield out()
 
-    rows = tokens.mapInArrow(run, struct_of(("doc_id", id_type), ("block", "int"), ("payload", "binary")))
-    order = ["doc_id", "block"]
+    rows = tokens.filter("ids IS NOT NULL").select("doc_id", "row", "ids", "width").mapInArrow(
+        run, struct_of(("doc_id", id_type), ("row", "bigint"), ("block", "int"), ("payload", "binary")))
+    order = ["doc_id", "row", "block"]
     rows.repartitionByRange(*order).sortWithinPartitions(*order).write.option("compression", "uncompressed").parquet(
         f"{path}/blocks")
     spark.createDataFrame([(i, int(f)) for i, f in enumerate(freq) if f], "id long, freq long").coalesce(1).write.parquet(
@@ -394,7 +417,7 @@ def stored_checksum(payload: bytes) -> int:
 
 
 def read_ids(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
-    """(doc_id, block, ids) decoded from the files, or with ``digest`` (doc_id, block, crc, n_bytes) of the decoded
+    """(doc_id, row, block, ids) decoded from the files, or with ``digest`` (doc_id, row, block, crc, n_bytes) of the decoded
     ids; raises on a checksum that does not hold."""
     freq = read_table(spark, path)
     blocks = spark.read.parquet(f"{path}/blocks")
@@ -406,16 +429,16 @@ def read_ids(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                payloads, ids, crcs = part.column(2).to_pylist(), [], []
+                payloads, ids, crcs = part.column(3).to_pylist(), [], []
                 for p, values in zip(payloads, coder.decode(payloads)):
                     ids.append(values.astype("<u4").tobytes())
                     crcs.append(zlib.crc32(ids[-1]))
                     if crcs[-1] != stored_checksum(p):
                         raise ValueError("checksum of a block does not hold")
                 out = [pa.array(crcs, pa.int64()), pa.array(list(map(len, ids)), pa.int64())] if digest else [pa.array(ids, pa.binary())]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *out], ["doc_id", "block", *[n for n, _ in results]])
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *out], ["doc_id", "row", "block", *[n for n, _ in results]])
 
-    return blocks.mapInArrow(run, struct_of(("doc_id", id_type), ("block", "int"), *results))
+    return blocks.mapInArrow(run, struct_of(("doc_id", id_type), ("row", "bigint"), ("block", "int"), *results))
 
 
 def _zeros(crc: int, n: int) -> int:
@@ -450,8 +473,8 @@ def documents_back(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 per document, from the files alone."""
     ids = read_ids(spark, path, digest=True)
     id_type = ids.schema["doc_id"].dataType.simpleString()
-    parts = ids.select("doc_id", F.struct("block", "crc", F.col("n_bytes").alias("n")).alias("part"))
-    grouped = materialise(parts.groupBy("doc_id").agg(F.sort_array(F.collect_list("part")).alias("parts")), "parts")
+    parts = ids.select("doc_id", "row", F.struct("block", "crc", F.col("n_bytes").alias("n")).alias("part"))
+    grouped = materialise(parts.groupBy("doc_id", "row").agg(F.sort_array(F.collect_list("part")).alias("parts")), "parts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -468,7 +491,7 @@ def documents_back(spark: SparkSession, path: str) -> DataFrame:
                 [batch.column(0), pa.array([number] * len(n), pa.int32()), pa.array(start, pa.int64()),
                  pa.array(n, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "part", "start", "n_tokens", "ids_crc32"])
 
-    ordered = grouped.repartitionByRange("doc_id").sortWithinPartitions("doc_id").mapInArrow(run, struct_of(
+    ordered = grouped.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row").select("doc_id", "parts").mapInArrow(run, struct_of(
         ("doc_id", id_type), ("part", "int"), ("start", "bigint"), ("n_tokens", "bigint"), ("ids_crc32", "bigint")))
     ordered = materialise(ordered, "starts")
     # one row per range partition
