@@ -3,15 +3,19 @@
 The page is read into blocks (text between block-level tags) with their place in the element tree.  A linear
 classifier over text and tree features gives each block a log-odds score; its positive part is the capacity
 from the source (cost of dropping the block), its negative part the capacity to the sink (cost of keeping it).
+The container is one feature of several: a link or a fragment in an article scores as boilerplate by itself.
 Smoothness edges join neighbours in page order and the nearest earlier block under the same parent, the stronger
-the closer the two stand in the tree; they do not cross the border of a labelled container.  A maximum flow
-separates content from boilerplate: blocks still reachable from the source are content.
+the closer the two stand in the tree, and weak across the border of a labelled container.  A maximum flow
+separates content from boilerplate: blocks still reachable from the source are content, so a doubtful block goes with
+the blocks around it.
 
-One pass in Arrow batches, no shuffle: a page is one row, and the graph of a page has at most two edges per block.
+One pass in Arrow batches, no shuffle: a page is one row, its reading is linear in its length whatever the nesting, and the
+graph of a page has at most two edges per block.
 
 Defined cases: a null or empty page has an empty text; malformed markup (unclosed or stray tags, unterminated
-quotes, pages cut short) is read on as far as it goes; repeated rows give equal rows; an empty table gives an
-empty result; extra columns are ignored.
+quotes, pages cut short) is read on as far as it goes; very long pages are read whole; a block on which both sides of
+the cut cost the same is boilerplate; repeated rows give equal rows; an empty table gives an empty result; extra columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -29,17 +33,17 @@ from .common import struct_of, table
 
 #: Classifier weights (log-odds): nearest labelled container, tags and text shape.
 WEIGHTS = {
-    "bias": -0.6, "container_content": 4.0, "container_boilerplate": -7.0, "hidden": -9.0, "paragraph": 0.8,
+    "bias": -0.6, "container_content": 2.2, "container_boilerplate": -5.5, "hidden": -9.0, "paragraph": 0.8,
     "heading": 0.8, "list_item": -0.2, "link_density": -3.5, "log_words": 0.45, "sentence_end": 0.6, "legal": -2.5,
 }
-ADJACENT, SIBLING, CROSSING = 0.8, 0.6, 0.0
+ADJACENT, SIBLING, CROSSING = 1.2, 0.8, 0.15
 
 _ATTRS = r"""(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)"""
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*){_ATTRS}>|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)(?:>|\Z)", re.S)
 RAW = {t: re.compile(rf"</{t}\s*>", re.I) for t in (
-    "script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "math", "object", "select")}
+    "script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "select")}
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
 figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol
 optgroup option p pre section summary table tbody td tfoot th thead tr ul""".split())
@@ -57,15 +61,27 @@ BOILERPLATE_NAME = re.compile(
     r"|search|toolbar|widgets?|copyright|legal|disclaimer|skip|alert)(?:$|[\s_-])", re.I)
 CONTENT_NAME = re.compile(
     r"(?:^|[\s_-])(?:article\w*|content|main\w*|post|entry|story|maintext|body|text)(?:$|[\s_-])", re.I)
+#: Names that tell of a container elsewhere, or of its absence: has-sidebar, no-ads, ad-free.
+ABOUT_OTHERS = re.compile(r"(?:has|have|no|not|non|with|without|hide|hides|show|toggle)[-_]|.*[-_](?:free|less|off|hidden)$", re.I)
 SCALE = 1000
 
 
+def name_vote(value: str) -> int:
+    """1 if the names of a class or id tell of content, -1 of boilerplate, 0 of neither or of both."""
+    votes = 0
+    for name in value.split():
+        if not ABOUT_OTHERS.match(name):
+            votes += -1 if BOILERPLATE_NAME.search(name) else 1 if CONTENT_NAME.search(name) else 0
+    return (votes > 0) - (votes < 0)
+
+
 class Node:
-    __slots__ = ("tag", "parent", "depth", "kind", "hidden", "link")
+    __slots__ = ("tag", "parent", "depth", "kind", "hidden", "link", "block")
 
     def __init__(self, tag: str, attributes: str, parent: Node | None):
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
+        self.block = self if tag in BLOCKS or parent is None else parent.block
         self.link = tag == "a" or (parent is not None and parent.link)
         self.hidden = parent is not None and parent.hidden
         self.kind = parent.kind if parent else None  # (label, depth) of the nearest labelled ancestor
@@ -73,6 +89,7 @@ class Node:
         if tag == "header" and not (self.kind and self.kind[0] == "content"):
             label = "boilerplate"
         if attributes:
+            votes = 0
             for name, *values in ATTRIBUTE.findall(attributes):
                 name, value = name.lower(), "".join(values)
                 if name == "hidden" or name == "aria-hidden" and value == "true" or \
@@ -82,10 +99,12 @@ class Node:
                     label = "boilerplate" if value in BOILERPLATE_ROLES else \
                         "content" if value in ("main", "article") else label
                 elif name in ("class", "id") and tag not in ("html", "body"):
-                    if BOILERPLATE_NAME.search(value):
-                        label = "boilerplate"
-                    elif label is None and CONTENT_NAME.search(value) and (not self.kind or self.kind[0] == "content"):
-                        label = "content"
+                    votes += name_vote(value) * (2 if name == "id" else 1)
+            # names are evidence where no tag or role tells the kind; boilerplate inside boilerplate stays it
+            if votes < 0 and label != "content":
+                label = "boilerplate"
+            elif votes > 0 and label is None and (not self.kind or self.kind[0] == "content"):
+                label = "content"
         if label:
             self.kind = (label, self.depth)
 
@@ -99,7 +118,8 @@ class Block:
 
 def blocks_of(html: str) -> list[Block]:
     """Blocks in page order: character references decoded, white space runs as one space, trimmed."""
-    root = here = Node("html", "", None)
+    here = Node("html", "", None)
+    opened: dict[str, list[Node]] = {}
     out, parts, linked, at, n = [], [], 0, 0, len(html)
 
     def text(raw: str) -> None:
@@ -115,21 +135,22 @@ def blocks_of(html: str) -> list[Block]:
         if parts:
             joined = " ".join("".join(parts).split())
             if joined:
-                node = here
-                while node.tag not in BLOCKS and node.parent is not None:
-                    node = node.parent
-                out.append(Block(joined, node, linked))
+                out.append(Block(joined, here.block, linked))
             parts.clear()
             linked = 0
 
+    def innermost(tags: frozenset | tuple) -> int:
+        """Depth of the innermost open element of ``tags``, 0 for none."""
+        return max((opened[t][-1].depth for t in tags if opened.get(t)), default=0)
+
     def close(tags: frozenset | tuple, stop: frozenset | tuple = ()) -> None:
         """Close the innermost open element of ``tags``, unless one of ``stop`` stands before it."""
         nonlocal here
-        node = here
-        while node.parent is not None and node.tag not in tags and node.tag not in stop:
-            node = node.parent
-        if node.tag in tags and node.parent is not None:
-            here = node.parent
+        depth = innermost(tags)
+        if depth and depth > innermost(stop):
+            while here.depth >= depth:  # every element is closed once
+                opened[here.tag].pop()
+                here = here.parent
 
     while at < n:
         m = TOKEN.search(html, at)
@@ -152,7 +173,7 @@ def blocks_of(html: str) -> list[Block]:
             continue
         if tag in RAW:
             end = RAW[tag].search(html, at)
-            if not (m[0].endswith("/>") and tag in ("svg", "math", "iframe", "object")):
+            if not (m[0].endswith("/>") and tag in ("svg", "iframe")):
                 at = end.end() if end else n
             continue
         if tag == "br":
@@ -171,6 +192,7 @@ def blocks_of(html: str) -> list[Block]:
                 close(("tr",), ("table", "tbody"))
         if tag not in VOID and not m[0].endswith("/>") or tag in BLOCKS and tag not in VOID:
             here = Node(tag, m["attrs"] if m["tag"] else m["attrs2"], here)
+            opened.setdefault(tag, []).append(here)
     flush()
     return out
 
