@@ -96,6 +96,8 @@ def blocks(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                 if bodies:
                     code, n = np.unique(grams(bodies, depth), return_counts=True)
                     found.append((code, n * 0 if held else n))
+                    if len(found) > 8:
+                        found[:] = [_merged(found)]
                     tokens = b" ".join([b[:-1] for b in bodies]).split()
                     if held:
                         words.update(dict.fromkeys([*tokens, b""], 0))
