@@ -374,6 +374,88 @@ def test_empty_output(spark):
     assert R.documents_back(spark, path).count() == 0
 
 
+def test_rows_that_share_an_id_stay_rows(spark):
+    """Rows of one id, of several blocks each, keep their texts apart and their input order."""
+    from tokenizers import Tokenizer
+
+    texts = ["a b c " * 40_000, "unlike " * 80_000, "last", None, "none either"]
+    path = R.checkpoint_dir(spark) + f"/rans-ids-{random.getrandbits(40)}"
+    docs = docs_of(spark, texts, [5, 5, 5, None, None]).coalesce(1)
+    tokens = R.token_table(docs, R.vocabulary_path())
+    R.write_blocks(tokens, R.scaled(R.id_counts(tokens)), path)
+    got = sorted(R.documents_back(spark, path).collect(), key=lambda r: r.start)
+    library, start = Tokenizer.from_file(R.vocabulary_path()), 0
+    for d, t, r in zip([None, None, 5, 5, 5], [None, "none either", *texts[:3]], got):
+        want = np.array([*library.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
+        assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (d, start, len(want), zlib.crc32(want.tobytes()))
+        start += len(want)
+    assert len(got) == 5
+    counts = R.id_counts(tokens)
+    assert sum(counts.values()) == start and counts[0] >= 5
+
+
+def test_first_pieces_are_kept_within_bounds(monkeypatch):
+    monkeypatch.setattr(R, "FIRST_BYTES", 50_000)
+    of = R.Encoder(R.vocabulary_path())
+    for k in range(40):
+        of.encode([f"word{k}x{i}" + "y" * (k * 30) for i in range(100)])
+        assert sum(len(a) + len(b) for a, b in of.first.items()) <= 50_000
+
+
+# ---- odd ids and column names ----
+
+def test_keep_first_loses_no_unlike_row(spark):
+    texts = [" ".join(random.Random(k).choices(["alpha", "beta", "gamma", "delta", "eps", "zeta", "eta"], k=40)) for k in range(6)]
+    rows = [(1, texts[0]), (1, texts[1]), (None, texts[2]), (None, texts[3]), (None, texts[4])]
+    docs = spark.createDataFrame([(i, t, "en", k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, __id long")
+    assert sorted(r["__id"] for r in H.keep_first(docs).collect()) == [0, 1, 2, 3, 4]
+    # rows alike in every column are one; copies under other ids go, the least id stays, null ids are last
+    more = docs.unionByName(docs).unionByName(spark.createDataFrame(
+        [(0, texts[0], "en", 9), (7, texts[1], "en", 10), (None, texts[5], "en", 11), (3, texts[5], "en", 12)], docs.schema))
+    kept = H.keep_first(more)
+    assert kept.columns == docs.columns
+    assert sorted(r["__id"] for r in kept.collect()) == [1, 2, 3, 4, 9, 12]
+
+
+def test_clashing_columns_of_the_stages(spark):
+    from rankeval.llm import quality as Q
+
+    good = " ".join(random.Random(1).choices(["the", "of", "and", "house", "water", "light"], k=30))
+    names = ("__id", "__copies", "__lang", "__text", "lang_", "text_", "copies", "copy", "rated_id", "h1", "h2", "fp")
+    docs = spark.createDataFrame([(i, good + f" {i}", "en", *[i] * len(names)) for i in range(4)],
+                                 "doc_id long, text string, lang string, " + ", ".join(f"{n} long" for n in names))
+    labels = spark.createDataFrame([(0, 1, 0), (1, 1, 0)], "doc_id long, quality int, toxic int")
+    for out in (Q.keep_good(docs), H.keep_first(docs), M.apply_rates(docs, labels)):
+        assert out.columns == docs.columns
+        for r in out.collect():
+            assert {r[n] for n in names} == {r.doc_id}
+    assert Q.score(docs).count() == 4
+
+
+def test_hot_components_and_fingerprints(spark, monkeypatch):
+    """The broadcast and the shuffled way of the counted join give the same classes."""
+    from rankeval.llm import common
+
+    rnd = random.Random(2)
+    texts = [" ".join(rnd.choices("abcdefgh", k=30)) for _ in range(30)]
+    docs = docs_of(spark, texts * 3 + [texts[0]] * 60)
+    monkeypatch.setattr(common, "HOT_KEYS", 10)
+    some = bag(H.near_duplicates(docs))
+    monkeypatch.setattr(common, "HOT_KEYS", 1)
+    assert bag(H.near_duplicates(docs)) == some
+    monkeypatch.setattr(common, "HOT_KEYS", 10 ** 9)
+    assert bag(H.near_duplicates(docs)) == some
+
+
+def test_item_ids_of_another_type(spark):
+    text = " ".join(random.Random(3).choices([f"w{i}" for i in range(200)], k=60))
+    docs = docs_of(spark, [f"before {text} after", "nothing here", None])
+    for kind in ("int", "string", "smallint"):
+        items = spark.createDataFrame([(1, text)], "item_id long, text string").select(F.col("item_id").cast(kind), "text")
+        rows = D.find_leaks(docs, items).collect()
+        assert [(r.doc_id, str(r.item_id)) for r in rows] == [(0, "1")]
+
+
 # ---- revisits ----
 
 SCHEMA = "record_id long, url string, ts long, kind string, status int, headers map<string,string>, payload_digest string, slice long"

@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registry_has_every_operator():
     names = list(registry.QUERIES)
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} | {"pipeline"} and len(names) == 11
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)} | {"pipeline"} and len(names) == 14
     assert set(registry.SQL) <= set(names) and 4 <= len(corpus_pipeline.STAGES) <= 5
 
 

@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -135,6 +136,70 @@ def test_quotes_hide_angle_brackets():
     assert htmlmain.main_text('<article><p title="a > b">Text of it.</p></article>') == "Text of it."
 
 
+@pytest.mark.parametrize("page,text", [
+    ('<article class="ad-free"><p>Some text of it here.</p></article>', "Some text of it here."),
+    ('<main class="has-sidebar no-ads"><p>Some text of it here.</p></main>', "Some text of it here."),
+    ('<main class="sidebar"><p>Some text of it here.</p></main>', "Some text of it here."),
+    ('<div id="main-content" class="col side"><p>Some text of it here.</p></div>', "Some text of it here."),
+    ('<div class="sidebar"><p>Some text of it here.</p></div>', ""),
+    ('<div id="sidebar" class="main-col"><p>Some text of it here.</p></div>', ""),
+    ('<div class="post-comments"><p>Some text of it here.</p></div>', ""),
+    ('<article><p>Energy is <math><mi>E</mi></math> always.</p></article>', "Energy is E always."),
+    ('<article><p>A <object>fallback</object> text here.<select><option>One</select></p></article>', "A fallback text here."),
+])
+def test_names_and_embedded_text(page, text):
+    assert htmlmain.main_text(page) == text
+
+
+#: Pages on which single blocks score on the wrong side, with their text.
+DOUBTFUL = [
+    ("<article><p>A long sentence that goes on and on.</p><p><a href=x>See here</a></p><p>Another long sentence that is text.</p></article>",
+     "A long sentence that goes on and on.\nSee here\nAnother long sentence that is text."),
+    ("<main><h1>A title of the page</h1><p>First sentence of the text.</p><h2><a href=#b>Part two</a></h2><p>The end of it is here.</p></main>",
+     "A title of the page\nFirst sentence of the text.\nPart two\nThe end of it is here."),
+    ("<div><p>A text without any labelled container around it.</p><div><a href=x>more</a> of it</div><p>It goes on for one more sentence.</p></div>",
+     "A text without any labelled container around it.\nmore of it\nIt goes on for one more sentence."),
+]
+
+
+def test_the_cut_is_better_than_the_sign_of_the_score():
+    for page, text in DOUBTFUL:
+        blocks = htmlmain.blocks_of(page)
+        by_sign = "\n".join(b.text for b in blocks if htmlmain.score(b) > 0)
+        assert by_sign != text and htmlmain.main_text(page) == text
+    # neighbours do not pull boilerplate across the border of its container
+    page = "<article><p>A long sentence that goes on and on.</p><div class=ad>Buy it now.</div><p>Another long sentence of it.</p></article>"
+    assert "Buy" not in htmlmain.main_text(page)
+
+
+def independent_score(block):
+    """The classifier again, from the block's ancestors."""
+    w, words = htmlmain.WEIGHTS, len(block.text.split())
+    s = w["bias"] + w["log_words"] * np.log1p(words) + w["link_density"] * min(1.0, block.linked / len(block.text))
+    s += w["container_" + block.node.kind[0]] if block.node.kind else 0.0
+    s += w["hidden"] * block.node.hidden
+    s += {"p": w["paragraph"], "li": w["list_item"], **{f"h{i}": w["heading"] for i in range(1, 7)}}.get(block.node.tag, 0.0)
+    s += w["sentence_end"] * block.text.endswith(tuple(".!?…\"”»:;,)"))
+    return s + w["legal"] * (block.text.startswith("©") or words <= 30 and "all rights reserved" in block.text.lower())
+
+
+def test_scores_against_independent_version(spark):
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()] + [PAGE, *[p for p, _ in DOUBTFUL]]
+    for page in pages:
+        for b in htmlmain.blocks_of(page):
+            assert htmlmain.score(b) == pytest.approx(independent_score(b))
+
+
+def test_nested_pages_are_read_in_linear_time():
+    import time
+
+    for page in ("<div>" * 8000 + "text", "<p><button>" + "<div>" * 8000 + "x", "<span>" * 8000 + "text<div></div>" * 8000,
+                 "<b>" * 8000 + "x</b>" * 8000):
+        begin = time.process_time()
+        htmlmain.main_text(page)
+        assert time.process_time() - begin < 1.5
+
+
 def brute_cut(capacity, pairs):
     best = None
     for mask in range(1 << len(capacity)):
