@@ -37,9 +37,11 @@ from rankeval.session import input_bytes
 
 # Layout: bytes of documents per bucket and per posting file, at least; most posting files of a batch, buckets of a
 # range, term groups of all fields and slots.
-BUCKET_BYTES, FILE_BYTES = 1 << 30, 16 << 20
+BUCKET_BYTES, FILE_BYTES = 1 << 30, 8 << 20
 MAX_FILES, MAX_BUCKETS, MIN_GROUPS, MAX_GROUPS = 1_000_000, 4096, 4, 96
 SLOT_BYTES, MAX_SLOTS = 512 << 20, 100_000
+# Least documents of a slot, so that later batches do not add slots by the document.
+MIN_SLOT_DOCS = 1 << 16
 # Documents whose terms decide the term groups, about, and the slots they are taken from.
 SAMPLE_DOCS, SAMPLE_SLOTS = 20_000, 16
 
@@ -152,7 +154,7 @@ def _write(path: str, docs: DataFrame, n_bytes: int, place: int, first: int, row
         slot_docs = rows[0].slot_docs
     else:
         low, high = docs.agg(F.min("ord"), F.max("ord")).first()
-        slot_docs = max(1, -(-((high or 0) - (low or 0) + 1) // plan.slots))
+        slot_docs = max(MIN_SLOT_DOCS, -(-((high or 0) - (low or 0) + 1) // plan.slots))
     slotted = docs.withColumn("slot", slot_of(slot_docs))
     if by_slot:  # rows that come in any order: each slot's to one task
         slotted = slotted.repartition("slot")

@@ -185,6 +185,21 @@ def tokenize(spark, sf):
                     F.array_join(t, " ").alias("terms"))
 
 
+#: One word or break of every class of the analyser around a document's own fields: %n its number, %c its length, %l its
+#: language, %s its source.
+CLASS_SAMPLE = ('%l·%s %l:%s %l..%s %n;%c %n,%c %n·%c v%n.%c_%l __ %l_%n %sתל"%l צה"ל ג\u05f3%n %l"%s ①%n%c² '
+                'カタカナ%l漢字ひらー ไทย%l ສະບາຍດີ 한국어%n 👍🏽👩\u200d👩\u200d👧%l 🇫🇷🇩🇪%n 1\ufe0f\u20e3 ❤\ufe0f© %l\u00ad%s %le\u0301%s')
+
+
+def tokenize_classes(spark, sf):
+    """P2 on one sample of every class of characters per document, made of its own fields."""
+    sample = F.lit(CLASS_SAMPLE)
+    for mark, c in (("%n", F.col("doc_id").cast("string")), ("%c", F.col("n_chars").cast("string")),
+                    ("%l", F.coalesce("lang", F.lit(""))), ("%s", F.coalesce("source", F.lit("")))):
+        sample = F.replace(sample, F.lit(mark), c)
+    return fx.table(spark, sf, "documents").select(F.col("doc_id").cast("bigint").alias("ord"), tokens(sample).alias("words"))
+
+
 def query_terms(spark, sf):
     q = S.query_terms(fx.topics(spark, sf))
     return q.select(F.col("query_id").cast("bigint").alias("query_id"), "term", F.col("qtf").cast("bigint").alias("qtf"))
@@ -509,6 +524,7 @@ QUERIES = {
     "append_stats": append_stats,
     "append_search": append_search,
     "tokenize": tokenize,
+    "tokenize_classes": tokenize_classes,
     "query_terms": query_terms,
     "query_echo": query_echo_q,
     "term_freq": term_freq,

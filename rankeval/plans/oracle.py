@@ -6,13 +6,26 @@ simpler (e.g. judgments by testing every document against every passage).
 
 from __future__ import annotations
 
+from rankeval.functions import text as T
 from rankeval.plans import named as N
 from rankeval.operators.tune import K1_GRID, LAMBDA_GRID
 
-_L = r"[^\P{{L}}\p{{Han}}\p{{Hiragana}}]\p{{M}}*"
-_D = r"\p{{N}}\p{{M}}*"
-RUNS = (r"regexp_extract_all(lower(coalesce({x}, '')), '[\p{{Han}}\p{{Hiragana}}]\p{{M}}*|(?:" + _L + r"(?:[''’.]" + _L
-        + r")*|" + _D + r"(?:[.,''’]" + _D + r")*|_\p{{M}}*)+')")
+# The same word rules for a matcher without look-around, intersections or possessive quantifiers.
+_E = r"(?:\p{M}|[^\P{Cf}\x{200B}])*"
+_NOT = r"\p{Han}\p{Hiragana}\p{Katakana}" + T.KATAKANA_MARKS + "".join(rf"\p{{{x}}}" for x in T.WITHOUT_SPACES)
+_LETTER = rf"(?:[^\P{{L}}{_NOT}]|[^\P{{Nl}}\p{{Han}}]|[{T.CIRCLED}]){_E}"
+_HEBREW = rf"[^\P{{L}}\P{{Hebrew}}]{_E}"
+_UNIT = rf"(?:{_HEBREW}(?:\"{_E}{_HEBREW})*'?|{_LETTER})"
+_LETTERS = rf"{_UNIT}(?:(?:[{T.MID_LETTER}{T.MID_BOTH}]{_E})?{_UNIT})*"
+_DIGITS = rf"\p{{Nd}}{_E}(?:(?:[{T.MID_NUMBER}{T.MID_BOTH}]{_E})?\p{{Nd}}{_E})*"
+_WORD = rf"(?:(?:{_LETTERS}|{_DIGITS})+|(?:[\p{{Katakana}}{T.KATAKANA_MARKS}]{_E})+)"
+_JOIN = rf"(?:[\p{{Pc}}\x{{202F}}]{_E})"
+_ONE = rf"[{T.EMOJI}](?:[\x{{1F3FB}}-\x{{1F3FF}}]|\p{{M}}|[^\P{{Cf}}\x{{200B}}\x{{200D}}])*"
+_EMOJI = rf"(?:[0-9#*]\x{{FE0F}}?\x{{20E3}}|[\x{{1F1E6}}-\x{{1F1FF}}]{{2}}|{_ONE}(?:\x{{200D}}+{_ONE})*){_E}"
+_SPACELESS = "|".join(rf"[^\P{{L}}\P{{{x}}}]" for x in T.WITHOUT_SPACES)
+_PATTERN = (rf"{_EMOJI}|[\p{{Han}}\p{{Hiragana}}]{_E}|(?:(?:{_SPACELESS}){_E})+"
+            rf"|{_JOIN}*{_WORD}(?:{_JOIN}+{_WORD})*{_JOIN}*|{_JOIN}+")
+RUNS = "regexp_extract_all(lower(coalesce({x}, '')), '" + _PATTERN.replace("'", "''").replace("{", "{{").replace("}", "}}") + "')"
 
 
 def tok(x: str) -> str:
@@ -254,6 +267,9 @@ def _sql() -> dict[str, str]:
     out["docs_flatten"] = q(body="SELECT id::VARCHAR AS id, title, text, url, pubmedId FROM corpus")
     out["tokenize"] = q(body=f"SELECT ord::BIGINT AS ord, len({tok('text')})::BIGINT AS dl, "
                              f"array_to_string({tok('text')}, ' ') AS terms FROM corpus")
+    out["tokenize_classes"] = (f"SELECT ord, {tok('sample')} AS words FROM (SELECT doc_id::BIGINT AS ord, replace(replace(replace("
+                               f"replace('{N.CLASS_SAMPLE}', '%n', doc_id::VARCHAR), '%c', n_chars::VARCHAR), '%l', coalesce(lang, '')), "
+                               f"'%s', coalesce(source, '')) AS sample FROM documents)")
     out["query_terms"] = q(body="SELECT query_id::BIGINT AS query_id, term, qtf FROM qterms")
     out["query_echo"] = q(body=f"SELECT query_id::BIGINT AS query_id, query, "
                                f"array_to_string(list_transform({tok('query')}, lambda t: 'text:' || t), ' ') AS parsed FROM topics")

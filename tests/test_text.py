@@ -29,6 +29,31 @@ def test_word_rules(spark):
     assert {r.t: r.k for r in df.collect()} == cases
 
 
+def test_word_classes(spark):
+    """Middle dot, colon, semicolon, quotes in Hebrew, Katakana beside letters, scripts without spaces, emoji."""
+    cases = {
+        "col·lege a:b a::b a: :b": ["col·lege", "a:b", "a", "b", "a", "b"],
+        "3;4 3·4 3:4 1,2;3.4 a;b": ["3;4", "3", "4", "3", "4", "1,2;3.4", "a", "b"],
+        'צה"ל ג\'ירף ג\' "ab" a"b': ['צה"ל', "ג'ירף", "ג'", "ab", "a", "b"],
+        "カタカナabc カタカナ漢字 ラーメン": ["カタカナ", "abc", "カタカナ", "漢", "字", "ラーメン"],
+        "abcไทยdef ສະບາຍ": ["abc", "ไทย", "def", "ສະບາຍ"],
+        "👍🏽👍 👩\u200d👩\u200d👧x 🇫🇷🇩🇪 1\ufe0f\u20e3 ❤\ufe0f © 5": ["👍🏽", "👍", "👩\u200d👩\u200d👧", "x", "🇫🇷", "🇩🇪", "1\ufe0f\u20e3", "❤\ufe0f", "5"],
+        "x² ½ ⅷ so\u00adft e\u0301te": ["x", "ⅷ", "so\u00adft", "e\u0301te"],
+        "a_1.5_b.c _x_": ["a_1.5_b.c", "_x_"],
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t string").select("t", tokens("t").alias("k"))
+    assert {r.t: r.k for r in df.collect()} == cases
+
+
+def test_emoji_ranges_are_the_property():
+    import regex
+
+    from rankeval.functions.text import EMOJI_RANGES
+    listed = {c for r in EMOJI_RANGES.split() for c in range(int(r.split("-")[0], 16), int(r.split("-")[-1], 16) + 1)}
+    others = {*range(0x30, 0x3A), 0x23, 0x2A, 0xA9, 0xAE, 0x203C, 0x2122, 0x3030, 0x303D, *range(0x1F1E6, 0x1F200)}
+    assert listed == {c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and regex.match(r"\p{Emoji}", chr(c))} - others
+
+
 def test_very_long_run_does_not_overflow(spark):
     df = spark.createDataFrame([("a" * 300_000,), ("a." * 100_000,), ("a1" * 100_000,)], "t string").coalesce(1)
     sizes = [r.n for r in df.select(F.size(tokens("t")).alias("n")).collect()]
