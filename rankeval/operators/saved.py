@@ -33,7 +33,7 @@ from rankeval.operators.index import (
     FIELDS, Index, POSTING_COLUMNS, _docs, analyze, last_wins, lengths_of, renumbered, term_stats,
 )
 from rankeval.operators.numbering import numbered, same_blocks
-from rankeval.session import input_bytes
+from rankeval.session import cut_lineage, input_bytes
 
 # Layout: bytes of documents per bucket and per posting file, at least; most posting files of a batch, buckets of a
 # range, term groups of all fields and slots.
@@ -164,7 +164,10 @@ def _write(path: str, docs: DataFrame, n_bytes: int, place: int, first: int, row
     written = _slots(spark, path, [Row(**row)])
     low, high = written.agg(F.min("ord"), F.max("ord")).first()
     row["next_ord"] = first if high is None else max(first, high + 1)
-    bounds = rows[0].bounds if rows else term_bounds(term_stats(analyze(_sample(written, slot_docs, low, high))[1]), plan.groups)
+    if rows:
+        bounds = rows[0].bounds
+    else:  # the sample is analysed once
+        bounds = term_bounds(cut_lineage(term_stats(analyze(_sample(written, slot_docs, low, high))[1])), plan.groups)
     row["bounds"] = bounds
     if base is not None:
         base.docs.select("ord", "id").join(written.select("id"), "id", "left_semi").select("ord").write.parquet(
