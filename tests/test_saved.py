@@ -322,3 +322,13 @@ def test_shared_folder_is_required_on_a_cluster(spark):
                 return None
     with pytest.raises(RuntimeError):
         checkpoint_dir(Session)
+
+
+def test_layout_sample_of_one_file_is_dealt_to_all_tasks(spark, tmp_dir):
+    path = f"{tmp_dir}/one"
+    spark.range(2_000).select(F.col("id").alias("ord"), F.lit("a b").alias("text"), F.lit(0).cast("long").alias("slot")).coalesce(1).write.parquet(path)
+    written = spark.read.parquet(path)
+    sample = saved._sample(written, 1 << 16, 0, 1_999)
+    assert written.rdd.getNumPartitions() == 1
+    assert sample.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sample.count() == 2_000

@@ -58,3 +58,23 @@ def test_very_long_run_does_not_overflow(spark):
     df = spark.createDataFrame([("a" * 300_000,), ("a." * 100_000,), ("a1" * 100_000,)], "t string").coalesce(1)
     sizes = [r.n for r in df.select(F.size(tokens("t")).alias("n")).collect()]
     assert sizes == [-(-300_000 // 255), -(-199_999 // 255), -(-200_000 // 255)]
+
+
+def test_words_of_a_text_are_found_once(spark):
+    df = spark.createDataFrame([("a b",)], "t string").select(tokens("t").alias("k"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+
+
+def test_plain_words_are_cut_as_by_the_classes(spark):
+    import random
+
+    from rankeval.functions import text
+    rng = random.Random(3)
+    signs = list("abzéßªµ09_.:,;'\"#*- @\n\x00\x7f") + ["\u0301", "\u200d", "\u200b", "\u00ad", "\u20e3", "\ufe0f", "·", "’", "ω", "я",
+                                                        "漢", "カ", "א", "ไ", "٣", "👍", "🇫", "ⓐ", "A", "Z"]
+    rows = [("".join(rng.choices(signs, k=rng.randint(0, 9))),) for _ in range(5000)]
+    found = spark.createDataFrame(rows, "t string").select("t", *[
+        F.regexp_extract_all("t", F.lit(p), 1).alias(c) for c, p in (("own", text.TOKEN_PATTERN), ("classes", f"({text._CLASSES})"))])
+    assert found.filter("own != classes").limit(5).collect() == []
+    assert text.TOKEN_PATTERN != f"({text._CLASSES})"
