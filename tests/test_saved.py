@@ -332,3 +332,44 @@ def test_layout_sample_of_one_file_is_dealt_to_all_tasks(spark, tmp_dir):
     assert written.rdd.getNumPartitions() == 1
     assert sample.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert sample.count() == 2_000
+
+
+def test_term_groups_are_compiled_conditions(spark):
+    bounds = [f"b{i:02d}" for i in range(40)]
+    df = spark.createDataFrame([("b07",), (None,)], "t string").select(saved.term_group(F.col("t"), bounds).alias("g"))
+    assert [r.g for r in df.collect()] == [8, 0]
+    assert "lambda" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_judgments_count_frequent_terms_of_candidates_only(spark, tmp_dir):
+    """Against brute force; two texts of one number count as one document."""
+    import random
+
+    from rankeval.sources import fixtures as fx
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(30)]
+    items = [(i, " ".join(rng.sample(words, rng.randint(1, 14)))) for i in range(25)]
+    docs = [(i // 2 if i < 20 else i, " ".join(rng.choices(words, k=rng.randint(1, 25)))) for i in range(150)]
+    docs += [(200 + i, f"x {t} y") for i, t in items]
+    spark.createDataFrame(items, "item_id long, text string").coalesce(1).write.parquet(f"{tmp_dir}/benchmark.parquet")
+    flat = spark.createDataFrame(docs, "ord long, text string").select("ord", F.col("ord").alias("id"), F.lit("t").alias("title"), "text")
+    got = fx.qrels(spark, tmp_dir, I.build_index(flat, 3))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_contains" in plan  # terms of a candidate's item are looked up, not joined with every document
+    held, whole = {}, set()
+    df = {w: len({(o, len(t.split())) for o, t in docs if w in t.split()}) for w in words}
+    for item, text in items:
+        terms = text.split()
+        rare = sorted(terms, key=lambda w: (df[w], w))[: len(terms) // 2 + 1]
+        for o in {o for o, _ in docs}:
+            texts = {len(t.split()): set() for n, t in docs if n == o}
+            for n, t in docs:
+                if n == o:
+                    texts[len(t.split())] |= set(t.split())  # texts of one length are one document
+            n = sum(len(set(terms) & t) for t in texts.values())
+            if any(set(rare) & t for t in texts.values()) and 2 * n >= len(terms):
+                held[item, o] = int(4 * n >= 3 * len(terms))
+                if n == len(terms) and any(f" {text} " in f" {t} " for m, t in docs if m == o):
+                    whole.add((item, o))
+    expected = {k: 2 if k in whole else v for k, v in held.items()}
+    assert {(r.query_id, r.doc_id): r.score for r in got.collect()} == expected
