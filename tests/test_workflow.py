@@ -59,3 +59,15 @@ def test_index_search_tune_compare(spark, tmp_dir):
     res = compare(runs, "wilcoxon", 0.05, baseline="bm25").collect()
     assert len(res) == 1 and res[0].decision in ("accepted", "rejected") and res[0].n == 5
     assert os.path.isdir(f"{tmp_dir}/bm25")
+
+
+def test_sweep_is_searched_once(spark):
+    """Everything that reads a sweep's rows reads pinned ones."""
+    from micro import frames
+    from rankeval.operators.index import build_index
+    from rankeval.operators.tune import sweep, sweep_means
+
+    docs, topics, qrels = frames(spark)
+    swept = sweep(build_index(docs, 2), topics, qrels, [JM()], [(0.1, 0.5)], 5)
+    plan = sweep_means(swept)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "LogicalRDD" in plan
