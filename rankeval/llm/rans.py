@@ -14,7 +14,7 @@ File format: a folder of Parquet files whose rows are blocks in ascending (doc_i
 Lane j of a block codes the ids j, j + lanes, j + 2 * lanes, ...; all lanes share one word stream.  Lanes of many
 blocks are coded together with numpy, one step at a time.  A decoder may start at any checkpoint.
 
-Steps: encode texts (written to the shared folder), count ids, code blocks, range-partition them by document and
+Steps: encode texts (written to the shared folder), count ids, range-partition them by document, code blocks and
 write; then read the files back, check every checksum, and add up ``start`` with one offset per partition.
 
 Defined cases: a null text is empty and has the end id alone; rows that share a doc_id are documents of their own, in the
@@ -27,7 +27,9 @@ from __future__ import annotations
 
 import re
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -44,6 +46,8 @@ from rankeval.session import checkpoint_dir
 VOCABULARY, END = "byte_bpe_50k.json", 0
 PRECISION, BLOCK, STEPS, EVERY = 20, 1 << 16, 512, 256
 CACHE, FIRST_BYTES = 600_000, 1 << 24
+#: Ids that are decoded together, about.
+AT_ONCE = 1 << 20
 HEADER, MAGIC = struct.Struct("<4sIIIII"), b"RB01"
 LOW = np.uint64(1 << 31)
 
@@ -72,13 +76,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.length = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        for token, i in vocabulary.items():
-            self.length[i] = len(token)  # one character stands for one byte
-        self.width = 2 if len(self.length) <= 1 << 16 else 4
+        self.size = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
+        self.width = 2 if self.size <= 1 << 16 else 4
+        self.kind = next(k for k in ("HI" if self.width == 2 else "IL") if array(k).itemsize == self.width)
+        self.tokenize = self.tokenizer.model.tokenize
         self.alphabet = _byte_alphabet()
-        self.model, self.space = self.tokenizer.model, self.alphabet[32]
+        self.space = self.alphabet[32]
         self.later: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
@@ -86,66 +89,55 @@ class Encoder:
         self.closing: dict[str, bytes] = {"": b"", "\n": self.plain("\n")}
 
     def pack(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
+        packed = array(self.kind, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def plain(self, text: str) -> bytes:
         return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def word(self, text: str, space: str) -> bytes | None:
         """Ids of letters with closing marks, after a space or not; None if the text is anything else."""
-        letters = text.rstrip(MARKS)
-        if not letters.isalpha():
-            return None
-        tail = text[len(letters):]
+        letters, closing = text, b""
+        if not text.isalpha():
+            letters = text.rstrip(MARKS)
+            if not letters.isalpha():
+                return None
+            tail = text[len(letters):]
+            if tail not in self.closing:
+                if len(self.closing) > CACHE // 8:
+                    self.closing = {"": b"", "\n": self.closing["\n"]}
+                self.closing[tail] = self.plain(tail)
+            closing = self.closing[tail]
+            if space and (ids := self.later.get(letters)) is not None:
+                return ids + closing
         if not letters.isascii():
             letters = letters.encode().decode("latin-1").translate(self.alphabet)
-        if tail not in self.closing:
-            if len(self.closing) > CACHE // 8:
-                self.closing = {"": b"", "\n": self.closing["\n"]}
-            self.closing[tail] = self.plain(tail)
-        return self.pack([t.id for t in self.model.tokenize(space + letters)]) + self.closing[tail]
+        return self.pack([t.id for t in self.tokenize(space + letters)]) + closing
 
     def lines(self, piece: str) -> bytes | None:
         """Ids of words joined by single line feeds, the first one after a space."""
         parts = [self.word(x, "" if i else self.space) for i, x in enumerate(piece.split("\n"))]
         return None if None in parts else self.closing["\n"].join(parts)
 
-    def learn(self, pieces: list[str]) -> None:
-        """Ids of `` piece`` for each piece: one call over all of them, cut at the pieces' byte lengths."""
-        ids = np.array(self.tokenizer.encode("".join([" " + p for p in pieces]), add_special_tokens=False).ids, np.int64)
-        ends = np.cumsum([len(p.encode()) + 1 for p in pieces])
-        reached = np.cumsum(self.length[ids])
-        at = np.searchsorted(reached, ends)
-        if len(reached) and at[-1] < len(reached) and np.array_equal(reached[at], ends):
-            packed, begin = ids.astype(f"<u{self.width}").tobytes(), 0
-            for p, end in zip(pieces, ((at + 1) * self.width).tolist()):
-                self.later[p] = packed[begin:end]
-                begin = end
-        else:
-            for p in pieces:
-                self.later[p] = self.plain(" " + p)
+    def find(self, piece: str) -> bytes:
+        """Ids of `` piece``: those of the older generation, or new ones; kept."""
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.lines(piece) if "\n" in piece else self.word(piece, self.space)
+        if ids is None:
+            ids = self.plain(" " + piece)
+        self.later[piece] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of ``width`` bytes per text."""
         if len(self.later) > CACHE:
             self.old, self.later = self.later, {}
-        cut = [SPLIT.split(t) if UNSAFE.search(t) else t.split(" ") for t in texts]
-        wanted: set[str] = set()
-        for pieces in cut:
-            wanted.update(pieces[1:])
-        later, old, rest = self.later, self.old, []
-        for p in wanted.difference(later):
-            if (ids := old.get(p)) is not None:
-                later[p] = ids
-            elif (ids := self.lines(p) if "\n" in p else self.word(p, self.space)) is not None:
-                later[p] = ids
-            else:
-                rest.append(p)
-        for i in range(0, len(rest), 1024):
-            self.learn(rest[i: i + 1024])
-        out, get = [], later.__getitem__
-        for pieces in cut:
-            head = pieces[0]
+        out, get, find = [], self.later.get, self.find
+        for text in texts:
+            head, *pieces = SPLIT.split(text) if UNSAFE.search(text) else text.split(" ")
             ids = self.first.get(head)
             if ids is None:
                 ids = self.plain(head)
@@ -155,7 +147,7 @@ class Encoder:
                         self.first.clear()
                         self.first_bytes = 0
                     self.first[head] = ids
-            out.append(ids + b"".join(map(get, pieces[1:])))
+            out.append(ids + b"".join([get(p) or find(p) for p in pieces]))
         return out
 
 
@@ -180,7 +172,7 @@ def token_table(docs: DataFrame, path: str, end: int = END) -> DataFrame:
 
         of = encoder(path)
         tail, row = of.pack([end]), TaskContext.get().partitionId() << 33
-        seen, id_kind = np.zeros(len(of.length), np.int64), pa.null()
+        seen, id_kind = np.zeros(of.size, np.int64), pa.null()
 
         def rows(doc_ids, first, ids, counts) -> pa.RecordBatch:
             n = len(ids)
@@ -364,9 +356,8 @@ class Coder:
         return [out[b + k: b + z] for b, z, k in zip(base.tolist(), sizes.tolist(), skipped)]
 
 
-def write_blocks(tokens: DataFrame, freq: np.ndarray, path: str) -> None:
-    """Code ``tokens`` and write the format's files to ``path`` in ascending (doc_id, row, block) order."""
-    spark = tokens.sparkSession
+def coded(tokens: DataFrame, freq: np.ndarray) -> DataFrame:
+    """(doc_id, row, block, payload) in ascending (doc_id, row, block) order."""
     id_type = tokens.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -395,11 +386,17 @@ def write_blocks(tokens: DataFrame, freq: np.ndarray, path: str) -> None:
             if docs:
                 yield out()
 
-    rows = tokens.filter("ids IS NOT NULL").select("doc_id", "row", "ids", "width").mapInArrow(
+    # coded behind the exchange: finding its ranges reads the tokens twice, and must not code them twice
+    order = ["doc_id", "row"]
+    dealt = tokens.filter("ids IS NOT NULL").select("doc_id", "row", "ids", "width").repartitionByRange(*order)
+    return dealt.sortWithinPartitions(*order).mapInArrow(
         run, struct_of(("doc_id", id_type), ("row", "bigint"), ("block", "int"), ("payload", "binary")))
-    order = ["doc_id", "row", "block"]
-    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.option("compression", "uncompressed").parquet(
-        f"{path}/blocks")
+
+
+def write_blocks(tokens: DataFrame, freq: np.ndarray, path: str) -> None:
+    """Code ``tokens`` and write the format's files to ``path``."""
+    spark = tokens.sparkSession
+    coded(tokens, freq).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
     spark.createDataFrame([(i, int(f)) for i, f in enumerate(freq) if f], "id long, freq long").coalesce(1).write.parquet(
         f"{path}/table")
 
@@ -416,6 +413,22 @@ def stored_checksum(payload: bytes) -> int:
     return HEADER.unpack_from(payload)[5]
 
 
+def stored_size(payload: bytes) -> int:
+    return HEADER.unpack_from(payload)[1]
+
+
+def runs_of(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """(first, number) of consecutive items: as many as have at most ``most`` together, or one that is larger alone."""
+    first = total = 0
+    for i, size in enumerate(sizes):
+        if i > first and total + size > most:
+            yield first, i - first
+            first, total = i, 0
+        total += size
+    if first < len(sizes):
+        yield first, len(sizes) - first
+
+
 def read_ids(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
     """(doc_id, row, block, ids) decoded from the files, or with ``digest`` (doc_id, row, block, crc, n_bytes) of the decoded
     ids; raises on a checksum that does not hold."""
@@ -427,8 +440,9 @@ def read_ids(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(freq)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            sizes = [stored_size(p.as_buffer()) for p in batch.column(3)]
+            for at, n in runs_of(sizes, AT_ONCE):
+                part = batch.slice(at, n)
                 payloads, ids, crcs = part.column(3).to_pylist(), [], []
                 for p, values in zip(payloads, coder.decode(payloads)):
                     ids.append(values.astype("<u4").tobytes())

@@ -527,3 +527,26 @@ def test_leak_across_segments(spark, monkeypatch):
     texts = {r.doc_id: np.frombuffer(r.words, "<i4") for r in numbered.collect()}
     found = search.leaks([texts[d] for d in range(7)])
     assert [sorted(f) for f in found] == [[0]] * 6 + [[]]
+
+
+# ---- token files: what is done once ----
+
+def test_blocks_are_coded_behind_the_exchange(spark):
+    """Dealing the documents out by ranges reads them twice; they are coded after that."""
+    tokens = R.token_table(docs_of(spark, ["text 1", "text 2"], [2, 1]), R.vocabulary_path())
+    plan = R.coded(tokens, R.scaled(R.id_counts(tokens)))._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("MapInArrow") < plan.index("RepartitionByExpression" if "RepartitionByExpression" in plan else "Exchange range")
+
+
+def test_runs_of_blocks():
+    assert list(R.runs_of([], 5)) == []
+    assert list(R.runs_of([1, 2, 3, 9, 1, 1], 5)) == [(0, 2), (2, 1), (3, 1), (4, 2)]
+
+
+def test_closing_marks_use_the_ids_of_the_word():
+    of = R.Encoder(R.vocabulary_path())
+    of.encode(["x wordlike"])
+    asked, tokenize = [], of.tokenize
+    of.tokenize = lambda x: asked.append(x) or tokenize(x)
+    assert of.encode(["y wordlike, wordlike!"])[0] == of.plain("y wordlike, wordlike!")
+    assert asked == []
