@@ -373,3 +373,36 @@ def test_judgments_count_frequent_terms_of_candidates_only(spark, tmp_dir):
                     whole.add((item, o))
     expected = {k: 2 if k in whole else v for k, v in held.items()}
     assert {(r.query_id, r.doc_id): r.score for r in got.collect()} == expected
+
+
+# ---- tasks of bounded size ----
+
+def test_tasks_hold_a_bounded_part_of_the_input(spark, monkeypatch):
+    size = 6 << 30
+    for cores in (4, 12, 400):
+        plan = saved.layout(size, cores)
+        assert plan.ranges * plan.buckets * saved.per_bucket(size, plan) * 2 * I.TASK_BYTES >= size
+    assert saved.per_bucket(1 << 20, saved.layout(1 << 20, 12)) == 1
+    monkeypatch.setattr(I, "input_bytes", lambda df: size)
+    assert I.partitions_of(spark.range(1)) * I.TASK_BYTES >= size
+
+
+def test_several_tasks_of_a_bucket_change_no_row(spark, tmp_dir, monkeypatch):
+    docs = spark.range(200).select(F.col("id").alias("ord"), F.col("id").cast("string").alias("id"), F.lit("t").alias("title"),
+                                   F.concat_ws(" ", F.lit("all"), (F.col("id") % 7).cast("string")).alias("text"))
+    topics = spark.createDataFrame([(1, "all 3")], "query_id long, query string")
+    found = []
+    for n in (1, 3):
+        monkeypatch.setattr(saved, "per_bucket", lambda n_bytes, plan, n=n: n)
+        path = f"{tmp_dir}/tasks-{n}"
+        saved.index_corpus(docs, path, "create", partitions=2)
+        files = [os.path.join(d, f) for d, _, fs in os.walk(f"{path}/postings") for f in fs if f.endswith(".parquet")]
+        text = [f for f in files if "field=title" in f]
+        assert len(text) == 2 * n
+        buckets = {f: int(re.search(r"_(\d{5})\.c\d+", f)[1]) for f in text}
+        for f, b in buckets.items():
+            own = spark.read.parquet(f).select(F.pmod(F.hash("ord"), F.lit(2)).alias("b")).distinct().collect()
+            assert [r.b for r in own] == [b]
+        idx = saved.load_index(spark, path)
+        found.append((_rows(idx.postings.select(*I.POSTING_COLUMNS)), _stats(idx), _rows(search(idx, topics, BM25(1.2), 10))))
+    assert found[0] == found[1]
