@@ -406,3 +406,27 @@ def test_several_tasks_of_a_bucket_change_no_row(spark, tmp_dir, monkeypatch):
         idx = saved.load_index(spark, path)
         found.append((_rows(idx.postings.select(*I.POSTING_COLUMNS)), _stats(idx), _rows(search(idx, topics, BM25(1.2), 10))))
     assert found[0] == found[1]
+
+
+def test_buckets_of_the_collection_do_not_grow_with_the_input(spark, tmp_dir, monkeypatch):
+    """More documents, more buckets of about the same size, so that a task of a sweep sums the scores of so many documents at
+    most; the documents are dealt out once, by slot."""
+    from rankeval.operators.tune import sweep
+    from rankeval.session import path_bytes
+    from rankeval.sources import fixtures as fx
+
+    words = F.concat_ws(" ", *[F.concat(F.lit("w"), F.pmod(F.xxhash64("id", F.lit(i)), F.lit(40)).cast("string")) for i in range(12)])
+    spark.range(600).select(F.col("id").alias("doc_id"), words.alias("text"), F.lit("s").alias("source"),
+                            F.lit("en").alias("lang")).write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.range(5).select(F.col("id").alias("item_id"), words.alias("text")).write.parquet(f"{tmp_dir}/benchmark.parquet")
+    size, found = path_bytes(spark, f"{tmp_dir}/documents.parquet"), []
+    for buckets in (4, 9):
+        monkeypatch.setattr(fx, "COLLECTION_BUCKET_BYTES", -(-size // buckets), raising=False)
+        monkeypatch.setattr(fx, "_SAVED", {})
+        idx, topics, qrels = fx.saved_collection(spark, tmp_dir)
+        base = next(iter(fx._SAVED.values()))
+        assert [r.buckets for r in spark.read.parquet(f"{base}/index/batches").collect()] == [buckets]
+        found.append((_rows(idx.postings.select(*I.POSTING_COLUMNS)), _stats(idx), _rows(qrels),
+                      _rows(sweep(idx, topics, qrels, ["jm"]))))
+    assert found[0] == found[1]
+    assert len(found[0][3]) == 55
